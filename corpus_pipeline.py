@@ -7,21 +7,56 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import benchmark_leaks
 from tidemark.llm.near_dup import near_duplicates
+from tidemark.llm.packing import pack
+from tidemark.llm.repeats import repeated_bytes
 from tidemark.llm.scratch import Scratch
+from tidemark.llm.toxicity import learn_toxicity, score_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+TOXIC = 0.3
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id isn't in ``ids``, with the columns they had."""
+    return docs.join(ids.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose toxicity reaches 0.3."""
+    model = learn_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _without(docs, score_toxicity(docs, model).where(F.col("score") >= TOXIC))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate group: five-word shingles, similarity 0.8."""
-    found = near_duplicates(docs, width=5, percent=80)
-    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return _without(docs, near_duplicates(docs, width=5, percent=80).where(~F.col("kept")))
+
+
+def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut repeated 100-byte strings out of the texts, whole characters only; drop texts of which nothing is left."""
+    found = repeated_bytes(docs, length=100, whole_chars=True, with_text=True).where("n_removed > 0").select("doc_id", F.decode("kept", "UTF-8").alias("_kept"))
+    cut = docs.join(found, "doc_id", "left").where("_kept is null or _kept <> ''").withColumn("text", F.coalesce("_kept", "text"))
+    return cut.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold benchmark items."""
+    return _without(docs, benchmark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack what is left into sequences of 2048 tokens."""
+    return pack(docs, tokenizer="byte_bpe_50k.json", end_id=0, capacity=2048)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
     ("near_dedup", near_dedup),
+    ("suffix_array_dedup", repeat_removal),
+    ("decontamination", decontamination),
+    ("packing", packing),
 ]
 
 

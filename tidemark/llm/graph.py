@@ -24,7 +24,7 @@ def connected_components(links: DataFrame, scratch: Scratch, a: str = "a", b: st
     while True:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         tied = large.join(low, "u")
         small = tied.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()

@@ -56,21 +56,46 @@ def band_keys(sketches: np.ndarray, bands: int) -> np.ndarray:
     return key
 
 
-def _sketched(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+def nibbles(sketches: np.ndarray) -> np.ndarray:
+    """Return the low four bits of each coordinate, sixteen to a 64-bit integer."""
+    n, t = sketches.shape
+    parts = sketches.reshape(n, t // 16, 16) & np.uint64(15)
+    return (parts << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
+
+
+def differing(a: str, b: str, t: int) -> str:
+    """SQL for the number of the ``t`` four-bit coordinates in which two packed sketches differ."""
+    out = []
+    for i in range(t // 16):
+        z = f"({a}[{i}] ^ {b}[{i}])"
+        half = f"({z} | shiftrightunsigned({z}, 1))"
+        out.append(f"bit_count(({half} | shiftrightunsigned({half}, 2)) & {0x1111111111111111}L)")
+    return " + ".join(out)
+
+
+def most_differing(t: int, percent: int) -> int:
+    """Coordinates in which a pair at the limit differs at most, six standard deviations out (1e-9)."""
+    agree = percent / 100 + (1 - percent / 100) / 16
+    return int(t * (1 - agree) + 6 * (t * agree * (1 - agree)) ** 0.5) + 1
+
+
+def _sketched(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: int, t: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, "text"):
             words, bounds = word_hashes(part.column("text"))
             codes, offsets = shingle_hashes(words, bounds, width)
             size = np.diff(offsets)
-            keys = band_keys(sketch(codes, offsets, bands * rows), bands)
+            made = sketch(codes, offsets, t)
+            keys = band_keys(made[:, : bands * rows], bands)
+            nib = nibbles(made)
             sums = []
             for k in (0x51ED270B, 0x2545F491):
                 total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(codes ^ np.uint64(k)), dtype=np.uint64)])
                 sums.append(mix64(total[offsets[1:]] - total[offsets[:-1]]).view(np.int64))
-            flat = pa.array(keys.reshape(-1).view(np.int64))
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).view(np.int64))) for x in (keys, nib)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(size), pa.array(sums[0]), pa.array(sums[1]), pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * bands, pa.int32()), flat)],
-                ["id", "n_shingles", "s0", "s1", "bands"],
+                [part.column("id"), pa.array(size), pa.array(sums[0]), pa.array(sums[1]), *lists],
+                ["id", "n_shingles", "s0", "s1", "bands", "nib"],
             )
 
 
@@ -90,7 +115,7 @@ def _checked(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Ite
             yield part.select(["a", "b"]).filter(pa.array(similar))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 40, rows: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 40, rows: int = 5, coordinates: int = 400) -> DataFrame:
     """Return doc_id, n_shingles, component_id and kept for every row of ``docs``.
 
     Two documents are linked if ``100 * common >= percent * union`` of their
@@ -100,8 +125,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     Equal sets collapse first.  In each bucket one member is compared with the
     others; then components are merged, and only members of a bucket that are
-    still in different components are compared with one another, so copies and
-    near copies never expand into all pairs.
+    still in different components are compared with one another.  Before texts
+    are fetched, all ``coordinates`` of a pair's sketches must agree as often as
+    a pair at the limit does, less six standard deviations.
 
     A null or empty text has no shingles and no links (its component is
     itself).  Rows that repeat an id are one node and all come back.  A null id
@@ -109,54 +135,46 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     scratch = Scratch(docs.sparkSession, "near-dup")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    made = scratch.keep(base.mapInArrow(lambda it: _sketched(it, width, bands, rows), "id long, n_shingles long, s0 long, s1 long, bands array<long>"), "sketches")
+    made = scratch.keep(base.mapInArrow(lambda it: _sketched(it, width, bands, rows, coordinates), "id long, n_shingles long, s0 long, s1 long, bands array<long>, nib array<long>"), "sketches")
     full = made.where("n_shingles > 0 and id is not null")
     classes = scratch.keep(full.groupBy("s0", "s1", "n_shingles").agg(F.min("id").alias("rep")), "classes")
     heads = full.join(classes, ["s0", "s1", "n_shingles"]).where("id = rep").select("id", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["id", "n"])
     keyed = heads.select("id", "n", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
     buckets = scratch.keep(keyed.join(shared, "key"), "buckets")
+    # An id with several texts has several sketches; then pairs go to the exact check unfiltered.
+    repeats = full.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").limit(1).count() > 0
+    packed = full.select("id", "nib").dropDuplicates(["id"]) if repeats else full.select("id", "nib")
+    alike = "true" if repeats else f"{differing('nib', 'nib_b', coordinates)} <= {most_differing(coordinates, percent)}"
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
         """Confirm distinct pairs on whole texts."""
-        texts = base.where("id is not null and text <> ''")
-        pairs = scratch.keep(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"pairs-{name}")
+        pairs = scratch.keep(pairs, f"pairs-{name}")
         wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        texts = texts.join(wanted, "id", "left_semi")
+        texts = base.where("id is not null and text <> ''").join(wanted, "id", "left_semi")
         left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
         joined = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         return scratch.keep(joined.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: _checked(it, width, percent), "a long, b long"), f"links-{name}")
 
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    heads_of = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("p"))
-    stars = buckets.join(heads_of, "key").select(F.col("p.id").alias("a"), F.col("id").alias("b"), "n", F.col("p.n").alias("m")).where(fits)
-    links = check(stars, "0")
-    turn = 0
-    while True:
-        parts = connected_components(links, scratch)
-        placed = buckets.join(parts, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-        open_keys = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("k")).where("low < high and k > 2").select("key")
-        rest = scratch.keep(placed.join(open_keys, "key"), f"open-{turn}")
-        sizes = rest.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"), F.sum("k").alias("k"))
-        left, members = sizes.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.coalesce(F.sum("k"), F.lit(0))).first()
-        if not left:
-            break
-        turn += 1
-        if left <= 8 * members or turn > 6:
-            other = rest.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"))
-            pairs = rest.withColumnRenamed("id", "a").join(other, "key").where(f"a < b and c <> d and {fits}")
-            more = check(pairs.select("a", "b"), str(turn))
-            links = scratch.keep(links.union(more), f"all-links-{turn}")
-            parts = connected_components(links, scratch)
-            break
-        pick = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "c")).alias("p"))
-        stars = rest.join(pick, "key").select(F.col("p.id").alias("a"), F.col("id").alias("b"), "n", F.col("p.n").alias("m"), "c", F.col("p.c").alias("d")).where(f"c <> d and {fits}")
-        links = scratch.keep(links.union(check(stars, str(turn))), f"all-links-{turn}")
+    pivots = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("p"))
+    stars = buckets.join(pivots, "key").select(F.col("p.id").alias("a"), F.col("id").alias("b"), "n", F.col("p.n").alias("m")).where(f"a < b and {fits}").select("a", "b").distinct()
+    stars = stars.join(packed.withColumnRenamed("id", "a"), "a").join(packed.select(F.col("id").alias("b"), F.col("nib").alias("nib_b")), "b").where(alike).select("a", "b")
+    links = check(stars, "star")
+    parts = connected_components(links, scratch)
+    placed = buckets.join(parts, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
+    split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("k")).where("low < high and k > 2").select("key")
+    rest = scratch.keep(placed.join(split, "key").join(packed, "id"), "open")
+    if rest.limit(1).count():
+        other = rest.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"), F.col("nib").alias("nib_b"))
+        more = rest.withColumnRenamed("id", "a").join(other, "key").where(f"a < b and c <> d and {fits} and {alike}").select("a", "b").distinct()
+        found = check(more, "rest")
+        if found.limit(1).count():
+            parts = connected_components(links.union(found), scratch)
     low = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left").select("s0", "s1", "n_shingles", F.coalesce("component", "rep").alias("component"))
     out = made.join(low, ["s0", "s1", "n_shingles"], "left").select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component_id"))
     # An id with several different texts is one node: its rows share the smallest component.
-    twice = made.groupBy("id").agg(F.count("*").alias("k")).where("k > 1 and id is not null")
-    if twice.limit(1).count():
+    if repeats:
         out = _joined_rows(out, scratch)
     out = out.select(F.col("id").alias("doc_id"), "n_shingles", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
     return scratch.result(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))

@@ -5,17 +5,85 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.chat import CONVERSATION_SCHEMAS, SCHEMA_COLUMNS, link_tool_calls, messages_as_calls
+from tidemark.llm.decontaminate import benchmark_leaks
+from tidemark.llm.gif import encode_gifs, gif_features
+from tidemark.llm.lm import lm_scores
 from tidemark.llm.near_dup import near_duplicates
+from tidemark.llm.packing import pack
+from tidemark.llm.repeats import repeated_bytes
+from tidemark.llm.token_store import token_file_round_trip
+from tidemark.llm.toxicity import learn_toxicity, score_toxicity
+from tidemark.llm.urls import judge_urls
 
-WORDS_SQL = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"""
+#: From this score on a document counts as toxic.
+TOXIC = 0.3
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents on two-word shingles."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=2, percent=80)
+    return near_duplicates(_table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the items."""
+    return benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 100-byte strings removed from all documents."""
+    return repeated_bytes(_table(spark, sf_dir, "documents"), length=100)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the URLs of all pages."""
+    return judge_urls(_table(spark, sf_dir, "pages"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens, written to binary files and read back."""
+    return token_file_round_trip(_table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", end_id=2)
+
+
+def op6_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts as GIF columns, decoded again, with colour features."""
+    return gif_features(encode_gifs(_table(spark, sf_dir, "documents"))).drop("frames")
 
 
+def op7_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as linked, ordered and validated tool calls."""
+    calls, results = messages_as_calls(_table(spark, sf_dir, "conversations"))
+    return link_tool_calls(calls, results, spark.createDataFrame(CONVERSATION_SCHEMAS, SCHEMA_COLUMNS))
+
+
+def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return pack(_table(spark, sf_dir, "documents"), tokenizer="byte_bpe_50k.json", end_id=0, capacity=2048)
+
+
+def op9_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; those with crc32(doc_id) mod 4 = 2 are held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = learn_toxicity(docs, _table(spark, sf_dir, "labels"), folds=4, test=2)
+    found = score_toxicity(docs, model)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), "passages")
+
+
+def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents; those with crc32(doc_id) mod 7 = 2 are held out."""
+    return lm_scores(_table(spark, sf_dir, "documents"), folds=7, test=2)
+
+
+LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS_SQL = f"regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+')"
+
 OP1_SQL = f"""
 with recursive w as (select doc_id, {WORDS_SQL} as ws from documents),
 s as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 2 then [ws] else [ws[i:i+1] for i in range(1, len(ws))] end) as g from w),
@@ -28,10 +96,32 @@ select n.doc_id, cast(n.k as bigint) as n_shingles, min(r.v) as component_id, n.
 from n join r on r.u = n.doc_id group by n.doc_id, n.k
 """
 
+OP7_SQL = """
+with t as (select conv_id, turn, role, text, 'c' || conv_id || '-' || turn as id from conversations),
+c as (select conv_id, turn, id as call_id, case role when 'user' then 'respond' else 'configure' end as tool, text,
+             case when turn > 0 then 'c' || conv_id || '-' || greatest(0, turn - 2) end as parent from t where role in ('user', 'system')),
+r as (select conv_id, 'c' || conv_id || '-' || (turn - 1) as call_id, arg_min(text, turn) as content, count(*) as n_results from t where role = 'assistant' group by 1, 2),
+lv as (with recursive v(conv_id, call_id, level) as (
+    select conv_id, call_id, 0 from c where parent is null or parent not in (select call_id from c)
+    union all select c.conv_id, c.call_id, v.level + 1 from v join c on c.conv_id = v.conv_id and c.parent = v.call_id) select * from v),
+e as (select conv_id, call_id, list_sort(list_filter([
+    case when length(text) < 1 or (tool = 'respond' and length(text) > 300) then 'text out of bounds' end,
+    case when tool = 'configure' and turn > 0 then 'turn out of bounds' end], x -> x is not null)) as errors from c)
+select c.conv_id, c.call_id, c.tool, cast(lv.level as bigint) as level, case when r.call_id is null then 'missing' else 'linked' end as status,
+       cast(coalesce(n_results, 0) as bigint) as n_results, len(errors) = 0 as valid, array_to_string(errors, '; ') as errors,
+       '{"arguments":{"text":' || to_json(text) || ',"turn":' || turn || '},"id":' || to_json(c.call_id) || case when r.call_id is null then '' else ',"result":' || to_json(content) end || ',"tool":' || to_json(c.tool) || '}' as record
+from c join lv using (conv_id, call_id) join e using (conv_id, call_id) left join r using (conv_id, call_id)
+union all
+select r.conv_id, r.call_id, null, null, 'orphan', cast(n_results as bigint), false, 'no call', '{"id":' || to_json(r.call_id) || ',"result":' || to_json(content) || '}'
+from r anti join c using (conv_id, call_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    f.__name__: f
+    for f in (op1_minhash_near_dedup, op2_benchmark_decontamination, op3_suffix_array_dedup, op4_url_filter, op5_token_files, op6_gif_media, op7_tool_call_linking, op8_pattern_packing, op9_toxic_segments, op10_deleted_interpolation)
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": OP1_SQL,
+    "op7_tool_call_linking": OP7_SQL,
 }

@@ -19,6 +19,8 @@ M64 = (1 << 64) - 1
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes that aren't ASCII letters or digits, nor part of other characters.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _TABLE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -95,11 +97,14 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Return starts and ends of words ``[^\\x20\\x09-\\x0D]+`` and, for each document, the number of words before it."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Return starts and ends of words and, for each document, the number of words before it.
+
+    ``gap`` flags the bytes between words, by default ``[\\x20\\x09-\\x0D]``.
+    """
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    solid = ~_SPACE[data]
+    solid = ~gap[data]
     first = np.zeros(len(data), bool)
     first[offsets[:-1][offsets[:-1] < len(data)]] = True
     begin = solid.copy()
