@@ -115,7 +115,41 @@ def _checked(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Ite
             yield part.select(["a", "b"]).filter(pa.array(similar))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 40, rows: int = 5, coordinates: int = 400) -> DataFrame:
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in text_slices(batch, "text"):
+            codes, offsets = shingle_hashes(*word_hashes(part.column("text")), width)
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([codes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], ["id", "codes"])
+
+
+def _bucket_links(table: pa.Table, percent: int) -> pa.Table:
+    """Compare the members of a bucket that are in different components, on whole sets.
+
+    Returns links that join components, at most one fewer than there are.
+    """
+    ids, c = table.column("id").to_numpy(), table.column("c").to_numpy()
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("codes")]
+    size = np.array([len(s) for s in sets])
+    _, code = np.unique(np.concatenate(sets), return_inverse=True)
+    begin = np.append(0, np.cumsum(size))
+    _, part, members = np.unique(c, return_inverse=True, return_counts=True)
+    out: list[tuple[int, int]] = []
+    flags = np.zeros(len(code), np.int32)
+    # Members of the largest component are only compared against.
+    for y in np.flatnonzero(part != members.argmax()).tolist():
+        own = code[begin[y] : begin[y + 1]]
+        flags[own] = 1
+        common = np.add.reduceat(flags[code], begin[:-1])
+        flags[own] = 0
+        similar = 100 * common >= percent * (size + size[y] - common)
+        for x in np.flatnonzero(similar & (part != part[y])).tolist():
+            if part[x] != part[y]:
+                out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                part[part == part[x]] = part[y]
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 40, rows: int = 5, coordinates: int = 400, block_shingles: int = 2_000_000) -> DataFrame:
     """Return doc_id, n_shingles, component_id and kept for every row of ``docs``.
 
     Two documents are linked if ``100 * common >= percent * union`` of their
@@ -124,10 +158,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     probability of 1.3e-7; every link is confirmed on the whole sets.
 
     Equal sets collapse first.  In each bucket one member is compared with the
-    others; then components are merged, and only members of a bucket that are
-    still in different components are compared with one another.  Before texts
-    are fetched, all ``coordinates`` of a pair's sketches must agree as often as
-    a pair at the limit does, less six standard deviations.
+    others, if all ``coordinates`` of their sketches agree as often as a pair at
+    the limit does, less six standard deviations.  Then components are merged,
+    and in buckets that still hold several components the members of different
+    ones are compared, in blocks of ``block_shingles`` shingles; of the links
+    found only those that join components are kept.
 
     A null or empty text has no shingles and no links (its component is
     itself).  Rows that repeat an id are one node and all come back.  A null id
@@ -163,12 +198,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = check(stars, "star")
     parts = connected_components(links, scratch)
     placed = buckets.join(parts, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-    split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("k")).where("low < high and k > 2").select("key")
-    rest = scratch.keep(placed.join(split, "key").join(packed, "id"), "open")
+    split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("k"), F.sum("n").alias("total")).where("low < high and k > 2")
+    rest = scratch.keep(placed.join(split.select("key", F.ceil(F.col("total") / block_shingles).cast("int").alias("blocks")), "key"), "open")
     if rest.limit(1).count():
-        other = rest.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"), F.col("nib").alias("nib_b"))
-        more = rest.withColumnRenamed("id", "a").join(other, "key").where(f"a < b and c <> d and {fits} and {alike}").select("a", "b").distinct()
-        found = check(more, "rest")
+        sets = base.join(rest.select("id").distinct(), "id", "left_semi").mapInArrow(lambda it: _sets(it, width), "id long, codes binary")
+        # A bucket too large for one task is cut into blocks, each compared with each.
+        dealt = rest.withColumn("x", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "id", "c").join(sets, "id")
+        found = scratch.keep(dealt.groupBy("key", "i", "j").applyInArrow(lambda t: _bucket_links(t, percent), "a long, b long").distinct(), "links-rest")
         if found.limit(1).count():
             parts = connected_components(links.union(found), scratch)
     low = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left").select("s0", "s1", "n_shingles", F.coalesce("component", "rep").alias("component"))

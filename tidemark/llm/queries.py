@@ -106,7 +106,7 @@ lv as (with recursive v(conv_id, call_id, level) as (
     union all select c.conv_id, c.call_id, v.level + 1 from v join c on c.conv_id = v.conv_id and c.parent = v.call_id) select * from v),
 e as (select conv_id, call_id, list_sort(list_filter([
     case when length(text) < 1 or (tool = 'respond' and length(text) > 300) then 'text out of bounds' end,
-    case when tool = 'configure' and turn > 0 then 'turn out of bounds' end], x -> x is not null)) as errors from c)
+    case when tool = 'configure' and turn > 0 then 'turn out of bounds' end], lambda x: x is not null)) as errors from c)
 select c.conv_id, c.call_id, c.tool, cast(lv.level as bigint) as level, case when r.call_id is null then 'missing' else 'linked' end as status,
        cast(coalesce(n_results, 0) as bigint) as n_results, len(errors) = 0 as valid, array_to_string(errors, '; ') as errors,
        '{"arguments":{"text":' || to_json(text) || ',"turn":' || turn || '},"id":' || to_json(c.call_id) || case when r.call_id is null then '' else ',"result":' || to_json(content) end || ',"tool":' || to_json(c.tool) || '}' as record
