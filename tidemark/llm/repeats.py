@@ -5,7 +5,7 @@ the smallest hash among its ``anchor``-byte grams, at the same place in both
 occurrences.  Strings are dealt out by that hash, so equal strings meet in one
 shard.  A run of strings with one anchor is an extent.  Extents that equal an
 earlier one are copies and need no sorting.  What is left, extents that agree
-around an anchor and differ further out, is sorted in suffix arrays, one for
+around an anchor and differ further out or that may repeat inside, is sorted in suffix arrays, one for
 each shard, and neighbours with a common prefix of at least ``length`` are
 occurrences of one string.
 """
@@ -42,7 +42,7 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for k in range(h):
         part = np.zeros(n, np.uint64)
-        part[: n - k] = data[k:].astype(np.uint64) + np.uint64(1)
+        part[: max(0, n - k)] = data[k:].astype(np.uint64) + np.uint64(1)
         key = (key << np.uint64(bits)) | part
     order = np.argsort(key, kind="stable")
     ordered = key[order]
@@ -135,19 +135,26 @@ def first_occurrences(data: np.ndarray, usable: np.ndarray, order_key: np.ndarra
 # --- anchors and extents -----------------------------------------------------
 
 
-def extents(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Return for each extent: anchor hash, document, start (in ``data``), number of strings, hash of its bytes."""
+def _sliding(values: np.ndarray, span: int, pick) -> np.ndarray:
+    """The minimum or maximum of every ``span`` neighbours, by doubling."""
+    width = 1
+    while width < span:
+        step = min(width, span - width)
+        values = pick(values[:-step], values[step:])
+        width += step
+    return values
+
+
+def extents(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Return for each extent: anchor hash, document, start (in ``data``), number of strings, hash of its bytes, and whether it may hold its anchor twice."""
     n = len(data)
+    none = np.zeros(0, np.int64)
     if n < length:
-        none = np.zeros(0, np.int64)
-        return none.view(np.uint64), none, none, none, none.view(np.uint64)
+        return none.view(np.uint64), none, none, none, none.view(np.uint64), none.astype(bool)
     prefix = prefix_hashes(data)
-    low = mix64((prefix[anchor:] - prefix[:-anchor]) * powers(n + 1, inverse=True)[: n - anchor + 1])
-    span, width = length - anchor + 1, 1
-    while width < span:  # a sliding minimum by doubling
-        step = min(width, span - width)
-        low = np.minimum(low[:-step], low[step:])
-        width += step
+    grams = mix64((prefix[anchor:] - prefix[:-anchor]) * powers(n + 1, inverse=True)[: n - anchor + 1])
+    span = length - anchor + 1
+    low = _sliding(grams, span, np.minimum)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: n - length + 1]
     whole = np.arange(n - length + 1) + length <= offsets[1:][doc]
     new = np.ones(len(low), bool)
@@ -155,27 +162,30 @@ def extents(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) ->
     new &= whole
     start = np.flatnonzero(new)
     if not len(start):
-        none = np.zeros(0, np.int64)
-        return none.view(np.uint64), none, none, none, none.view(np.uint64)
+        return none.view(np.uint64), none, none, none, none.view(np.uint64), none.astype(bool)
+    # Anchors are the grams that are the smallest of some string; two in a row with one hash may hold a repeat inside an extent.
+    pad = np.zeros(span - 1, np.uint64)
+    at = np.flatnonzero(_sliding(np.concatenate([pad, np.where(whole, low, np.uint64(0)), pad]), span, np.maximum) == grams)
+    again = np.unique(grams[at[1:]][grams[at[1:]] == grams[at[:-1]]])
     total = np.concatenate([[0], np.cumsum(whole)])
     count = np.append(total[start[1:]], total[-1]) - total[start]
-    return low[start], doc[start], start, count, span_hashes(prefix, start, start + count + length - 1)
+    return low[start], doc[start], start, count, span_hashes(prefix, start, start + count + length - 1), np.isin(low[start], again)
 
 
 def _chunk_extents(row: dict, length: int, anchor: int):
     """A chunk's extents: the first of equal ones, and the others (copies)."""
     ids, offsets, data = unpacked(row)
-    low, doc, start, count, whole = extents(data, offsets, length, anchor)
+    low, doc, start, count, whole, twice = extents(data, offsets, length, anchor)
     local = start - offsets[:-1][doc]
     order = np.lexsort((local, ids[doc], count, whole, low))
-    low, doc, local, count, whole = low[order], doc[order], local[order], count[order], whole[order]
+    low, doc, local, count, whole, twice = low[order], doc[order], local[order], count[order], whole[order], twice[order]
     new = np.ones(len(low), bool)
     new[1:] = (low[1:] != low[:-1]) | (whole[1:] != whole[:-1]) | (count[1:] != count[:-1])
-    return ids, offsets, data, low, doc, local, count, whole, new
+    return ids, offsets, data, low, doc, local, count, whole, twice, new
 
 
 _ROW = np.dtype([("doc", "<i4"), ("start", "<i4"), ("count", "<i4")])
-_ASK = np.dtype([("low", "<u8"), ("whole", "<u8"), ("id", "<i8"), ("doc", "<i4"), ("start", "<i4"), ("count", "<i4")])
+_ASK = np.dtype([("low", "<u8"), ("whole", "<u8"), ("id", "<i8"), ("doc", "<i4"), ("start", "<i4"), ("count", "<i4"), ("twice", "?")])
 _ASKED = "part int, chunk long, payload binary"
 _TOLD = "chunk long, kind int, payload binary"
 
@@ -199,11 +209,11 @@ COPY, SORT = 0, 1
 def _ask(batches: Iterator[pa.RecordBatch], parts: int, length: int, anchor: int) -> Iterator[pa.RecordBatch]:
     """For each chunk and hash range: its distinct extents; copies inside the chunk under part -1 - k."""
     for row in rows_of(batches):
-        ids, _, _, low, doc, local, count, whole, new = _chunk_extents(row, length, anchor)
+        ids, _, _, low, doc, local, count, whole, twice, new = _chunk_extents(row, length, anchor)
         rows = []
         if (~new).any():
             rows.append((-1 - int(row["chunk"]) % parts, row["chunk"], _structured(_ROW, doc=doc[~new], start=local[~new], count=count[~new]).tobytes()))
-        asked = _structured(_ASK, low=low[new], whole=whole[new], id=ids[doc[new]], doc=doc[new], start=local[new], count=count[new])
+        asked = _structured(_ASK, low=low[new], whole=whole[new], id=ids[doc[new]], doc=doc[new], start=local[new], count=count[new], twice=twice[new])
         cut = ranges(asked["low"], parts)
         rows += [(p, row["chunk"], asked[cut[p] : cut[p + 1]].tobytes()) for p in np.flatnonzero(np.diff(cut)).tolist()]
         if rows:
@@ -227,7 +237,7 @@ def _told(table: pa.Table) -> pa.Table:
     new = anchor.copy()
     new[1:] |= (asked["whole"][1:] != asked["whole"][:-1]) | (asked["count"][1:] != asked["count"][:-1])
     kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(anchor)) if len(asked) else np.zeros(0, np.int64)
-    several = np.repeat(kinds > 1, np.diff(np.append(np.flatnonzero(anchor), len(asked))))
+    several = np.repeat(kinds > 1, np.diff(np.append(np.flatnonzero(anchor), len(asked)))) | asked["twice"]
     rows = []
     for kind, wanted in ((COPY, ~new), (SORT, new & several)):
         some, src = asked[wanted], source[wanted]
