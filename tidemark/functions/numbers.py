@@ -53,8 +53,23 @@ def present(x: Column) -> Column:
 
 
 def half_even(x: Column, digits: int) -> Column:
-    """Round the binary value itself half to even: exact decimal expansion first, so 2.675 gives 2.67."""
-    return F.bround(x.cast("decimal(38,18)"), digits).cast("double")
+    """Round the binary value itself, half to even, so that 2.675 gives 2.67.
+
+    The product with the power of ten is taken without error: Dekker's split
+    gives the part that the rounded product lost.
+    """
+    ten = float(10**digits)
+
+    def of(v: Column) -> Column:
+        high = v * 134217729.0 - (v * 134217729.0 - v)
+        product = v * ten
+        lost = (high * ten - product) + (v - high) * ten
+        whole = F.floor(product).cast("double")
+        part = product - whole
+        up = (part > 0.5) | ((part == 0.5) & ((lost > 0) | ((lost == 0) & (F.pmod(whole, F.lit(2.0)) == 1))))
+        return (whole + up.cast("double")) / ten
+
+    return let(x, of)
 
 
 def human(x: Column, signed: bool = True) -> Column:

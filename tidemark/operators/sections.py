@@ -46,4 +46,4 @@ def looked_ahead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
 def merged_parentheses(tokens: Column) -> Column:
     """Join a split ``(12`` and ``)`` into ``(12)``."""
     joined = F.transform(tokens, lambda x, i: F.when(x.startswith("(") & ~x.endswith(")") & (F.get(tokens, i + 1) == ")"), F.concat(x, F.lit(")"))).otherwise(x))
-    return F.filter(joined, lambda x, i: ~((x == ")") & (i > 0) & F.coalesce(F.get(joined, i - 1).endswith(")") & (F.get(tokens, i - 1) != ")"), F.lit(False))))
+    return F.filter(joined, lambda x, i: ~((x == ")") & (i > 0) & F.coalesce(F.get(joined, i - 1) != F.get(tokens, i - 1), F.lit(False))))
