@@ -35,7 +35,7 @@ def sketch(codes: np.ndarray, offsets: np.ndarray, t: int) -> np.ndarray:
     for i in range(2 * t):
         if not len(codes):
             break
-        h = mix64(codes + np.uint64((2 * i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        h = mix64(codes ^ mix64(np.array([i + 1], np.uint64)))
         value = (np.uint64(i) << np.uint64(48)) | (h & _VALUE)
         bins = ((h >> np.uint64(48)) * np.uint64(t) >> np.uint64(16)).astype(np.int64) if i < t else np.full(len(h), i - t)
         np.minimum.at(flat, row * t + bins, value)
