@@ -155,8 +155,8 @@ def extents(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) ->
     grams = mix64((prefix[anchor:] - prefix[:-anchor]) * powers(n + 1, inverse=True)[: n - anchor + 1])
     span = length - anchor + 1
     low = _sliding(grams, span, np.minimum)
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: n - length + 1]
-    whole = np.arange(n - length + 1) + length <= offsets[1:][doc]
+    doc = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))[: n - length + 1]
+    whole = np.arange(n - length + 1, dtype=np.int32) <= (offsets[1:] - length).astype(np.int32)[doc]
     new = np.ones(len(low), bool)
     new[1:] = (low[1:] != low[:-1]) | (doc[1:] != doc[:-1]) | ~whole[:-1]
     new &= whole
@@ -167,9 +167,10 @@ def extents(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) ->
     pad = np.zeros(span - 1, np.uint64)
     at = np.flatnonzero(_sliding(np.concatenate([pad, np.where(whole, low, np.uint64(0)), pad]), span, np.maximum) == grams)
     again = np.unique(grams[at[1:]][grams[at[1:]] == grams[at[:-1]]])
+    del grams
     total = np.concatenate([[0], np.cumsum(whole)])
     count = np.append(total[start[1:]], total[-1]) - total[start]
-    return low[start], doc[start], start, count, span_hashes(prefix, start, start + count + length - 1), np.isin(low[start], again)
+    return low[start], doc[start].astype(np.int64), start, count, span_hashes(prefix, start, start + count + length - 1), np.isin(low[start], again)
 
 
 def _chunk_extents(row: dict, length: int, anchor: int):
@@ -416,7 +417,7 @@ def _removed(batches: Iterator[pa.RecordBatch], length: int, whole_chars: bool)
         )
 
 
-def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, anchor: int = 32, whole_chars: bool = False, with_text: bool = False, part_bytes: int = 16 << 20, block_bytes: int = 2 << 20) -> DataFrame:
+def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, anchor: int = 32, whole_chars: bool = False, with_text: bool = False, part_bytes: int = 16 << 20, block_bytes: int = 1 << 20, chunk_bytes: int = 1 << 20) -> DataFrame:
     """Return doc_id, n_bytes, n_removed, n_spans and kept_sha256 for each document.
 
     A byte is removed if a ``length``-byte string that covers it also starts
@@ -433,7 +434,7 @@ def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    chunks = scratch.keep(pack_chunks(base.where("id is not null")), "chunks")
+    chunks = scratch.keep(pack_chunks(base.where("id is not null"), chunk_bytes), "chunks")
     size = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     parts = max(8, -(-size // part_bytes))
     asked = chunks.mapInArrow(lambda it: _ask(it, parts, length, anchor), _ASKED)

@@ -28,11 +28,14 @@ _TABLE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """Mix all bits of unsigned 64-bit integers."""
-    x = x ^ (x >> np.uint64(30))
+    shifted = x >> np.uint64(30)
+    x = x ^ shifted
     x *= MIX_A
-    x ^= x >> np.uint64(27)
+    np.right_shift(x, np.uint64(27), out=shifted)
+    x ^= shifted
     x *= MIX_B
-    x ^= x >> np.uint64(31)
+    np.right_shift(x, np.uint64(31), out=shifted)
+    x ^= shifted
     return x
 
 
@@ -52,7 +55,9 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Return ``len(data) + 1`` prefix sums of a byte array."""
     out = np.empty(len(data) + 1, np.uint64)
     out[0] = 0
-    np.cumsum(_TABLE[data] * powers(len(data))[: len(data)], out=out[1:])
+    np.take(_TABLE, data, out=out[1:])
+    out[1:] *= powers(len(data))[: len(data)]
+    np.cumsum(out[1:], out=out[1:])
     return out
 
 
