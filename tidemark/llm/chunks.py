@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.words import text_bytes, text_slices
 
-CHUNK_SCHEMA = "chunk long, n_docs int, n_bytes long, ids binary, ends binary, blob binary"
+CHUNK_SCHEMA = "chunk long, grp int, n_docs int, n_bytes long, ids binary, ends binary, blob binary"
+
+
+_CHUNK_ARROW = pa.schema([("chunk", pa.int64()), ("grp", pa.int32()), ("n_docs", pa.int32()), ("n_bytes", pa.int64()), ("ids", pa.binary()), ("ends", pa.binary()), ("blob", pa.binary())])
 
 
 def _packed(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
@@ -25,26 +28,59 @@ def _packed(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Record
 
     number = TaskContext.get().partitionId() << 32
     coder = zstandard.ZstdCompressor(level=3)
+    held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+
+    def flushed(group: int) -> pa.RecordBatch:
+        nonlocal number
+        ids, sizes, data = (np.concatenate(x) for x in zip(*held.pop(group), strict=True))
+        row = {"chunk": number, "grp": group, "n_docs": len(ids), "n_bytes": len(data), "ids": ids.tobytes(), "ends": np.cumsum(sizes).tobytes(), "blob": coder.compress(data)}
+        number += 1
+        return pa.RecordBatch.from_pylist([row], _CHUNK_ARROW)
+
     for batch in batches:
-        for part in text_slices(batch, "text", limit):
-            data, offsets = text_bytes(part.column("text"))
-            ids = part.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            blob = coder.compress(np.ascontiguousarray(data))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([len(ids)], pa.int32()), pa.array([len(data)], pa.int64()), pa.array([ids.tobytes()], pa.binary()), pa.array([offsets[1:].tobytes()], pa.binary()), pa.array([blob], pa.binary())],
-                ["chunk", "n_docs", "n_bytes", "ids", "ends", "blob"],
-            )
-            number += 1
+        groups = batch.column("grp").to_numpy()
+        for g in np.unique(groups).tolist():
+            some = batch.filter(pa.array(groups == g)) if len(batch) else batch
+            for part in text_slices(some, "text", limit):
+                data, offsets = text_bytes(part.column("text"))
+                held.setdefault(g, []).append((part.column("id").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(offsets), data.copy()))
+                if sum(len(d) for _, _, d in held[g]) >= limit // 2:
+                    yield flushed(g)
+    for g in list(held):
+        yield flushed(g)
 
 
 def pack_chunks(docs: DataFrame, limit: int = 2 << 20) -> DataFrame:
     """Pack (id long, text) into chunks of about ``limit`` bytes, or of one document.
 
-    ``id`` must not be null; a null text counts as empty.  Chunk numbers are
-    those of the task that writes them, so write the result before using it
-    twice.
+    A column ``grp`` of a few integers, if there is one, parts the documents:
+    each chunk is of one group.  ``id`` must not be null; a null text counts as
+    empty.  Chunk numbers are those of the task that writes them, so write the
+    result before using it twice.
     """
-    return docs.select("id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(lambda it: _packed(it, limit), CHUNK_SCHEMA)
+    group = F.col("grp").cast("int") if "grp" in docs.columns else F.lit(0)
+    return docs.select("id", F.coalesce("text", F.lit("")).alias("text"), group.alias("grp")).mapInArrow(lambda it: _packed(it, limit), CHUNK_SCHEMA)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted unsigned 64-bit integers in few bytes: differences, byte by byte, compressed."""
+    step = np.diff(keys, prepend=np.uint64(0))
+    return zstandard.compress(np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8).T), 1)
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers, most of them small, in few bytes."""
+    return zstandard.compress(np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T), 1)
+
+
+def unpacked_counts(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
 def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -14,7 +14,6 @@ distinct n-grams to hash ranges, which sum them and answer each chunk.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import pack_chunks, ranges, rows_of, unpacked
+from tidemark.llm.chunks import pack_chunks, packed_counts, packed_keys, ranges, rows_of, unpacked, unpacked_counts, unpacked_keys
 from tidemark.llm.scratch import Scratch
 from tidemark.llm.words import MIX_A, lowered, mix64, prefix_hashes, span_hashes, word_spans
 
@@ -32,11 +31,6 @@ _PAIR = np.uint64(0xD1342543DE82EF95)
 BUCKETS = 24
 
 
-def fold(ids: np.ndarray, n: int) -> np.ndarray:
-    """crc32 of the id as decimal text, modulo ``n``."""
-    return np.array([zlib.crc32(str(i).encode()) % n for i in ids.tolist()], np.int64)
-
-
 def tokens_of(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Return the token hashes of a chunk, each document ended by the end mark, and the token offsets."""
     data = lowered(data)
@@ -62,83 +56,79 @@ def _bucket(count: np.ndarray) -> np.ndarray:
     return np.minimum(BUCKETS - 1, np.log2(np.maximum(count, 0) + 1.0).astype(np.int64))
 
 
-def _keys(row: dict, folds: int, test: int, held: int):
-    """The chunk's distinct n-gram hashes with their counts in all training and in held-out documents."""
+#: Groups of documents; a chunk holds documents of one.
+TRAIN, HELD, TEST = 0, 1, 2
+
+
+def _keys(row: dict):
+    """The chunk's tokens with their contexts, and its distinct words and pairs with each token's place among them."""
     ids, offsets, data = unpacked(row)
     tokens, bounds = tokens_of(offsets, data)
     before, pair = pairs_of(tokens, bounds)
-    part = fold(ids, folds)
-    doc = np.repeat(np.arange(len(ids)), np.diff(bounds))
-    train, out = (part != test)[doc], (part == held)[doc]
-    first = np.full(len(ids), START, np.uint64)
-    words, at = np.unique(np.concatenate([tokens, first]), return_inverse=True)
+    # The start stands once for each document, as the context of its first token.
+    words, at = np.unique(np.concatenate([tokens, np.full(len(ids), START, np.uint64)]), return_inverse=True)
     grams, gat = np.unique(pair, return_inverse=True)
-    flags = np.concatenate([train, part != test]), np.concatenate([out, part == held])
-    # Contexts count as words, but for the start, which counts once for each document.
-    return ids, bounds, doc, train, out, words, at, grams, gat, flags, before, tokens
+    return ids, bounds, tokens, before, words, at, grams, gat
 
 
-_ASK = "part int, chunk long, words binary, wn binary, wh binary, grams binary, gn binary, gh binary"
-_ASK_ARROW = [("part", pa.int32()), ("chunk", pa.int64()), *((k, pa.binary()) for k in ("words", "wn", "wh", "grams", "gn", "gh"))]
-_TOLD = "part int, chunk long, wn binary, wh binary, gn binary, gh binary"
-_TOLD_ARROW = [("part", pa.int32()), ("chunk", pa.int64()), *((k, pa.binary()) for k in ("wn", "wh", "gn", "gh"))]
+_ASK = "part int, chunk long, grp int, words binary, wn binary, grams binary, gn binary"
+_ASK_ARROW = [("part", pa.int32()), ("chunk", pa.int64()), ("grp", pa.int32()), *((k, pa.binary()) for k in ("words", "wn", "grams", "gn"))]
+_TOLD = "part int, chunk long, grp int, wn binary, gn binary, wh binary, gh binary"
+_TOLD_ARROW = [("part", pa.int32()), ("chunk", pa.int64()), ("grp", pa.int32()), *((k, pa.binary()) for k in ("wn", "gn", "wh", "gh"))]
 
 
 def _batch(schema, rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(schema)], [n for n, _ in schema])
 
 
-def _ask(batches: Iterator[pa.RecordBatch], parts: int, folds: int, test: int, held: int) -> Iterator[pa.RecordBatch]:
+def _ask(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """For each chunk and hash range: its distinct words and pairs, and how often they occur (test documents: never)."""
     for row in rows_of(batches):
-        *_, words, at, grams, gat, flags, _, _ = _keys(row, folds, test, held)
-        train, out = flags
-        n = len(gat)
-        wn = np.bincount(at, weights=train, minlength=len(words)).astype(np.uint32)
-        wh = np.bincount(at, weights=out, minlength=len(words)).astype(np.uint32)
-        gn = np.bincount(gat, weights=train[:n], minlength=len(grams)).astype(np.uint32)
-        gh = np.bincount(gat, weights=out[:n], minlength=len(grams)).astype(np.uint32)
+        *_, words, at, grams, gat = _keys(row)
+        learn = int(row["grp"] != TEST)
+        wn, gn = (np.bincount(x, minlength=len(k)) * learn for x, k in ((at, words), (gat, grams)))
         wc, gc = ranges(words, parts), ranges(grams, parts)
-        rows = [
-            (p, row["chunk"], *(x[wc[p] : wc[p + 1]].tobytes() for x in (words, wn, wh)), *(x[gc[p] : gc[p + 1]].tobytes() for x in (grams, gn, gh)))
-            for p in np.flatnonzero((np.diff(wc) > 0) | (np.diff(gc) > 0)).tolist()
-        ]
+        rows = []
+        for p in np.flatnonzero((np.diff(wc) > 0) | (np.diff(gc) > 0)).tolist():
+            w, g = slice(wc[p], wc[p + 1]), slice(gc[p], gc[p + 1])
+            rows.append((p, row["chunk"], row["grp"], packed_keys(words[w]), packed_counts(wn[w]), packed_keys(grams[g]), packed_counts(gn[g])))
         if rows:
             yield _batch(_ASK_ARROW, rows)
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray], more: list[np.ndarray]):
-    """Sum the counts of equal keys; returns the sums as seen from each input."""
-    size = [len(k) for k in keys]
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray], held: list[bool]) -> tuple[list[np.ndarray], list[np.ndarray], int]:
+    """The counts of all inputs and of the held-out ones, as seen from each input; and how many keys have any."""
     _, at = np.unique(np.concatenate(keys), return_inverse=True)
-    out = []
-    for c in (counts, more):
-        total = np.bincount(at, weights=np.concatenate(c))[at] if len(at) else np.zeros(0)
-        out.append(np.split(total.astype(np.uint32), np.cumsum(size)[:-1]))
-    known = int(len(np.unique(at[np.concatenate(counts) > 0]))) if len(at) else 0
-    return out[0], out[1], known
+    edges = np.cumsum([len(k) for k in keys])[:-1]
+    n = np.concatenate(counts)
+    out = np.concatenate([c * h for c, h in zip(counts, held, strict=True)])
+    total, part = np.bincount(at, weights=n), np.bincount(at, weights=out)
+    return np.split(total[at], edges), np.split(part[at], edges), int((total > 0).sum())
 
 
 def _tell(table: pa.Table) -> pa.Table:
     """Sum a hash range, and answer every chunk in its own order; chunk -1 gets the totals."""
-    part = table.column("part")[0].as_py()
-    get = lambda c, t: [np.frombuffer(x.as_buffer(), t) for x in table.column(c)]
-    wn, wh, known = _summed(words := get("words", np.uint64), got := get("wn", np.uint32), get("wh", np.uint32))
-    gn, gh, _ = _summed(get("grams", np.uint64), get("gn", np.uint32), get("gh", np.uint32))
-    total = sum(int(c[w != START].sum()) for w, c in zip(words, got, strict=True))
-    held = sum(int(c[w != START].sum()) for w, c in zip(words, get("wh", np.uint32), strict=True))
-    start = any(((w == START) & (c > 0)).any() for w, c in zip(words, got, strict=True))
-    rows = [(part, c, *(x.tobytes() for x in t)) for c, *t in zip(table.column("chunk").to_pylist(), wn, wh, gn, gh, strict=True)]
-    rows.append((part, -1, np.array([total, known - start, held], np.int64).tobytes(), None, None, None))
+    part, chunks, groups = table.column("part")[0].as_py(), table.column("chunk").to_pylist(), table.column("grp").to_pylist()
+    get = lambda c, f: [f(x.as_py()) for x in table.column(c)]
+    held = [g == HELD for g in groups]
+    words, wn = get("words", unpacked_keys), get("wn", unpacked_counts)
+    w, wh, known = _summed(words, wn, held)
+    g, gh, _ = _summed(get("grams", unpacked_keys), get("gn", unpacked_counts), held)
+    sums = [int(c[k != START].sum()) for k, c in zip(words, wn, strict=True)]
+    start = any(((k == START) & (c > 0)).any() for k, c in zip(words, wn, strict=True))
+    rows = []
+    for i, (chunk, group) in enumerate(zip(chunks, groups, strict=True)):
+        rows.append((part, chunk, group, packed_counts(w[i]), packed_counts(g[i]), *((packed_counts(wh[i]), packed_counts(gh[i])) if held[i] else (None, None))))
+    rows.append((part, -1, -1, np.array([sum(sums), known - start, sum(s for s, h in zip(sums, held, strict=True) if h)], np.int64).tobytes(), None, None, None))
     return pa.Table.from_batches([_batch(_TOLD_ARROW, rows)])
 
 
-def _answers(row: dict, folds: int, test: int, held: int):
-    ids, bounds, doc, train, out, words, at, grams, gat, _, before, tokens = _keys(row, folds, test, held)
+def _answers(row: dict, which: tuple[str, str]):
+    """The chunk's documents, and of each token the counts of itself, its context and both together."""
+    ids, bounds, tokens, before, words, at, _, gat = _keys(row)
     told = sorted(row["told"], key=lambda x: x["part"])
-    wn, wh, gn, gh = (np.frombuffer(b"".join(x[k] for x in told), np.uint32) for k in ("wn", "wh", "gn", "gh"))
-    n = len(tokens)
-    word, context = at[:n], np.searchsorted(words, before)
-    return ids, bounds, doc, out, (wn[word], wn[context], gn[gat]), (wh[word], wh[context], gh[gat])
+    wn, gn = (np.concatenate([unpacked_counts(x[k]) for x in told]).astype(np.int64) for k in which)
+    return ids, bounds, (wn[at[: len(tokens)]], wn[np.searchsorted(words, before)], gn[gat])
 
 
 _GRID = 8.0
@@ -150,14 +140,11 @@ def _grid(p: np.ndarray) -> np.ndarray:
     return np.where(p > 0, np.clip(np.rint(-_GRID * np.log2(np.maximum(p, 1e-15))) + 1, 1, _SIDE - 1), 0).astype(np.int64)
 
 
-def _held_out(batches: Iterator[pa.RecordBatch], folds: int, test: int, held: int, n: int) -> Iterator[pa.RecordBatch]:
+def _held_out(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """Held-out counts by (context bucket, pair estimate, word estimate), the estimates on a log grid."""
     codes, weights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for row in rows_of(batches):
-        _, _, _, out, all_counts, held_counts = _answers(row, folds, test, held)
-        if not out.any():
-            continue
-        w, v, g = (a[out].astype(np.int64) - h[out].astype(np.int64) for a, h in zip(all_counts, held_counts, strict=True))
+        w, v, g = (a - h for a, h in zip(_answers(row, ("wn", "gn"))[2], _answers(row, ("wh", "gh"))[2], strict=True))
         code = (_bucket(v) * _SIDE + _grid(g / np.maximum(v, 1))) * _SIDE + _grid(w / n)
         u, c = np.unique(code, return_counts=True)
         codes.append(u)
@@ -188,16 +175,17 @@ def learn_weights(code: np.ndarray, count: np.ndarray, types: int, rounds: int =
     return weights
 
 
-def _scored(batches: Iterator[pa.RecordBatch], folds: int, test: int, held: int, n: int, types: int, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], n: int, types: int, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
     for row in rows_of(batches):
-        ids, bounds, doc, _, (w, v, g), _ = _answers(row, folds, test, held)
+        ids, bounds, (w, v, g) = _answers(row, ("wn", "gn"))
+        doc = np.repeat(np.arange(len(ids)), np.diff(bounds))
         w, v, g = (x.astype(np.float64) for x in (w, v, g))
         b = _bucket(v)
         p = weights[b, 0] * g / np.maximum(v, 1) + weights[b, 1] * w / max(n, 1) + weights[b, 2] / (types + 1)
         size = len(ids)
         sums = [np.bincount(doc, weights=x, minlength=size) for x in (np.log10((w + 1) / (n + types + 1)), np.log10(p), w > 0)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(fold(ids, folds) == test), pa.array(np.diff(bounds)), pa.array(sums[2].astype(np.int64)), pa.array(np.full(size, n, np.int64)), pa.array(sums[0]), pa.array(sums[1])],
+            [pa.array(ids), pa.array(np.full(size, row["grp"] == TEST)), pa.array(np.diff(bounds)), pa.array(sums[2].astype(np.int64)), pa.array(np.full(size, n, np.int64)), pa.array(sums[0]), pa.array(sums[1])],
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
@@ -218,20 +206,25 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     """
     scratch = Scratch(docs.sparkSession, "lm")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    chunks = scratch.keep(pack_chunks(base.where("id is not null")), "chunks")
+    fold = F.crc32(F.col("id").cast("string").cast("binary")) % folds
+    group = F.when(fold == test, TEST).when(fold == held, HELD).otherwise(TRAIN)
+    chunks = scratch.keep(pack_chunks(base.where("id is not null").withColumn("grp", group)), "chunks")
     size = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     parts = max(8, -(-size // part_bytes))
-    asked = chunks.mapInArrow(lambda it: _ask(it, parts, folds, test, held), _ASK)
+    asked = chunks.mapInArrow(lambda it: _ask(it, parts), _ASK)
     told = scratch.keep(asked.groupBy("part").applyInArrow(_tell, _TOLD), "told")
     totals = np.zeros(3, np.int64)
     for r in told.where("chunk = -1").select("wn").toLocalIterator():
         totals += np.frombuffer(r.wn, np.int64)
     n, types, n_held = (int(x) for x in totals)
-    by_chunk = told.where("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("part", "wn", "wh", "gn", "gh")).alias("told"))
-    joined = chunks.join(by_chunk, "chunk")
-    marked = joined.mapInArrow(lambda it: _held_out(it, folds, test, held, max(1, n - n_held)), "code long, n long")
+
+    def answered(some: str, columns: list[str]) -> DataFrame:
+        by_chunk = told.where(some).groupBy("chunk").agg(F.collect_list(F.struct("part", *columns)).alias("told"))
+        return chunks.where(some).join(by_chunk, "chunk")
+
+    marked = answered(f"grp = {HELD}", ["wn", "gn", "wh", "gh"]).mapInArrow(lambda it: _held_out(it, max(1, n - n_held)), "code long, n long")
     grid = marked.groupBy("code").agg(F.sum("n").alias("n")).toPandas()  # at most BUCKETS * _SIDE**2 cells
     weights = learn_weights(grid["code"].to_numpy(np.int64), grid["n"].to_numpy(np.float64), types)
-    out = joined.mapInArrow(lambda it: _scored(it, folds, test, held, n, types, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = answered("grp >= 0", ["wn", "gn"]).mapInArrow(lambda it: _scored(it, n, types, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     lost = base.where("id is null").selectExpr("id as doc_id", "true as held_out", "cast(null as long) as n_tokens", "cast(null as long) as n_known", f"cast({n} as long) as train_tokens", "cast(null as double) as base_score", "cast(null as double) as score")
     return scratch.result(out.unionByName(lost))
