@@ -45,7 +45,7 @@ def _codes(text: pa.Array, order: int) -> tuple[list[np.ndarray], np.ndarray]:
     """
     raw = [b"\x02" * order + (t or "").encode() + b"\x03" for t in text.to_pylist()]
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
-    size = np.array([len(r) for r in raw])
+    size = np.array([len(r) for r in raw], np.int64)
     at = np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
     here = np.flatnonzero(at >= order)
     codes, code = [], np.zeros(len(here), np.uint64)
