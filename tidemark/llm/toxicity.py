@@ -193,10 +193,12 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     if n > max_rows:
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * max_rows / n))
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(known, "id").withColumn("same", F.xxhash64("text"))
-    rows = rows.join(rows.groupBy("same").agg(F.min("id").alias("id")), ["same", "id"], "left_semi").select("text", "toxic", "fold")
-    counts = rows.where(F.col("fold") != calibrate).select("text", "toxic").mapInArrow(_counted, "h long, d1 long, d0 long, t1 long, t0 long").groupBy("h").agg(*(F.sum(c).alias(c) for c in ("d1", "d0", "t1", "t0")))
+    # Both tables broadcast here have about ``max_rows`` small rows at most.
+    rows = texts.join(F.broadcast(known), "id").withColumn("same", F.xxhash64("text"))
     scratch = Scratch(docs.sparkSession, "toxicity")
+    first = scratch.keep(rows.groupBy("same").agg(F.min("id").alias("id")), "first")
+    rows = rows.join(F.broadcast(first), ["same", "id"], "left_semi").select("text", "toxic", "fold")
+    counts = rows.where(F.col("fold") != calibrate).select("text", "toxic").mapInArrow(_counted, "h long, d1 long, d0 long, t1 long, t0 long").groupBy("h").agg(*(F.sum(c).alias(c) for c in ("d1", "d0", "t1", "t0")))
     counts = scratch.keep(counts, "counts")
     n1, n0, k0, k = counts.agg(F.coalesce(F.sum("d1"), F.lit(0)), F.coalesce(F.sum("d0"), F.lit(0)), F.coalesce(F.sum("t0"), F.lit(0)), F.count("*")).first()
     none = np.zeros(0, np.uint64), np.zeros(0)
@@ -217,6 +219,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     model = ToxicityModel(hashes, scores, drift, rate, 0.0, (0.0, 0.0, 0.0))
     held = rows.where(F.col("fold") == calibrate).select("text", "toxic").mapInArrow(lambda it: _calibrated(it, model), "n long, top double, segments array<double>, toxic int").toPandas()  # about max_rows / folds rows
     scratch.drop("counts")
+    scratch.drop("first")
     y = held["toxic"].to_numpy(np.float64)
     clean = held[(held["toxic"] == 0) & (held["n"] > 0) & (held["top"] > 0)]
     log_k = float((rate * clean["top"] - np.log(clean["n"])).median() + np.log(np.log(2.0))) if len(clean) else 0.0
