@@ -190,7 +190,7 @@ def _scored(batches: Iterator[pa.RecordBatch], n: int, types: int, weights: np.n
         )
 
 
-def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, test: int = 2, held: int = 3, part_bytes: int = 16 << 20) -> DataFrame:
+def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, test: int = 2, held: int = 3, part_bytes: int = 8 << 20) -> DataFrame:
     """Return doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document.
 
     Documents in fold ``test`` (crc32 of the id as text, modulo ``folds``) are
