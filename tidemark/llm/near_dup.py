@@ -122,8 +122,8 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([codes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], ["id", "codes"])
 
 
-def _bucket_links(table: pa.Table, percent: int) -> pa.Table:
-    """Compare the members of a bucket that are in different components, on whole sets.
+def _home_links(table: pa.Table, percent: int) -> pa.Table:
+    """Compare members that share a bucket and are in different components, on whole sets.
 
     Returns links that join components, at most one fewer than there are.
     """
@@ -132,17 +132,28 @@ def _bucket_links(table: pa.Table, percent: int) -> pa.Table:
     size = np.array([len(s) for s in sets])
     _, code = np.unique(np.concatenate(sets), return_inverse=True)
     begin = np.append(0, np.cumsum(size))
+    keys = table.column("keys").combine_chunks()
+    _, key = np.unique(keys.flatten().to_numpy(), return_inverse=True)
+    bounds = np.append(0, np.cumsum(keys.value_lengths().to_numpy()))
+    member = np.repeat(np.arange(len(ids)), np.diff(bounds))
+    by_key = member[np.argsort(key, kind="stable")]
+    key_at = np.append(0, np.cumsum(np.bincount(key)))
     _, part, members = np.unique(c, return_inverse=True, return_counts=True)
     out: list[tuple[int, int]] = []
     flags = np.zeros(len(code), np.int32)
     # Members of the largest component are only compared against.
     for y in np.flatnonzero(part != members.argmax()).tolist():
+        near = np.unique(np.concatenate([by_key[key_at[k] : key_at[k + 1]] for k in key[bounds[y] : bounds[y + 1]]]))
+        near = near[part[near] != part[y]]
+        if not len(near):
+            continue
         own = code[begin[y] : begin[y + 1]]
         flags[own] = 1
-        common = np.add.reduceat(flags[code], begin[:-1])
+        n = size[near]
+        at = np.repeat(begin[near] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+        common = np.add.reduceat(flags[code[at]], np.append(0, np.cumsum(n)[:-1]))
         flags[own] = 0
-        similar = 100 * common >= percent * (size + size[y] - common)
-        for x in np.flatnonzero(similar & (part != part[y])).tolist():
+        for x in near[100 * common >= percent * (n + size[y] - common)].tolist():
             if part[x] != part[y]:
                 out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
                 part[part == part[x]] = part[y]
@@ -157,12 +168,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     reachable.  A pair at similarity 0.8 escapes all 40 bands of 5 with a
     probability of 1.3e-7; every link is confirmed on the whole sets.
 
-    Equal sets collapse first.  In each bucket one member is compared with the
-    others, if all ``coordinates`` of their sketches agree as often as a pair at
-    the limit does, less six standard deviations.  Then components are merged,
-    and in buckets that still hold several components the members of different
-    ones are compared, in blocks of ``block_shingles`` shingles; of the links
-    found only those that join components are kept.
+    Equal sets collapse first.  Each member of a bucket is compared with the
+    likeliest of the buckets' first members, by ``coordinates`` of their
+    sketches, if these agree as often as a pair at the limit does, less six
+    standard deviations.  Then components are merged, and in buckets that still
+    hold several components the members of different ones are compared, in
+    blocks of ``block_shingles`` shingles; of the links found only those that
+    join components are kept.
 
     A null or empty text has no shingles and no links (its component is
     itself).  Rows that repeat an id are one node and all come back.  A null id
@@ -180,7 +192,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # An id with several texts has several sketches; then pairs go to the exact check unfiltered.
     repeats = full.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").limit(1).count() > 0
     packed = full.select("id", "nib").dropDuplicates(["id"]) if repeats else full.select("id", "nib")
-    alike = "true" if repeats else f"{differing('nib', 'nib_b', coordinates)} <= {most_differing(coordinates, percent)}"
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
         """Confirm distinct pairs on whole texts."""
@@ -194,18 +205,24 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     pivots = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("p"))
     stars = buckets.join(pivots, "key").select(F.col("p.id").alias("a"), F.col("id").alias("b"), "n", F.col("p.n").alias("m")).where(f"a < b and {fits}").select("a", "b").distinct()
-    stars = stars.join(packed.withColumnRenamed("id", "a"), "a").join(packed.select(F.col("id").alias("b"), F.col("nib").alias("nib_b")), "b").where(alike).select("a", "b")
-    links = check(stars, "star")
+    stars = stars.join(packed.withColumnRenamed("id", "a"), "a").join(packed.select(F.col("id").alias("b"), F.col("nib").alias("nib_b")), "b")
+    stars = stars.withColumn("off", F.expr(differing("nib", "nib_b", coordinates)) if not repeats else F.lit(0)).where(F.col("off") <= most_differing(coordinates, percent))
+    # Of the members before it in its buckets, each one is first compared with the likeliest.
+    links = check(stars.groupBy("b").agg(F.min(F.struct("off", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"), "star")
     parts = connected_components(links, scratch)
     placed = buckets.join(parts, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-    split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("k"), F.sum("n").alias("total")).where("low < high and k > 2")
-    rest = scratch.keep(placed.join(split.select("key", F.ceil(F.col("total") / block_shingles).cast("int").alias("blocks")), "key"), "open")
+    split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
+    rest = scratch.keep(placed.join(split, "key"), "open")
     if rest.limit(1).count():
-        sets = base.join(rest.select("id").distinct(), "id", "left_semi").mapInArrow(lambda it: _sets(it, width), "id long, codes binary")
-        # A bucket too large for one task is cut into blocks, each compared with each.
-        dealt = rest.withColumn("x", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "id", "c").join(sets, "id")
-        found = scratch.keep(dealt.groupBy("key", "i", "j").applyInArrow(lambda t: _bucket_links(t, percent), "a long, b long").distinct(), "links-rest")
+        # Buckets go where their largest component is at home, so that a member's set travels once or twice and not with each bucket.
+        home = rest.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(F.max(F.struct("k", "c"))["c"].alias("home"))
+        held = scratch.keep(rest.join(home, "key").groupBy("home", "id").agg(F.min("c").alias("c"), F.max("n").alias("n"), F.collect_set("key").alias("keys")), "homes")
+        sizes = held.groupBy("home").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
+        # A home too large for one task is cut into blocks, each compared with each.
+        dealt = held.join(sizes, "home").withColumn("x", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("home", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "id", "c", "keys")
+        sets = base.join(held.select("id").distinct(), "id", "left_semi").mapInArrow(lambda it: _sets(it, width), "id long, codes binary")
+        found = scratch.keep(dealt.join(sets, "id").groupBy("home", "i", "j").applyInArrow(lambda t: _home_links(t, percent), "a long, b long").distinct(), "links-rest")
         if found.limit(1).count():
             parts = connected_components(links.union(found), scratch)
     low = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left").select("s0", "s1", "n_shingles", F.coalesce("component", "rep").alias("component"))
