@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import pack_chunks, ranges, rows_of, unpacked
+from tidemark.llm.chunks import pack_chunks, ranges, release, rows_of, unpacked
 from tidemark.llm.scratch import Scratch
 from tidemark.llm.words import mix64, powers, prefix_hashes, span_hashes
 
@@ -228,6 +228,7 @@ def _told(table: pa.Table) -> pa.Table:
     payloads = [x.as_buffer() for x in table.column("payload")]
     if part < 0:
         return pa.Table.from_batches([_rows(_TOLD_ARROW, [(int(c), COPY, p.to_pybytes()) for c, p in zip(chunk, payloads, strict=True)])])
+    release()
     asked = [np.frombuffer(p, _ASK) for p in payloads]
     source = np.repeat(chunk, [len(a) for a in asked])
     asked = np.concatenate(asked)
@@ -385,6 +386,7 @@ def _shard_sorted(table: pa.Table, length: int, limit: int) -> pa.Table:
         runs[key] = (held if split and key == int(meta["low"][0]) else []) + ([_strings(data[(begin[ext[tail]] + offset[tail])[:, None] + np.arange(length)], length)] if len(tail) else [])
         last = key
         rows += _intervals(*blocks.pop())
+        release()
     return pa.Table.from_batches([_rows(_TOLD_ARROW, rows)])
 
 
@@ -417,7 +419,7 @@ def _removed(batches: Iterator[pa.RecordBatch], length: int, whole_chars: bool)
         )
 
 
-def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, anchor: int = 32, whole_chars: bool = False, with_text: bool = False, part_bytes: int = 16 << 20, block_bytes: int = 1 << 20, chunk_bytes: int = 1 << 20) -> DataFrame:
+def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, anchor: int = 32, whole_chars: bool = False, with_text: bool = False, part_bytes: int = 8 << 20, block_bytes: int = 1 << 20, chunk_bytes: int = 1 << 19) -> DataFrame:
     """Return doc_id, n_bytes, n_removed, n_spans and kept_sha256 for each document.
 
     A byte is removed if a ``length``-byte string that covers it also starts
