@@ -7,7 +7,9 @@ ranges, and answers come back by chunk; no pass makes a row for each word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,13 @@ from tidemark.llm.words import text_bytes, text_slices
 CHUNK_SCHEMA = "chunk long, grp int, n_docs int, n_bytes long, ids binary, ends binary, blob binary"
 
 
+def release() -> None:
+    """Give memory that is free back to the system; a worker lives through many tasks and else keeps its peak."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 _CHUNK_ARROW = pa.schema([("chunk", pa.int64()), ("grp", pa.int32()), ("n_docs", pa.int32()), ("n_bytes", pa.int64()), ("ids", pa.binary()), ("ends", pa.binary()), ("blob", pa.binary())])
 
 
@@ -40,12 +49,13 @@ def _packed(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Record
     for batch in batches:
         groups = batch.column("grp").to_numpy()
         for g in np.unique(groups).tolist():
-            some = batch.filter(pa.array(groups == g)) if len(batch) else batch
+            some = batch.filter(pa.array(groups == g)) if (groups != g).any() else batch
             for part in text_slices(some, "text", limit):
                 data, offsets = text_bytes(part.column("text"))
                 held.setdefault(g, []).append((part.column("id").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(offsets), data.copy()))
                 if sum(len(d) for _, _, d in held[g]) >= limit // 2:
                     yield flushed(g)
+        release()
     for g in list(held):
         yield flushed(g)
 
@@ -98,6 +108,9 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         cols = {n: batch.column(n) for n in batch.schema.names}
         for i in range(batch.num_rows):
             yield {n: (memoryview(c[i].as_buffer()) if pa.types.is_binary(c.type) and c[i].is_valid else c[i].as_py()) for n, c in cols.items()}
+            if i % 4 == 3:
+                release()
+    release()
 
 
 def ranges(sorted_hashes: np.ndarray, parts: int) -> np.ndarray:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import pack_chunks, packed_counts, packed_keys, ranges, rows_of, unpacked, unpacked_counts, unpacked_keys
+from tidemark.llm.chunks import pack_chunks, packed_counts, packed_keys, ranges, release, rows_of, unpacked, unpacked_counts, unpacked_keys
 from tidemark.llm.scratch import Scratch
 from tidemark.llm.words import MIX_A, lowered, mix64, prefix_hashes, span_hashes, word_spans
 
@@ -108,6 +108,7 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray], held: list[bool])
 
 def _tell(table: pa.Table) -> pa.Table:
     """Sum a hash range, and answer every chunk in its own order; chunk -1 gets the totals."""
+    release()
     part, chunks, groups = table.column("part")[0].as_py(), table.column("chunk").to_pylist(), table.column("grp").to_pylist()
     get = lambda c, f: [f(x.as_py()) for x in table.column(c)]
     held = [g == HELD for g in groups]

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.chunks import release
 from tidemark.llm.graph import connected_components
 from tidemark.llm.scratch import Scratch
 from tidemark.llm.words import MIX_A, mix64, shingle_hashes, text_slices, word_hashes
@@ -97,6 +98,7 @@ def _sketched(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: i
                 [part.column("id"), pa.array(size), pa.array(sums[0]), pa.array(sums[1]), *lists],
                 ["id", "n_shingles", "s0", "s1", "bands", "nib"],
             )
+        release()
 
 
 def _checked(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
