@@ -213,7 +213,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     size = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     parts = max(8, -(-size // part_bytes))
     asked = chunks.mapInArrow(lambda it: _ask(it, parts), _ASK)
-    told = scratch.keep(asked.groupBy("part").applyInArrow(_tell, _TOLD), "told")
+    told = scratch.keep(asked.groupBy("part").applyInArrow(_tell, _TOLD), "told", heavy=True)
     totals = np.zeros(3, np.int64)
     for r in told.where("chunk = -1").select("wn").toLocalIterator():
         totals += np.frombuffer(r.wn, np.int64)

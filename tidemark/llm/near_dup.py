@@ -190,7 +190,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     heads = full.join(classes, ["s0", "s1", "n_shingles"]).where("id = rep").select("id", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["id", "n"])
     keyed = heads.select("id", "n", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
-    buckets = scratch.keep(keyed.join(shared, "key"), "buckets")
+    buckets = scratch.keep(keyed.join(shared, "key"), "buckets", heavy=True)
     # An id with several texts has several sketches; then pairs go to the exact check unfiltered.
     repeats = full.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").limit(1).count() > 0
     packed = full.select("id", "nib").dropDuplicates(["id"]) if repeats else full.select("id", "nib")
@@ -202,7 +202,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         texts = base.where("id is not null and text <> ''").join(wanted, "id", "left_semi")
         left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
         joined = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        return scratch.keep(joined.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: _checked(it, width, percent), "a long, b long"), f"links-{name}")
+        return scratch.keep(joined.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: _checked(it, width, percent), "a long, b long"), f"links-{name}", heavy=True)
 
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     pivots = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("p"))
@@ -224,7 +224,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         dealt = held.join(sizes, "home").withColumn("x", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         dealt = dealt.select("home", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "id", "c", "keys")
         sets = base.join(held.select("id").distinct(), "id", "left_semi").mapInArrow(lambda it: _sets(it, width), "id long, codes binary")
-        found = scratch.keep(dealt.join(sets, "id").groupBy("home", "i", "j").applyInArrow(lambda t: _home_links(t, percent), "a long, b long").distinct(), "links-rest")
+        found = scratch.keep(dealt.join(sets, "id").groupBy("home", "i", "j").applyInArrow(lambda t: _home_links(t, percent), "a long, b long").distinct(), "links-rest", heavy=True)
         if found.limit(1).count():
             parts = connected_components(links.union(found), scratch)
     low = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left").select("s0", "s1", "n_shingles", F.coalesce("component", "rep").alias("component"))

@@ -440,10 +440,10 @@ def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     size = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     parts = max(8, -(-size // part_bytes))
     asked = chunks.mapInArrow(lambda it: _ask(it, parts, length, anchor), _ASKED)
-    told = scratch.keep(asked.groupBy("part").applyInArrow(_told, _TOLD), "told")
+    told = scratch.keep(asked.groupBy("part").applyInArrow(_told, _TOLD), "told", heavy=True)
     sort = told.where(F.col("kind") == SORT).groupBy("chunk").agg(F.collect_list("payload").alias("sort"))
     cut = chunks.join(sort, "chunk").mapInArrow(lambda it: _cut(it, parts, length, anchor), _SHARD)
-    more = scratch.keep(cut.groupBy("shard").applyInArrow(lambda t: _shard_sorted(t, length, block_bytes), _TOLD), "sorted")
+    more = scratch.keep(cut.groupBy("shard").applyInArrow(lambda t: _shard_sorted(t, length, block_bytes), _TOLD), "sorted", heavy=True)
     copies = told.where(F.col("kind") == COPY).union(more).groupBy("chunk").agg(F.collect_list("payload").alias("copy"))
     out = chunks.join(copies, "chunk", "left").mapInArrow(lambda it: _removed(it, length, whole_chars), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     lost = base.where("id is null").select(F.col("id").alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,21 +51,25 @@ class Scratch:
         self.root = f"{shared_dir(spark)}/{job}-{uuid.uuid4().hex}"
         self.made: dict[str, str] = {}
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, heavy: bool = False) -> DataFrame:
+        """Write a table and read it back; after a ``heavy`` shuffle, wait until its files can go."""
         uri = f"{self.root}/{name}-{len(self.made)}"
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
         df.write.parquet(uri)
         self.made[name] = uri
-        self.release()
+        self.release(3 if heavy else 1)
         return self.spark.read.schema(schema).parquet(uri)
 
     def drop(self, name: str) -> None:
         delete(self.spark, self.made.pop(name))
 
-    def release(self) -> None:
-        """Let Spark remove shuffle files that no live DataFrame refers to."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+    def release(self, rounds: int = 1) -> None:
+        """Let Spark remove shuffle files that no live DataFrame refers to; it notices in the round after."""
+        for k in range(rounds):
+            if k:
+                time.sleep(0.4)
+            gc.collect()
+            self.spark._jvm.System.gc()
 
     def result(self, df: DataFrame) -> DataFrame:
         out = self.keep(df, "result")
