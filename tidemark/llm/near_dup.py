@@ -104,7 +104,7 @@ def _sketched(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: i
 def _checked(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Keep the pairs whose whole sets are similar enough."""
     for batch in batches:
-        for part in text_slices(batch, "text_b", 1 << 20):
+        for part in text_slices(batch, "text_b"):
             (ca, oa), (cb, ob) = (shingle_hashes(*word_hashes(part.column(c)), width) for c in ("text_a", "text_b"))
             na, nb = np.diff(oa), np.diff(ob)
             row = np.concatenate([np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)])

@@ -38,6 +38,13 @@ def delete(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to Python workers by the thousand, unless the session says otherwise: rows here hold whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, "1000")
+
+
 class Scratch:
     """The tables of one job.
 
@@ -47,6 +54,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, job: str):
         ship(spark)
+        small_batches(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{job}-{uuid.uuid4().hex}"
         self.made: dict[str, str] = {}

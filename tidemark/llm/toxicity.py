@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import Scratch
+from tidemark.llm.scratch import Scratch, small_batches
 from tidemark.llm.words import NOT_ALNUM, lowered, prefix_hashes, span_hashes, text_bytes, text_slices, word_spans
+from tidemark.session import ship
 
 EULER = 0.5772156649015329
 #: A segment counts as a passage if chance makes fewer than so many of it.
@@ -252,5 +253,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_
     A null or empty text has no passages and the score of such a text; null
     and repeated ids come back as they are.  Other columns are ignored.
     """
+    ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return base.mapInArrow(lambda it: _scored(it, model), f"doc_id long, score double, passages {PASSAGES}")

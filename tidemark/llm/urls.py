@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import ship
+
 ORDER = 5
 #: The rules of the default policy: (verdict, host, path prefix).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -147,6 +149,7 @@ def judge_urls(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url
     is scored as an empty text.  Ids may be null or repeat; other columns are
     ignored.  Without training URLs scores are 0 and the verdict is ``allow``.
     """
+    ship(pages.sparkSession)
     host, path = split_url("url")
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url")).withColumns({"host": host, "path": path})
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)

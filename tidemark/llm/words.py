@@ -67,7 +67,7 @@ def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix64(raw ^ ((ends - starts).astype(np.uint64) * MIX_A))
 
 
-def text_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part has about ``limit`` bytes of text, or one row."""
     text = batch.column(column)
     n = len(text)
