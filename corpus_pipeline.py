@@ -34,11 +34,29 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, near_duplicates(docs, width=5, percent=80).where(~F.col("kept")))
 
 
+def _keyed(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` with a unique ``_row``: doc_id itself, or where ids repeat or are null the place in order of doc_id, null ids last."""
+    key = F.col("doc_id").cast("long")
+    if not docs.groupBy(key.alias("k")).agg(F.count("*").alias("n")).where("n > 1 or k is null").limit(1).count():
+        return docs.withColumn("_row", key)
+    # The hash parts the texts of one id; of equal rows any order will do.
+    order = [key.asc_nulls_last(), F.col("_hash"), F.col("_at")]
+    hashed = docs.withColumn("_hash", F.xxhash64("text")).withColumn("_at", F.monotonically_increasing_id())
+    placed = hashed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_hash", "_at")
+    # The number holds the partition, in order of its range, above the place within; it is written, so that it stays.
+    return scratch.keep(placed.withColumn("_row", F.monotonically_increasing_id()), "placed")
+
+
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut repeated 100-byte strings out of the texts, whole characters only; drop texts of which nothing is left."""
-    found = repeated_bytes(docs, length=100, whole_chars=True, with_text=True).where("n_removed > 0").select("doc_id", F.decode("kept", "UTF-8").alias("_kept"))
-    cut = docs.join(found, "doc_id", "left").where("_kept is null or _kept <> ''").withColumn("text", F.coalesce("_kept", "text"))
-    return cut.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns)
+    """Cut repeated 100-byte strings out of the texts, whole characters only; drop texts of which nothing is left.
+
+    Each row is a text of its own: of equal rows the first stays whole and the
+    others go.  Rows with a null id take part, after all others.
+    """
+    docs, columns = _keyed(docs, Scratch(spark, "rows")), docs.columns
+    found = repeated_bytes(docs, id_col="_row", length=100, whole_chars=True, with_text=True).where("n_removed > 0").select(F.col("doc_id").alias("_row"), F.decode("kept", "UTF-8").alias("_kept"))
+    cut = docs.join(found, "_row", "left").where("_kept is null or _kept <> ''").withColumn("text", F.coalesce("_kept", "text"))
+    return cut.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,6 +66,19 @@ def test_stages(spark, planted, tmp_path):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(seen["decontamination"])
 
 
+def test_repeated_rows_are_cut_by_row(spark, tmp_path):
+    rnd = random.Random(5)
+    long = lambda: "".join(rnd.choice("abcdefghij ") for _ in range(300))
+    twice, first, second, tail, lone = long(), long(), long(), long(), long()
+    rows = [(7, twice), (7, twice), (1, first), (2, second), (9, f"{first} one"), (9, f"{second} two"), (None, tail), (None, f"{tail} more"), (8, lone)]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.repeat_removal(spark, docs.repartition(4), str(tmp_path))
+    assert got.columns == docs.columns
+    found = [(r.doc_id, r.text, r.n_chars) for r in got.collect()]
+    assert sorted((i, t) for i, t, _ in found if i is not None) == sorted([(7, twice), (1, first), (2, second), (8, lone), (9, " one"), (9, " two")])
+    assert sorted(len(t) for i, t, _ in found if i is None) in ([5, 300], [305]) and all(n == len(t) for _, t, n in found)
+
+
 def test_run_equals_its_stages(spark, planted):
     sf_dir = planted[0]
     got = corpus_pipeline.run(spark, sf_dir)
