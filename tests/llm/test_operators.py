@@ -111,6 +111,23 @@ def test_leaks(spark):
     assert benchmark_leaks(table(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_leaks_of_items_without_literal_windows(spark):
+    items = ["12 + 7 = 19, 19 * 3 = 57, 57 - 8 = 49, 49 / 7 = 7, 7 + 1 = 8, 8 * 8 = 64", "THE CAPITAL OF FRANCE IS PARIS", "Anna Berta Clara Dora Emma Frieda Greta Hanna Ida Jutta Klara Lena", "yes", "Answer 42", "48.8566 N 2.3522 E", "?!"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(i, f"we looked it up and {t} is what was found there") for i, t in enumerate(items)]
+    rows += [(20, items[0].replace("7", "6")), (21, "they said yes and yes again"), (22, "the capital of france is not paris"), (23, f"5 {items[0]}"), (24, f"Then Zora {items[2]} Zita left")]
+    got = benchmark_leaks(table(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(6)} | {(21, 3), (23, 0), (24, 2)}
+    assert all(r.verbatim and r.share == 1 for r in got)
+
+
+def test_leaks_of_mixed_items_count_all_their_words(spark):
+    item = "please compute the sum of these for the whole year 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22 23 24 25 26 27 28"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, item), (2, item.replace("please compute the sum", "please print the list")), (3, item[:50])]
+    assert {(r.doc_id, r.verbatim) for r in benchmark_leaks(table(spark, rows), bench).collect()} == {(1, True), (2, True)}
+
+
 # --- op3 ----------------------------------------------------------------------
 
 

@@ -4,7 +4,8 @@ Texts become templates: numbers, names and units give way to typed
 placeholders.  Windows of template tokens are hash-joined between benchmark
 items and documents; the values that stood in the placeholders must map from
 item to document consistently, so that the same question with other values
-counts, and a mere likeness of form doesn't.
+counts, and a mere likeness of form doesn't.  Beside them, windows of the
+words as they stand find verbatim copies, whatever share of them are slots.
 """
 
 from __future__ import annotations
@@ -34,17 +35,18 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(span_hashes(prefix_hashes(data), offsets[:-1], offsets[1:]))
 
 
-def templates(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Return template codes, slot values (0 for literal tokens) and the ``n + 1`` token offsets of the rows.
+def templates(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Return template codes, slot values (0 for literal tokens), the ``n + 1`` token offsets of the rows; and word hashes, the words that stand in slots, and word offsets.
 
-    Tokens are runs of letters or of digits, A-Z lower-cased.  ``1,234.5`` is
-    one number; a unit is a known word right after a number; a name is a
-    capitalised word inside a sentence, or several in a row.
+    Words are runs of letters or of digits, A-Z lower-cased.  Tokens are words,
+    but ``1,234.5`` is one number; a unit is a known word right after a number;
+    a name is a capitalised word inside a sentence, or several in a row.
     """
     raw, offsets = text_bytes(text)
     n = len(text)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(n + 1, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(n + 1, np.int64)
     if not len(raw):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
+        return none
     data = lowered(raw)
     solid, digit = ~NOT_ALNUM[data], _DIGIT[data]
     first = np.zeros(len(data) + 1, bool)
@@ -55,7 +57,7 @@ def templates(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     finish[:-1] &= ~solid[1:] | edge
     starts, ends = np.flatnonzero(begin), np.flatnonzero(finish) + 1
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
+        return none
     value = span_hashes(prefix_hashes(data), starts, ends)
     doc = np.searchsorted(offsets, starts, "right") - 1
     fresh = np.ones(len(starts), bool)
@@ -80,7 +82,7 @@ def templates(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     # A merged slot's value is the sum of its parts' hashes by place.
     place = np.arange(len(starts)) - np.repeat(head, np.diff(np.append(head, len(starts))))
     slot = np.add.reduceat(slot * (place.astype(np.uint64) * np.uint64(2) + np.uint64(1)), head)
-    return code[head], slot, np.searchsorted(doc[head], np.arange(n + 1))
+    return code[head], slot, np.searchsorted(doc[head], np.arange(n + 1)), value, number | name | unit, np.searchsorted(doc, np.arange(n + 1))
 
 
 def window_hashes(code: np.ndarray, slot: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -99,29 +101,42 @@ def window_hashes(code: np.ndarray, slot: np.ndarray, bounds: np.ndarray, width:
 
 
 def _windows(batches: Iterator[pa.RecordBatch], widths: list[int], longest: int, passing: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Windows of each row; of rows in ``passing`` mode only those whose hash may be a benchmark's."""
+    """Windows of each row; of rows in ``passing`` mode only those whose hash may be a benchmark's.
+
+    A negative width stands for that many words instead of template tokens.
+    """
     for batch in batches:
         for part in text_slices(batch, "text"):
-            code, slot, bounds = templates(part.column("text"))
-            size = np.diff(bounds)
+            code, slot, bounds, word, slotted, word_bounds = templates(part.column("text"))
+            literal = np.append(0, np.cumsum(~slotted))
             for width in widths:
-                h, doc, at = window_hashes(code, slot, bounds, width)
+                span, begin = abs(width), bounds if width > 0 else word_bounds
+                size = np.diff(begin)
+                h, doc, at = window_hashes(code, slot, bounds, width) if width > 0 else window_hashes(word, np.zeros(len(word), np.uint64), word_bounds, span)
                 if passing is not None:
                     keep = passing[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
                     h, doc, at = h[keep], doc[keep], at[keep]
-                elif width < longest:  # a short item is one window
-                    keep = size[doc] == width
+                    if width < 0 and span < longest:  # a short item matches whole, so the first place tells all
+                        order = np.lexsort((at, h, doc))
+                        h, doc, at = h[order], doc[order], at[order]
+                        keep = np.ones(len(h), bool)
+                        keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+                        h, doc, at = h[keep], doc[keep], at[keep]
+                elif span < longest:  # a short item is one window
+                    keep = size[doc] == span
                     h, doc, at = h[keep], doc[keep], at[keep]
                 if not len(h):
                     continue
-                slots = slot[at[:, None] + np.arange(width)].view(np.int64)
+                held = width if width > 0 else 0  # words are equal as they are, so only template windows bring slots
+                slots = slot[at[:, None] + np.arange(held)].view(np.int64) if held else np.zeros(0, np.int64)
+                wordy = np.ones(len(h), bool) if width > 0 else 2 * (literal[at + span] - literal[at]) >= span
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(pa.array(doc)), pa.array(h.view(np.int64)), pa.array(np.full(len(h), width), pa.int32()), pa.array((at - bounds[:-1][doc]).astype(np.int32)), pa.array(size[doc].astype(np.int32)), pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1) * width, pa.int32()), pa.array(slots.reshape(-1)))],
-                    ["id", "h", "width", "at", "n_tokens", "slots"],
+                    [part.column("id").take(pa.array(doc)), pa.array(h.view(np.int64)), pa.array(np.full(len(h), width), pa.int32()), pa.array((at - begin[:-1][doc]).astype(np.int32)), pa.array(size[doc].astype(np.int32)), pa.array(wordy), pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1) * held, pa.int32()), pa.array(slots.reshape(-1)))],
+                    ["id", "h", "width", "at", "n_tokens", "wordy", "slots"],
                 )
 
 
-_SCHEMA = "id long, h long, width int, at int, n_tokens int, slots array<long>"
+_SCHEMA = "id long, h long, width int, at int, n_tokens int, wordy boolean, slots array<long>"
 
 
 def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = 10, least_share: float = 0.5, least_tokens: int = 24) -> DataFrame:
@@ -134,27 +149,38 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc
     ``least_tokens`` tokens.  Items shorter than ``width`` tokens must match
     whole.  Of several alignments the longest counts, then the earliest.
 
+    Template windows count if at least half of their tokens are literal, and
+    templates of one or two tokens not at all.  Verbatim copies of whole items,
+    one word included, are always found, by their words (runs of letters or of
+    digits, case of A-Z apart).  Of partial copies, windows of ``width`` words
+    of which less than half are literal count by the same share.  A pair found
+    only by words is verbatim, and its n_tokens, n_covered and doc_token count
+    words; what template windows and words cover isn't added up.
+
     Null or empty texts and null ids match nothing; repeated rows give one
     pair.  An empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "leaks")
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
     base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    every = list(range(3, width + 1))
+    every = [*range(3, width + 1), *range(-width, 0)]
     asked = scratch.keep(items.mapInArrow(lambda it: _windows(it, every, width, None), _SCHEMA), "items")
-    widths = [r.width for r in asked.select("width").distinct().collect()]  # at most ``width`` values
+    widths = [r.width for r in asked.select("width").distinct().collect()]  # at most ``2 * width`` values
     bits = asked.select(F.shiftrightunsigned("h", 64 - FILTER_BITS).cast("int").alias("b")).distinct().toPandas()["b"].to_numpy(np.int64)  # at most 2**FILTER_BITS
     passing = np.zeros(1 << FILTER_BITS, bool)
     passing[bits] = True
     packed = np.packbits(passing)
     found = base.mapInArrow(lambda it: _windows(it, widths, width, np.unpackbits(packed).view(bool)), _SCHEMA)
     found = found.select("h", "width", F.col("id").alias("doc_id"), F.col("at").alias("doc_at"), F.col("slots").alias("doc_slots"))
-    hits = found.join(asked, ["h", "width"]).select("doc_id", F.col("id").alias("item_id"), "n_tokens", "width", "at", (F.col("doc_at") - F.col("at")).alias("shift"), F.arrays_zip(F.col("slots").alias("b"), F.col("doc_slots").alias("d")).alias("pairs"))
+    hits = found.join(asked, ["h", "width"]).select("doc_id", F.col("id").alias("item_id"), "n_tokens", (F.col("width") > 0).alias("template"), F.abs("width").alias("width"), "wordy", "at", (F.col("doc_at") - F.col("at")).alias("shift"), F.arrays_zip(F.col("slots").alias("b"), F.col("doc_slots").alias("d")).alias("pairs"))
     # One alignment of a pair has at most as many windows as the item.
-    whole = hits.groupBy("doc_id", "item_id", "n_tokens", "shift").agg(F.collect_set(F.struct("at", "width")).alias("spans"), F.array_distinct(F.flatten(F.collect_set(F.filter("pairs", lambda p: p["b"] != 0)))).alias("pairs"))
-    covered = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["width"] - 1)))))
-    whole = whole.select("doc_id", "item_id", "n_tokens", covered.alias("n_covered"), F.greatest(F.lit(0), F.col("shift") + F.array_min(F.transform("spans", lambda s: s["at"]))).alias("doc_token"), F.coalesce(F.forall("pairs", lambda p: p["b"] == p["d"]), F.lit(True)).alias("verbatim"), (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["b"])))).alias("consistent"))
+    whole = hits.groupBy("doc_id", "item_id", "n_tokens", "template", "shift").agg(F.collect_set(F.struct("at", "width", "wordy")).alias("spans"), F.array_distinct(F.flatten(F.collect_set(F.filter("pairs", lambda p: p["b"] != 0)))).alias("pairs"))
+    covered = lambda spans: F.size(F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s["at"], s["at"] + s["width"] - 1)))))
+    # Of words that aren't the whole item only windows count that no template can match.
+    counted = F.when(F.col("template") | (covered("spans") == F.col("n_tokens")), F.col("spans")).otherwise(F.filter("spans", lambda s: ~s["wordy"]))
+    whole = whole.withColumn("spans", counted).where(F.size("spans") > 0)
+    whole = whole.select("doc_id", "item_id", "n_tokens", "template", covered("spans").alias("n_covered"), F.greatest(F.lit(0), F.col("shift") + F.array_min(F.transform("spans", lambda s: s["at"]))).alias("doc_token"), F.coalesce(F.forall("pairs", lambda p: p["b"] == p["d"]), F.lit(True)).alias("verbatim"), (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["b"])))).alias("consistent"))
     good = whole.where(F.col("consistent") & ((F.col("n_covered") >= least_share * F.col("n_tokens")) | (F.col("n_covered") >= least_tokens)))
-    best = good.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_tokens", "n_covered", "verbatim", "doc_token"), F.struct("n_covered", -F.col("doc_token"))).alias("m"))
+    best = good.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_tokens", "n_covered", "verbatim", "doc_token"), F.struct("template", "n_covered", -F.col("doc_token"))).alias("m"))
     out = best.select("doc_id", "item_id", "m.n_tokens", "m.n_covered", (F.col("m.n_covered") / F.col("m.n_tokens")).alias("share"), "m.verbatim", "m.doc_token")
     return scratch.result(out)
