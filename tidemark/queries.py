@@ -448,6 +448,12 @@ def str04_label_norm(t):
     return t.documents.where("lang = 'en'").select("doc_id", F.sha2(text.normal_label(c("text")), 256).alias("sha"))
 
 
+@query(r"select doc_id, sha256(lower(trim(regexp_replace(translate(text, '’—–-:,()', '''       '), '[ \t\n\r\f\x0b]+', ' ', 'g')))) as sha from documents")
+def str04_label_norm_all(t):
+    """Texts of all languages as normalised labels, as a digest."""
+    return t.documents.select("doc_id", F.sha2(text.normal_label(c("text")), 256).alias("sha"))
+
+
 CCY_CASES = ["USD, thousands", "rmb", "in CNH millions", "Japanese yen", "NEW TAIWAN DOLLARS", "", "Brazilian reais", "US$ millions", "millions(dom)", "pound sterling", "Hong Kong dollars", "crore rupees"]
 CCY_ANSWERS = [("USD", 1e3), ("CNY", 1.0), ("CNY", 1e6), ("YEN", 1.0), ("NEW", 1.0), ("USD", 1.0), ("BRL", 1.0), ("USD", 1e6), ("DOM", 1e6), ("GBP", 1.0), ("HKD", 1.0), ("INR", 1e7)]
 
