@@ -38,6 +38,15 @@ def test_dates(spark):
     assert [r.v for r in df.select(dates.effective_date(F.col("p"), F.col("f")).alias("v")).collect()] == [day, d.date(2026, 3, 31), d.date(2026, 4, 20), d.date(2026, 1, 5)]
 
 
+def test_effective_dates_on_leap_days(spark):
+    import datetime as d
+
+    rows = [("February 29", "December 31, 1995"), ("Feb 29", "March 05, 1996"), ("February 29", "January 05, 1996"), ("1996-02-29", "December 31, 1995"), ("February 29, 1996", "March 05, 1996"), ("February 28", "March 05, 1996")]
+    df = spark.createDataFrame(rows, "p string, f string")
+    got = [r.v for r in df.select(dates.effective_date(F.col("p"), F.col("f")).alias("v")).collect()]
+    assert got == [d.date(1995, 12, 31), d.date(1996, 3, 5), d.date(1996, 1, 5), d.date(1996, 2, 29), d.date(1996, 2, 29), d.date(1996, 2, 28)]
+
+
 def test_units_and_labels(spark):
     assert values(spark, ["RMB, millions", "NEW TAIWAN DOLLARS", None, "Brazilian", "millions(dom)"], units.currency_code) == ["CNY", "NEW", "USD", "BRL", "DOM"]
     assert values(spark, ["Net income—basic (per ADS): 1,2"], text.normal_label) == ["net income basic per ads 1 2"]

@@ -34,10 +34,15 @@ def long_date(date: Column) -> Column:
 
 
 def effective_date(period_end: Column, filing: Column) -> Column:
-    """The period's end; if it names only month and day, with the filing's year, or the year before if over 31 days past the filing; else the filing date."""
+    """The period's end; if it names only month and day, with the filing's year, or the year before if over 31 days past the filing; else the filing date.
+
+    29 February without a year is no month and day that can be read, in leap
+    years neither: the filing date counts.
+    """
     period, filed = loose_date(period_end), loose_date(filing)
     with_year = F.concat(squeezed(period_end), F.lit(", "), F.year(filed).cast("string"))
     day = _first_of(with_year, ("MMMM d, yyyy", "MMM d, yyyy"))
+    day = F.when((F.month(day) != 2) | (F.dayofmonth(day) != 29), day)
     return F.coalesce(period, F.when(day > F.date_add(filed, 31), F.add_months(day, -12)).otherwise(day), filed)
 
 

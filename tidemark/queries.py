@@ -486,6 +486,16 @@ def dat04_effective(t):
     return x.select("o_orderkey", dates.effective_date(period, dates.long_date(f)).alias("date"))
 
 
+@query("""with x as (select o_orderkey, o_orderdate::date as f, (o_orderdate + interval 60 day)::date as p, o_orderkey % 3 as k from orders), y as (select *, case when month(p) = 2 and day(p) = 29 then null else make_date(year(f), month(p), day(p)) end as q from x)
+select o_orderkey, case k when 0 then f when 1 then p when 2 then coalesce(case when q > f + 31 then make_date(year(f) - 1, month(p), day(p)) else q end, f) end as date from y""")
+def dat04_effective_all(t):
+    """Effective dates of all orders, those with a period's end on 29 February too."""
+    f, k = c("o_orderdate").cast("date"), c("o_orderkey") % 3
+    p = F.date_add(f, 60)
+    period = F.when(k == 1, F.date_format(p, "yyyy-MM-dd")).when(k == 2, F.date_format(p, "MMMM d"))
+    return t.orders.select("o_orderkey", dates.effective_date(period, dates.long_date(f)).alias("date"))
+
+
 @query("""select o_orderkey, least(abs(date_diff('day', date_trunc('quarter', o_orderdate)::date - 1, o_orderdate::date)), abs(date_diff('day', (date_trunc('quarter', o_orderdate) + interval 3 month)::date - 1, o_orderdate::date))) <= 7 as near_end, last_day(o_orderdate) = o_orderdate::date as month_end, year((date_trunc('quarter', o_orderdate) - interval 3 month)::date) * 10 + quarter((date_trunc('quarter', o_orderdate) - interval 3 month)::date) as before, case dayofweek(o_orderdate) when 6 then o_orderdate::date - 1 when 0 then o_orderdate::date - 2 else o_orderdate::date end as market from orders""")
 def dat05_quarter_end(t):
     """Closeness to a quarter's end, month ends, the quarter before, and market days."""
