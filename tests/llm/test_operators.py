@@ -85,6 +85,14 @@ def test_near_duplicates_of_odd_tables(spark):
     assert Counter((r.doc_id, r.component_id, r.kept) for r in got) == Counter({(None, None, False): 1, (5, 4, False): 2, (4, 4, True): 1})
 
 
+def test_near_duplicates_of_equally_large_texts_of_one_id(spark):
+    rnd = random.Random(8)
+    texts = [" ".join(f"v{rnd.randrange(10**6)}" for _ in range(60)) for _ in range(12)]
+    rows = [(5, t) for t in texts] + [(100 + k, t.rsplit(" ", 1)[0] + " changed") for k, t in enumerate(texts)]
+    got = near_duplicates(table(spark, rows), width=2).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(5, 5)} | {(100 + k, 5) for k in range(12)}
+
+
 def test_sketches_fill_and_estimate(spark):
     codes = np.arange(1, 301, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     both = np.concatenate([codes[:1], codes[:200], codes[40:240]])

@@ -187,7 +187,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     made = scratch.keep(base.mapInArrow(lambda it: _sketched(it, width, bands, rows, coordinates), "id long, n_shingles long, s0 long, s1 long, bands array<long>, nib array<long>"), "sketches")
     full = made.where("n_shingles > 0 and id is not null")
     classes = scratch.keep(full.groupBy("s0", "s1", "n_shingles").agg(F.min("id").alias("rep")), "classes")
-    heads = full.join(classes, ["s0", "s1", "n_shingles"]).where("id = rep").select("id", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["id", "n"])
+    heads = full.join(classes, ["s0", "s1", "n_shingles"]).where("id = rep").dropDuplicates(["id", "s0", "s1", "n_shingles"]).select("id", F.col("n_shingles").alias("n"), "bands")
     keyed = heads.select("id", "n", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
     buckets = scratch.keep(keyed.join(shared, "key"), "buckets", heavy=True)
