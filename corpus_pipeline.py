@@ -18,22 +18,6 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 TOXIC = 0.3
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id isn't in ``ids``, with the columns they had."""
-    return docs.join(ids.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-
-
-def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose toxicity reaches 0.3."""
-    model = learn_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, score_toxicity(docs, model).where(F.col("score") >= TOXIC))
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate group: five-word shingles, similarity 0.8."""
-    return _without(docs, near_duplicates(docs, width=5, percent=80).where(~F.col("kept")))
-
-
 def _keyed(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``docs`` with a unique ``_row``: doc_id itself, or where ids repeat or are null the place in order of doc_id, null ids last."""
     key = F.col("doc_id").cast("long")
@@ -47,6 +31,33 @@ def _keyed(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(placed.withColumn("_row", F.monotonically_increasing_id()), "placed")
 
 
+def _without(docs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The given columns of the keyed ``docs`` without the ``rows``, whose keys are in doc_id."""
+    return docs.join(rows.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(columns)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose toxicity reaches 0.3.
+
+    Each row is judged by its own text, whatever other rows share its id, and
+    also if its id is null; labels reach texts by doc_id.
+    """
+    model = learn_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    keyed = _keyed(docs, Scratch(spark, "rows"))
+    return _without(keyed, score_toxicity(keyed, model, id_col="_row").where(F.col("score") >= TOXIC), docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each near-duplicate group: five-word shingles, similarity 0.8.
+
+    Each row is a document of its own: of equal rows one stays, rows that share
+    an id and nothing else all stay.  Of a group the smallest id stays, and a
+    null id only if all ids are null.
+    """
+    keyed = _keyed(docs, Scratch(spark, "rows"))
+    return _without(keyed, near_duplicates(keyed, id_col="_row", width=5, percent=80).where(~F.col("kept")), docs.columns)
+
+
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut repeated 100-byte strings out of the texts, whole characters only; drop texts of which nothing is left.
 
@@ -60,8 +71,13 @@ def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold benchmark items."""
-    return _without(docs, benchmark_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    """Drop documents that hold benchmark items.
+
+    Each row is judged by its own text, whatever other rows share its id, and
+    also if its id is null.
+    """
+    keyed = _keyed(docs, Scratch(spark, "rows"))
+    return _without(keyed, benchmark_leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row"), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,6 +79,25 @@ def test_repeated_rows_are_cut_by_row(spark, tmp_path):
     assert sorted(len(t) for i, t, _ in found if i is None) in ([5, 300], [305]) and all(n == len(t) for _, t, n in found)
 
 
+def test_stages_judge_rows_of_null_and_repeated_ids(spark, planted, tmp_path):
+    sf_dir, text, kind, _ = planted
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    vile = " ".join(NASTY * 5)
+    clean, base, far = text[1], text[1000], text[2]
+
+    def left(stage, rows):
+        more = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], docs.schema)
+        some = docs.where("doc_id < 400").union(more) if stage is corpus_pipeline.toxicity else more
+        got = stage(spark, some, sf_dir)
+        assert got.columns == docs.columns
+        return sorted((r.doc_id or -1, r.text) for r in got.where("doc_id is null or doc_id >= 5000").collect())
+
+    assert left(corpus_pipeline.toxicity, [(None, vile), (None, clean), (5000, vile), (5000, clean)]) == [(-1, clean), (5000, clean)]
+    assert left(corpus_pipeline.near_dedup, [(None, base), (5000, base), (5000, base), (5000, far), (5001, far), (None, clean)]) == sorted([(5000, base), (5000, far), (-1, clean)])
+    assert left(corpus_pipeline.decontamination, [(None, item), (None, clean), (5000, f"{far} {item}"), (5000, far)]) == [(-1, clean), (5000, far)]
+
+
 def test_run_equals_its_stages(spark, planted):
     sf_dir = planted[0]
     got = corpus_pipeline.run(spark, sf_dir)
