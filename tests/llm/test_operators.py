@@ -301,6 +301,15 @@ def test_gif_round_trip(spark):
     assert gif.gif_features(gif.encode_gifs(table(spark, []))).count() == 0
 
 
+def test_written_frames_go_through_the_lzw_decoder(monkeypatch):
+    data, streams, decode = bytes(range(256)) * 9, [], gif.lzw_decode
+    made = gif.lzw_literal(np.frombuffer(data, np.uint8).reshape(-1, gif.FRAME))
+    frames = gif.parse_gif(gif.write_gif([s.tobytes() for s in made], gif.SIDE, gif.palette(), 10))[2]
+    monkeypatch.setattr(gif, "lzw_decode", lambda stream, bits: streams.append(stream) or decode(stream, bits))
+    gif.decode_frames(frames)
+    assert streams == [f.stream for f in frames] and b"".join(f.samples.tobytes() for f in frames) == data
+
+
 def test_lzw_streams():
     rnd = random.Random(8)
     for n in (0, 1, 5, 600, 9000):

@@ -50,21 +50,6 @@ def lzw_literal(frames: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little")
 
 
-def literal_samples(streams: np.ndarray, size: int) -> np.ndarray | None:
-    """Undo ``lzw_literal`` for rows of one length; None if any row isn't such a stream."""
-    starts = np.arange(0, size, RUN)
-    n_codes = size + len(starts) + 1
-    if streams.shape[1] != (9 * n_codes + 7) // 8:
-        return None
-    bits = np.unpackbits(streams, axis=1, count=9 * n_codes, bitorder="little").reshape(len(streams), n_codes, 9)
-    codes = np.packbits(bits, axis=2, bitorder="little").view("<u2")[:, :, 0]
-    clear = starts + np.arange(len(starts))
-    at = np.arange(size) + np.arange(size) // RUN + 1
-    if not ((codes[:, clear] == 256).all() and (codes[:, -1] == 257).all() and (codes[:, at] < 256).all()):
-        return None
-    return codes[:, at].astype(np.uint8)
-
-
 def lzw_decode(data: bytes, min_bits: int) -> bytes:
     """Decode any LZW code stream; a stream cut short gives what it has."""
     clear, end = 1 << min_bits, (1 << min_bits) + 1
@@ -227,15 +212,11 @@ def _rows_in_order(samples: np.ndarray) -> np.ndarray:
 
 
 def decode_frames(frames: list[Frame]) -> None:
-    """Decode the streams of all frames into (height, width) samples, literal ones of one size together."""
-    groups: dict[tuple[int, int, int], list[Frame]] = {}
+    """Decode the streams of all frames into (height, width) samples."""
     for f in frames:
-        groups.setdefault((f.width, f.height, len(f.stream) if f.min_bits == 8 else -1), []).append(f)
-    for (w, h, length), some in groups.items():
-        got = literal_samples(np.frombuffer(b"".join(f.stream for f in some), np.uint8).reshape(len(some), length), w * h) if length > 0 and w * h else None
-        for k, f in enumerate(some):
-            flat = got[k] if got is not None else np.frombuffer(lzw_decode(f.stream, f.min_bits)[: w * h].ljust(w * h, b"\0"), np.uint8)
-            f.samples = _rows_in_order(flat.reshape(h, w)) if f.interlaced else flat.reshape(h, w)
+        size = f.width * f.height
+        flat = np.frombuffer(lzw_decode(f.stream, f.min_bits)[:size].ljust(size, b"\0"), np.uint8).reshape(f.height, f.width)
+        f.samples = _rows_in_order(flat) if f.interlaced else flat
 
 
 def compose(width: int, height: int, frames: list[Frame]) -> Iterator[tuple[np.ndarray, int]]:
