@@ -161,7 +161,8 @@ def test_repeats_match_brute_force(spark):
     rows = [(0, None), (1, ""), (2, "x" * 700), (3, "ab" * 130), (4, "ab" * 130), (5, make(99)), (6, make(40))]
     rows += [(10 + k, make(rnd.randint(0, 150)) + rnd.choice(shared)[rnd.randint(0, 30) :] + make(rnd.randint(0, 80)) + rnd.choice(shared)) for k in range(80)]
     want = brute_repeats(rows, 100)
-    for options in ({}, {"block_bytes": 4000, "part_bytes": 1 << 30}):
+    small = {"block_bytes": 4000, "chunk_bytes": 3000, "part_bytes": 10_000}
+    for options in ({}, small | {"shard_bytes": 1 << 30}, {"most_kinds": 1, "chunk_bytes": 2000}, small | {"most_kinds": 5}):
         got = repeats.repeated_bytes(table(spark, rows).repartition(3), length=100, **options).collect()
         assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
     texts = repeats.repeated_bytes(table(spark, rows), length=100, whole_chars=True, with_text=True).where("n_removed > 0").collect()
@@ -170,6 +171,32 @@ def test_repeats_match_brute_force(spark):
     assert [r.n_removed for r in repeats.repeated_bytes(table(spark, [(None, "y" * 300)]), length=100).collect()] == [0]
 
 
+def test_repeats_around_one_anchor_in_all_documents(spark):
+    rnd = random.Random(14)
+    make = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    for core in (make(60), make(130), "z" * 120):
+        rows = [(k, make(rnd.randint(0, 70)) + core + make(rnd.choice([0, 1, 30, 70]))) for k in range(120)]
+        want = brute_repeats(rows, 100)
+        for options in ({"block_bytes": 2500, "chunk_bytes": 1500}, {"most_kinds": 3, "chunk_bytes": 1500}):
+            got = repeats.repeated_bytes(table(spark, rows).repartition(3), length=100, **options).collect()
+            assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+
+
+def test_words_of_one_polynomial_hash_differ():
+    from tidemark.llm.words import equal_spans, span_hashes
+
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    both = word + word.translate(str.maketrans("ab", "ba"))
+    data = np.frombuffer((both + "xy" + "xy" + "q" * 3000 + "q" * 3000).encode(), np.uint8)
+    start = np.array([0, 1024, 2048, 2050, 2052, 5052])
+    end = np.append(start[1:], len(data))
+    h = span_hashes(data, start, end)
+    assert h[0] != h[1] and h[2] == h[3] and h[4] == h[5] and (h != span_hashes(data, start, end, 1)).all()
+    assert equal_spans(data, start[::2], start[1::2], (end - start)[::2]).tolist() == [False, True, True]
+
+
 def test_suffix_arrays():
     rnd = random.Random(5)
     for _ in range(200):

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import Scratch
-from tidemark.llm.words import BASE, NOT_ALNUM, lowered, mix64, powers, prefix_hashes, span_hashes, text_bytes, text_slices
+from tidemark.llm.words import BASE, NOT_ALNUM, lowered, mix64, span_hashes, text_bytes, text_slices
 
 #: Units of measure that stand after a number.
 UNITS = "mm cm m km in ft yd mi mg g kg t oz lb lbs ml cl l gal s sec secs min mins h hr hrs hour hours day days week weeks month months year years ms hz khz mhz ghz w kw mw v a j kj cal kcal b kb mb gb tb k c f percent pct usd eur gbp dollar dollars cent cents euro euros mph kph meter meters metre metres mile miles foot feet inch inches pound pounds gram grams litre litres liter liters second seconds minute minutes degree degrees".split()
@@ -32,7 +32,7 @@ FILTER_BITS = 24
 
 def _unit_hashes() -> np.ndarray:
     data, offsets = text_bytes(pa.array(UNITS))
-    return np.sort(span_hashes(prefix_hashes(data), offsets[:-1], offsets[1:]))
+    return np.sort(span_hashes(data, offsets[:-1], offsets[1:]))
 
 
 def templates(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -58,7 +58,7 @@ def templates(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     starts, ends = np.flatnonzero(begin), np.flatnonzero(finish) + 1
     if not len(starts):
         return none
-    value = span_hashes(prefix_hashes(data), starts, ends)
+    value = span_hashes(data, starts, ends)
     doc = np.searchsorted(offsets, starts, "right") - 1
     fresh = np.ones(len(starts), bool)
     fresh[1:] = doc[1:] != doc[:-1]
@@ -89,9 +89,10 @@ def window_hashes(code: np.ndarray, slot: np.ndarray, bounds: np.ndarray, width:
     """Return hash, row and start of all windows of ``width`` tokens of which at least half are literal."""
     if len(code) < width:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    total = np.append(np.uint64(0), np.cumsum(mix64(code.copy()) * powers(len(code))[: len(code)], dtype=np.uint64))
     n = len(code) - width + 1
-    h = mix64((total[width:] - total[:-width]) * powers(len(code) + 1, inverse=True)[:n] + np.uint64(width * BASE & (1 << 64) - 1))
+    h = np.full(n, width, np.uint64)
+    for k in range(width):
+        h = mix64(h * np.uint64(BASE) ^ code[k : k + n])
     literal = np.append(0, np.cumsum(slot == 0))
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:n]
     at = np.arange(n)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import small_batches
+from tidemark.llm.scratch import Scratch
 from tidemark.session import ship
 
 SIDE = 24
@@ -280,7 +280,6 @@ def encode_gifs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     repeat.
     """
     ship(docs.sparkSession)
-    small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
     return base.mapInArrow(lambda it: _encode(it, delay), "id long, n_bytes long, media binary")
 
@@ -326,8 +325,8 @@ def gif_features(media: DataFrame) -> DataFrame:
     the size, number of frames, duration and the histogram over 64 colours of
     all shown pictures, after palettes, transparency and disposal.
     """
-    ship(media.sparkSession)
-    return media.mapInArrow(_features, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, frames int")
+    found = media.mapInArrow(_features, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, frames int")
+    return Scratch(media.sparkSession, "gif").result(found)
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

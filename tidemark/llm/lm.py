@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import pack_chunks, packed_counts, packed_keys, ranges, release, rows_of, unpacked, unpacked_counts, unpacked_keys
 from tidemark.llm.scratch import Scratch
-from tidemark.llm.words import MIX_A, lowered, mix64, prefix_hashes, span_hashes, word_spans
+from tidemark.llm.words import MIX_A, lowered, mix64, span_hashes, word_spans
 
 #: The end mark's hash, and the context before a text's first token.
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -35,7 +35,7 @@ def tokens_of(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.nda
     """Return the token hashes of a chunk, each document ended by the end mark, and the token offsets."""
     data = lowered(data)
     starts, ends, bounds = word_spans(data, offsets)
-    words = span_hashes(prefix_hashes(data), starts, ends)
+    words = span_hashes(data, starts, ends)
     n = len(offsets) - 1
     out = np.full(len(words) + n, END, np.uint64)
     doc = np.repeat(np.arange(n), np.diff(bounds))
@@ -213,7 +213,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     size = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     parts = max(8, -(-size // part_bytes))
     asked = chunks.mapInArrow(lambda it: _ask(it, parts), _ASK)
-    told = scratch.keep(asked.groupBy("part").applyInArrow(_tell, _TOLD), "told", heavy=True)
+    told = scratch.keep(asked.groupBy("part").applyInArrow(_tell, _TOLD), "told")
     totals = np.zeros(3, np.int64)
     for r in told.where("chunk = -1").select("wn").toLocalIterator():
         totals += np.frombuffer(r.wn, np.int64)

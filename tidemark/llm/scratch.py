@@ -2,16 +2,16 @@
 
 Long jobs cut their lineage by writing a Parquet table below
 ``spark.checkpoint.dir`` and reading it again, so a lost executor costs one
-stage and not the whole job.  Only where that setting is absent (unit tests)
-a temporary folder of this machine is used.
+stage and not the whole job.  Only where that setting is absent and Spark runs
+on this machine alone (unit tests) a temporary folder is used.
 """
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 from tidemark.session import ship
 
 _FALLBACK: dict[str, str] = {}
+#: Results that stay until ``drop_results``, by application.
+_RESULTS: dict[str, list[str]] = {}
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,6 +29,9 @@ def shared_dir(spark: SparkSession) -> str:
     told = spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _FALLBACK:
         _FALLBACK[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
@@ -38,11 +44,30 @@ def delete(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Send rows to Python workers by the thousand, unless the session says otherwise: rows here hold whole texts."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, "10000") == "10000":
-        spark.conf.set(key, "1000")
+def owned(spark: SparkSession, uri: str) -> str:
+    """Mark a folder as a result, to be deleted by ``drop_results``."""
+    _RESULTS.setdefault(spark.sparkContext.applicationId, []).append(uri)
+    return uri
+
+
+def drop_results(spark: SparkSession) -> None:
+    """Delete the tables and files behind all results so far; DataFrames over them can't be read any more."""
+    for uri in _RESULTS.pop(spark.sparkContext.applicationId, []):
+        delete(spark, uri)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Send rows to Python workers by the thousand for one action, as rows here hold whole texts; then as before."""
+    before = spark.conf.get(_BATCH, "10000")
+    if int(before) <= rows and int(before) > 0:
+        yield
+        return
+    spark.conf.set(_BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
 
 
 class Scratch:
@@ -54,33 +79,28 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, job: str):
         ship(spark)
-        small_batches(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{job}-{uuid.uuid4().hex}"
         self.made: dict[str, str] = {}
+        self.number = 0
 
-    def keep(self, df: DataFrame, name: str, heavy: bool = False) -> DataFrame:
-        """Write a table and read it back; after a ``heavy`` shuffle, wait until its files can go."""
-        uri = f"{self.root}/{name}-{len(self.made)}"
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table and read it back."""
+        self.number += 1
+        uri = f"{self.root}/{name}-{self.number}"
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
-        df.write.parquet(uri)
+        with small_batches(self.spark):
+            df.write.parquet(uri)
         self.made[name] = uri
-        self.release(3 if heavy else 1)
         return self.spark.read.schema(schema).parquet(uri)
 
     def drop(self, name: str) -> None:
         delete(self.spark, self.made.pop(name))
 
-    def release(self, rounds: int = 1) -> None:
-        """Let Spark remove shuffle files that no live DataFrame refers to; it notices in the round after."""
-        for k in range(rounds):
-            if k:
-                time.sleep(0.4)
-            gc.collect()
-            self.spark._jvm.System.gc()
-
     def result(self, df: DataFrame) -> DataFrame:
+        """Write the outcome and delete all other tables."""
         out = self.keep(df, "result")
+        owned(self.spark, self.made["result"])
         for name in [n for n in self.made if n != "result"]:
             self.drop(name)
         return out

@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import Scratch, small_batches
-from tidemark.llm.words import NOT_ALNUM, lowered, prefix_hashes, span_hashes, text_bytes, text_slices, word_spans
-from tidemark.session import ship
+from tidemark.llm.words import NOT_ALNUM, lowered, span_hashes, text_bytes, text_slices, word_spans
 
 EULER = 0.5772156649015329
 #: A segment counts as a passage if chance makes fewer than so many of it.
@@ -74,7 +73,7 @@ def _tokens(text: pa.Array):
     data, offsets = text_bytes(text)
     data = lowered(data)
     starts, ends, bounds = word_spans(data, offsets, NOT_ALNUM)
-    return span_hashes(prefix_hashes(data), starts, ends), starts, ends, bounds, offsets
+    return span_hashes(data, starts, ends), starts, ends, bounds, offsets
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +217,8 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
         share = np.append(top["t0"].to_numpy()[order], max(0, k0 - top["t0"].sum())) / max(1, k0)
         rate = _rate(np.append(scores, 0.0) - drift, share)
     model = ToxicityModel(hashes, scores, drift, rate, 0.0, (0.0, 0.0, 0.0))
-    held = rows.where(F.col("fold") == calibrate).select("text", "toxic").mapInArrow(lambda it: _calibrated(it, model), "n long, top double, segments array<double>, toxic int").toPandas()  # about max_rows / folds rows
+    with small_batches(docs.sparkSession):
+        held = rows.where(F.col("fold") == calibrate).select("text", "toxic").mapInArrow(lambda it: _calibrated(it, model), "n long, top double, segments array<double>, toxic int").toPandas()  # about max_rows / folds rows
     scratch.drop("counts")
     scratch.drop("first")
     y = held["toxic"].to_numpy(np.float64)
@@ -253,7 +253,5 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_
     A null or empty text has no passages and the score of such a text; null
     and repeated ids come back as they are.  Other columns are ignored.
     """
-    ship(docs.sparkSession)
-    small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return base.mapInArrow(lambda it: _scored(it, model), f"doc_id long, score double, passages {PASSAGES}")
+    return Scratch(docs.sparkSession, "toxicity").result(base.mapInArrow(lambda it: _scored(it, model), f"doc_id long, score double, passages {PASSAGES}"))

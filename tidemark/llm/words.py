@@ -1,21 +1,22 @@
 """Vectorised text primitives on Arrow string columns.
 
-Hashes are polynomial in a random byte table modulo 2**64, so that the hash of
-any span comes from two prefix sums; a finaliser then mixes all bits.
+The hash of a span takes its bytes eight at a time through a mixing function,
+so that spans of any length and likeness get independent 64-bit values.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-#: An odd base, and the finaliser's multipliers (splitmix64).
+#: An odd constant, and the finaliser's multipliers (splitmix64).
 BASE = 0x9E3779B97F4A7C15
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-M64 = (1 << 64) - 1
+#: Spans of more bytes are hashed one by one.
+LONG = 1024
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -23,7 +24,6 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_TABLE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -39,32 +39,44 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=4)
-def _powers(log2: int, base: int) -> np.ndarray:
-    out = np.full(1 << log2, base, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """Return at least ``n`` powers of the base, or of its inverse."""
-    return _powers(max(16, int(n - 1).bit_length()), pow(BASE, -1, 1 << 64) if inverse else BASE)
-
-
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """Return ``len(data) + 1`` prefix sums of a byte array."""
-    out = np.empty(len(data) + 1, np.uint64)
-    out[0] = 0
-    np.take(_TABLE, data, out=out[1:])
-    out[1:] *= powers(len(data))[: len(data)]
-    np.cumsum(out[1:], out=out[1:])
-    return out
-
-
-def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Return a mixed hash of the bytes of each span."""
-    raw = (prefix[ends] - prefix[starts]) * powers(len(prefix), inverse=True)[starts]
-    return mix64(raw ^ ((ends - starts).astype(np.uint64) * MIX_A))
+def lanes(data: np.ndarray) -> np.ndarray:
+    """Eight bytes from every position on as an integer; past the end there are zeros."""
+    padded = np.zeros(len(data) + 16, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 8,), "<u8", padded, strides=(1,))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Return a 64-bit hash of the bytes of each span; each ``seed`` gives another."""
+    size = ends - starts
+    at8 = lanes(data)
+    code = mix64((size + (seed << 48)).astype(np.uint64) * MIX_A + np.uint64(BASE))
+    live, k = np.flatnonzero((size > 0) & (size <= LONG)), 0
+    while len(live):
+        left = size[live] - k
+        lane = at8[starts[live] + k]
+        short = left < 8
+        lane[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+        code[live] = mix64(code[live] * np.uint64(BASE) ^ lane)
+        live, k = live[left > 8], k + 8
+    for i in np.flatnonzero(size > LONG).tolist():
+        code[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
+    return code
+
+
+def equal_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes from each of ``a`` equal those from ``b``, byte for byte."""
+    at8 = lanes(data)
+    same = np.ones(len(a), bool)
+    live, k = np.flatnonzero(size > 0), 0
+    while len(live):
+        left = size[live] - k
+        lane = at8[a[live] + k] ^ at8[b[live] + k]
+        short = left < 8
+        lane[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+        same[live[lane != 0]] = False
+        live, k = live[(left > 8) & (lane == 0)], k + 8
+    return same
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
@@ -125,7 +137,7 @@ def word_hashes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = text_bytes(text)
     data = lowered(data)
     starts, ends, bounds = word_spans(data, offsets)
-    return span_hashes(prefix_hashes(data), starts, ends), bounds
+    return span_hashes(data, starts, ends), bounds
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
