@@ -74,8 +74,8 @@ def test_near_duplicates_match_brute_force(spark):
         if n and 100 * n >= 80 * len(sets[a] | sets[b]):
             p, q = find(a), find(b)
             parent[max(p, q)] = min(p, q)
-    for blocks in (2_000_000, 300):
-        got = near_duplicates(table(spark, rows).repartition(5), width=2, block_shingles=blocks).collect()
+    for options in ({}, {"block_shingles": 300, "block_rows": 7, "most_broadcast": 0}):
+        got = near_duplicates(table(spark, rows).repartition(5), width=2, **options).collect()
         assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got} == {(i, len(s), find(i), find(i) == i) for i, s in sets.items()}
 
 
@@ -93,6 +93,26 @@ def test_near_duplicates_of_equally_large_texts_of_one_id(spark):
     assert {(r.doc_id, r.component_id) for r in got} == {(5, 5)} | {(100 + k, 5) for k in range(12)}
 
 
+def test_words_that_one_polynomial_hash_confuses_stay_apart(spark):
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    got = near_duplicates(table(spark, [(1, word), (2, other), (3, word)]), width=2).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 2), (3, 1)}
+
+
+def test_buckets_of_any_size_find_all_likely_members():
+    rnd = np.random.default_rng(3)
+    base = rnd.integers(0, 1 << 63, 6, dtype=np.uint64)
+    bits = np.tile(base, (90, 1))
+    bits[::2] ^= rnd.integers(0, 1 << 63, (45, 6), dtype=np.uint64)
+    col = {"key": np.repeat([1, 2, 3], [80, 8, 2]), "i": np.zeros(90, int), "j": np.zeros(90, int), "x": np.zeros(90, int), "n": np.full(90, 50), "c": np.arange(90) % 7}
+    far = lambda p, q: np.bitwise_count(bits[p] ^ bits[q]).sum() > 74
+    want = {p for p in range(90) for q in range(90) if col["key"][p] == col["key"][q] and col["c"][p] != col["c"][q] and not far(p, q)}
+    assert set(near_dup._near(col, bits, 80, 74).tolist()) == want
+
+
 def test_sketches_fill_and_estimate(spark):
     codes = np.arange(1, 301, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     both = np.concatenate([codes[:1], codes[:200], codes[40:240]])
@@ -328,23 +348,81 @@ def test_gif_round_trip(spark):
     assert gif.gif_features(gif.encode_gifs(table(spark, []))).count() == 0
 
 
-def test_written_frames_go_through_the_lzw_decoder(monkeypatch):
-    data, streams, decode = bytes(range(256)) * 9, [], gif.lzw_decode
-    made = gif.lzw_literal(np.frombuffer(data, np.uint8).reshape(-1, gif.FRAME))
-    frames = gif.parse_gif(gif.write_gif([s.tobytes() for s in made], gif.SIDE, gif.palette(), 10))[2]
-    monkeypatch.setattr(gif, "lzw_decode", lambda stream, bits: streams.append(stream) or decode(stream, bits))
-    gif.decode_frames(frames)
-    assert streams == [f.stream for f in frames] and b"".join(f.samples.tobytes() for f in frames) == data
+def lzw_by_the_book(data, min_bits):
+    """One code after the other."""
+    clear, bits, out = 1 << min_bits, int.from_bytes(data, "little"), b""
+    table, width, last, left = None, min_bits + 1, None, 8 * len(data)
+    while left >= width:
+        code, bits, left = bits & (1 << width) - 1, bits >> width, left - width
+        if code == clear or table is None:
+            table, width, last = [bytes([i]) if i < clear else b"" for i in range(clear + 2)], min_bits + 1, None
+            if code == clear:
+                continue
+        if code == clear + 1:
+            break
+        found = table[code] if code < len(table) else last + last[:1]
+        if last is not None and len(table) < 4096:
+            table.append(last + found[:1])
+            if len(table) == 1 << width and width < 12:
+                width += 1
+        out, last = out + found, found
+    return out
 
 
 def test_lzw_streams():
     rnd = random.Random(8)
-    for n in (0, 1, 5, 600, 9000):
-        for alphabet in (2, 256):
-            data = bytes(rnd.randrange(alphabet) for _ in range(n))
-            assert gif.lzw_decode(gif.lzw_encode(data), 8) == data
-    data = bytes(range(256)) * 3
-    assert gif.lzw_decode(gif.lzw_literal(np.frombuffer(data, np.uint8).reshape(1, -1)).tobytes(), 8) == data
+    many = [bytes(rnd.randrange(min(a, 256)) for _ in range(n)) for n in (0, 1, 2, 5, 576, 3000, 9000) for a in (2, 20, 256)] + [b"a" * 700, b"ab" * 400]
+    streams = gif.lzw_encode_all(many)
+    assert gif.lzw_decode_all(streams, 8) == many and [lzw_by_the_book(s, 8) for s in streams] == many
+    few = [bytes(b % 4 for b in m) for m in many]
+    assert gif.lzw_decode_all(gif.lzw_encode_all(few, 2), 2) == few
+    for s in streams[3:]:  # cut short, and without the first clear code
+        short = s[: len(s) // 2]
+        assert gif.lzw_decode_all([short], 8) == [lzw_by_the_book(short, 8)]
+    assert len(gif.lzw_encode_all([b"tide and time " * 41])[0]) < 576 / 2
+    bad = np.packbits(np.array([[c >> k & 1 for k in range(9)] for c in (256, 65, 300, 257)], np.uint8).ravel(), bitorder="little").tobytes()
+    assert gif.lzw_decode_all([bad, streams[0]], 8) == [None, b""]
+
+
+def test_a_full_table_that_is_not_cleared():
+    rnd = random.Random(12)
+    data = bytes(rnd.randrange(256) for _ in range(12_000))
+    clear, table, word, codes, free = 256, {}, b"", [], 258
+    for b in data:
+        longer = word + bytes([b])
+        if len(longer) == 1 or longer in table:
+            word = longer
+            continue
+        codes.append(word[0] if len(word) == 1 else table[word])
+        if free < 4096:
+            table[longer] = free
+            free += 1
+        word = bytes([b])
+    codes.append(word[0] if len(word) == 1 else table[word])
+    widths = gif._widths(8, len(codes) + 1).tolist()
+    bits, at = clear, 9
+    for c, w in zip([*codes, 257], widths, strict=True):
+        bits, at = bits | c << at, at + w
+    stream = bits.to_bytes(at // 8 + 1, "little")
+    assert lzw_by_the_book(stream, 8) == data and gif.lzw_decode_all([stream, stream], 8) == [data, data]
+
+
+def test_features_are_those_of_the_texts(spark):
+    text = "Tide and time. " * 60
+    got = gif.gif_features(gif.encode_gifs(table(spark, [(1, text)]))).first()
+    data = text.encode() + b"\xff" * (-len(text) % 576)
+    bins = Counter(((b >> 5) * 255 // 7 >> 6) << 4 | ((b >> 2 & 7) * 255 // 7 >> 6) << 2 | (b & 3) * 255 // 3 >> 6 for b in data)
+    assert got.feature == "24x24 frames=2 ms=200 colours=" + " ".join(f"{b}:{n}" for b, n in sorted(bins.items()))
+    assert got.media_bytes < len(data) + 13 + 768 + 19 + 1
+
+
+def test_damaged_media(spark):
+    good = gif.write_gif(gif.lzw_encode_all([bytes(576)]), 24, gif.palette(), 10)
+    media = [None, b"", b"PNG", good[:40], good[:-30], good]
+    df = spark.createDataFrame([(i, 1, m) for i, m in enumerate(media)], "id long, n_bytes long, media binary")
+    got = {r.doc_id: (r.payload_bytes, r.error is None) for r in gif.gif_features(df).collect()}
+    assert got[5] == (576, True) and all(got[i] == (None, False) for i in range(4))
+    assert {r.id for r in gif.gif_frames(df).collect()} <= {4, 5}
 
 
 def test_disposal_and_transparency():
@@ -355,12 +433,12 @@ def test_disposal_and_transparency():
     def frame(left, top, side, samples, disposal, clear=None, interlaced=False):
         flags = disposal << 2 | (clear is not None)
         control = b"\x21\xf9\x04" + bytes([flags, 5, 0, clear or 0, 0])
-        return control + b"\x2c" + bytes([left, 0, top, 0, side, 0, side, 0, 0x40 * interlaced]) + b"\x02" + gif._blocked(gif.lzw_encode(samples, 2))
+        return control + b"\x2c" + bytes([left, 0, top, 0, side, 0, side, 0, 0x40 * interlaced]) + b"\x02" + gif._blocked(gif.lzw_encode_all([samples], 2)[0])
 
     data = head + frame(0, 0, 4, red, 1) + frame(1, 1, 2, part, 3, clear=2) + frame(2, 2, 2, part, 2) + frame(0, 0, 4, red[:0] + bytes([3] * 4 + [0] * 4 + [1] * 4 + [2] * 4), 0, interlaced=True) + b"\x3b"
     w, h, frames = gif.parse_gif(data)
     gif.decode_frames(frames)
-    shown = [p for p, _ in gif.compose(w, h, frames)]
+    shown = [p.copy().view(np.uint8).reshape(h, w, 4) for p, _ in gif.compose(w, h, frames)]
     assert shown[1][1, 1, :3].tolist() == [0, 255, 0] and shown[1][1, 2, :3].tolist() == [255, 0, 0]
     assert shown[2][1, 1, :3].tolist() == [255, 0, 0] and shown[2][2, 3, :3].tolist() == [0, 0, 255]
     assert [int(r[0][0]) for r in shown[3]] == [9, 0, 255, 0] and [int(r[0][2]) for r in shown[3]] == [9, 0, 0, 255]

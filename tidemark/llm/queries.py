@@ -53,7 +53,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All texts as GIF columns, decoded again, with colour features."""
-    return gif_features(encode_gifs(_table(spark, sf_dir, "documents"))).drop("frames")
+    return gif_features(encode_gifs(_table(spark, sf_dir, "documents"))).drop("frames", "error")
 
 
 def op7_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
