@@ -10,6 +10,7 @@ the coordinates were independent.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import release
 from tidemark.llm.graph import connected_components
+from tidemark.llm.rows import numbered, repeating
 from tidemark.llm.scratch import Scratch
 from tidemark.llm.words import MIX_A, mix64, shingle_hashes, text_slices, word_hashes
 
@@ -57,71 +59,144 @@ def band_keys(sketches: np.ndarray, bands: int) -> np.ndarray:
     return key
 
 
-def nibbles(sketches: np.ndarray) -> np.ndarray:
-    """Return the low four bits of each coordinate, sixteen to a 64-bit integer."""
-    n, t = sketches.shape
-    parts = sketches.reshape(n, t // 16, 16) & np.uint64(15)
-    return (parts << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
+#: Coordinates whose lowest bit is kept, to compare sketches in few bytes.
+SKETCH_BITS = 384
+_WORDS = SKETCH_BITS // 64
 
 
-def differing(a: str, b: str, t: int) -> str:
-    """SQL for the number of the ``t`` four-bit coordinates in which two packed sketches differ."""
-    out = []
-    for i in range(t // 16):
-        z = f"({a}[{i}] ^ {b}[{i}])"
-        half = f"({z} | shiftrightunsigned({z}, 1))"
-        out.append(f"bit_count(({half} | shiftrightunsigned({half}, 2)) & {0x1111111111111111}L)")
-    return " + ".join(out)
+def low_bits(sketches: np.ndarray) -> np.ndarray:
+    """Return the lowest bit of the first ``SKETCH_BITS`` coordinates, packed into 64-bit integers."""
+    bits = np.packbits((sketches[:, :SKETCH_BITS] & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little")
+    return np.ascontiguousarray(bits).view(np.int64)
 
 
-def most_differing(t: int, percent: int) -> int:
-    """Coordinates in which a pair at the limit differs at most, six standard deviations out (1e-9)."""
-    agree = percent / 100 + (1 - percent / 100) / 16
-    return int(t * (1 - agree) + 6 * (t * agree * (1 - agree)) ** 0.5) + 1
+def most_differing(percent: int) -> int:
+    """Bits in which a pair at the limit differs at most, six standard deviations out (1e-8)."""
+    differ = (1 - percent / 100) / 2
+    return int(SKETCH_BITS * differ + 6 * (SKETCH_BITS * differ * (1 - differ)) ** 0.5) + 1
 
 
-def _sketched(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: int, t: int) -> Iterator[pa.RecordBatch]:
+def _sketched(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+    """Of each row: its set's size and 128-bit digest, its bands, and its sketch's lowest bits."""
     for batch in batches:
-        for part in text_slices(batch, "text"):
-            words, bounds = word_hashes(part.column("text"))
-            codes, offsets = shingle_hashes(words, bounds, width)
+        for part in text_slices(batch, "text", 2 << 20):
+            codes, offsets = shingle_hashes(*word_hashes(part.column("text")), width)
             size = np.diff(offsets)
-            made = sketch(codes, offsets, t)
-            keys = band_keys(made[:, : bands * rows], bands)
-            nib = nibbles(made)
-            sums = []
-            for k in (0x51ED270B, 0x2545F491):
-                total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(codes ^ np.uint64(k)), dtype=np.uint64)])
-                sums.append(mix64(total[offsets[1:]] - total[offsets[:-1]]).view(np.int64))
-            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).view(np.int64))) for x in (keys, nib)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(size), pa.array(sums[0]), pa.array(sums[1]), *lists],
-                ["id", "n_shingles", "s0", "s1", "bands", "nib"],
-            )
+            made = sketch(codes, offsets, bands * rows + 1)
+            keys, bits = band_keys(made[:, : bands * rows], bands), low_bits(made)
+            raw = memoryview(codes.tobytes())
+            digest = np.frombuffer(b"".join([hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]), np.int64).reshape(-1, 2)
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).view(np.int64))) for x in (keys, bits)]
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(size), *(pa.array(np.ascontiguousarray(digest[:, k])) for k in (0, 1)), *lists], ["row", "n", "d0", "d1", "bands", "bits"])
         release()
 
 
-def _checked(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Keep the pairs whose whole sets are similar enough."""
+def _verified(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Members whose whole sets are similar enough to the pivot's, which stands before them."""
+    held_key, held = None, np.zeros(0, np.uint64)
+    for batch in batches:
+        for part in text_slices(batch, "text", 1 << 20):
+            codes, offsets = shingle_hashes(*word_hashes(part.column("text")), width)
+            pivot, b = (part.column(n).to_numpy(zero_copy_only=False) for n in ("pivot", "b"))
+            key = list(zip(part.column("a").to_pylist(), part.column("salt").to_pylist(), strict=True))
+            # Set 0 is the pivot that an earlier slice ended with.
+            sets = np.concatenate([held, codes])
+            begin = np.concatenate([[0], offsets[:-1] + len(held)])
+            size = np.concatenate([[len(held)], np.diff(offsets)])
+            is_pivot = np.concatenate([[True], pivot])
+            mine = np.maximum.accumulate(np.where(is_pivot, np.arange(len(is_pivot)), 0))
+            members = np.flatnonzero(~is_pivot)
+            own = mine[members]
+            keys = [held_key, *key]
+            known = np.array([keys[p] == keys[m] for p, m in zip(own.tolist(), members.tolist(), strict=True)], bool)
+            if not known.all():
+                raise ValueError("a member came before its pivot")
+            common = _common(sets, begin[members], size[members], begin[own], size[own])
+            similar = (common > 0) & (100 * common >= percent * (size[members] + size[own] - common))
+            at = members[similar] - 1
+            yield pa.RecordBatch.from_arrays([part.column("a").take(pa.array(at)), pa.array(b[at])], ["a", "b"])
+            last = int(mine[-1])
+            if last:
+                held_key, held = keys[last], sets[begin[last] : begin[last] + size[last]].copy()
+        release()
+
+
+def _common(sets: np.ndarray, a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """The number of codes that each pair of sets, given by places and sizes, has in common."""
+    def taken(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return sets[np.repeat(at - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())]
+
+    if not len(a):
+        return np.zeros(0, np.int64)
+    row = np.concatenate([np.repeat(np.arange(len(a)), na), np.repeat(np.arange(len(b)), nb)])
+    code = np.concatenate([taken(a, na), taken(b, nb)])
+    order = np.lexsort((code, row))
+    row, code = row[order], code[order]
+    return np.bincount(row[1:][(row[1:] == row[:-1]) & (code[1:] == code[:-1])], minlength=len(a))
+
+
+def _likely(batches: Iterator[pa.RecordBatch], percent: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Members of a bucket whose sketch is near that of a member of another component."""
+    held: list[pa.RecordBatch] = []
+
+    def told(table: pa.Table) -> pa.RecordBatch:
+        col = {n: table.column(n).to_numpy() for n in ("key", "i", "j", "x", "row", "n", "c")}
+        bits = table.column("bits").combine_chunks().flatten().to_numpy().reshape(-1, _WORDS).view(np.uint64)
+        hit = _near(col, bits, percent, limit)
+        return pa.RecordBatch.from_arrays([pa.array(col["key"][hit]), pa.array(col["row"][hit])], ["key", "row"])
+
+    group = lambda batch, k: tuple(batch.column(n)[k].as_py() for n in ("key", "i", "j"))
     for batch in batches:
-        for part in text_slices(batch, "text_b"):
-            (ca, oa), (cb, ob) = (shingle_hashes(*word_hashes(part.column(c)), width) for c in ("text_a", "text_b"))
-            na, nb = np.diff(oa), np.diff(ob)
-            row = np.concatenate([np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)])
-            code = np.concatenate([ca, cb])
-            order = np.lexsort((code, row))
-            row, code = row[order], code[order]
-            both = (row[1:] == row[:-1]) & (code[1:] == code[:-1])
-            common = np.bincount(row[1:][both], minlength=len(na))
-            similar = (common > 0) & (100 * common >= percent * (na + nb - common))
-            yield part.select(["a", "b"]).filter(pa.array(similar))
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if group(batch, 0) == group(batch, batch.num_rows - 1):
+            continue  # the group may go on
+        table = pa.Table.from_batches(held)
+        last = group(batch, batch.num_rows - 1)
+        at = batch.num_rows - 1
+        while group(batch, at - 1) == last:
+            at -= 1
+        done = table.num_rows - (batch.num_rows - at)
+        yield told(table.slice(0, done))
+        held = [batch.slice(at)]
+    if held:
+        yield told(pa.Table.from_batches(held))
+
+
+def _near(col: dict[str, np.ndarray], bits: np.ndarray, percent: int, limit: int) -> np.ndarray:
+    n, c, x = col["n"], col["c"], col["x"]
+    new = np.ones(len(n), bool)
+    new[1:] = (col["key"][1:] != col["key"][:-1]) | (col["i"][1:] != col["i"][:-1]) | (col["j"][1:] != col["j"][:-1])
+    head = np.flatnonzero(new)
+    size = np.diff(np.append(head, len(n)))
+    end = np.repeat(head + size, size)
+    across = col["i"] != col["j"]
+    hit = np.zeros(len(n), bool)
+
+    def compare(p: np.ndarray, q: np.ndarray) -> None:
+        ok = (c[p] != c[q]) & ~(across[p] & (x[p] == x[q])) & (100 * np.minimum(n[p], n[q]) >= percent * np.maximum(n[p], n[q]))
+        p, q = p[ok], q[ok]
+        ok = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64) <= limit
+        hit[p[ok]] = True
+        hit[q[ok]] = True
+
+    at, d = np.flatnonzero(np.repeat(size <= 64, size)), 1
+    while len(at):
+        at = at[at + d < end[at]]
+        compare(at, at + d)
+        d += 1
+    for a, m in zip(head[size > 64].tolist(), size[size > 64].tolist(), strict=True):
+        for p in range(a, a + m):
+            compare(np.full(a + m - p - 1, p), np.arange(p + 1, a + m))
+    return np.flatnonzero(hit)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, "text"):
             codes, offsets = shingle_hashes(*word_hashes(part.column("text")), width)
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([codes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], ["id", "codes"])
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array([codes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], ["row", "codes"])
 
 
 def _home_links(table: pa.Table, percent: int) -> pa.Table:
@@ -129,7 +204,7 @@ def _home_links(table: pa.Table, percent: int) -> pa.Table:
 
     Returns links that join components, at most one fewer than there are.
     """
-    ids, c = table.column("id").to_numpy(), table.column("c").to_numpy()
+    ids, c = table.column("row").to_numpy(), table.column("c").to_numpy()
     sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("codes")]
     size = np.array([len(s) for s in sets])
     _, code = np.unique(np.concatenate(sets), return_inverse=True)
@@ -162,81 +237,109 @@ def _home_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 40, rows: int = 5, coordinates: int = 400, block_shingles: int = 2_000_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 57, rows: int = 7, block_rows: int = 4096, block_shingles: int = 2_000_000, most_broadcast: int = 1_000_000) -> DataFrame:
     """Return doc_id, n_shingles, component_id and kept for every row of ``docs``.
 
     Two documents are linked if ``100 * common >= percent * union`` of their
     sets of ``width``-word shingles; ``component_id`` is the smallest id
-    reachable.  A pair at similarity 0.8 escapes all 40 bands of 5 with a
-    probability of 1.3e-7; every link is confirmed on the whole sets.
-
-    Equal sets collapse first.  Each member of a bucket is compared with the
-    likeliest of the buckets' first members, by ``coordinates`` of their
-    sketches, if these agree as often as a pair at the limit does, less six
-    standard deviations.  Then components are merged, and in buckets that still
-    hold several components the members of different ones are compared, in
-    blocks of ``block_shingles`` shingles; of the links found only those that
-    join components are kept.
+    reachable.  A pair at similarity 0.8 escapes all 57 bands of 7 with a
+    probability of 1.5e-6; every link is confirmed on the whole sets, of 64-bit
+    codes of the shingles.
+
+    Sets with one 128-bit digest collapse first.  Each member of a bucket is
+    compared with the likeliest of its buckets' first members, if sizes and
+    sketches allow it, to six standard deviations.  Then components are merged.
+    In buckets that still hold several, sketches of members of different
+    components are compared, in blocks of ``block_rows``, and the whole sets of
+    those with a likely partner, in blocks of ``block_shingles``; of the links
+    found only those that join components are kept.  Lists of at most
+    ``most_broadcast`` row numbers, counted before, pick texts without a shuffle.
 
     A null or empty text has no shingles and no links (its component is
     itself).  Rows that repeat an id are one node and all come back.  A null id
     gets a null component and is not kept.  Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "near-dup")
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    made = scratch.keep(base.mapInArrow(lambda it: _sketched(it, width, bands, rows, coordinates), "id long, n_shingles long, s0 long, s1 long, bands array<long>, nib array<long>"), "sketches")
-    full = made.where("n_shingles > 0 and id is not null")
-    classes = scratch.keep(full.groupBy("s0", "s1", "n_shingles").agg(F.min("id").alias("rep")), "classes")
-    heads = full.join(classes, ["s0", "s1", "n_shingles"]).where("id = rep").dropDuplicates(["id", "s0", "s1", "n_shingles"]).select("id", F.col("n_shingles").alias("n"), "bands")
-    keyed = heads.select("id", "n", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
+    known = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    repeats = repeating(known, "id", nulls=False)
+    base = numbered(known, "id", "text", scratch, "row") if repeats else known.withColumn("row", F.col("id"))
+    made = base.where("id is not null").select("row", "text").mapInArrow(lambda it: _sketched(it, width, bands, rows), "row long, n long, d0 long, d1 long, bands array<long>, bits array<long>")
+    made = scratch.keep(made, "sketches")
+    full = made.where("n > 0")
+    classes = scratch.keep(full.groupBy("d0", "d1").agg(F.min("row").alias("rep")), "classes")
+    heads = scratch.keep(full.join(classes.select(F.col("rep").alias("row")), "row").select("row", "n", "bands", "bits"), "heads")
+    keyed = heads.select("row", F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("key", "low")
     buckets = scratch.keep(keyed.join(shared, "key"), "buckets")
-    # An id with several texts has several sketches; then pairs go to the exact check unfiltered.
-    repeats = full.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").limit(1).count() > 0
-    packed = full.select("id", "nib").dropDuplicates(["id"]) if repeats else full.select("id", "nib")
-
-    def check(pairs: DataFrame, name: str) -> DataFrame:
-        """Confirm distinct pairs on whole texts."""
-        pairs = scratch.keep(pairs, f"pairs-{name}")
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        texts = base.where("id is not null and text <> ''").join(wanted, "id", "left_semi")
-        left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        joined = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        return scratch.keep(joined.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: _checked(it, width, percent), "a long, b long"), f"links-{name}")
-
+    sketches = heads.select("row", "n", "bits")
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    pivots = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("p"))
-    stars = buckets.join(pivots, "key").select(F.col("p.id").alias("a"), F.col("id").alias("b"), "n", F.col("p.n").alias("m")).where(f"a < b and {fits}").select("a", "b").distinct()
-    stars = stars.join(packed.withColumnRenamed("id", "a"), "a").join(packed.select(F.col("id").alias("b"), F.col("nib").alias("nib_b")), "b")
-    stars = stars.withColumn("off", F.expr(differing("nib", "nib_b", coordinates)) if not repeats else F.lit(0)).where(F.col("off") <= most_differing(coordinates, percent))
-    # Of the members before it in its buckets, each one is first compared with the likeliest.
-    links = check(stars.groupBy("b").agg(F.min(F.struct("off", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"), "star")
+    limit = most_differing(percent)
+
+    def picked(wanted: DataFrame, n: int) -> DataFrame:
+        """The texts of the rows in ``wanted``, with its other columns."""
+        return base.select("row", "text").join(F.broadcast(wanted) if n <= most_broadcast else wanted, "row")
+
+    def check(pairs: DataFrame) -> DataFrame:
+        """Confirm pairs of a pivot ``a`` and a member ``b``, each member once, on whole texts."""
+        pairs = scratch.keep(pairs, "pairs")
+        n = pairs.count()
+        sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / 256).cast("int").alias("blocks"))
+        dealt = pairs.join(sizes, "a").select(F.col("b").alias("row"), "a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("salt"))
+        members = picked(dealt, n).select("a", "salt", F.lit(False).alias("pivot"), F.col("row").alias("b"), "text")
+        firsts = picked(sizes.withColumnRenamed("a", "row"), n).select(F.col("row").alias("a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"), F.lit(True).alias("pivot"), F.col("row").alias("b"), "text")
+        sorted_rows = members.union(firsts).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("pivot").desc())
+        return scratch.keep(sorted_rows.mapInArrow(lambda it: _verified(it, width, percent), "a long, b long"), "links")
+
+    stars = buckets.where("row > low").select(F.col("low").alias("a"), F.col("row").alias("b")).distinct()
+    stars = stars.join(sketches.select(F.col("row").alias("a"), F.col("n").alias("m"), F.col("bits").alias("bits_a")), "a").join(sketches.withColumnRenamed("row", "b"), "b").where(fits)
+    off = " + ".join(f"bit_count(bits[{i}] ^ bits_a[{i}])" for i in range(_WORDS))
+    stars = stars.withColumn("off", F.expr(off)).where(F.col("off") <= limit)
+    links = check(stars.groupBy("b").agg(F.min(F.struct("off", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"))
     parts = connected_components(links, scratch)
-    placed = buckets.join(parts, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-    split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    rest = scratch.keep(placed.join(split, "key"), "open")
-    if rest.limit(1).count():
+    placed = buckets.join(parts.withColumnRenamed("id", "row"), "row", "left").select("key", "row", F.coalesce("component", "row").alias("c"))
+    split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")).where("low < high").select("key", "blocks")
+    rest = scratch.keep(placed.join(split, "key").join(sketches, "row"), "open")
+    blocked = rest.withColumn("x", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocked = blocked.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "row", "n", "c", "bits")
+    near = blocked.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lambda it: _likely(it, percent, limit), "key long, row long")
+    likely = scratch.keep(near.distinct(), "likely")
+    if likely.limit(1).count():
+        members = rest.select("key", "row", "n", "c").join(likely, ["key", "row"])
         # Buckets go where their largest component is at home, so that a member's set travels once or twice and not with each bucket.
-        home = rest.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(F.max(F.struct("k", "c"))["c"].alias("home"))
-        held = scratch.keep(rest.join(home, "key").groupBy("home", "id").agg(F.min("c").alias("c"), F.max("n").alias("n"), F.collect_set("key").alias("keys")), "homes")
+        home = members.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(F.max(F.struct("k", "c"))["c"].alias("home"))
+        held = scratch.keep(members.join(home, "key").groupBy("home", "row").agg(F.min("c").alias("c"), F.max("n").alias("n"), F.collect_set("key").alias("keys")), "homes")
         sizes = held.groupBy("home").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
         # A home too large for one task is cut into blocks, each compared with each.
-        dealt = held.join(sizes, "home").withColumn("x", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.select("home", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "id", "c", "keys")
-        sets = base.join(held.select("id").distinct(), "id", "left_semi").mapInArrow(lambda it: _sets(it, width), "id long, codes binary")
-        found = scratch.keep(dealt.join(sets, "id").groupBy("home", "i", "j").applyInArrow(lambda t: _home_links(t, percent), "a long, b long").distinct(), "links-rest")
+        dealt = held.join(sizes, "home").withColumn("x", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("home", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "row", "c", "keys")
+        wanted = held.select("row").distinct()
+        sets = picked(wanted, held.count()).mapInArrow(lambda it: _sets(it, width), "row long, codes binary")
+        found = scratch.keep(dealt.join(sets, "row").groupBy("home", "i", "j").applyInArrow(lambda t: _home_links(t, percent), "a long, b long").distinct(), "links")
         if found.limit(1).count():
             parts = connected_components(links.union(found), scratch)
-    low = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left").select("s0", "s1", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    out = made.join(low, ["s0", "s1", "n_shingles"], "left").select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component_id"))
-    # An id with several different texts is one node: its rows share the smallest component.
+    low = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left").select("d0", "d1", F.coalesce("component", "rep").alias("component"))
+    out = made.join(low, ["d0", "d1"], "left").select("row", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "row")).otherwise(F.col("row")).alias("component"))
     if repeats:
-        out = _joined_rows(out, scratch)
-    out = out.select(F.col("id").alias("doc_id"), "n_shingles", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
+        out = _by_id(out, base, scratch)
+    else:
+        out = out.select(F.col("row").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+    lost = known.where("id is null").select("text").mapInArrow(lambda it: _sizes(it, width), "n_shingles long").select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    out = out.unionByName(lost)
     return scratch.result(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
 
-def _joined_rows(out: DataFrame, scratch: Scratch) -> DataFrame:
-    """Merge the components of rows that repeat an id."""
-    parts = connected_components(out.where("id is not null").select(F.col("id").alias("a"), F.col("component_id").alias("b")), scratch)
-    return out.join(parts, "id", "left").select("id", "n_shingles", F.coalesce("component", "component_id").alias("component_id"))
+def _sizes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in text_slices(batch, "text"):
+            yield pa.RecordBatch.from_arrays([pa.array(np.diff(shingle_hashes(*word_hashes(part.column("text")), width)[1]))], ["n_shingles"])
+
+
+def _by_id(out: DataFrame, base: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows that repeat an id are one node: join the components of their rows, and name them by ids."""
+    ids = base.where("id is not null").select("row", "id")
+    named = scratch.keep(out.join(ids, "row"), "named")
+    least = named.groupBy("component").agg(F.min("id").alias("least"))
+    named = named.join(least, "component")
+    parts = connected_components(named.select(F.col("id").alias("a"), F.col("least").alias("b")), scratch)
+    named = named.join(parts.withColumnRenamed("component", "root"), "id", "left")
+    return named.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("root", "least").alias("component_id"))
