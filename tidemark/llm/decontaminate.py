@@ -11,6 +11,7 @@ words as they stand find verbatim copies, whatever share of them are slots.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ from tidemark.llm.words import BASE, NOT_ALNUM, lowered, mix64, span_hashes, tex
 
 #: Units of measure that stand after a number.
 UNITS = "mm cm m km in ft yd mi mg g kg t oz lb lbs ml cl l gal s sec secs min mins h hr hrs hour hours day days week weeks month months year years ms hz khz mhz ghz w kw mw v a j kj cal kcal b kb mb gb tb k c f percent pct usd eur gbp dollar dollars cent cents euro euros mph kph meter meters metre metres mile miles foot feet inch inches pound pounds gram grams litre litres liter liters second seconds minute minutes degree degrees".split()
+#: Words that open sentences without being names.
+OPENERS = "a about after all also an and any are as at because before between both but by calculate can compute consider could did do does each every evaluate explain find first for from given had has have he her his how i if in is it its let list many more most my no not of on one or other our she should show since so some suppose that the their then there these they this those through to two under use was we were what when where which while who whose why will with would write you your".split()
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (0x6A09E667F3BCC909, 0xBB67AE8584CAA73B, 0x3C6EF372FE94F82B))
 _DIGIT = np.array([48 <= b < 58 for b in range(256)])
 _UPPER = np.array([65 <= b < 91 for b in range(256)])
@@ -30,17 +33,24 @@ _STOP = np.array([chr(b) in ".!?:;\n" for b in range(256)])
 FILTER_BITS = 24
 
 
-def _unit_hashes() -> np.ndarray:
-    data, offsets = text_bytes(pa.array(UNITS))
+@lru_cache(maxsize=2)
+def _listed(words: tuple[str, ...]) -> np.ndarray:
+    data, offsets = text_bytes(pa.array(words))
     return np.sort(span_hashes(data, offsets[:-1], offsets[1:]))
 
 
+def _among(values: np.ndarray, words: list[str]) -> np.ndarray:
+    known = _listed(tuple(words))
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def templates(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Return template codes, slot values (0 for literal tokens), the ``n + 1`` token offsets of the rows; and word hashes, the words that stand in slots, and word offsets.
 
     Words are runs of letters or of digits, A-Z lower-cased.  Tokens are words,
     but ``1,234.5`` is one number; a unit is a known word right after a number;
-    a name is a capitalised word inside a sentence, or several in a row.
+    a name is a capitalised word, or several in a row; at the start of a
+    sentence the words of ``OPENERS`` are none.
     """
     raw, offsets = text_bytes(text)
     n = len(text)
@@ -67,9 +77,8 @@ def templates(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     opening[1:] |= stops[starts[1:]] > stops[ends[:-1]]
     number = digit[starts]
     accented = (raw[starts] == 0xC3) & (np.append(raw, 0)[starts + 1] >= 0x80) & (np.append(raw, 0)[starts + 1] <= 0x9E)
-    name = (_UPPER[raw[starts]] | accented) & ~opening & ~number
-    units = _unit_hashes()
-    unit = units[np.minimum(np.searchsorted(units, value), len(units) - 1)] == value
+    name = (_UPPER[raw[starts]] | accented) & ~(opening & _among(value, OPENERS)) & ~number
+    unit = _among(value, UNITS)
     unit[1:] &= number[:-1] & ~fresh[1:]
     unit[0] = False
     code = np.where(number, NUMBER, np.where(name, NAME, np.where(unit, UNIT, value)))
