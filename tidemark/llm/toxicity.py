@@ -138,8 +138,8 @@ def _figures(n: np.ndarray, found: list, model: ToxicityModel) -> tuple[np.ndarr
     for i, segments in enumerate(found):
         if segments:
             norm = model.rate * np.array([v for _, _, v in segments]) - model.log_k - np.log(max(1, n[i]))
-            best[i] = np.clip(norm.max(), -5.0, 30.0)
-            total[i] = min(60.0, norm[norm > -np.log(EXPECTED)].sum())
+            best[i] = max(norm.max(), -5.0)
+            total[i] = norm[norm > -np.log(EXPECTED)].sum()
     return best, total
 
 
@@ -176,13 +176,13 @@ def _rate(scores: np.ndarray, mass: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def learn_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 4, test: int = 2, calibrate: int = 3, max_rows: int = 60_000, max_tokens: int = 100_000, prior: float = 0.1, drift: float = 0.3, least_z: float = 1.96, least_docs: int = 3) -> ToxicityModel:
+def learn_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 4, test: int = 2, calibrate: int = 3, max_rows: int = 60_000, prior: float = 0.1, drift: float = 0.3, least_z: float = 1.96, least_docs: int = 3) -> ToxicityModel:
     """Learn a model from labelled documents outside fold ``test`` (crc32 of the id as text, modulo ``folds``).
 
     Fold ``calibrate`` sets the extreme-value parameters and the probabilities,
     the others the token scores.  At most about ``max_rows`` labelled documents
-    are used, by a hash of their ids, and ``max_tokens`` tokens kept, the most
-    significant first.  Equal texts count once.  Null ids, labels and texts
+    are used, by a hash of their ids; all their significant tokens are kept.
+    Equal texts count once.  Null ids, labels and texts
     teach nothing; without labels of both kinds every score is the share of
     toxic labels.
     """
@@ -210,7 +210,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
         error = F.sqrt(1 / (F.col("d1") + a) + 1 / (F.col("d0") + a))
         z = raw / error
         odds = raw - F.signum(raw) * least_z * error
-        top = counts.where(F.col("d1") + F.col("d0") >= least_docs).select("h", "t0", odds.alias("odds"), z.alias("z")).where(F.abs("z") >= least_z).orderBy(F.abs("z").desc(), "h").limit(max_tokens).toPandas()
+        top = counts.where(F.col("d1") + F.col("d0") >= least_docs).select("h", "t0", odds.alias("odds"), z.alias("z")).where(F.abs("z") >= least_z).toPandas()  # of the tokens of ``max_rows`` texts at most
         h = top["h"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(h)
         hashes, scores = h[order], top["odds"].to_numpy()[order]
