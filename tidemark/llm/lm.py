@@ -8,7 +8,8 @@ it, of the word alone, and a uniform one:
 The weights, which sum to one, depend on the frequency bucket ``b`` of the
 context ``v``.  Expectation-maximisation learns them
 on the counts of held-out training documents, whose own counts are deleted
-from the rest.  Counts come from all training documents: chunks send their
+from the rest; there, and only there, estimates are rounded to an eighth of an
+octave, so that their table stays small.  Counts come from all training documents: chunks send their
 distinct n-grams to hash ranges, which sum them and answer each chunk.
 """
 
@@ -73,8 +74,8 @@ def _keys(row: dict):
 
 _ASK = "part int, chunk long, grp int, words binary, wn binary, grams binary, gn binary"
 _ASK_ARROW = [("part", pa.int32()), ("chunk", pa.int64()), ("grp", pa.int32()), *((k, pa.binary()) for k in ("words", "wn", "grams", "gn"))]
-_TOLD = "part int, chunk long, grp int, wn binary, gn binary, wh binary, gh binary"
-_TOLD_ARROW = [("part", pa.int32()), ("chunk", pa.int64()), ("grp", pa.int32()), *((k, pa.binary()) for k in ("wn", "gn", "wh", "gh"))]
+_TOLD = "part int, chunk long, grp int, wn binary, gn binary, wh binary, gh binary, tokens long, types long, held long"
+_TOLD_ARROW = [("part", pa.int32()), ("chunk", pa.int64()), ("grp", pa.int32()), *((k, pa.binary()) for k in ("wn", "gn", "wh", "gh")), *((k, pa.int64()) for k in ("tokens", "types", "held"))]
 
 
 def _batch(schema, rows) -> pa.RecordBatch:
@@ -119,8 +120,8 @@ def _tell(table: pa.Table) -> pa.Table:
     start = any(((k == START) & (c > 0)).any() for k, c in zip(words, wn, strict=True))
     rows = []
     for i, (chunk, group) in enumerate(zip(chunks, groups, strict=True)):
-        rows.append((part, chunk, group, packed_counts(w[i]), packed_counts(g[i]), *((packed_counts(wh[i]), packed_counts(gh[i])) if held[i] else (None, None))))
-    rows.append((part, -1, -1, np.array([sum(sums), known - start, sum(s for s, h in zip(sums, held, strict=True) if h)], np.int64).tobytes(), None, None, None))
+        rows.append((part, chunk, group, packed_counts(w[i]), packed_counts(g[i]), *((packed_counts(wh[i]), packed_counts(gh[i])) if held[i] else (None, None)), None, None, None))
+    rows.append((part, -1, -1, None, None, None, None, sum(sums), known - start, sum(s for s, h in zip(sums, held, strict=True) if h)))
     return pa.Table.from_batches([_batch(_TOLD_ARROW, rows)])
 
 
@@ -213,11 +214,9 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     size = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     parts = max(8, -(-size // part_bytes))
     asked = chunks.mapInArrow(lambda it: _ask(it, parts), _ASK)
-    told = scratch.keep(asked.groupBy("part").applyInArrow(_tell, _TOLD), "told")
-    totals = np.zeros(3, np.int64)
-    for r in told.where("chunk = -1").select("wn").toLocalIterator():
-        totals += np.frombuffer(r.wn, np.int64)
-    n, types, n_held = (int(x) for x in totals)
+    # Twice as many tasks as ranges, so that few of them get several.
+    told = scratch.keep(asked.repartition(2 * parts, "part").groupBy("part").applyInArrow(_tell, _TOLD), "told")
+    n, types, n_held = told.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "held"))).first()
 
     def answered(some: str, columns: list[str]) -> DataFrame:
         by_chunk = told.where(some).groupBy("chunk").agg(F.collect_list(F.struct("part", *columns)).alias("told"))
