@@ -160,7 +160,7 @@ def _placed(batches: Iterator[pa.RecordBatch], runs: np.ndarray) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sequence), pa.array(runs[at, 4])], [*names, "sequence_id", "offset"])
 
 
-def pack(docs: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", group_rows: int = 50_000) -> DataFrame:
+def pack(docs: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", group_rows: int = 20_000) -> DataFrame:
     """Pack documents into sequences of at most ``capacity`` tokens, as few as possible.
 
     Returns one row for each piece: doc_id, piece, start, length, ids_crc32,
@@ -180,8 +180,9 @@ def pack(docs: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", end_id: int =
     for r in counts:
         histogram[r.length] = r.n
     runs = plan(histogram)
-    # Ranks within a length: groups of bounded size, and the sizes of the groups before.
-    salts = max(1, -(-int(histogram.max()) // group_rows))
+    # Ranks within a length: groups of bounded size, as many as there are tasks, and the sizes of the groups before.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(-(-int(histogram.max()) // group_rows), min(tasks, -(-int(histogram.max()) // 200)), 1)
     salted = made.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(salts)))
     sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = sizes.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
