@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import Scratch
 
+#: Key lists of at most so many rows, counted before, are broadcast.
+MOST_KEYS = 1_000_000
+
 
 def repeating(docs: DataFrame, id_col: str, nulls: bool = True) -> bool:
     """Whether an id repeats or, with ``nulls``, is null."""
@@ -23,3 +26,9 @@ def numbered(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch, name
     placed = hashed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_hash", "_at")
     # The number holds the partition, in order of its range, above the place within.
     return scratch.keep(placed.withColumn(name, F.monotonically_increasing_id()), "placed")
+
+
+def without(docs: DataFrame, key: str, gone: DataFrame, most: int = MOST_KEYS) -> DataFrame:
+    """``docs`` without the keys in ``gone``; a list of at most ``most`` keys is broadcast, so that no text is shuffled."""
+    keys = gone.select(key).distinct()
+    return docs.join(F.broadcast(keys) if gone.count() <= most else keys, key, "left_anti")
