@@ -17,7 +17,7 @@ from tidemark.llm.decontaminate import benchmark_leaks
 from tidemark.llm.near_dup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.repeats import repeated_bytes
-from tidemark.llm.rows import numbered, repeating
+from tidemark.llm.rows import numbered, repeating, without
 from tidemark.llm.scratch import Scratch
 from tidemark.llm.toxicity import learn_toxicity, score_toxicity
 
@@ -43,8 +43,7 @@ def _keyed(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
 
 def _without(docs: DataFrame, key: str, rows: DataFrame, columns: list[str]) -> DataFrame:
     """The given columns of the keyed ``docs`` without the ``rows``, whose keys are in doc_id."""
-    gone = rows.select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, key, "left_anti").select(columns)
+    return without(docs, key, rows.select(F.col("doc_id").alias(key))).select(columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
