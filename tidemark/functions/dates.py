@@ -69,3 +69,8 @@ def recent_quarters(today: Column, n: int) -> Column:
     """The last ``n`` quarters, newest first, as structs (year, quarter)."""
     starts = F.sequence(F.trunc(today, "quarter"), F.add_months(F.trunc(today, "quarter"), -3 * (n - 1)), F.expr("interval -3 months"))
     return F.transform(starts, lambda d: F.struct(F.year(d).alias("year"), F.quarter(d).alias("quarter")))
+
+
+def latest_of(days: Column, preferred) -> Column:
+    """The newest of some dates that ``preferred`` accepts, else the newest of all; null without dates."""
+    return F.coalesce(F.array_max(F.filter(days, lambda d: preferred(d))), F.array_max(days))

@@ -89,3 +89,17 @@ def canonical_ratio(x: Column) -> Column:
     """A depositary ratio as a simple fraction within 3 %, else rounded if between 0.05 and 50, else null."""
     f = nearest_fraction(x)
     return F.when(x > 0, F.when((f > 0) & (F.abs(x - f) / f <= 0.03), f).when(x.between(0.05, 50), F.round(x, 6)))
+
+
+def digits_only(text: Column) -> Column:
+    """A number of all digits and points of a text, negative in parentheses or after a minus sign; null without digits or with two points.
+
+    The older table parser reads cells so: ``2024-Q1`` gives 20241.
+    """
+
+    def whole(t: Column) -> Column:
+        kept = F.regexp_replace(t, r"[^0-9.]", "")
+        signed = F.when(t.rlike(r"^\$?\(|^-"), -1.0).otherwise(1.0)
+        return F.when(kept.rlike(r"\d") & (F.length(F.regexp_replace(kept, "[0-9]", "")) <= 1), kept.try_cast("double") * signed)
+
+    return let(F.trim(text), whole)

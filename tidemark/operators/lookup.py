@@ -18,16 +18,24 @@ def cascade(key: str, value: str, *sources: DataFrame) -> DataFrame:
 
 
 def union_missing(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All of ``left``, and the rows of ``right`` whose key isn't there, one for each key."""
-    return left.unionByName(right.join(left.select(*keys).distinct(), list(keys), "left_anti").dropDuplicates(list(keys)))
+    """All of ``left``, and the rows of ``right`` whose key isn't there, one for each key; a null equals a null."""
+    there = left.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.unionByName(right.join(there, same, "left_anti").dropDuplicates(list(keys)))
+
+
+#: Rows of a label dictionary that every row may be compared with.
+MOST_LABELS = 2000
 
 
 def matched_labels(rows: DataFrame, labels: DataFrame, how: str, text: str = "label", target: str = "target") -> DataFrame:
     """Rows with every dictionary label that matches: ``contains``, ``equals``, ``prefix`` or ``regex``.
 
-    ``labels`` is a dictionary of some hundred rows at most, so all but
-    ``equals`` may compare each row with each label.
+    ``labels`` is a dictionary of at most ``MOST_LABELS`` rows, which is
+    counted, so all but ``equals`` may compare each row with each label.
     """
+    if how != "equals" and labels.count() > MOST_LABELS:
+        raise ValueError(f"a dictionary of labels has at most {MOST_LABELS} rows")
     t, l = F.col(text), F.col(target)
     test = {"contains": t.contains(l), "equals": t == l, "prefix": t.startswith(l), "regex": F.regexp_like(t, l)}[how]
     return rows.join(labels, test)
@@ -50,3 +58,48 @@ def newer_of(left: DataFrame, right: DataFrame, key: str, date: str) -> DataFram
 def upserted(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``old`` with the rows of ``new`` put in place of those with the same key."""
     return old.join(new.select(*keys), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def overlaid(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Both tables' keys, with the values of ``right`` where it has them, else those of ``left``; one row for each key in either."""
+    values = [c for c in left.columns if c not in keys]
+    a, b = left.select(*keys, F.struct(*values).alias("_l")), right.select(*keys, F.struct(*values).alias("_r"))
+    return a.join(b, list(keys), "full_outer").select(*keys, *(F.coalesce(F.col(f"_r.{v}"), F.col(f"_l.{v}")).alias(v) for v in values))
+
+
+def by_priority(candidates: DataFrame, keys: Sequence[str], source: str, value: str, order: Sequence[str], guard: tuple[float, float] | None = None) -> DataFrame:
+    """The value of the best source of each key, by ``order``; other sources and nulls don't count.
+
+    With a ``guard`` the best value must lie within these multiples of the next
+    source's; if not, the next source counts, if there is one.
+    """
+    rank = F.array_position(F.lit(list(order)), F.col(source))
+    some = candidates.where((rank > 0) & F.col(value).isNotNull()).groupBy(*keys, source).agg(F.min(F.struct(rank.alias("rank"), F.col(value).alias("value"))).alias("c"))
+    ranked = some.groupBy(*keys).agg(F.sort_array(F.collect_list("c")).alias("_all"))  # at most one for each source
+    first, second = F.get("_all", 0), F.get("_all", 1)
+    pick = first
+    if guard:
+        low, high = guard
+        pick = F.when(second.isNotNull() & ~first["value"].between(second["value"] * low, second["value"] * high), second).otherwise(first)
+    return ranked.withColumn("_p", pick).select(*keys, F.col("_p.value").alias(value), F.get(F.lit(list(order)), F.col("_p.rank").cast("int") - 1).alias(source))
+
+
+def first_of_siblings(rows: DataFrame, group: str, key: str, order: Sequence[str], value: str, most: int = 8) -> DataFrame:
+    """For each row the first value that isn't null among the first ``most`` other rows of its group; rows without one are left out."""
+    rank = Window.partitionBy(group).orderBy(*order)
+    # The first ``most + 1`` of a group hold everyone's first ``most`` others.
+    top = rows.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= most + 1).select(group, F.col(key).alias("_other"), "_n", F.col(value).alias("_v"))
+    pairs = rows.select(group, key).join(top, group).where(F.col("_other") != F.col(key))
+    near = pairs.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy("_n"))).where(F.col("_k") <= most)
+    return near.where("_v is not null").groupBy(key).agg(F.min(F.struct("_k", "_v")).alias("m")).select(key, F.col("m._v").alias(value))
+
+
+def overridden(rows: DataFrame, known: DataFrame, key: str, value: str) -> DataFrame:
+    """``rows`` with a fixed value, by key, where they have none; ``known`` has one row for each key."""
+    fixed = known.select(key, F.col(value).alias("_known"))
+    return rows.join(fixed, key, "left").withColumn(value, F.coalesce(value, "_known")).drop("_known")
+
+
+def without_keys(table: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A keyed table after a delete."""
+    return table.join(gone.select(*keys).distinct(), list(keys), "left_anti")

@@ -35,6 +35,28 @@ def financial_text(text: Column) -> Column:
     return (F.regexp_count(head, F.lit(INCOME_WORDS)) >= 5) | (F.regexp_count(head, F.lit(BALANCE_WORDS)) >= 3)
 
 
+def financial_filing(documents: Column) -> Column:
+    """Whether the main document of a filing is financial, or else its EX-99.1."""
+    main = F.get(F.transform(documents, lambda d: d["text"]), 0)
+    release = F.exists(documents, lambda d: F.regexp_replace(F.upper(d["type"]), "[^A-Z0-9]", "").isin("EX991", "991") & financial_text(d["text"]))
+    return F.coalesce(financial_text(main), F.lit(False)) | F.coalesce(release, F.lit(False))
+
+
+#: What banks' statements speak of, and how much of it makes a bank.
+BANK_WORDS = (r"net interest income", r"loans and advances", r"customer deposits|deposits from customers", r"net interest margin", r"capital adequacy|cet ?1|tier 1", r"non-?performing loans?", r"provisions? for (?:credit|loan) losses")
+BANK_LEAST = 3
+
+
+def bank_like(text: Column, least: int = BANK_LEAST) -> Column:
+    """Whether a text speaks of several things that only banks report."""
+    return sum((has(text, p).cast("int") for p in BANK_WORDS), F.lit(0)) >= least
+
+
+def long_enough(text: Column, least: int = 500) -> Column:
+    """Whether an extracted document is long enough to be judged."""
+    return F.coalesce(F.length(text) >= least, F.lit(False))
+
+
 def scored_exhibits(filings: DataFrame) -> DataFrame:
     """All sub-documents of (filing_id, raw) with lines, kinds and both scores."""
     docs = filings.select("filing_id", F.inline(sgml_documents(F.col("raw")))).withColumn("lines", html_lines(F.col("text")))

@@ -50,10 +50,9 @@ METRIC_TAGS = {
     "weighted_avg_shares_basic": ["us-gaap:WeightedAverageNumberOfSharesOutstandingBasic", "ifrs-full:WeightedAverageNumberOfSharesOutstanding", "ifrs-full:WeightedAverageNumberOfOrdinarySharesOutstandingBasic", "ifrs-full:WeightedAverageShares"],
     "weighted_avg_shares_diluted": ["us-gaap:WeightedAverageNumberOfDilutedSharesOutstanding", "ifrs-full:WeightedAverageNumberOfSharesOutstandingDiluted", "ifrs-full:AdjustedWeightedAverageShares"],
 }
-#: Balances at a point in time; all others are amounts over a period.
+#: Balances at a point in time; all others are amounts over a period.
 INSTANT = {"total_assets", "assets_current", "total_liabilities", "liabilities_current", "equity", "cash", "short_term_investments", "goodwill", "accounts_receivable", "accounts_payable", "deferred_revenue", "retained_earnings", "shares_outstanding"}
 MOST_DAYS_OFF = 200
-_ATTR = r"([a-zA-Z_:][a-zA-Z0-9_:\-]*)\s*=\s*(?:'([^']*)'|\"([^\"]*)\")"
 
 
 def attribute(attrs: Column, name: str) -> Column:
@@ -89,7 +88,7 @@ def inline_facts(filings: DataFrame) -> DataFrame:
 
 def tag_facts(filings: DataFrame, prefixes: str = "us-gaap|ifrs-full|dei") -> DataFrame:
     """Facts written as elements of their own; neither scale nor sign applies."""
-    tag = F.lit(rf"(?is)<((?:{prefixes}):[A-Za-z0-9]+)\b[^>]*>[^<]*</\1>")
+    tag = F.lit(rf"(?is)<((?:{prefixes}):[A-Za-z0-9]+)\b[^>]*>.*?</\1>")
     found = filings.select("filing_id", F.posexplode(F.regexp_extract_all("raw", tag, 0)).alias("pos", "x")).withColumn("attrs", F.regexp_extract("x", r"(?is)^<[^\s>]+([^>]*)>", 1))
     out = found.select("filing_id", (F.col("pos") + 1_000_000).alias("pos"), F.regexp_extract("x", r"^<([^\s>]+)", 1).alias("name"), parse_number(clean_text(F.regexp_extract("x", r"(?is)^<[^>]*>(.*)</[^>]*>$", 1))).alias("value"), attribute(F.col("attrs"), "contextRef").alias("context_ref"), attribute(F.col("attrs"), "unitRef").alias("unit_ref"))
     return out.where("value is not null")
@@ -118,14 +117,19 @@ def chosen_metrics(filings: DataFrame, facts: DataFrame, ctx: DataFrame) -> Data
     return rows.groupBy("filing_id", "metric").agg(F.min(rank).alias("best")).select("filing_id", "metric", F.col("best.value").alias("value"))
 
 
+def segment_total(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(*keys, value) of (*keys, segment_key, pos, value): the greatest value without a segment, else the sum of the last value of each segment."""
+    parts = rows.groupBy(*keys, "segment_key").agg(F.max("value").alias("high"), F.max_by("value", "pos").alias("last"))
+    whole, each = F.max(F.when(F.col("segment_key").isNull(), F.col("high"))), F.sum(F.when(F.col("segment_key").isNotNull(), F.col("last")))
+    return parts.groupBy(*keys).agg(F.coalesce(whole, each).alias("value"))
+
+
 def chosen_shares(filings: DataFrame, facts: DataFrame, ctx: DataFrame) -> DataFrame:
     """(filing_id, value): of the first tag with dated facts, on the date nearest the target (else the newest), the greatest unsegmented value, else the sum of the last value of each segment."""
     tags = metric_tags(filings.sparkSession).where("metric = 'shares_outstanding'")
     rows = facts.join(tags, "name").join(ctx, ["filing_id", "context_ref"]).where("report_date is not null").join(filings.select("filing_id", "target_end"), "filing_id")
-    keys = ["filing_id", "tag_rank", "report_date", "target_end"]
-    parts = rows.groupBy(*keys, "segment_key").agg(F.max("value").alias("high"), F.max_by("value", "pos").alias("last"))
-    dates = parts.groupBy(*keys).agg(F.max(F.when(F.col("segment_key").isNull(), F.col("high"))).alias("whole"), F.sum(F.when(F.col("segment_key").isNotNull(), F.col("last"))).alias("parts"))
-    order = F.struct("tag_rank", F.coalesce(F.abs(F.date_diff("report_date", "target_end")), -F.unix_date("report_date")).alias("gap"), "report_date", F.coalesce("whole", "parts").alias("value"))
+    dates = segment_total(rows, ["filing_id", "tag_rank", "report_date", "target_end"])
+    order = F.struct("tag_rank", F.coalesce(F.abs(F.date_diff("report_date", "target_end")), -F.unix_date("report_date")).alias("gap"), "report_date", "value")
     return dates.groupBy("filing_id").agg(F.min(order).alias("best")).select("filing_id", F.col("best.value").alias("value"))
 
 

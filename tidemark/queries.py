@@ -442,14 +442,8 @@ def str01_html_lines(t):
     return t.pages.select("page_id", F.size(lines).alias("n_lines"), F.sha2(F.array_join(lines, "\n"), 256).alias("sha"))
 
 
-@query(r"select doc_id, sha256(lower(trim(regexp_replace(translate(text, '’—–-:,()', '''       '), '[ \t\n\r\f\x0b]+', ' ', 'g')))) as sha from documents where lang = 'en'")
-def str04_label_norm(t):
-    """Texts as normalised labels, as a digest."""
-    return t.documents.where("lang = 'en'").select("doc_id", F.sha2(text.normal_label(c("text")), 256).alias("sha"))
-
-
 @query(r"select doc_id, sha256(lower(trim(regexp_replace(translate(text, '’—–-:,()', '''       '), '[ \t\n\r\f\x0b]+', ' ', 'g')))) as sha from documents")
-def str04_label_norm_all(t):
+def str04_label_norm(t):
     """Texts of all languages as normalised labels, as a digest."""
     return t.documents.select("doc_id", F.sha2(text.normal_label(c("text")), 256).alias("sha"))
 
@@ -475,21 +469,10 @@ def dat01_multi_parse(t):
     return t.orders.select("o_orderkey", dates.parse_date(made).alias("date"))
 
 
-@query("""with x as (select o_orderkey, o_orderdate::date as f, (o_orderdate + interval 60 day)::date as p, o_orderkey % 3 as k from orders), y as (select *, make_date(year(f), month(p), day(p)) as q from x where not (month(p) = 2 and day(p) = 29))
-select o_orderkey, case k when 0 then f when 1 then p when 2 then case when q > f + 31 then make_date(year(f) - 1, month(p), day(p)) else q end end as date from y""")
-def dat04_effective(t):
-    """Effective dates from a period's end, a month and day, or the filing alone."""
-    f, k = c("o_orderdate").cast("date"), c("o_orderkey") % 3
-    p = F.date_add(f, 60)
-    period = F.when(k == 1, F.date_format(p, "yyyy-MM-dd")).when(k == 2, F.date_format(p, "MMMM d"))
-    x = t.orders.where(~((F.month(p) == 2) & (F.dayofmonth(p) == 29)))
-    return x.select("o_orderkey", dates.effective_date(period, dates.long_date(f)).alias("date"))
-
-
 @query("""with x as (select o_orderkey, o_orderdate::date as f, (o_orderdate + interval 60 day)::date as p, o_orderkey % 3 as k from orders), y as (select *, case when month(p) = 2 and day(p) = 29 then null else make_date(year(f), month(p), day(p)) end as q from x)
 select o_orderkey, case k when 0 then f when 1 then p when 2 then coalesce(case when q > f + 31 then make_date(year(f) - 1, month(p), day(p)) else q end, f) end as date from y""")
-def dat04_effective_all(t):
-    """Effective dates of all orders, those with a period's end on 29 February too."""
+def dat04_effective(t):
+    """Effective dates from a period's end, a month and day, or the filing alone; 29 February too."""
     f, k = c("o_orderdate").cast("date"), c("o_orderkey") % 3
     p = F.date_add(f, 60)
     period = F.when(k == 1, F.date_format(p, "yyyy-MM-dd")).when(k == 2, F.date_format(p, "MMMM d"))
@@ -554,3 +537,6 @@ def flt04_stale(t):
     last = t.orders.agg(F.max("o_orderdate").alias("m"))
     x = t.orders.withColumn("d", F.when(c("o_orderkey") % 5 > 0, c("o_orderdate"))).join(F.broadcast(last))  # one row
     return x.where("d is null or d >= m - interval 730 days").select("o_orderkey", "o_orderstatus")
+
+
+from tidemark import filing_queries  # noqa: E402, F401  registers its queries here

@@ -36,7 +36,7 @@ def cached(cache: DataFrame, as_of: Column, ttl_days: int = 45) -> DataFrame:
     return cache.where(F.col("fetched_at").cast("timestamp") >= as_of - F.make_dt_interval(F.lit(ttl_days)))
 
 
-def cache_stats(cache: DataFrame, as_of: Column, ttl_days: int = 45) -> DataFrame:
-    """total, fresh and expired; one exactly as old as the time to live counts as expired."""
+def cache_stats(cache: DataFrame, as_of: Column, ttl_days: int = 45, keys: tuple[str, ...] = ()) -> DataFrame:
+    """total, fresh and expired, for each of the keys; one exactly as old as the time to live counts as expired."""
     fresh = F.count_if(F.col("fetched_at").cast("timestamp") > as_of - F.make_dt_interval(F.lit(ttl_days)))
-    return cache.agg(F.count("*").alias("total"), fresh.alias("fresh"), (F.count("*") - fresh).alias("expired"))
+    return cache.groupBy(*keys).agg(F.count("*").alias("total"), fresh.alias("fresh"), (F.count("*") - fresh).alias("expired"))
