@@ -156,6 +156,71 @@ def test_leaks_of_mixed_items_count_all_their_words(spark):
     assert {(r.doc_id, r.verbatim) for r in benchmark_leaks(table(spark, rows), bench).collect()} == {(1, True), (2, True)}
 
 
+def test_planted_leaks_are_found_and_nothing_else(spark):
+    rnd = random.Random(31)
+    vocab = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(4, 9))) for _ in range(900)]
+    names = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(6)).capitalize() for _ in range(60)]
+    units_ = ["km", "kg", "hours", "dollars", "cm"]
+    items, moved = [], []
+    for k in range(60):
+        dense = k % 3 == 0  # half numbers
+        plan = [rnd.choice("wwwwnNu" if not dense else "wwnNu") for _ in range(rnd.randint(24, 40))]
+        first, second, values = [], [], {}
+        for kind in plan:
+            if kind == "w":
+                w = rnd.choice(vocab)
+                first.append(w)
+                second.append(w)
+            elif kind == "N":
+                n = rnd.choice(names)
+                first.append(n)
+                second.append(values.setdefault(n, names[(names.index(n) + 7) % 60]))
+            else:
+                n = str(rnd.randrange(2, 90))
+                unit = [rnd.choice(units_)] if kind == "u" else []
+                first += [n, *unit]
+                second += [values.setdefault(n, str(int(n) + 100)), *unit]
+        items.append("Given " + " ".join(first) + "?")
+        moved.append("Given " + " ".join(second) + "?")
+    prose = lambda: " ".join(rnd.choice(vocab) for _ in range(60)).capitalize() + "."
+    rows = [(k, f"{prose()} {t} {prose()}") for k, t in enumerate(items)] + [(100 + k, f"{prose()} {t} {prose()}") for k, t in enumerate(moved)] + [(200 + k, f"{prose()} {prose()}") for k in range(60)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = benchmark_leaks(table(spark, rows), bench).collect()
+    found = {(r.doc_id, r.item_id) for r in got}
+    assert found <= {(k, k) for k in range(60)} | {(100 + k, k) for k in range(60)}
+    assert {(k, k) for k in range(60)} <= found
+    assert len(found) >= 60 + 0.95 * 60
+    assert all(r.verbatim for r in got if r.doc_id < 100) and not any(r.verbatim for r in got if r.doc_id >= 100)
+
+
+def test_names_that_open_sentences_are_slots(spark):
+    item = "Anna buys some apples at the market near her house. Anna gives a few of them to the children next door."
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, item.replace("Anna", "Maria")), (2, item.replace("Anna buys", "Maria buys"))]
+    got = {r.doc_id: r.verbatim for r in benchmark_leaks(table(spark, rows), bench).collect()}
+    assert got[1] is False
+
+
+def test_windows_match_nested_loops():
+    from tidemark.llm.decontaminate import templates, window_hashes
+    import pyarrow as pa
+
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice(["aa", "bb", "Cc", "7", "km", "dd"]) for _ in range(rnd.randint(0, 30))) for _ in range(30)]
+    code, slot, bounds, *_ = templates(pa.array(texts))
+    h, doc, at = window_hashes(code, slot, bounds, 6)
+    want = []
+    for i in range(len(texts)):
+        for k in range(bounds[i], bounds[i + 1] - 5):
+            if sum(slot[k + j] == 0 for j in range(6)) >= 0.3 * 6:
+                want.append((i, int(k), tuple(code[k : k + 6].tolist())))
+    assert [(d, a) for d, a, _ in want] == list(zip(doc.tolist(), at.tolist(), strict=True))
+    by = {}
+    for x, (_, _, w) in zip(h.tolist(), want, strict=True):
+        assert by.setdefault(w, x) == x
+    assert len(set(by.values())) == len(by)
+
+
 # --- op3 ----------------------------------------------------------------------
 
 
@@ -253,6 +318,52 @@ def test_urls(spark):
     assert urls.judge_urls(df.limit(0)).count() == 0
 
 
+def brute_chars(urls_, order, text):
+    """Witten-Bell log-likelihood of a text by dictionaries, character for character."""
+    grams, contexts, kinds = Counter(), Counter(), {}
+    padded = lambda u: b"\x02" * order + u.encode() + b"\x03"
+    for u in urls_:
+        p = padded(u)
+        for k in range(order, len(p)):
+            for n in range(order + 1):
+                ctx = p[k - n : k]
+                grams[ctx, p[k]] += 1
+                contexts[ctx] += 1
+                kinds.setdefault(ctx, set()).add(p[k])
+    total, p = 0.0, padded(text)
+    for k in range(order, len(p)):
+        q = 1 / 256
+        for n in range(order + 1):
+            ctx = p[k - n : k]
+            if contexts[ctx]:
+                q = (grams[ctx, p[k]] + len(kinds[ctx]) * q) / (contexts[ctx] + len(kinds[ctx]))
+        total += np.log(q)
+    return total
+
+
+def test_url_verdicts_match_brute_force(spark):
+    rnd = random.Random(17)
+    good = [f"http://s{rnd.randrange(99)}.example.net/en/{rnd.choice(['news', 'guide', 'book'])}/{rnd.randrange(50)}" for _ in range(60)]
+    bad = [f"http://w{rnd.randrange(99)}.net/{rnd.choice(['win', 'pills', 'bet'])}?{rnd.randrange(50)}" for _ in range(60)]
+    rest = [f"https://q{k}.example.org/{rnd.choice(['news', 'guide', 'win', 'pills', 'bet'])}/{rnd.choice(['en/', ''])}{k}" for k in range(40)]
+    rows = list(enumerate(good + bad + rest))
+    got = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    known = spark.createDataFrame([(u,) for u in sorted({*good, *bad})], "u string").orderBy(F.xxhash64("u"), "u").collect()
+    order = [r.u for r in known]
+    accepted, rejected = ([u for u in order if u in set(some)] for some in (good, bad))
+    score = lambda u, a, b: (brute_chars(a, 5, u) - brute_chars(b, 5, u)) / (len(u.encode()) + 1)
+    (a, a_held), (b, b_held) = (([u for i, u in enumerate(x) if i % 4], x[::4]) for x in (accepted, rejected))
+    g, d = ([score(u, a, b) for u in x] for x in (a_held, b_held))
+    cuts = sorted({*g, *d, 0.0})
+    error = [sum(x < cut for x in g) / len(g) + sum(x >= cut for x in d) / len(d) for cut in cuts]
+    limit = float(np.median([cut for cut, e in zip(cuts, error, strict=True) if e <= min(error) + 1e-12]))
+    for i, u in rows:
+        want = score(u, accepted, rejected)
+        assert got[i].score == pytest.approx(want)
+        if got[i].rule is None and abs(want - limit) > 1e-9:
+            assert got[i].verdict == ("allow" if want >= limit else "block")
+
+
 def test_char_model_is_a_distribution():
     import pyarrow as pa
 
@@ -479,9 +590,8 @@ def test_maximal_segments():
             _, _, _, i, j = best
             return [*split(a, i), (i, j, sum(s[i:j])), *split(j, b)]
 
-        got = [(a, b, round(v)) for a, b, v in toxicity.maximal_segments(s)]
-        assert sum(v for *_, v in got) == sum(v for *_, v in split(0, len(s)))
-        assert max([v for *_, v in got], default=0) == max([v for *_, v in split(0, len(s))], default=0)
+        # Of equally good ones the shortest, then the first: then Ruzzo and Tompa's definition has one answer.
+        assert [(a, b, round(v)) for a, b, v in toxicity.maximal_segments(s)] == split(0, len(s))
 
 
 def test_toxicity(spark):
@@ -525,17 +635,53 @@ def test_lm_scores(spark):
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (fold[i] == 2, len(t), sum(w in counts for w in t), n)
         assert r.base_score == pytest.approx(sum(log10((counts[w] + 1) / (n + v + 1)) for w in t))
     assert got[None].score is None and got[None].held_out
-    # the mixture, from its own counts and weights
-    pairs, heads, sub = Counter(), Counter(), Counter()
-    for i, t in tokens.items():
-        if fold[i] != 2:
-            for a, b in zip([0, *t[:-1]], t, strict=True):
-                pairs[a, b] += 1
-                heads[a] += 1
-    assert sum(r.score for r in got.values() if r.score) / sum(r.n_tokens or 0 for r in got.values()) > -log10(v) - 1
+    for i, want in brute_mixture(tokens, fold).items():
+        assert got[i].score == pytest.approx(want, rel=1e-9)
+    held = [i for i in tokens if fold[i] == 2]
+    assert sum(got[i].score for i in held) > sum(got[i].base_score for i in held)
     assert lm_scores(table(spark, [])).count() == 0
 
 
+def brute_mixture(tokens, fold, rounds=60):
+    """Scores by counting pairs one by one and learning the weights from each held-out token."""
+
+    def counted(folds):
+        pairs, heads, words_, total = Counter(), Counter(), Counter(), 0
+        for i, t in tokens.items():
+            if fold[i] in folds:
+                for a, b in zip(["start", *t[:-1]], t, strict=True):
+                    pairs[a, b] += 1
+                    heads[a] += 1
+                    words_[b] += 1
+                    total += 1
+        return pairs, heads, words_, total
+
+    bucket = lambda n: min(23, int(np.log2(n + 1)))
+    rough = lambda p: 2.0 ** -((np.clip(np.rint(-8 * np.log2(p)) + 1, 1, 399) - 1) / 8) if p > 0 else 0.0
+    every = counted({0, 1, 3, 4, 5, 6})
+    pairs, heads, words_, total = counted({0, 1, 4, 5, 6})
+    types = len(every[2])
+    weights = np.tile([0.5, 0.4, 0.1], (24, 1))
+    seen = []
+    for i, t in tokens.items():
+        if fold[i] == 3:
+            for a, b in zip(["start", *t[:-1]], t, strict=True):
+                seen.append((bucket(heads[a]), rough(pairs[a, b] / max(heads[a], 1)), rough(words_[b] / total), 1 / (types + 1)))
+    for _ in range(rounds if seen else 0):
+        total_share = np.full((24, 3), 0.5)
+        for b, *estimates in seen:
+            share = weights[b] * np.array(estimates)
+            total_share[b] += share / share.sum()
+        weights = total_share / total_share.sum(axis=1, keepdims=True)
+    weights[0, 0] = 0
+    weights[0] /= weights[0].sum()
+    pairs, heads, words_, total = every
+    out = {}
+    for i, t in tokens.items():
+        out[i] = sum(log10(weights[bucket(heads[a])] @ [pairs[a, b] / max(heads[a], 1), words_[b] / total, 1 / (types + 1)]) for a, b in zip(["start", *t[:-1]], t, strict=True))
+    return out
+
+
 def test_mixture_weights_sum_to_one_and_follow_the_counts():
     w = learn_weights(np.zeros(0, np.int64), np.zeros(0), 10)
     assert np.allclose(w.sum(axis=1), 1) and w[0, 0] == 0

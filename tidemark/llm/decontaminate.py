@@ -29,6 +29,8 @@ NUMBER, NAME, UNIT = (np.uint64(x) for x in (0x6A09E667F3BCC909, 0xBB67AE8584CAA
 _DIGIT = np.array([48 <= b < 58 for b in range(256)])
 _UPPER = np.array([65 <= b < 91 for b in range(256)])
 _STOP = np.array([chr(b) in ".!?:;\n" for b in range(256)])
+#: The share of literal tokens that a template window has at least.
+LEAST_LITERAL = 0.3
 #: Bits of the filter that documents' windows pass before the join.
 FILTER_BITS = 24
 
@@ -95,7 +97,7 @@ def templates(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 def window_hashes(code: np.ndarray, slot: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Return hash, row and start of all windows of ``width`` tokens of which at least half are literal."""
+    """Return hash, row and start of all windows of ``width`` tokens of which at least ``LEAST_LITERAL`` are literal."""
     if len(code) < width:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     n = len(code) - width + 1
@@ -105,7 +107,7 @@ def window_hashes(code: np.ndarray, slot: np.ndarray, bounds: np.ndarray, width:
     literal = np.append(0, np.cumsum(slot == 0))
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:n]
     at = np.arange(n)
-    good = (at + width <= bounds[1:][doc]) & (2 * (literal[width:] - literal[:-width]) >= width)
+    good = (at + width <= bounds[1:][doc]) & (literal[width:] - literal[:-width] >= LEAST_LITERAL * width)
     at = np.flatnonzero(good)
     return h[at], doc[at], at
 
@@ -139,7 +141,7 @@ def _windows(batches: Iterator[pa.RecordBatch], widths: list[int], longest: int,
                     continue
                 held = width if width > 0 else 0  # words are equal as they are, so only template windows bring slots
                 slots = slot[at[:, None] + np.arange(held)].view(np.int64) if held else np.zeros(0, np.int64)
-                wordy = np.ones(len(h), bool) if width > 0 else 2 * (literal[at + span] - literal[at]) >= span
+                wordy = 2 * (slots == 0).reshape(len(h), -1).sum(axis=1) >= span if width > 0 else 2 * (literal[at + span] - literal[at]) >= span
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id").take(pa.array(doc)), pa.array(h.view(np.int64)), pa.array(np.full(len(h), width), pa.int32()), pa.array((at - begin[:-1][doc]).astype(np.int32)), pa.array(size[doc].astype(np.int32)), pa.array(wordy), pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1) * held, pa.int32()), pa.array(slots.reshape(-1)))],
                     ["id", "h", "width", "at", "n_tokens", "wordy", "slots"],
@@ -159,8 +161,9 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc
     ``least_tokens`` tokens.  Items shorter than ``width`` tokens must match
     whole.  Of several alignments the longest counts, then the earliest.
 
-    Template windows count if at least half of their tokens are literal, and
-    templates of one or two tokens not at all.  Verbatim copies of whole items,
+    Template windows count if at least three tenths of their tokens are
+    literal; where it is less than half of any, different values must also
+    stay different.  Templates of one or two tokens don't count.  Verbatim copies of whole items,
     one word included, are always found, by their words (runs of letters or of
     digits, case of A-Z apart).  Of partial copies, windows of ``width`` words
     of which less than half are literal count by the same share.  A pair found
@@ -189,7 +192,8 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc
     # Of words that aren't the whole item only windows count that no template can match.
     counted = F.when(F.col("template") | (covered("spans") == F.col("n_tokens")), F.col("spans")).otherwise(F.filter("spans", lambda s: ~s["wordy"]))
     whole = whole.withColumn("spans", counted).where(F.size("spans") > 0)
-    whole = whole.select("doc_id", "item_id", "n_tokens", "template", covered("spans").alias("n_covered"), F.greatest(F.lit(0), F.col("shift") + F.array_min(F.transform("spans", lambda s: s["at"]))).alias("doc_token"), F.coalesce(F.forall("pairs", lambda p: p["b"] == p["d"]), F.lit(True)).alias("verbatim"), (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["b"])))).alias("consistent"))
+    values = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side])))
+    whole = whole.select("doc_id", "item_id", "n_tokens", "template", covered("spans").alias("n_covered"), F.greatest(F.lit(0), F.col("shift") + F.array_min(F.transform("spans", lambda s: s["at"]))).alias("doc_token"), F.coalesce(F.forall("pairs", lambda p: p["b"] == p["d"]), F.lit(True)).alias("verbatim"), ((F.size("pairs") == values("b")) & (F.forall("spans", lambda s: s["wordy"]) | (F.size("pairs") == values("d")))).alias("consistent"))
     good = whole.where(F.col("consistent") & ((F.col("n_covered") >= least_share * F.col("n_tokens")) | (F.col("n_covered") >= least_tokens)))
     best = good.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_tokens", "n_covered", "verbatim", "doc_token"), F.struct("template", "n_covered", -F.col("doc_token"))).alias("m"))
     out = best.select("doc_id", "item_id", "m.n_tokens", "m.n_covered", (F.col("m.n_covered") / F.col("m.n_tokens")).alias("share"), "m.verbatim", "m.doc_token")
