@@ -398,6 +398,23 @@ def test_token_files(spark):
     assert token_file_round_trip(table(spark, [])).count() == 0
 
 
+def test_token_stores_hold_only_listed_files(spark, tmp_path):
+    from pyarrow import fs
+
+    from tidemark.llm.token_store import RemoteArray, store_of
+
+    root = tmp_path / "store"
+    root.mkdir()
+    (root / "lost.bin").write_bytes(b"123")
+    got = token_file_round_trip(table(spark, some_texts(20)), root=f"file://{root}")
+    assert got.count() == 29 and not (root / "lost.bin").exists() and len(list(root.glob("*.bin"))) >= 1
+    whole = np.fromfile(next(root.glob("*.bin")), "<u2")
+    ranged = RemoteArray(fs.LocalFileSystem(), str(next(root.glob("*.bin"))), np.dtype("<u2"))
+    assert len(ranged) == len(whole) and (ranged[3:9] == whole[3:9]).all() and len(ranged[5:5]) == 0
+    with pytest.raises(ValueError, match="pyarrow"):
+        store_of("nosuch://a/b")
+
+
 def test_packing(spark):
     rows = some_texts(30) + [(500, "long " * 5000), (500, "again"), (None, "no id")]
     got = packing.pack(table(spark, rows).repartition(3), capacity=128, group_rows=5).collect()

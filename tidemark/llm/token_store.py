@@ -22,15 +22,28 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import Scratch, shared_dir
+from tidemark.llm.scratch import Scratch, owned, shared_dir
 from tidemark.llm.tokens import encoder, resolve
 
 MANIFEST = "path string, width int, n_docs long, n_tokens long, first_id long"
 
 
+#: Hadoop's names of stores and those that pyarrow knows them by.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
+def store_of(uri: str) -> tuple[fs.FileSystem, str]:
+    """The store that a URI is in, and the path there; ValueError for stores that only Hadoop knows."""
+    scheme, colon, rest = uri.partition(":")
+    try:
+        return fs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + colon + rest)
+    except pa.ArrowInvalid as e:
+        raise ValueError(f"token files need a store that pyarrow can open, such as file, hdfs, s3, gs or abfss; not {uri}") from e
+
+
 def _write(batches: Iterator[pa.RecordBatch], root: str, tokenizer: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    """Write one shard for the partition; a repeated attempt writes files of another name."""
-    store, path = fs.FileSystem.from_uri(root)
+    """Write one shard for the partition; a repeated attempt writes files of another name, and a failed one none that the manifest lists."""
+    store, path = store_of(root)
     coder = encoder(resolve(tokenizer))
     end = np.array([end_id], coder.dtype).tobytes()
     name = f"{path}/{uuid.uuid4().hex}"
@@ -64,16 +77,43 @@ def write_tokens(docs: DataFrame, root: str, *, tokenizer: str, end_id: int, scr
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("id is not null")
     dealt = base.repartitionByRange("id").sortWithinPartitions("id")
-    return scratch.keep(dealt.mapInArrow(lambda it: _write(it, root, tokenizer, end_id), MANIFEST), "manifest")
+    manifest = scratch.keep(dealt.mapInArrow(lambda it: _write(it, root, tokenizer, end_id), MANIFEST), "manifest")
+    _sweep(manifest, root)
+    return manifest
+
+
+def _sweep(manifest: DataFrame, root: str) -> None:
+    """Delete what lost or repeated attempts have left in a store."""
+    spark = manifest.sparkSession
+    listed = {r.path.rpartition("/")[2] for r in manifest.select("path").collect()}  # one row for each shard
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(path):
+        for s in store.listStatus(path):
+            if s.getPath().getName().split(".")[0] not in listed:
+                store.delete(s.getPath(), False)
+
+
+class RemoteArray:
+    """A flat file of a remote store, read by ranges as slices ask for them."""
+
+    def __init__(self, store: fs.FileSystem, path: str, dtype: np.dtype):
+        self.file, self.dtype = store.open_input_file(path), dtype
+
+    def __len__(self) -> int:
+        return self.file.size() // self.dtype.itemsize
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        begin, end, _ = part.indices(len(self))
+        return np.frombuffer(self.file.read_at(max(0, end - begin) * self.dtype.itemsize, begin * self.dtype.itemsize), self.dtype)
 
 
-def opened(path: str, dtype: str) -> np.ndarray:
-    """Map a file into memory; a store that can't be mapped is read instead."""
-    store, at = fs.FileSystem.from_uri(path)
+def opened(path: str, dtype: str) -> np.ndarray | RemoteArray:
+    """Map a local file into memory."""
+    store, at = store_of(path)
     if isinstance(store, fs.LocalFileSystem):
         return np.memmap(at, dtype, "r") if os.path.getsize(at) else np.zeros(0, dtype)
-    with store.open_input_file(at) as f:
-        return np.frombuffer(f.read(), dtype)
+    return RemoteArray(store, at, np.dtype(dtype))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +123,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for at in range(0, len(docs), 4096):
                 to = min(len(docs), at + 4096)
                 cut = np.asarray(offsets[at : to + 1])
-                crc = [zlib.crc32(np.asarray(ids[a:b]).astype("<u4").tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                some = ids[int(cut[0]) : int(cut[-1])]
+                crc = [zlib.crc32(np.asarray(some[a:b]).astype("<u4").tobytes()) for a, b in zip(cut[:-1] - cut[0], cut[1:] - cut[0], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.asarray(docs[at:to])), pa.array(cut[:-1] + shard["base"]), pa.array(np.diff(cut)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
@@ -106,6 +147,6 @@ def token_file_round_trip(docs: DataFrame, *, tokenizer: str = "word_bpe_49k.jso
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "tokens")
-    manifest = write_tokens(docs, root or f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}", tokenizer=tokenizer, end_id=end_id, scratch=scratch, id_col=id_col, text_col=text_col)
+    manifest = write_tokens(docs, root or owned(spark, f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"), tokenizer=tokenizer, end_id=end_id, scratch=scratch, id_col=id_col, text_col=text_col)
     lost = docs.where(F.col(id_col).isNull()).selectExpr("cast(null as long) as doc_id", "cast(null as long) as start", "cast(null as long) as n_tokens", "cast(null as long) as ids_crc32")
     return read_tokens(spark, manifest).unionByName(lost)
