@@ -160,3 +160,28 @@ def test_text_helpers(spark):
     df = spark.createDataFrame([("HK$5 (3) —", "Revenue &amp; cost &eacute; (Note 7)")], "a string, b string")
     row = df.select(statements.number_line(F.col("a")).alias("n"), statements.without_note_references(text.every_entity(F.col("b"))).alias("l")).first()
     assert row.n == [5.0, -3.0, None] and row.l == "Revenue & cost é"
+
+
+def test_transfers_resume(tmp_path):
+    from tidemark.sources import fetch
+
+    asked, whole = [], b"0123456789"
+
+    def broken(headers):
+        asked.append(dict(headers))
+
+        def body():
+            yield whole[:4]
+            raise OSError("lost")
+
+        return 200, body()
+
+    with pytest.raises(OSError, match="lost"):
+        fetch.resumed(broken, tmp_path / "d" / "f")
+    assert fetch.resumed(lambda h: asked.append(dict(h)) or (206, [whole[4:]]), tmp_path / "d" / "f") == "ok"
+    assert asked == [{}, {"Range": "bytes=4-"}] and (tmp_path / "d" / "f").read_bytes() == whole
+    assert fetch.resumed(broken, tmp_path / "d" / "f") == "exists" and not list(tmp_path.glob("d/*.part"))
+    with pytest.raises(OSError, match="404"):
+        fetch.resumed(lambda h: (404, []), tmp_path / "g")
+    fetch.write_atomically(tmp_path / "p.json", {"b": 1, "a": {"status": "ok"}})
+    assert json.loads((tmp_path / "p.json").read_text())["a"]["status"] == "ok"

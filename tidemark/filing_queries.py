@@ -137,6 +137,29 @@ def snk05_screen_tsv(t):
     return reports.screen_report(x, reports.report_format("x.tsv"))
 
 
+FIELDS_SQL = ",".join(reports.OUTPUT_FIELDS)
+
+
+@query(f"select c_custkey as ord, ',T' || c_custkey || ',,10-K,,,,,' || c_nationkey || '.0' || repeat(',', 46) as value from customer union all select -1, '{FIELDS_SQL}'")
+def snk02_wide_csv(t):
+    """Reports as CSV lines of all 55 columns."""
+    x = t.customer.select(cat("T", words(c("c_custkey"))).alias("ticker"), lit("10-K").alias("form_type"), c("c_nationkey").cast("double").alias("revenue"), c("c_custkey").alias("ord"))
+    return reports.csv_lines(reports.with_fields(x, (*reports.OUTPUT_FIELDS, "ord")), list(reports.OUTPUT_FIELDS), bom=False)
+
+
+@query("""select '{' || string_agg('"' || n_name || '":{"status":"' || case when n_nationkey % 2 = 0 then 'ok' else 'error' end || '","form":"10-K"}', ',' order by n_name) || '}' as value from nation""")
+def snk10_progress_map(t):
+    """A progress file's JSON map."""
+    return reports.progress_map(t.nation.select(c("n_name").alias("ticker"), F.when(c("n_nationkey") % 2 == 0, "ok").otherwise("error").alias("status"), lit("10-K").alias("form")))
+
+
+@query("select o_orderkey as ord, o_custkey as ticker, o_orderpriority as reason from orders where o_orderstatus = 'F' order by o_orderkey limit 10")
+def srt07_first_reasons(t):
+    """The first ten reasons why something was skipped."""
+    x = t.orders.select(c("o_orderkey").alias("ord"), c("o_custkey").alias("ticker"), F.when(c("o_orderstatus") == "F", "skipped").otherwise("failed").alias("status"), c("o_orderpriority").alias("reason"))
+    return reports.first_reasons(x)
+
+
 @query("select o_orderkey, o_totalprice from orders where o_orderkey % 4 <> 0")
 def snk11_deleted(t):
     """A keyed table after a delete."""

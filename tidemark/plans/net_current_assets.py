@@ -54,16 +54,20 @@ def _key(c: str) -> Column:
 
 
 def deduplicated(records: DataFrame) -> DataFrame:
-    """The fullest record of each (ticker, form, filing date, period); a folder named like the ticker is preferred, the first one wins ties."""
+    """The fullest record of each (ticker, form, filing date, period); a folder named like the ticker is preferred, the first one wins ties.
+
+    Records are dealt out by ticker, in ``_t``, which ``latest`` uses again.
+    """
     folder, ticker = F.upper(F.regexp_extract("file_path", "([^/]+)/[^/]+$", 1)), F.upper(F.coalesce("ticker", F.lit("")))
     prefer = F.when(F.coalesce(F.col("file_path"), F.lit("")) == "", 1).when(folder == ticker, 3).when(folder.rlike("(W|WS|WT)$"), 0).otherwise(2)
     keyed = records.withColumns({"_t": _key("ticker"), "_f": _key("form_type"), "_d": F.trim(F.coalesce("filing_date", F.lit(""))), "_p": F.trim(F.coalesce("period_end_date", F.lit("")))})
-    return best_by(keyed, ["_t", "_f", "_d", "_p"], [filled(QUALITY).desc(), prefer.desc(), F.col("ord").asc()]).drop("_t", "_f", "_d", "_p")
+    return best_by(keyed.repartition("_t"), ["_t", "_f", "_d", "_p"], [filled(QUALITY).desc(), prefer.desc(), F.col("ord").asc()]).drop("_f", "_d", "_p")
 
 
 def latest(records: DataFrame) -> DataFrame:
     """The latest record of each ticker by effective date, then fullness; the first one wins ties."""
-    dated = records.withColumns({"effective": effective_date(F.col("period_end_date"), F.col("filing_date")), "_t": _key("ticker")}).where("_t <> ''")
+    dated = records.withColumn("effective", effective_date(F.col("period_end_date"), F.col("filing_date")))
+    dated = (dated if "_t" in records.columns else dated.withColumn("_t", _key("ticker"))).where("_t <> ''")
     return best_by(dated, ["_t"], [F.col("effective").desc_nulls_last(), filled(QUALITY).desc(), F.col("ord").asc()]).drop("_t")
 
 

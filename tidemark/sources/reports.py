@@ -115,3 +115,19 @@ def boxed(width: int = 70) -> Column:
 def write_text(lines: DataFrame, path: str) -> None:
     """Write ordered lines as one file; for reports, whose size is that of a screen's result."""
     lines.repartitionByRange(1, "ord").sortWithinPartitions("ord").select("value").write.mode("overwrite").text(path)
+
+
+def progress_map(done: DataFrame) -> DataFrame:
+    """One row: (ticker, status, form, file, date, reason) as the JSON map of a progress file, tickers in order."""
+    entry = F.struct(F.col("ticker").alias("key"), F.struct(*(c for c in ("status", "form", "file", "date", "reason") if c in done.columns)).alias("value"))
+    return done.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("value"))
+
+
+def by_ticker_and_form(found: DataFrame) -> DataFrame:
+    """Reports in the order of their output."""
+    return found.orderBy("ticker", "form_type")
+
+
+def first_reasons(found: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` reasons why tickers were skipped, in input order."""
+    return found.where("status = 'skipped'").orderBy("ord").limit(n).select("ord", "ticker", "reason")
