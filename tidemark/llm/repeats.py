@@ -536,7 +536,7 @@ def _removed(batches: Iterator[pa.RecordBatch], length: int, whole_chars: bool)
         )
 
 
-def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, anchor: int = 32, whole_chars: bool = False, with_text: bool = False, chunk_bytes: int = 2 << 20, part_bytes: int = 32 << 20, shard_bytes: int = 4 << 20, block_bytes: int = 1 << 19, most_kinds: int = 16_384) -> DataFrame:
+def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, anchor: int = 32, whole_chars: bool = False, with_text: bool = False, chunk_bytes: int = 1 << 20, part_bytes: int = 32 << 20, shard_bytes: int = 4 << 20, block_bytes: int = 1 << 19, most_kinds: int = 16_384) -> DataFrame:
     """Return doc_id, n_bytes, n_removed, n_spans and kept_sha256 for each document.
 
     A byte is removed if a ``length``-byte string that covers it also starts
