@@ -185,3 +185,27 @@ def test_transfers_resume(tmp_path):
         fetch.resumed(lambda h: (404, []), tmp_path / "g")
     fetch.write_atomically(tmp_path / "p.json", {"b": 1, "a": {"status": "ok"}})
     assert json.loads((tmp_path / "p.json").read_text())["a"]["status"] == "ok"
+
+
+def test_command_lines(spark, tmp_path):
+    from tidemark import cli
+    from tidemark.plans import acquisition
+
+    base = {"ticker": "AAA", "filing_type": "10-Q", "currency": "USD", "filing_date": "January 30, 2026", "fiscal_period": "December 31, 2025", "balance_sheet": {"current_assets": 90.0, "total_liabilities": 40.0}, "shares": {"common_M": 10.0}}
+    rows = [base, base, base | {"ticker": "BBB", "currency": "CNY"}, base | {"ticker": "CCC"}]
+    (tmp_path / "in.json").write_text(json.dumps(rows))
+    (tmp_path / "p.csv").write_text("symbol,close\nAAA,5\nBBB,10\n")
+    (tmp_path / "fx.csv").write_text("currency,per_usd\ncny,2\n")
+    out = str(tmp_path / "screen.tsv")
+    counts = cli.screen([str(tmp_path / "in.json"), "--prices", str(tmp_path / "p.csv"), "--rates", str(tmp_path / "fx.csv"), "--as-of", "2026-02-01", "--output", out], spark).first()
+    assert (counts.passed, counts.missing_price, counts.missing_price_tickers) == (2, 1, ["CCC"])
+    lines_ = [r.value for r in spark.read.text(out).collect()]
+    assert [x.split("\t")[0] for x in lines_] == ["ticker", "AAA", "BBB"] and lines_[1].split("\t")[3] == "100.0" and lines_[2].split("\t")[3] == "25.0"
+    folder = tmp_path / "filings" / "AAA"
+    folder.mkdir(parents=True)
+    (folder / "AAA_10-Q_2026-01-30.htm").write_text("".join(f"<p>{x}</p>" for x in STATEMENT))
+    cli.report(str(tmp_path / "filings"), str(tmp_path / "reports"), spark, latest=True)
+    got = json.loads("".join(r.value for r in spark.read.text(str(tmp_path / "reports")).collect()))
+    assert len(got) == 1 and list(got[0]) == list(reports.OUTPUT_FIELDS) and got[0]["revenue"] == 1e6
+    known = spark.createDataFrame([("AAA", "0000000012")], "ticker string, cik string")
+    assert sorted((r.ticker, r.cik) for r in acquisition.with_cik(spark.createDataFrame([(" aaa",), ("B",)], "ticker string"), known).collect()) == [("AAA", "0000000012"), ("B", None)]

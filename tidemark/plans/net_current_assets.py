@@ -64,11 +64,15 @@ def deduplicated(records: DataFrame) -> DataFrame:
     return best_by(keyed.repartition("_t"), ["_t", "_f", "_d", "_p"], [filled(QUALITY).desc(), prefer.desc(), F.col("ord").asc()]).drop("_f", "_d", "_p")
 
 
+def dated(records: DataFrame) -> DataFrame:
+    """Records with their effective date, and ``_t``, the ticker's key; those without a ticker are dropped."""
+    out = records.withColumn("effective", effective_date(F.col("period_end_date"), F.col("filing_date")))
+    return (out if "_t" in records.columns else out.withColumn("_t", _key("ticker"))).where("_t <> ''")
+
+
 def latest(records: DataFrame) -> DataFrame:
     """The latest record of each ticker by effective date, then fullness; the first one wins ties."""
-    dated = records.withColumn("effective", effective_date(F.col("period_end_date"), F.col("filing_date")))
-    dated = (dated if "_t" in records.columns else dated.withColumn("_t", _key("ticker"))).where("_t <> ''")
-    return best_by(dated, ["_t"], [F.col("effective").desc_nulls_last(), filled(QUALITY).desc(), F.col("ord").asc()]).drop("_t")
+    return best_by(dated(records), ["_t"], [F.col("effective").desc_nulls_last(), filled(QUALITY).desc(), F.col("ord").asc()]).drop("_t")
 
 
 def fresh(records: DataFrame, as_of: Column, days: int = 730) -> DataFrame:
