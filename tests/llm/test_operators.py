@@ -107,7 +107,10 @@ def test_buckets_of_any_size_find_all_likely_members():
     base = rnd.integers(0, 1 << 63, 6, dtype=np.uint64)
     bits = np.tile(base, (90, 1))
     bits[::2] ^= rnd.integers(0, 1 << 63, (45, 6), dtype=np.uint64)
-    col = {"key": np.repeat([1, 2, 3], [80, 8, 2]), "i": np.zeros(90, int), "j": np.zeros(90, int), "x": np.zeros(90, int), "n": np.full(90, 50), "c": np.arange(90) % 7}
+    col = {
+        "key": np.repeat([1, 2, 3], [80, 8, 2]), "i": np.zeros(90, int), "j": np.zeros(90, int), "x": np.zeros(90, int),
+        "n": np.full(90, 50), "c": np.arange(90) % 7
+    }
     far = lambda p, q: np.bitwise_count(bits[p] ^ bits[q]).sum() > 74
     want = {p for p in range(90) for q in range(90) if col["key"][p] == col["key"][q] and col["c"][p] != col["c"][q] and not far(p, q)}
     assert set(near_dup._near(col, bits, 80, 74).tolist()) == want
@@ -129,8 +132,16 @@ ITEM = "A train leaves Paris at 9 and covers 120 km in 2 hours while Anna reads
 def test_leaks(spark):
     moved = ITEM.replace("120", "450").replace("Paris", "Oslo").replace("Anna", "Peter Smith").replace("30", "77")
     clash = "Item 5 costs 5 dollars and box 5 weighs 5 kg so the whole pile of goods in the shop must stay below the given weight for 5 days"
-    rows = [(1, f"Before this. {ITEM} After that."), (2, moved), (3, "Nothing like it at all, only some other words that nobody needs to read here."), (4, None), (5, ""), (None, ITEM), (1, f"Before this. {ITEM} After that."), (6, clash.replace("Item 5", "Item 1").replace("box 5", "box 2").replace("for 5", "for 9")), (7, "word " * 30_000 + ITEM)]
-    bench = spark.createDataFrame([(10, ITEM), (11, clash), (12, None), (13, "too short"), (None, "x"), (14, "exactly these five words match")], "item_id long, text string")
+    rows = [
+        (1, f"Before this. {ITEM} After that."), (2, moved),
+        (3, "Nothing like it at all, only some other words that nobody needs to read here."), (4, None), (5, ""), (None, ITEM),
+        (1, f"Before this. {ITEM} After that."),
+        (6, clash.replace("Item 5", "Item 1").replace("box 5", "box 2").replace("for 5", "for 9")), (7, "word " * 30_000 + ITEM)
+    ]
+    bench = spark.createDataFrame(
+        [(10, ITEM), (11, clash), (12, None), (13, "too short"), (None, "x"), (14, "exactly these five words match")],
+        "item_id long, text string"
+    )
     got = benchmark_leaks(table(spark, rows), bench).collect()
     assert {(r.doc_id, r.item_id, r.verbatim) for r in got} == {(1, 10, True), (2, 10, False), (7, 10, True)}
     short = benchmark_leaks(table(spark, [(1, "we found that exactly these five words match, yes")]), bench).collect()
@@ -140,10 +151,16 @@ def test_leaks(spark):
 
 
 def test_leaks_of_items_without_literal_windows(spark):
-    items = ["12 + 7 = 19, 19 * 3 = 57, 57 - 8 = 49, 49 / 7 = 7, 7 + 1 = 8, 8 * 8 = 64", "THE CAPITAL OF FRANCE IS PARIS", "Anna Berta Clara Dora Emma Frieda Greta Hanna Ida Jutta Klara Lena", "yes", "Answer 42", "48.8566 N 2.3522 E", "?!"]
+    items = [
+        "12 + 7 = 19, 19 * 3 = 57, 57 - 8 = 49, 49 / 7 = 7, 7 + 1 = 8, 8 * 8 = 64", "THE CAPITAL OF FRANCE IS PARIS",
+        "Anna Berta Clara Dora Emma Frieda Greta Hanna Ida Jutta Klara Lena", "yes", "Answer 42", "48.8566 N 2.3522 E", "?!"
+    ]
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     rows = [(i, f"we looked it up and {t} is what was found there") for i, t in enumerate(items)]
-    rows += [(20, items[0].replace("7", "6")), (21, "they said yes and yes again"), (22, "the capital of france is not paris"), (23, f"5 {items[0]}"), (24, f"Then Zora {items[2]} Zita left")]
+    rows += [
+        (20, items[0].replace("7", "6")), (21, "they said yes and yes again"), (22, "the capital of france is not paris"),
+        (23, f"5 {items[0]}"), (24, f"Then Zora {items[2]} Zita left")
+    ]
     got = benchmark_leaks(table(spark, rows), bench).collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(6)} | {(21, 3), (23, 0), (24, 2)}
     assert all(r.verbatim and r.share == 1 for r in got)
@@ -183,7 +200,9 @@ def test_planted_leaks_are_found_and_nothing_else(spark):
         items.append("Given " + " ".join(first) + "?")
         moved.append("Given " + " ".join(second) + "?")
     prose = lambda: " ".join(rnd.choice(vocab) for _ in range(60)).capitalize() + "."
-    rows = [(k, f"{prose()} {t} {prose()}") for k, t in enumerate(items)] + [(100 + k, f"{prose()} {t} {prose()}") for k, t in enumerate(moved)] + [(200 + k, f"{prose()} {prose()}") for k in range(60)]
+    rows = [(k, f"{prose()} {t} {prose()}") for k, t in enumerate(items)] + [
+        (100 + k, f"{prose()} {t} {prose()}") for k, t in enumerate(moved)
+    ] + [(200 + k, f"{prose()} {prose()}") for k in range(60)]
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     got = benchmark_leaks(table(spark, rows), bench).collect()
     found = {(r.doc_id, r.item_id) for r in got}
@@ -290,7 +309,11 @@ def test_suffix_arrays():
         t, depth = tuple(a.tolist()), rnd.choice([5, 40])
         order = repeats.suffix_array(a, depth)
         assert [t[i : i + depth] for i in order] == sorted(t[i : i + depth] for i in range(len(t)))
-        shared = [0] + [next((k for k in range(depth) if i + k >= len(t) or j + k >= len(t) or t[i + k] != t[j + k]), depth) for i, j in zip(order[:-1].tolist(), order[1:].tolist(), strict=True)]
+        shared = [0] + [
+            next(
+                (k for k in range(depth) if i + k >= len(t) or j + k >= len(t) or t[i + k] != t[j + k]), depth
+            ) for i, j in zip(order[:-1].tolist(), order[1:].tolist(), strict=True)
+        ]
         assert repeats.common_prefixes(a, order, depth).tolist() == shared
 
 
@@ -381,7 +404,10 @@ def test_char_model_is_a_distribution():
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_encoder_equals_the_tokenizer(name):
     e, rnd = encoder(resolve(name)), random.Random(1)
-    odd = ["", " ", "a   b", " \n x", "x\n\ny z ", "é́ foo\tbar \x1c y", "<|endoftext|> a<|startoftext|>b", "it's I'll", "１２ ß İ ΑΣ", "\n", "a \n b", "ǅ ﬁ　b", "中文 字"]
+    odd = [
+        "", " ", "a   b", " \n x", "x\n\ny z ", "é́ foo\tbar \x1c y", "<|endoftext|> a<|startoftext|>b", "it's I'll", "１２ ß İ ΑΣ",
+        "\n", "a \n b", "ǅ ﬁ　b", "中文 字"
+    ]
     for t in odd + ["".join(rnd.choice("ab.,'  \n\tÉé1 s't") for _ in range(30)) for _ in range(800)]:
         assert e.encode(t).tolist() == e.whole.encode(t, add_special_tokens=False).ids, t
 
@@ -563,7 +589,9 @@ def test_disposal_and_transparency():
         control = b"\x21\xf9\x04" + bytes([flags, 5, 0, clear or 0, 0])
         return control + b"\x2c" + bytes([left, 0, top, 0, side, 0, side, 0, 0x40 * interlaced]) + b"\x02" + gif._blocked(gif.lzw_encode_all([samples], 2)[0])
 
-    data = head + frame(0, 0, 4, red, 1) + frame(1, 1, 2, part, 3, clear=2) + frame(2, 2, 2, part, 2) + frame(0, 0, 4, red[:0] + bytes([3] * 4 + [0] * 4 + [1] * 4 + [2] * 4), 0, interlaced=True) + b"\x3b"
+    data = head + frame(0, 0, 4, red, 1) + frame(1, 1, 2, part, 3, clear=2) + frame(2, 2, 2, part, 2) + frame(
+        0, 0, 4, red[:0] + bytes([3] * 4 + [0] * 4 + [1] * 4 + [2] * 4), 0, interlaced=True
+    ) + b"\x3b"
     w, h, frames = gif.parse_gif(data)
     gif.decode_frames(frames)
     shown = [p.copy().view(np.uint8).reshape(h, w, 4) for p, _ in gif.compose(w, h, frames)]
@@ -576,8 +604,18 @@ def test_disposal_and_transparency():
 
 
 def test_tool_calls(spark):
-    calls = spark.createDataFrame([(1, "a", None, "add", '{"y": 2, "x":1}'), (1, "b", "a", "add", '{"x":"1"}'), (1, "c", "b", "none", "{}"), (1, "d", "e", "add", "[1]"), (1, "e", "d", "add", "{"), (1, "f", "z", "add", '{"x":1,"x":2}'), (1, "a", None, "add", '{"y": 2, "x":1}'), (None, "g", None, "add", "{}"), (2, "h", "a", "add", '{"x":99,"q":null}')], "conv_id long, call_id string, parent_id string, tool string, arguments string")
-    results = spark.createDataFrame([(1, "a", 3, 'later "x"'), (1, "a", 2, "first\n"), (1, "zz", 1, None), (None, "a", 1, "r")], "conv_id long, call_id string, turn long, content string")
+    calls = spark.createDataFrame(
+        [
+            (1, "a", None, "add", '{"y": 2, "x":1}'), (1, "b", "a", "add", '{"x":"1"}'), (1, "c", "b", "none", "{}"),
+            (1, "d", "e", "add", "[1]"), (1, "e", "d", "add", "{"), (1, "f", "z", "add", '{"x":1,"x":2}'),
+            (1, "a", None, "add", '{"y": 2, "x":1}'), (None, "g", None, "add", "{}"), (2, "h", "a", "add", '{"x":99,"q":null}')
+        ],
+        "conv_id long, call_id string, parent_id string, tool string, arguments string"
+    )
+    results = spark.createDataFrame(
+        [(1, "a", 3, 'later "x"'), (1, "a", 2, "first\n"), (1, "zz", 1, None), (None, "a", 1, "r")],
+        "conv_id long, call_id string, turn long, content string"
+    )
     schemas = spark.createDataFrame([("add", "x", "integer", True, 0.0, 9.0), ("add", "y", "number", False, None, None)], chat.SCHEMA_COLUMNS)
     rows = {(r.conv_id, r.call_id, r.status): r for r in chat.link_tool_calls(calls, results, schemas).collect()}
     a = rows[(1, "a", "linked")]
@@ -695,7 +733,11 @@ def brute_mixture(tokens, fold, rounds=60):
     pairs, heads, words_, total = every
     out = {}
     for i, t in tokens.items():
-        out[i] = sum(log10(weights[bucket(heads[a])] @ [pairs[a, b] / max(heads[a], 1), words_[b] / total, 1 / (types + 1)]) for a, b in zip(["start", *t[:-1]], t, strict=True))
+        out[i] = sum(
+            log10(
+                weights[bucket(heads[a])] @ [pairs[a, b] / max(heads[a], 1), words_[b] / total, 1 / (types + 1)]
+            ) for a, b in zip(["start", *t[:-1]], t, strict=True)
+        )
     return out
 
 

@@ -37,7 +37,10 @@ def planted(spark, tmp_path_factory):
         kind[2000 + k] = "shared"
     rows += [(3000, f"{prose(60)} {item} {prose(60)}"), (3001, ""), (3002, None)]
     d = tmp_path_factory.mktemp("planted")
-    spark.createDataFrame([(i, t, "en", "src0", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(d / "documents.parquet"))
+    spark.createDataFrame(
+        [(i, t, "en", "src0", len(t or "")) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long"
+    ).write.parquet(str(d / "documents.parquet"))
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(d / "labels.parquet"))
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(d / "benchmark.parquet"))
     return str(d), dict(rows), kind, shared
@@ -94,7 +97,9 @@ def test_stages_judge_rows_of_null_and_repeated_ids(spark, planted, tmp_path):
         return sorted((r.doc_id or -1, r.text) for r in got.where("doc_id is null or doc_id >= 5000").collect())
 
     assert left(corpus_pipeline.toxicity, [(None, vile), (None, clean), (5000, vile), (5000, clean)]) == [(-1, clean), (5000, clean)]
-    assert left(corpus_pipeline.near_dedup, [(None, base), (5000, base), (5000, base), (5000, far), (5001, far), (None, clean)]) == sorted([(5000, base), (5000, far), (-1, clean)])
+    assert left(
+        corpus_pipeline.near_dedup, [(None, base), (5000, base), (5000, base), (5000, far), (5001, far), (None, clean)]
+    ) == sorted([(5000, base), (5000, far), (-1, clean)])
     assert left(corpus_pipeline.decontamination, [(None, item), (None, clean), (5000, f"{far} {item}"), (5000, far)]) == [(-1, clean), (5000, far)]
 
 

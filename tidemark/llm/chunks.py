@@ -29,7 +29,12 @@ def release() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-_CHUNK_ARROW = pa.schema([("chunk", pa.int64()), ("grp", pa.int32()), ("n_docs", pa.int32()), ("n_bytes", pa.int64()), ("ids", pa.binary()), ("ends", pa.binary()), ("blob", pa.binary())])
+_CHUNK_ARROW = pa.schema(
+    [
+        ("chunk", pa.int64()), ("grp", pa.int32()), ("n_docs", pa.int32()), ("n_bytes", pa.int64()), ("ids", pa.binary()),
+        ("ends", pa.binary()), ("blob", pa.binary())
+    ]
+)
 
 
 def _packed(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
@@ -42,7 +47,10 @@ def _packed(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Record
     def flushed(group: int) -> pa.RecordBatch:
         nonlocal number
         ids, sizes, data = (np.concatenate(x) for x in zip(*held.pop(group), strict=True))
-        row = {"chunk": number, "grp": group, "n_docs": len(ids), "n_bytes": len(data), "ids": ids.tobytes(), "ends": np.cumsum(sizes).tobytes(), "blob": coder.compress(data)}
+        row = {
+            "chunk": number, "grp": group, "n_docs": len(ids), "n_bytes": len(data), "ids": ids.tobytes(),
+            "ends": np.cumsum(sizes).tobytes(), "blob": coder.compress(data)
+        }
         number += 1
         return pa.RecordBatch.from_pylist([row], _CHUNK_ARROW)
 
@@ -98,7 +106,9 @@ def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = np.frombuffer(row["ids"], np.int64)
     offsets = np.concatenate([[0], np.frombuffer(row["ends"], np.int64)])
     blob = row["blob"]
-    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, max_output_size=max(1, row["n_bytes"])), np.uint8) if row["n_bytes"] else np.zeros(0, np.uint8)
+    data = np.frombuffer(
+        zstandard.ZstdDecompressor().decompress(blob, max_output_size=max(1, row["n_bytes"])), np.uint8
+    ) if row["n_bytes"] else np.zeros(0, np.uint8)
     return ids, offsets, data
 
 

@@ -151,7 +151,10 @@ def _windows(batches: Iterator[pa.RecordBatch], widths: list[int], longest: int,
 _SCHEMA = "id long, h long, width int, at int, n_tokens int, wordy boolean, slots array<long>"
 
 
-def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = 10, least_share: float = 0.5, least_tokens: int = 24) -> DataFrame:
+def benchmark_leaks(
+    docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    item_text: str = "text", width: int = 10, least_share: float = 0.5, least_tokens: int = 24
+) -> DataFrame:
     """Return the (doc_id, item_id) pairs where a document holds a benchmark item or its re-parameterised form.
 
     Columns: n_tokens (of the item's template), n_covered (of them, by windows
@@ -179,22 +182,46 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc
     every = [*range(3, width + 1), *range(-width, 0)]
     asked = scratch.keep(items.mapInArrow(lambda it: _windows(it, every, width, None), _SCHEMA), "items")
     widths = [r.width for r in asked.select("width").distinct().collect()]  # at most ``2 * width`` values
-    bits = asked.select(F.shiftrightunsigned("h", 64 - FILTER_BITS).cast("int").alias("b")).distinct().toPandas()["b"].to_numpy(np.int64)  # at most 2**FILTER_BITS
+    # at most 2**FILTER_BITS
+    bits = asked.select(
+        F.shiftrightunsigned("h", 64 - FILTER_BITS).cast("int").alias("b")
+    ).distinct().toPandas()["b"].to_numpy(np.int64)
     passing = np.zeros(1 << FILTER_BITS, bool)
     passing[bits] = True
     packed = np.packbits(passing)
     found = base.mapInArrow(lambda it: _windows(it, widths, width, np.unpackbits(packed).view(bool)), _SCHEMA)
     found = found.select("h", "width", F.col("id").alias("doc_id"), F.col("at").alias("doc_at"), F.col("slots").alias("doc_slots"))
-    hits = found.join(asked, ["h", "width"]).select("doc_id", F.col("id").alias("item_id"), "n_tokens", (F.col("width") > 0).alias("template"), F.abs("width").alias("width"), "wordy", "at", (F.col("doc_at") - F.col("at")).alias("shift"), F.arrays_zip(F.col("slots").alias("b"), F.col("doc_slots").alias("d")).alias("pairs"))
+    hits = found.join(asked, ["h", "width"]).select(
+        "doc_id", F.col("id").alias("item_id"), "n_tokens", (F.col("width") > 0).alias("template"), F.abs("width").alias("width"),
+        "wordy", "at", (F.col("doc_at") - F.col("at")).alias("shift"),
+        F.arrays_zip(F.col("slots").alias("b"), F.col("doc_slots").alias("d")).alias("pairs")
+    )
     # One alignment of a pair has at most as many windows as the item.
-    whole = hits.groupBy("doc_id", "item_id", "n_tokens", "template", "shift").agg(F.collect_set(F.struct("at", "width", "wordy")).alias("spans"), F.array_distinct(F.flatten(F.collect_set(F.filter("pairs", lambda p: p["b"] != 0)))).alias("pairs"))
+    whole = hits.groupBy("doc_id", "item_id", "n_tokens", "template", "shift").agg(
+        F.collect_set(F.struct("at", "width", "wordy")).alias("spans"),
+        F.array_distinct(F.flatten(F.collect_set(F.filter("pairs", lambda p: p["b"] != 0)))).alias("pairs")
+    )
     covered = lambda spans: F.size(F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s["at"], s["at"] + s["width"] - 1)))))
     # Of words that aren't the whole item only windows count that no template can match.
     counted = F.when(F.col("template") | (covered("spans") == F.col("n_tokens")), F.col("spans")).otherwise(F.filter("spans", lambda s: ~s["wordy"]))
     whole = whole.withColumn("spans", counted).where(F.size("spans") > 0)
     values = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side])))
-    whole = whole.select("doc_id", "item_id", "n_tokens", "template", covered("spans").alias("n_covered"), F.greatest(F.lit(0), F.col("shift") + F.array_min(F.transform("spans", lambda s: s["at"]))).alias("doc_token"), F.coalesce(F.forall("pairs", lambda p: p["b"] == p["d"]), F.lit(True)).alias("verbatim"), ((F.size("pairs") == values("b")) & (F.forall("spans", lambda s: s["wordy"]) | (F.size("pairs") == values("d")))).alias("consistent"))
+    whole = whole.select(
+        "doc_id", "item_id", "n_tokens", "template", covered("spans").alias("n_covered"),
+        F.greatest(F.lit(0), F.col("shift") + F.array_min(F.transform("spans", lambda s: s["at"]))).alias("doc_token"),
+        F.coalesce(F.forall("pairs", lambda p: p["b"] == p["d"]), F.lit(True)).alias("verbatim"),
+        (
+            (F.size("pairs") == values("b")) & (F.forall("spans", lambda s: s["wordy"]) | (F.size("pairs") == values("d")))
+        ).alias("consistent")
+    )
     good = whole.where(F.col("consistent") & ((F.col("n_covered") >= least_share * F.col("n_tokens")) | (F.col("n_covered") >= least_tokens)))
-    best = good.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_tokens", "n_covered", "verbatim", "doc_token"), F.struct("template", "n_covered", -F.col("doc_token"))).alias("m"))
-    out = best.select("doc_id", "item_id", "m.n_tokens", "m.n_covered", (F.col("m.n_covered") / F.col("m.n_tokens")).alias("share"), "m.verbatim", "m.doc_token")
+    best = good.groupBy("doc_id", "item_id").agg(
+        F.max_by(
+            F.struct("n_tokens", "n_covered", "verbatim", "doc_token"), F.struct("template", "n_covered", -F.col("doc_token"))
+        ).alias("m")
+    )
+    out = best.select(
+        "doc_id", "item_id", "m.n_tokens", "m.n_covered", (F.col("m.n_covered") / F.col("m.n_tokens")).alias("share"),
+        "m.verbatim", "m.doc_token"
+    )
     return scratch.result(out)

@@ -336,7 +336,10 @@ def _encode(batches: Iterator[pa.RecordBatch], delay: int) -> Iterator[pa.Record
                 n = len(p) // FRAME
                 media.append(write_gif(streams[k : k + n], SIDE, colours, delay))
                 k += n
-            yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, to - at), batch.column("n_bytes").slice(at, to - at), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").slice(at, to - at), batch.column("n_bytes").slice(at, to - at), pa.array(media, pa.binary())],
+                ["id", "n_bytes", "media"]
+            )
             at = to
 
 
@@ -347,7 +350,9 @@ def encode_gifs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     repeat.
     """
     ship(docs.sparkSession)
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
+    base = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    ).withColumn("n_bytes", F.octet_length("text").cast("long"))
     return base.mapInArrow(lambda it: _encode(it, delay), "id long, n_bytes long, media binary")
 
 
@@ -394,7 +399,13 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     error = "damaged code stream"
                 rows.append(_figures(m, w, h, frames) if error is None else (*[None] * 7, error))
             cols = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, to - at), batch.column("n_bytes").slice(at, to - at), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id").slice(at, to - at), batch.column("n_bytes").slice(at, to - at),
+                    *(pa.array(c, t) for c, t in zip(cols, types, strict=True))
+                ],
+                names
+            )
             at = to
 
 
@@ -405,7 +416,10 @@ def gif_features(media: DataFrame) -> DataFrame:
     the size, number of frames, duration and the histogram over 64 colours of
     all shown pictures, after palettes, transparency and disposal.
     """
-    found = media.mapInArrow(_features, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, frames int, error string")
+    found = media.mapInArrow(
+        _features,
+        "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, frames int, error string"
+    )
     return Scratch(media.sparkSession, "gif").result(found)
 
 
@@ -421,10 +435,15 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows.append((doc, k, 10 * at, 10 * d, w, h, picture.tobytes(), colour_histogram(picture).tolist()))
                     at += d
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], ["id", "frame", "start_ms", "ms", "width", "height", "rgba", "histogram"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(cols, types, strict=True)],
+                ["id", "frame", "start_ms", "ms", "width", "height", "rgba", "histogram"]
+            )
 
 
 def gif_frames(media: DataFrame) -> DataFrame:
     """Return the timed pictures of each GIF in (id, media), composed, with their colour histograms; null and damaged ones have none."""
     ship(media.sparkSession)
-    return media.select("id", "media").mapInArrow(_exploded, "id long, frame int, start_ms long, ms long, width int, height int, rgba binary, histogram array<long>")
+    return media.select("id", "media").mapInArrow(
+        _exploded, "id long, frame int, start_ms long, ms long, width int, height int, rgba binary, histogram array<long>"
+    )

@@ -75,7 +75,10 @@ def _keys(row: dict):
 _ASK = "part int, chunk long, grp int, words binary, wn binary, grams binary, gn binary"
 _ASK_ARROW = [("part", pa.int32()), ("chunk", pa.int64()), ("grp", pa.int32()), *((k, pa.binary()) for k in ("words", "wn", "grams", "gn"))]
 _TOLD = "part int, chunk long, grp int, wn binary, gn binary, wh binary, gh binary, tokens long, types long, held long"
-_TOLD_ARROW = [("part", pa.int32()), ("chunk", pa.int64()), ("grp", pa.int32()), *((k, pa.binary()) for k in ("wn", "gn", "wh", "gh")), *((k, pa.int64()) for k in ("tokens", "types", "held"))]
+_TOLD_ARROW = [
+    ("part", pa.int32()), ("chunk", pa.int64()), ("grp", pa.int32()), *((k, pa.binary()) for k in ("wn", "gn", "wh", "gh")),
+    *((k, pa.int64()) for k in ("tokens", "types", "held"))
+]
 
 
 def _batch(schema, rows) -> pa.RecordBatch:
@@ -120,7 +123,12 @@ def _tell(table: pa.Table) -> pa.Table:
     start = any(((k == START) & (c > 0)).any() for k, c in zip(words, wn, strict=True))
     rows = []
     for i, (chunk, group) in enumerate(zip(chunks, groups, strict=True)):
-        rows.append((part, chunk, group, packed_counts(w[i]), packed_counts(g[i]), *((packed_counts(wh[i]), packed_counts(gh[i])) if held[i] else (None, None)), None, None, None))
+        rows.append(
+            (
+                part, chunk, group, packed_counts(w[i]), packed_counts(g[i]),
+                *((packed_counts(wh[i]), packed_counts(gh[i])) if held[i] else (None, None)), None, None, None
+            )
+        )
     rows.append((part, -1, -1, None, None, None, None, sum(sums), known - start, sum(s for s, h in zip(sums, held, strict=True) if h)))
     return pa.Table.from_batches([_batch(_TOLD_ARROW, rows)])
 
@@ -192,7 +200,10 @@ def _scored(batches: Iterator[pa.RecordBatch], n: int, types: int, weights: np.n
         )
 
 
-def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, test: int = 2, held: int = 3, part_bytes: int = 8 << 20) -> DataFrame:
+def lm_scores(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, test: int = 2, held: int = 3,
+    part_bytes: int = 8 << 20
+) -> DataFrame:
     """Return doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document.
 
     Documents in fold ``test`` (crc32 of the id as text, modulo ``folds``) are
@@ -225,6 +236,12 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     marked = answered(f"grp = {HELD}", ["wn", "gn", "wh", "gh"]).mapInArrow(lambda it: _held_out(it, max(1, n - n_held)), "code long, n long")
     grid = marked.groupBy("code").agg(F.sum("n").alias("n")).toPandas()  # at most BUCKETS * _SIDE**2 cells
     weights = learn_weights(grid["code"].to_numpy(np.int64), grid["n"].to_numpy(np.float64), types)
-    out = answered("grp >= 0", ["wn", "gn"]).mapInArrow(lambda it: _scored(it, n, types, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    lost = base.where("id is null").selectExpr("id as doc_id", "true as held_out", "cast(null as long) as n_tokens", "cast(null as long) as n_known", f"cast({n} as long) as train_tokens", "cast(null as double) as base_score", "cast(null as double) as score")
+    out = answered("grp >= 0", ["wn", "gn"]).mapInArrow(
+        lambda it: _scored(it, n, types, weights),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    )
+    lost = base.where("id is null").selectExpr(
+        "id as doc_id", "true as held_out", "cast(null as long) as n_tokens", "cast(null as long) as n_known",
+        f"cast({n} as long) as train_tokens", "cast(null as double) as base_score", "cast(null as double) as score"
+    )
     return scratch.result(out.unionByName(lost))

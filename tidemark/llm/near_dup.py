@@ -85,9 +85,25 @@ def _sketched(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: i
             made = sketch(codes, offsets, bands * rows + 1)
             keys, bits = band_keys(made[:, : bands * rows], bands), low_bits(made)
             raw = memoryview(codes.tobytes())
-            digest = np.frombuffer(b"".join([hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]), np.int64).reshape(-1, 2)
-            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).view(np.int64))) for x in (keys, bits)]
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(size), *(pa.array(np.ascontiguousarray(digest[:, k])) for k in (0, 1)), *lists], ["row", "n", "d0", "d1", "bands", "bits"])
+            digest = np.frombuffer(
+                b"".join(
+                    [
+                        hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(
+                            offsets[:-1].tolist(), offsets[1:].tolist(), strict=True
+                        )
+                    ]
+                ),
+                np.int64
+            ).reshape(-1, 2)
+            lists = [
+                pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(size) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1).view(np.int64))
+                ) for x in (keys, bits)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), pa.array(size), *(pa.array(np.ascontiguousarray(digest[:, k])) for k in (0, 1)), *lists],
+                ["row", "n", "d0", "d1", "bands", "bits"]
+            )
         release()
 
 
@@ -196,7 +212,13 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for part in text_slices(batch, "text"):
             codes, offsets = shingle_hashes(*word_hashes(part.column("text")), width)
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array([codes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], ["row", "codes"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("row"),
+                    pa.array([codes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
+                ],
+                ["row", "codes"]
+            )
 
 
 def _home_links(table: pa.Table, percent: int) -> pa.Table:
@@ -237,7 +259,10 @@ def _home_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 57, rows: int = 7, block_rows: int = 4096, block_shingles: int = 2_000_000, most_broadcast: int = 1_000_000) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, bands: int = 57,
+    rows: int = 7, block_rows: int = 4096, block_shingles: int = 2_000_000, most_broadcast: int = 1_000_000
+) -> DataFrame:
     """Return doc_id, n_shingles, component_id and kept for every row of ``docs``.
 
     Two documents are linked if ``100 * common >= percent * union`` of their
@@ -263,7 +288,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     known = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     repeats = repeating(known, "id", nulls=False)
     base = numbered(known, "id", "text", scratch, "row") if repeats else known.withColumn("row", F.col("id"))
-    made = base.where("id is not null").select("row", "text").mapInArrow(lambda it: _sketched(it, width, bands, rows), "row long, n long, d0 long, d1 long, bands array<long>, bits array<long>")
+    made = base.where("id is not null").select("row", "text").mapInArrow(
+        lambda it: _sketched(it, width, bands, rows), "row long, n long, d0 long, d1 long, bands array<long>, bits array<long>"
+    )
     made = scratch.keep(made, "sketches")
     full = made.where("n > 0")
     classes = scratch.keep(full.groupBy("d0", "d1").agg(F.min("row").alias("rep")), "classes")
@@ -286,18 +313,25 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / 256).cast("int").alias("blocks"))
         dealt = pairs.join(sizes, "a").select(F.col("b").alias("row"), "a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("salt"))
         members = picked(dealt, n).select("a", "salt", F.lit(False).alias("pivot"), F.col("row").alias("b"), "text")
-        firsts = picked(sizes.withColumnRenamed("a", "row"), n).select(F.col("row").alias("a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"), F.lit(True).alias("pivot"), F.col("row").alias("b"), "text")
+        firsts = picked(sizes.withColumnRenamed("a", "row"), n).select(
+            F.col("row").alias("a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"),
+            F.lit(True).alias("pivot"), F.col("row").alias("b"), "text"
+        )
         sorted_rows = members.union(firsts).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("pivot").desc())
         return scratch.keep(sorted_rows.mapInArrow(lambda it: _verified(it, width, percent), "a long, b long"), "links")
 
     stars = buckets.where("row > low").select(F.col("low").alias("a"), F.col("row").alias("b")).distinct()
-    stars = stars.join(sketches.select(F.col("row").alias("a"), F.col("n").alias("m"), F.col("bits").alias("bits_a")), "a").join(sketches.withColumnRenamed("row", "b"), "b").where(fits)
+    stars = stars.join(
+        sketches.select(F.col("row").alias("a"), F.col("n").alias("m"), F.col("bits").alias("bits_a")), "a"
+    ).join(sketches.withColumnRenamed("row", "b"), "b").where(fits)
     off = " + ".join(f"bit_count(bits[{i}] ^ bits_a[{i}])" for i in range(_WORDS))
     stars = stars.withColumn("off", F.expr(off)).where(F.col("off") <= limit)
     links = check(stars.groupBy("b").agg(F.min(F.struct("off", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"))
     parts = connected_components(links, scratch)
     placed = buckets.join(parts.withColumnRenamed("id", "row"), "row", "left").select("key", "row", F.coalesce("component", "row").alias("c"))
-    split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")).where("low < high").select("key", "blocks")
+    split = placed.groupBy("key").agg(
+        F.min("c").alias("low"), F.max("c").alias("high"), F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")
+    ).where("low < high").select("key", "blocks")
     rest = scratch.keep(placed.join(split, "key").join(sketches, "row"), "open")
     blocked = rest.withColumn("x", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocked = blocked.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "row", "n", "c", "bits")
@@ -307,23 +341,40 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         members = rest.select("key", "row", "n", "c").join(likely, ["key", "row"])
         # Buckets go where their largest component is at home, so that a member's set travels once or twice and not with each bucket.
         home = members.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(F.max(F.struct("k", "c"))["c"].alias("home"))
-        held = scratch.keep(members.join(home, "key").groupBy("home", "row").agg(F.min("c").alias("c"), F.max("n").alias("n"), F.collect_set("key").alias("keys")), "homes")
+        held = scratch.keep(
+            members.join(home, "key").groupBy("home", "row").agg(
+                F.min("c").alias("c"), F.max("n").alias("n"), F.collect_set("key").alias("keys")
+            ),
+            "homes"
+        )
         sizes = held.groupBy("home").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
         # A home too large for one task is cut into blocks, each compared with each.
-        dealt = held.join(sizes, "home").withColumn("x", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = held.join(sizes, "home").withColumn(
+            "x", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
+        ).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         dealt = dealt.select("home", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "row", "c", "keys")
         wanted = held.select("row").distinct()
         sets = picked(wanted, held.count()).mapInArrow(lambda it: _sets(it, width), "row long, codes binary")
-        found = scratch.keep(dealt.join(sets, "row").groupBy("home", "i", "j").applyInArrow(lambda t: _home_links(t, percent), "a long, b long").distinct(), "links")
+        found = scratch.keep(
+            dealt.join(sets, "row").groupBy("home", "i", "j").applyInArrow(
+                lambda t: _home_links(t, percent), "a long, b long"
+            ).distinct(),
+            "links"
+        )
         if found.limit(1).count():
             parts = connected_components(links.union(found), scratch)
     low = classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left").select("d0", "d1", F.coalesce("component", "rep").alias("component"))
-    out = made.join(low, ["d0", "d1"], "left").select("row", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "row")).otherwise(F.col("row")).alias("component"))
+    out = made.join(low, ["d0", "d1"], "left").select(
+        "row", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.coalesce("component", "row")).otherwise(F.col("row")).alias("component")
+    )
     if repeats:
         out = _by_id(out, base, scratch)
     else:
         out = out.select(F.col("row").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
-    lost = known.where("id is null").select("text").mapInArrow(lambda it: _sizes(it, width), "n_shingles long").select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    lost = known.where("id is null").select("text").mapInArrow(lambda it: _sizes(it, width), "n_shingles long").select(
+        F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id")
+    )
     out = out.unionByName(lost)
     return scratch.result(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 

@@ -160,7 +160,10 @@ def _placed(batches: Iterator[pa.RecordBatch], runs: np.ndarray) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sequence), pa.array(runs[at, 4])], [*names, "sequence_id", "offset"])
 
 
-def pack(docs: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", group_rows: int = 20_000) -> DataFrame:
+def pack(
+    docs: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id",
+    text_col: str = "text", group_rows: int = 20_000
+) -> DataFrame:
     """Pack documents into sequences of at most ``capacity`` tokens, as few as possible.
 
     Returns one row for each piece: doc_id, piece, start, length, ids_crc32,
@@ -174,7 +177,12 @@ def pack(docs: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", end_id: int =
     """
     scratch = Scratch(docs.sparkSession, "packing")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    made = scratch.keep(base.mapInArrow(lambda it: _pieces(it, tokenizer, end_id, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
+    made = scratch.keep(
+        base.mapInArrow(
+            lambda it: _pieces(it, tokenizer, end_id, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long"
+        ),
+        "pieces"
+    )
     counts = made.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most ``capacity`` rows
     histogram = np.zeros(capacity + 1, np.int64)
     for r in counts:
@@ -188,5 +196,8 @@ def pack(docs: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", end_id: int =
     before = sizes.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
     inner = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece")) - 1
     ranked = salted.withColumn("inner", inner).join(before, ["length", "salt"]).withColumn("rank", (F.col("inner") + F.col("before")).cast("long"))
-    placed = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(lambda it: _placed(it, runs), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    placed = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(
+        lambda it: _placed(it, runs),
+        "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    )
     return scratch.result(placed)

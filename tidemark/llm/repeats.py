@@ -282,7 +282,11 @@ def _ask(batches: Iterator[pa.RecordBatch], parts: int, length: int, anchor: int
         keys = low[new]
         kinds = np.add.reduceat(kind.astype(np.int64), np.flatnonzero(new)) if len(low) else np.zeros(0, np.int64)
         cut = ranges(keys, parts)
-        rows = [(p, row["chunk"], packed_keys(keys[cut[p] : cut[p + 1]]), packed_counts(kinds[cut[p] : cut[p + 1]])) for p in np.flatnonzero(np.diff(cut)).tolist()]
+        rows = [
+            (
+                p, row["chunk"], packed_keys(keys[cut[p] : cut[p + 1]]), packed_counts(kinds[cut[p] : cut[p + 1]])
+            ) for p in np.flatnonzero(np.diff(cut)).tolist()
+        ]
         if rows:
             yield _batch(_ASKED_ARROW, rows)
 
@@ -471,7 +475,14 @@ def _by_chunk(chunk: np.ndarray, doc: np.ndarray, start: np.ndarray, count: np.n
     """Copies as one row for each chunk."""
     order = np.argsort(chunk, kind="stable")
     chunk, doc, start, count = chunk[order], doc[order], start[order], count[order]
-    return pa.Table.from_batches([_batch(_FOUND_ARROW, [(int(chunk[a]), COPY, _bytes_of(_joined(doc[a:b], start[a:b], count[a:b]))) for a, b in _groups(chunk)])])
+    return pa.Table.from_batches(
+        [
+            _batch(
+                _FOUND_ARROW,
+                [(int(chunk[a]), COPY, _bytes_of(_joined(doc[a:b], start[a:b], count[a:b]))) for a, b in _groups(chunk)]
+            )
+        ]
+    )
 
 
 def _shard(table: pa.Table, length: int, limit: int) -> pa.Table:
@@ -492,7 +503,13 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, _ = _rows_of_bytes(row["payload"], _STRING)
         for a in range(0, len(found), 1 << 16):
             some = found[a : a + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), row["chunk"], np.int64)), *(pa.array(np.ascontiguousarray(some[n])) for n in _STRING.names)], ["chunk", *_STRING.names])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(some), row["chunk"], np.int64)),
+                    *(pa.array(np.ascontiguousarray(some[n])) for n in _STRING.names)
+                ],
+                ["chunk", *_STRING.names]
+            )
 
 
 def _split_copies(strings: DataFrame) -> DataFrame:
@@ -536,7 +553,11 @@ def _removed(batches: Iterator[pa.RecordBatch], length: int, whole_chars: bool)
         )
 
 
-def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, anchor: int = 32, whole_chars: bool = False, with_text: bool = False, chunk_bytes: int = 1 << 20, part_bytes: int = 32 << 20, shard_bytes: int = 4 << 20, block_bytes: int = 1 << 19, most_kinds: int = 16_384) -> DataFrame:
+def repeated_bytes(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, anchor: int = 32,
+    whole_chars: bool = False, with_text: bool = False, chunk_bytes: int = 1 << 20, part_bytes: int = 32 << 20,
+    shard_bytes: int = 4 << 20, block_bytes: int = 1 << 19, most_kinds: int = 16_384
+) -> DataFrame:
     """Return doc_id, n_bytes, n_removed, n_spans and kept_sha256 for each document.
 
     A byte is removed if a ``length``-byte string that covers it also starts
@@ -573,7 +594,14 @@ def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     if split.limit(1).count():
         copies = copies.union(_split_copies(split))
     copies = copies.groupBy("chunk").agg(F.collect_list("payload").alias("copy"))
-    out = chunks.join(copies, "chunk", "left").mapInArrow(lambda it: _removed(it, length, whole_chars), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    lost = base.where("id is null").select(F.col("id").alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
+    out = chunks.join(copies, "chunk", "left").mapInArrow(
+        lambda it: _removed(it, length, whole_chars),
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    )
+    lost = base.where("id is null").select(
+        F.col("id").alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"),
+        F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
+        F.sha2("text", 256).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept")
+    )
     out = out.unionByName(lost)
     return scratch.result(out if with_text else out.drop("kept"))

@@ -66,7 +66,20 @@ def _write(batches: Iterator[pa.RecordBatch], root: str, tokenizer: str, end_id:
     for kind, data in (("off", offsets), ("doc", docs)):
         with store.open_output_stream(f"{name}.{kind}") as f:
             f.write(data.tobytes())
-    yield pa.RecordBatch.from_pylist([{"path": f"{root}/{name.rpartition('/')[2]}", "width": coder.dtype.itemsize, "n_docs": len(docs), "n_tokens": int(offsets[-1]), "first_id": int(docs[0])}], pa.schema([("path", pa.string()), ("width", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("first_id", pa.int64())]))
+    yield pa.RecordBatch.from_pylist(
+        [
+            {
+                "path": f"{root}/{name.rpartition('/')[2]}", "width": coder.dtype.itemsize, "n_docs": len(docs),
+                "n_tokens": int(offsets[-1]), "first_id": int(docs[0])
+            }
+        ],
+        pa.schema(
+            [
+                ("path", pa.string()), ("width", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()),
+                ("first_id", pa.int64())
+            ]
+        )
+    )
 
 
 def write_tokens(docs: DataFrame, root: str, *, tokenizer: str, end_id: int, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,13 +132,21 @@ def opened(path: str, dtype: str) -> np.ndarray | RemoteArray:
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for shard in batch.to_pylist():
-            ids, offsets, docs = opened(shard["path"] + ".bin", f"<u{shard['width']}"), opened(shard["path"] + ".off", "<i8"), opened(shard["path"] + ".doc", "<i8")
+            ids, offsets, docs = opened(
+                shard["path"] + ".bin", f"<u{shard['width']}"
+            ), opened(shard["path"] + ".off", "<i8"), opened(shard["path"] + ".doc", "<i8")
             for at in range(0, len(docs), 4096):
                 to = min(len(docs), at + 4096)
                 cut = np.asarray(offsets[at : to + 1])
                 some = ids[int(cut[0]) : int(cut[-1])]
                 crc = [zlib.crc32(np.asarray(some[a:b]).astype("<u4").tobytes()) for a, b in zip(cut[:-1] - cut[0], cut[1:] - cut[0], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.asarray(docs[at:to])), pa.array(cut[:-1] + shard["base"]), pa.array(np.diff(cut)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.asarray(docs[at:to])), pa.array(cut[:-1] + shard["base"]), pa.array(np.diff(cut)),
+                        pa.array(crc, pa.int64())
+                    ],
+                    ["doc_id", "start", "n_tokens", "ids_crc32"]
+                )
 
 
 def read_tokens(spark: SparkSession, manifest: DataFrame) -> DataFrame:
@@ -137,7 +158,10 @@ def read_tokens(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_file_round_trip(docs: DataFrame, *, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", root: str | None = None) -> DataFrame:
+def token_file_round_trip(
+    docs: DataFrame, *, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
+    root: str | None = None
+) -> DataFrame:
     """Write a store and return what its files say of each document.
 
     A null or empty text is the end id alone.  Rows that repeat an id stand
@@ -147,6 +171,12 @@ def token_file_round_trip(docs: DataFrame, *, tokenizer: str = "word_bpe_49k.jso
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "tokens")
-    manifest = write_tokens(docs, root or owned(spark, f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"), tokenizer=tokenizer, end_id=end_id, scratch=scratch, id_col=id_col, text_col=text_col)
-    lost = docs.where(F.col(id_col).isNull()).selectExpr("cast(null as long) as doc_id", "cast(null as long) as start", "cast(null as long) as n_tokens", "cast(null as long) as ids_crc32")
+    manifest = write_tokens(
+        docs, root or owned(spark, f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"), tokenizer=tokenizer, end_id=end_id,
+        scratch=scratch, id_col=id_col, text_col=text_col
+    )
+    lost = docs.where(F.col(id_col).isNull()).selectExpr(
+        "cast(null as long) as doc_id", "cast(null as long) as start", "cast(null as long) as n_tokens",
+        "cast(null as long) as ids_crc32"
+    )
     return read_tokens(spark, manifest).unionByName(lost)

@@ -103,7 +103,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if keys:
         u, s = merged()
         for at in range(0, len(u), 1 << 14):
-            yield pa.RecordBatch.from_arrays([pa.array(u[at : at + (1 << 14)].view(np.int64)), *(pa.array(s[at : at + (1 << 14), k].astype(np.int64)) for k in range(4))], ["h", "d1", "d0", "t1", "t0"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(u[at : at + (1 << 14)].view(np.int64)),
+                    *(pa.array(s[at : at + (1 << 14), k].astype(np.int64)) for k in range(4))
+                ],
+                ["h", "d1", "d0", "t1", "t0"]
+            )
 
 
 def _segments(part: pa.RecordBatch, model: ToxicityModel):
@@ -149,7 +155,10 @@ def _calibrated(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iter
             n, found = _segments(part, model)
             top = [max((v for _, _, v in f), default=0.0) for f in found]
             total = [[v for _, _, v in f] for f in found]
-            yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(top, pa.float64()), pa.array(total, pa.list_(pa.float64())), part.column("toxic")], ["n", "top", "segments", "toxic"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(n), pa.array(top, pa.float64()), pa.array(total, pa.list_(pa.float64())), part.column("toxic")],
+                ["n", "top", "segments", "toxic"]
+            )
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -176,7 +185,11 @@ def _rate(scores: np.ndarray, mass: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def learn_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 4, test: int = 2, calibrate: int = 3, max_rows: int = 60_000, prior: float = 0.1, drift: float = 0.3, least_z: float = 1.96, least_docs: int = 3) -> ToxicityModel:
+def learn_toxicity(
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    folds: int = 4, test: int = 2, calibrate: int = 3, max_rows: int = 60_000, prior: float = 0.1, drift: float = 0.3,
+    least_z: float = 1.96, least_docs: int = 3
+) -> ToxicityModel:
     """Learn a model from labelled documents outside fold ``test`` (crc32 of the id as text, modulo ``folds``).
 
     Fold ``calibrate`` sets the extreme-value parameters and the probabilities,
@@ -187,7 +200,9 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     toxic labels.
     """
     fold = F.crc32(F.col("id").cast("string").cast("binary")) % folds
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic")).groupBy("id").agg(F.max("toxic").alias("toxic"))
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic")
+    ).groupBy("id").agg(F.max("toxic").alias("toxic"))
     known = known.withColumn("fold", fold).where(F.col("fold") != test)
     n = known.count()
     if n > max_rows:
@@ -198,7 +213,9 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     scratch = Scratch(docs.sparkSession, "toxicity")
     first = scratch.keep(rows.groupBy("same").agg(F.min("id").alias("id")), "first")
     rows = rows.join(F.broadcast(first), ["same", "id"], "left_semi").select("text", "toxic", "fold")
-    counts = rows.where(F.col("fold") != calibrate).select("text", "toxic").mapInArrow(_counted, "h long, d1 long, d0 long, t1 long, t0 long").groupBy("h").agg(*(F.sum(c).alias(c) for c in ("d1", "d0", "t1", "t0")))
+    counts = rows.where(F.col("fold") != calibrate).select("text", "toxic").mapInArrow(
+        _counted, "h long, d1 long, d0 long, t1 long, t0 long"
+    ).groupBy("h").agg(*(F.sum(c).alias(c) for c in ("d1", "d0", "t1", "t0")))
     counts = scratch.keep(counts, "counts")
     n1, n0, k0, k = counts.agg(F.coalesce(F.sum("d1"), F.lit(0)), F.coalesce(F.sum("d0"), F.lit(0)), F.coalesce(F.sum("t0"), F.lit(0)), F.count("*")).first()
     none = np.zeros(0, np.uint64), np.zeros(0)
@@ -210,7 +227,10 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
         error = F.sqrt(1 / (F.col("d1") + a) + 1 / (F.col("d0") + a))
         z = raw / error
         odds = raw - F.signum(raw) * least_z * error
-        top = counts.where(F.col("d1") + F.col("d0") >= least_docs).select("h", "t0", odds.alias("odds"), z.alias("z")).where(F.abs("z") >= least_z).toPandas()  # of the tokens of ``max_rows`` texts at most
+        # of the tokens of ``max_rows`` texts at most
+        top = counts.where(F.col("d1") + F.col("d0") >= least_docs).select(
+            "h", "t0", odds.alias("odds"), z.alias("z")
+        ).where(F.abs("z") >= least_z).toPandas()
         h = top["h"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(h)
         hashes, scores = h[order], top["odds"].to_numpy()[order]
@@ -218,7 +238,10 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
         rate = _rate(np.append(scores, 0.0) - drift, share)
     model = ToxicityModel(hashes, scores, drift, rate, 0.0, (0.0, 0.0, 0.0))
     with small_batches(docs.sparkSession):
-        held = rows.where(F.col("fold") == calibrate).select("text", "toxic").mapInArrow(lambda it: _calibrated(it, model), "n long, top double, segments array<double>, toxic int").toPandas()  # about max_rows / folds rows
+        # about max_rows / folds rows
+        held = rows.where(F.col("fold") == calibrate).select("text", "toxic").mapInArrow(
+            lambda it: _calibrated(it, model), "n long, top double, segments array<double>, toxic int"
+        ).toPandas()
     scratch.drop("counts")
     scratch.drop("first")
     y = held["toxic"].to_numpy(np.float64)
@@ -244,7 +267,10 @@ def _scored(batches: Iterator[pa.RecordBatch], model: ToxicityModel) -> Iterator
                 rows = [(a, b, v, float(np.exp(np.clip(level - model.rate * v, -700, 700)))) for a, b, v in segments]
                 passages.append([{"start": a, "end": b, "score": float(v), "expected": e} for a, b, v, e in rows if e < EXPECTED])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(model.probability(best, total)), pa.array(passages, kind)], ["doc_id", "score", "passages"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), pa.array(model.probability(best, total)), pa.array(passages, kind)],
+                ["doc_id", "score", "passages"]
+            )
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

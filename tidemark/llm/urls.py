@@ -162,4 +162,7 @@ def judge_urls(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url
     rows = known.where(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < share * (1 << 20)).orderBy(F.xxhash64("url"), "url").collect() if sizes else []
     model = fit_filter([r.url for r in rows if r.decided == "allow"], [r.url for r in rows if r.decided == "block"])
     scored = base.mapInArrow(lambda it: _scored(it, model), "page_id long, url string, host string, path string, rule string, decided string, score double")
-    return scored.select("page_id", "host", "path", "rule", F.coalesce("decided", F.when(F.col("score") >= model.threshold, "allow").otherwise("block")).alias("verdict"), "score")
+    return scored.select(
+        "page_id", "host", "path", "rule",
+        F.coalesce("decided", F.when(F.col("score") >= model.threshold, "allow").otherwise("block")).alias("verdict"), "score"
+    )
