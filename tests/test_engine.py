@@ -32,23 +32,35 @@ def test_dates(spark):
     import datetime as d
 
     day = d.date(2025, 12, 31)
-    assert values(spark, ["2025-12-31", "2025/12/31", "20251231", "December 31, 2025", "Dec. 31, 2025", "soon", None], dates.parse_date) == [day] * 5 + [None, None]
+    assert values(
+        spark, ["2025-12-31", "2025/12/31", "20251231", "December 31, 2025", "Dec. 31, 2025", "soon", None], dates.parse_date
+    ) == [day] * 5 + [None, None]
     assert values(spark, ["Sept 30, 2025"], dates.parse_date) == [d.date(2025, 9, 30)]
-    df = spark.createDataFrame([("December 31", "January 15, 2026"), ("March 31", "2026-04-20"), (None, "2026-04-20"), ("2026-01-05", None)], "p string, f string")
-    assert [r.v for r in df.select(dates.effective_date(F.col("p"), F.col("f")).alias("v")).collect()] == [day, d.date(2026, 3, 31), d.date(2026, 4, 20), d.date(2026, 1, 5)]
+    df = spark.createDataFrame(
+        [("December 31", "January 15, 2026"), ("March 31", "2026-04-20"), (None, "2026-04-20"), ("2026-01-05", None)],
+        "p string, f string"
+    )
+    assert [
+        r.v for r in df.select(dates.effective_date(F.col("p"), F.col("f")).alias("v")).collect()
+    ] == [day, d.date(2026, 3, 31), d.date(2026, 4, 20), d.date(2026, 1, 5)]
 
 
 def test_effective_dates_on_leap_days(spark):
     import datetime as d
 
-    rows = [("February 29", "December 31, 1995"), ("Feb 29", "March 05, 1996"), ("February 29", "January 05, 1996"), ("1996-02-29", "December 31, 1995"), ("February 29, 1996", "March 05, 1996"), ("February 28", "March 05, 1996")]
+    rows = [
+        ("February 29", "December 31, 1995"), ("Feb 29", "March 05, 1996"), ("February 29", "January 05, 1996"),
+        ("1996-02-29", "December 31, 1995"), ("February 29, 1996", "March 05, 1996"), ("February 28", "March 05, 1996")
+    ]
     df = spark.createDataFrame(rows, "p string, f string")
     got = [r.v for r in df.select(dates.effective_date(F.col("p"), F.col("f")).alias("v")).collect()]
     assert got == [d.date(1995, 12, 31), d.date(1996, 3, 5), d.date(1996, 1, 5), d.date(1996, 2, 29), d.date(1996, 2, 29), d.date(1996, 2, 28)]
 
 
 def test_units_and_labels(spark):
-    assert values(spark, ["RMB, millions", "NEW TAIWAN DOLLARS", None, "Brazilian", "millions(dom)"], units.currency_code) == ["CNY", "NEW", "USD", "BRL", "DOM"]
+    assert values(
+        spark, ["RMB, millions", "NEW TAIWAN DOLLARS", None, "Brazilian", "millions(dom)"], units.currency_code
+    ) == ["CNY", "NEW", "USD", "BRL", "DOM"]
     assert values(spark, ["Net income—basic (per ADS): 1,2"], text.normal_label) == ["net income basic per ads 1 2"]
     assert values(spark, ["per ADS, each two ordinary shares", "ordinary shares per ADS", "per share"], text.depositary_first) == [True, False, False]
 
@@ -85,7 +97,9 @@ IXBRL = """<xbrli:context id="c-1"><xbrli:period><xbrli:startDate>2025-10-01</xb
 
 
 def test_facts(spark):
-    df = spark.createDataFrame([("f", IXBRL, "10-Q")], "filing_id string, raw string, form_type string").withColumn("target_end", F.to_date(F.lit("2025-12-31")))
+    df = spark.createDataFrame(
+        [("f", IXBRL, "10-Q")], "filing_id string, raw string, form_type string"
+    ).withColumn("target_end", F.to_date(F.lit("2025-12-31")))
     ctx, found = facts.contexts(df), facts.all_facts(df)
     assert ctx.count() == 5 and found.where("name = 'us-gaap:Liabilities'").count() == 1
     got = {r.metric: r.value for r in facts.chosen_metrics(df, found, ctx).collect()}
@@ -96,14 +110,25 @@ def test_facts(spark):
 
 
 def test_identities_of_derived_figures(spark):
-    row = {"revenue": 100.0, "cogs": -60.0, "pretax_income": 30.0, "tax_expense": -5.0, "net_income": 25.0, "operating_income": 20.0, "depreciation_and_amortization": 4.0, "ebitda": 90.0, "operating_cash_flow": 9.0, "capex": 3.0, "selling_and_marketing": 1.0, "weighted_avg_shares_diluted": 8.0}
+    row = {
+        "revenue": 100.0, "cogs": -60.0, "pretax_income": 30.0, "tax_expense": -5.0, "net_income": 25.0, "operating_income": 20.0,
+        "depreciation_and_amortization": 4.0, "ebitda": 90.0, "operating_cash_flow": 9.0, "capex": 3.0,
+        "selling_and_marketing": 1.0, "weighted_avg_shares_diluted": 8.0
+    }
     d = derive.derived(spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} double" for k in row))).first()
     assert (d.gross_profit, d.tax_expense, d.ebitda, d.capex, d.free_cash_flow, d.sga, d.shares_outstanding) == (40.0, 5.0, 24.0, -3.0, 6.0, 1.0, 8.0)
 
 
 def test_surplus_screen(spark, tmp_path):
-    base = {"ticker": "AAA", "filing_type": "10-Q", "company_name": "Alpha", "currency": "USD", "filing_date": "January 30, 2026", "fiscal_period": "December 31, 2025", "income_statement": {"revenue": 100.0, "ebitda": 20.0, "net_income": 12.0}, "balance_sheet": {"current_assets": 90.0, "total_liabilities": 40.0}, "shares": {"common_M": 10.0}}
-    rows = [base, base | {"ticker": "BBB", "currency": None}, base | {"ticker": "CCC", "balance_sheet": {"current_assets": 40.0, "total_liabilities": 40.0}}, base | {"ticker": "DDD"}]
+    base = {
+        "ticker": "AAA", "filing_type": "10-Q", "company_name": "Alpha", "currency": "USD", "filing_date": "January 30, 2026",
+        "fiscal_period": "December 31, 2025", "income_statement": {"revenue": 100.0, "ebitda": 20.0, "net_income": 12.0},
+        "balance_sheet": {"current_assets": 90.0, "total_liabilities": 40.0}, "shares": {"common_M": 10.0}
+    }
+    rows = [
+        base, base | {"ticker": "BBB", "currency": None},
+        base | {"ticker": "CCC", "balance_sheet": {"current_assets": 40.0, "total_liabilities": 40.0}}, base | {"ticker": "DDD"}
+    ]
     (tmp_path / "in.json").write_text(json.dumps([r | {"ord": i} for i, r in enumerate(rows)]))
     (tmp_path / "p.csv").write_text("Symbol;Close\naaa.us;4.0\nAAA;5.0\nBBB;0\nddd;2\n")
     records = spark.read.schema(net_current_assets.INPUT_SCHEMA).json(str(tmp_path / "in.json"), multiLine=True)
@@ -118,7 +143,14 @@ def test_surplus_screen(spark, tmp_path):
     assert net_current_assets.screen(records, prices, fx, F.to_date(F.lit("2029-02-01"))).count() == 0
     counts = net_current_assets.screen_funnel(found).first()
     assert (counts.passed, counts.missing_fx, counts.missing_price_tickers) == (1, 1, [])
-    ratio = records.where("ticker = 'AAA'").withColumn("shares", F.expr("named_struct('common_M', 10D, 'weighted_avg_M', null, 'diluted_M', null, 'ads_per_share', 0.2D, 'ordinary_shares_per_ads', null, 'ads_per_ordinary_share', null)").cast("struct<common_M:double,weighted_avg_M:double,diluted_M:double,ads_per_share:double,ordinary_shares_per_ads:double,ads_per_ordinary_share:double>"))
+    ratio = records.where("ticker = 'AAA'").withColumn(
+        "shares",
+        F.expr(
+            "named_struct('common_M', 10D, 'weighted_avg_M', null, 'diluted_M', null, 'ads_per_share', 0.2D, 'ordinary_shares_per_ads', null, 'ads_per_ordinary_share', null)"
+        ).cast(
+            "struct<common_M:double,weighted_avg_M:double,diluted_M:double,ads_per_share:double,ordinary_shares_per_ads:double,ads_per_ordinary_share:double>"
+        )
+    )
     assert net_current_assets.normalised(ratio).first().ordinary_shares_per_ads == 5.0
 
 
@@ -148,11 +180,24 @@ def test_acquisition(spark, tmp_path):
     (tmp_path / "p.json").write_text(json.dumps({"AAA": {"status": "ok"}, "BBB": {"status": "error"}}))
     left = acquisition.pending(spark.createDataFrame([("AAA",), ("BBB",), ("CCC",)], "ticker string"), files.progress(spark, str(tmp_path / "p.json")))
     assert sorted(r.ticker for r in left.collect()) == ["BBB", "CCC"]
-    (tmp_path / "s.json").write_text(json.dumps({"filings": {"recent": {"form": ["10-Q", "10-K", "10-Q"], "accessionNumber": ["1", "2", "3"], "primaryDocument": ["a", "b", "c"], "filingDate": ["2026-01-02", "2026-01-01", "2026-01-02"]}}}))
+    (tmp_path / "s.json").write_text(
+        json.dumps(
+            {
+                "filings": {
+                    "recent": {
+                        "form": ["10-Q", "10-K", "10-Q"], "accessionNumber": ["1", "2", "3"], "primaryDocument": ["a", "b", "c"],
+                        "filingDate": ["2026-01-02", "2026-01-01", "2026-01-02"]
+                    }
+                }
+            }
+        )
+    )
     assert acquisition.latest_of_forms(files.submissions(spark, str(tmp_path / "s.json")), ("10-K", "10-Q")).first().accession == "1"
     (tmp_path / "c.json").write_text(json.dumps({"0": {"ticker": "aaa", "cik_str": 12}}))
     assert tuple(files.company_tickers(spark, str(tmp_path / "c.json")).first()) == ("AAA", "0000000012")
-    (tmp_path / "m.idx").write_text("CIK|Company|Form|Date|path\n1000001|ALPHA|6-K|2026-01-15|edgar/data/1000001/0001000001-26-000001.txt\n1000001|ALPHA|6-K|2026-02-20|edgar/data/1000001/0001000001-26-000002.txt\n")
+    (tmp_path / "m.idx").write_text(
+        "CIK|Company|Form|Date|path\n1000001|ALPHA|6-K|2026-01-15|edgar/data/1000001/0001000001-26-000001.txt\n1000001|ALPHA|6-K|2026-02-20|edgar/data/1000001/0001000001-26-000002.txt\n"
+    )
     assert [r.accession for r in acquisition.newest_6k(files.master_index(spark, str(tmp_path / "m.idx")), 1).collect()] == ["0001000001-26-000002"]
 
 

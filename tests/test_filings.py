@@ -56,11 +56,17 @@ def test_table_grids():
     assert tables.table_kind("short") is None and tables.tables_of(None) == [] and tables.tables_of("<table><tr><td") is not None
     assert tables.table_unit([["x"]], [("scale", "6"), ("decimals", "-3")]) == ("millions", 2)
     assert tables.table_unit([["RMB’000"]], []) == ("thousands", 3) and tables.table_unit([["x"]], []) == (None, 0)
-    assert tables.latest_column([["", "2023", "2024", "2025"]]) == 2 and tables.latest_column([["", "Sep", "Jun"], ["", "2024", "2025"]]) == 1 and tables.latest_column([["a"]]) == 0
+    assert tables.latest_column([["", "2023", "2024", "2025"]]) == 2 and tables.latest_column(
+        [["", "Sep", "Jun"], ["", "2024", "2025"]]
+    ) == 1 and tables.latest_column([["a"]]) == 0
 
 
 def test_ratios_in_words():
-    said = {"two ordinary shares equal one ADS": 2.0, "5 ordinary shares to one ADS": 5.0, "one ADS to 8 ordinary shares": 8.0, "We sold 5,000,000 ADSs, each representing two ordinary shares. Each ADS represents three ordinary shares.": 3.0, "the ADSs trade. Ordinary shares don't": None, "": None}
+    said = {
+        "two ordinary shares equal one ADS": 2.0, "5 ordinary shares to one ADS": 5.0, "one ADS to 8 ordinary shares": 8.0,
+        "We sold 5,000,000 ADSs, each representing two ordinary shares. Each ADS represents three ordinary shares.": 3.0,
+        "the ADSs trade. Ordinary shares don't": None, "": None
+    }
     assert {t: prose.stated_ratio(t) for t in said} == said
     assert [prose.simple_ratio(x) for x in (0.3334, 7.01, 55.123, None, -1.0)] == [pytest.approx(1 / 3), 7.0, pytest.approx(55.1, abs=0.1), None, None]
 
@@ -81,13 +87,27 @@ def test_reports_from_a_folder(spark, tmp_path):
 
 
 def test_stored_market_data(spark, tmp_path):
-    for name, body in {"q.json": {"quoteResponse": {"result": [{"symbol": "aaa", "regularMarketPrice": 5.0}, {"symbol": "BBB", "regularMarketPrice": 0.0}]}}, "p.json": {"ticker": "CCC", "results": [{"c": 7.5}]}, "g.json": {"results": [{"T": "b", "c": 2.0}, {"T": "a", "c": 1.0}, {"T": "a", "c": 3.0}, {"T": "x", "c": 0.0}]}}.items():
+    for name, body in {
+        "q.json": {
+            "quoteResponse": {
+                "result": [{"symbol": "aaa", "regularMarketPrice": 5.0}, {"symbol": "BBB", "regularMarketPrice": 0.0}]
+            }
+        },
+        "p.json": {"ticker": "CCC", "results": [{"c": 7.5}]},
+        "g.json": {"results": [{"T": "b", "c": 2.0}, {"T": "a", "c": 1.0}, {"T": "a", "c": 3.0}, {"T": "x", "c": 0.0}]}
+    }.items():
         (tmp_path / name).write_text(json.dumps(body))
     (tmp_path / "d.csv").write_text("Symbol,Date,Time,Open,High,Low,Close,Volume\nbbb.us,d,t,1,1,1,4.5,9\n")
     wanted = spark.createDataFrame([("aaa",), ("BBB ",), ("ccc",), ("ddd",), ("",)], "ticker string")
-    sources = [("quotes", market.batch_quotes(spark, str(tmp_path / "q.json"))), ("daily", market.daily_csv(spark, str(tmp_path / "d.csv"))), ("previous", market.previous_close(spark, str(tmp_path / "p.json")))]
+    sources = [
+        ("quotes", market.batch_quotes(spark, str(tmp_path / "q.json"))),
+        ("daily", market.daily_csv(spark, str(tmp_path / "d.csv"))),
+        ("previous", market.previous_close(spark, str(tmp_path / "p.json")))
+    ]
     got = market.fetched_prices(wanted, sources)
-    assert {(r.ticker, r.price, r.source, r.reason) for r in got.collect()} == {("AAA", 5.0, "quotes", None), ("BBB", 4.5, "daily", None), ("CCC", 7.5, "previous", None), ("DDD", None, None, "no data")}
+    assert {(r.ticker, r.price, r.source, r.reason) for r in got.collect()} == {
+        ("AAA", 5.0, "quotes", None), ("BBB", 4.5, "daily", None), ("CCC", 7.5, "previous", None), ("DDD", None, None, "no data")
+    }
     assert [tuple(r) for r in market.failure_reasons(got).collect()] == [("no data", 1)]
     assert [tuple(r) for r in market.grouped_daily(spark, str(tmp_path / "g.json")).collect()] == [("A", 3.0), ("B", 2.0)]
     assert [r["keys"] for r in market.chunked(wanted.where("ticker <> ''"), "ticker", 3).orderBy("chunk").collect()] == [["BBB ", "aaa", "ccc"], ["ddd"]]
@@ -191,13 +211,23 @@ def test_command_lines(spark, tmp_path):
     from tidemark import cli
     from tidemark.plans import acquisition
 
-    base = {"ticker": "AAA", "filing_type": "10-Q", "currency": "USD", "filing_date": "January 30, 2026", "fiscal_period": "December 31, 2025", "balance_sheet": {"current_assets": 90.0, "total_liabilities": 40.0}, "shares": {"common_M": 10.0}}
+    base = {
+        "ticker": "AAA", "filing_type": "10-Q", "currency": "USD", "filing_date": "January 30, 2026",
+        "fiscal_period": "December 31, 2025", "balance_sheet": {"current_assets": 90.0, "total_liabilities": 40.0},
+        "shares": {"common_M": 10.0}
+    }
     rows = [base, base, base | {"ticker": "BBB", "currency": "CNY"}, base | {"ticker": "CCC"}]
     (tmp_path / "in.json").write_text(json.dumps(rows))
     (tmp_path / "p.csv").write_text("symbol,close\nAAA,5\nBBB,10\n")
     (tmp_path / "fx.csv").write_text("currency,per_usd\ncny,2\n")
     out = str(tmp_path / "screen.tsv")
-    counts = cli.screen([str(tmp_path / "in.json"), "--prices", str(tmp_path / "p.csv"), "--rates", str(tmp_path / "fx.csv"), "--as-of", "2026-02-01", "--output", out], spark).first()
+    counts = cli.screen(
+        [
+            str(tmp_path / "in.json"), "--prices", str(tmp_path / "p.csv"), "--rates", str(tmp_path / "fx.csv"), "--as-of",
+            "2026-02-01", "--output", out
+        ],
+        spark
+    ).first()
     assert (counts.passed, counts.missing_price, counts.missing_price_tickers) == (2, 1, ["CCC"])
     lines_ = [r.value for r in spark.read.text(out).collect()]
     assert [x.split("\t")[0] for x in lines_] == ["ticker", "AAA", "BBB"] and lines_[1].split("\t")[3] == "100.0" and lines_[2].split("\t")[3] == "25.0"
@@ -208,4 +238,8 @@ def test_command_lines(spark, tmp_path):
     got = json.loads("".join(r.value for r in spark.read.text(str(tmp_path / "reports")).collect()))
     assert len(got) == 1 and list(got[0]) == list(reports.OUTPUT_FIELDS) and got[0]["revenue"] == 1e6
     known = spark.createDataFrame([("AAA", "0000000012")], "ticker string, cik string")
-    assert sorted((r.ticker, r.cik) for r in acquisition.with_cik(spark.createDataFrame([(" aaa",), ("B",)], "ticker string"), known).collect()) == [("AAA", "0000000012"), ("B", None)]
+    assert sorted(
+        (r.ticker, r.cik) for r in acquisition.with_cik(
+            spark.createDataFrame([(" aaa",), ("B",)], "ticker string"), known
+        ).collect()
+    ) == [("AAA", "0000000012"), ("B", None)]

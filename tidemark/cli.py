@@ -23,7 +23,9 @@ def screen(argv: list[str] | None = None, spark: SparkSession | None = None) ->
     args = screen_arguments(argv)
     spark = spark or build_session("surplus-screen")
     prices = files.prices(spark, args.prices)
-    quotes = spark.read.csv(args.rates, header=True).select(F.upper("currency").alias("currency"), F.col("per_usd").cast("double").alias("per_usd")) if args.rates else spark.createDataFrame([], "currency string, per_usd double")
+    quotes = spark.read.csv(args.rates, header=True).select(
+        F.upper("currency").alias("currency"), F.col("per_usd").cast("double").alias("per_usd")
+    ) if args.rates else spark.createDataFrame([], "currency string, per_usd double")
     as_of = F.to_date(F.lit(args.as_of)) if args.as_of else F.current_date()
     records = net_current_assets.deduplicated(net_current_assets.normalised(summary_records(spark, args.summary)))
     dated = net_current_assets.latest(records) if not args.all_records else net_current_assets.dated(records)

@@ -36,13 +36,20 @@ def src17_prices(t):
     """Prices of CSV texts in four dialects, one text for each supplier; the last line of a ticker counts."""
     k = c("s_suppkey") % 4
     sep = F.when(k == 0, ";").when(k == 1, "\t").when(k == 2, "|").otherwise(",")
-    made = t.supplier.select(cat("Name", sep, "SYMBOL", sep, '"Close"\n', "x", sep, "s", words(c("s_suppkey")), "-", words(c("s_nationkey")), ".us", sep, "7\n", "x", sep, '"S', words(c("s_suppkey")), "-", words(c("s_nationkey")), '"', sep, words(c("s_acctbal")), "\n").alias("value"))
+    made = t.supplier.select(
+        cat(
+            "Name", sep, "SYMBOL", sep, '"Close"\n', "x", sep, "s", words(c("s_suppkey")), "-", words(c("s_nationkey")), ".us",
+            sep, "7\n", "x", sep, '"S', words(c("s_suppkey")), "-", words(c("s_nationkey")), '"', sep, words(c("s_acctbal")), "\n"
+        ).alias("value")
+    )
     # Suppliers without a balance above 0 keep the first line's 7.
     got = files.parsed_prices(made).withColumn("k", F.split(F.substring("ticker", 2, 50), "-")).where("price <> 7")
     return got.select(c("k")[0].cast("long").alias("s_suppkey"), c("k")[1].cast("int").alias("s_nationkey"), c("price").alias("s_acctbal"))
 
 
-@query("select upper(c_mktsegment) as currency, case when upper(c_mktsegment) = 'BUILDING' then 4.0 when upper(c_mktsegment) = 'MACHINERY' then 0.5 end::double as usd_per_unit, case when upper(c_mktsegment) = 'BUILDING' then 0 when upper(c_mktsegment) = 'MACHINERY' then 1 end::int as source from customer group by 1 union all select 'USD', 1.0, null")
+@query(
+    "select upper(c_mktsegment) as currency, case when upper(c_mktsegment) = 'BUILDING' then 4.0 when upper(c_mktsegment) = 'MACHINERY' then 0.5 end::double as usd_per_unit, case when upper(c_mktsegment) = 'BUILDING' then 0 when upper(c_mktsegment) = 'MACHINERY' then 1 end::int as source from customer group by 1 union all select 'USD', 1.0, null"
+)
 def src21_rates(t):
     """Rates of two sources in order of priority; a rate of 0 is none."""
     codes = t.customer.select(F.lower(cat(" ", c("c_mktsegment"))).alias("currency")).union(t.rows([("usd",), ("",)], "currency string"))
@@ -61,7 +68,19 @@ def src24_wanted_tickers(t):
 def src08_submissions(t):
     """Filings of a submissions feed with parallel arrays, one feed for each customer."""
     a = F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus")))
-    feed = t.orders.groupBy("o_custkey").agg(a.alias("a")).select("o_custkey", F.to_json(F.struct(F.struct(F.struct(c("a.o_orderstatus").alias("form"), c("a.o_orderkey").cast("array<string>").alias("accessionNumber"), c("a.o_orderstatus").alias("primaryDocument"), c("a.o_orderstatus").alias("filingDate")).alias("recent")).alias("filings"))).alias("value"))
+    feed = t.orders.groupBy("o_custkey").agg(a.alias("a")).select(
+        "o_custkey",
+        F.to_json(
+            F.struct(
+                F.struct(
+                    F.struct(
+                        c("a.o_orderstatus").alias("form"), c("a.o_orderkey").cast("array<string>").alias("accessionNumber"),
+                        c("a.o_orderstatus").alias("primaryDocument"), c("a.o_orderstatus").alias("filingDate")
+                    ).alias("recent")
+                ).alias("filings")
+            )
+        ).alias("value")
+    )
     got = files.parsed_submissions(feed.select(words(c("o_custkey")).alias("path"), "value"))
     return got.select(c("path").cast("long").alias("o_custkey"), "pos", c("accession").cast("long").alias("o_orderkey"), c("form").alias("o_orderstatus"))
 
@@ -72,7 +91,9 @@ def src12_cache_scan(t):
     return files.cached_rows(t.events.select("user_id", "event_id", F.when(c("event_id") % 3 > 0, c("event_type")).alias("event_type")))
 
 
-@query("with m as (select max(ts) as top from events) select event_type, count(*) as total, count(*) filter (ts > top - interval 7 day) as fresh, count(*) filter (ts <= top - interval 7 day) as expired, count(*) filter (ts >= top - interval 7 day) as served from events, m group by 1")
+@query(
+    "with m as (select max(ts) as top from events) select event_type, count(*) as total, count(*) filter (ts > top - interval 7 day) as fresh, count(*) filter (ts <= top - interval 7 day) as expired, count(*) filter (ts >= top - interval 7 day) as served from events, m group by 1"
+)
 def agg04_cache_stats(t):
     """Fresh, expired and served reports of a cache by kind."""
     cache = t.events.select("event_type", c("ts").alias("fetched_at"))
@@ -86,13 +107,28 @@ def src13_vendor_xml(t):
     """Earnings and ratios of vendor XML made from parts; sentinels are null."""
     k, size = c("p_partkey"), c("p_size")
     entry = lambda kind, day, v, period="12M": cat(f'<EPS asofDate="{day}" reportType="{kind}" period="{period}">', v, "</EPS>")
-    a = cat("<ReportFinancialSummary><EPSs", F.when(size % 4 == 0, "").otherwise(' currency="CNY"'), ">", entry("TTM", "2024-12-31", "1"), entry("TTM", "2025-03-31", words(c("p_retailprice"))), entry("P", "2025-06-30", "9", "3M"), F.when(size % 4 == 0, "").otherwise(entry("P", "2025-12-31", words(size * 0.5))), "</EPSs></ReportFinancialSummary>")
-    b = cat('<ReportSnapshot><Ratios ExchangeRate="1.0" ReportingCurrency="USD"><Group ID="a"><Ratio FieldName="NPRICE">', F.when(k % 3 == 0, "-99999.99").otherwise(words(c("p_retailprice"))), '</Ratio></Group><Group ID="b"><Ratio FieldName="MKTCAP">', words(2.0 * size), "</Ratio></Group></Ratios></ReportSnapshot>")
+    a = cat(
+        "<ReportFinancialSummary><EPSs", F.when(size % 4 == 0, "").otherwise(' currency="CNY"'), ">",
+        entry("TTM", "2024-12-31", "1"), entry("TTM", "2025-03-31", words(c("p_retailprice"))),
+        entry("P", "2025-06-30", "9", "3M"), F.when(size % 4 == 0, "").otherwise(entry("P", "2025-12-31", words(size * 0.5))),
+        "</EPSs></ReportFinancialSummary>"
+    )
+    b = cat(
+        '<ReportSnapshot><Ratios ExchangeRate="1.0" ReportingCurrency="USD"><Group ID="a"><Ratio FieldName="NPRICE">',
+        F.when(k % 3 == 0, "-99999.99").otherwise(words(c("p_retailprice"))),
+        '</Ratio></Group><Group ID="b"><Ratio FieldName="MKTCAP">', words(2.0 * size),
+        "</Ratio></Group></Ratios></ReportSnapshot>"
+    )
     x = t.part.withColumns(vendor.eps_columns(a) | vendor.snapshot_columns(b))
-    return x.select("p_partkey", c("projected.value").alias("projected"), c("trailing.value").alias("trailing"), "price", c("market_cap_m").alias("cap"), "eps_currency")
+    return x.select(
+        "p_partkey", c("projected.value").alias("projected"), c("trailing.value").alias("trailing"), "price",
+        c("market_cap_m").alias("cap"), "eps_currency"
+    )
 
 
-@query("select event_id, case when v in (-1.0, -99999.99) then null else v end as value from (select event_id, case event_id % 5 when 0 then -1.0 when 1 then -99999.99 when 2 then null else value end as v from events)")
+@query(
+    "select event_id, case when v in (-1.0, -99999.99) then null else v end as value from (select event_id, case event_id % 5 when 0 then -1.0 when 1 then -99999.99 when 2 then null else value end as v from events)"
+)
 def flt09_vendor_sentinels(t):
     """Stand-ins for missing values in vendor XML become null."""
     k = c("event_id") % 5
@@ -124,7 +160,12 @@ def snk04_json_array(t):
 @query("""select c_custkey as ord, '{"revenue":' || c_nationkey || '.0,"cogs":null' as begins, 6 as parts from customer""")
 def snk03_nested(t):
     """Reports with their metrics in parts."""
-    x = reports.nested(t.customer.select(c("c_custkey").alias("ord"), cat("T", words(c("c_custkey"))).alias("ticker"), c("c_nationkey").cast("double").alias("revenue")))
+    x = reports.nested(
+        t.customer.select(
+            c("c_custkey").alias("ord"), cat("T", words(c("c_custkey"))).alias("ticker"),
+            c("c_nationkey").cast("double").alias("revenue")
+        )
+    )
     parts = [n for n in reports.NESTED if n in x.columns]
     shown = F.to_json("income_statement", {"ignoreNullFields": "false"})
     return x.select("ord", F.substring_index(shown, ',"gross', 1).alias("begins"), lit(len(parts) + 1).alias("parts"))
@@ -133,30 +174,46 @@ def snk03_nested(t):
 @query("""select cast(c_custkey as bigint) as ord, 'T' || c_custkey || chr(9) || c_nationkey || '.5' || chr(9) || chr(9) || '"a' || chr(9) || 'b"' as value from customer union all select -1, 'ticker' || chr(9) || 'surplus' || chr(9) || 'market_cap' || chr(9) || 'surplus_pct_of_mcap'""")
 def snk05_screen_tsv(t):
     """The screen's report as text with tabs; cells that hold one are quoted."""
-    x = t.customer.select(c("c_custkey").alias("ord"), cat("T", words(c("c_custkey"))).alias("ticker"), (c("c_nationkey") + 0.5).alias("surplus"), lit(None).cast("double").alias("market_cap"), lit("a\tb").alias("surplus_pct_of_mcap"))
+    x = t.customer.select(
+        c("c_custkey").alias("ord"), cat("T", words(c("c_custkey"))).alias("ticker"), (c("c_nationkey") + 0.5).alias("surplus"),
+        lit(None).cast("double").alias("market_cap"), lit("a\tb").alias("surplus_pct_of_mcap")
+    )
     return reports.screen_report(x, reports.report_format("x.tsv"))
 
 
 FIELDS_SQL = ",".join(reports.OUTPUT_FIELDS)
 
 
-@query(f"select c_custkey as ord, ',T' || c_custkey || ',,10-K,,,,,' || c_nationkey || '.0' || repeat(',', 46) as value from customer union all select -1, '{FIELDS_SQL}'")
+@query(
+    f"select c_custkey as ord, ',T' || c_custkey || ',,10-K,,,,,' || c_nationkey || '.0' || repeat(',', 46) as value from customer union all select -1, '{FIELDS_SQL}'"
+)
 def snk02_wide_csv(t):
     """Reports as CSV lines of all 55 columns."""
-    x = t.customer.select(cat("T", words(c("c_custkey"))).alias("ticker"), lit("10-K").alias("form_type"), c("c_nationkey").cast("double").alias("revenue"), c("c_custkey").alias("ord"))
+    x = t.customer.select(
+        cat("T", words(c("c_custkey"))).alias("ticker"), lit("10-K").alias("form_type"),
+        c("c_nationkey").cast("double").alias("revenue"), c("c_custkey").alias("ord")
+    )
     return reports.csv_lines(reports.with_fields(x, (*reports.OUTPUT_FIELDS, "ord")), list(reports.OUTPUT_FIELDS), bom=False)
 
 
 @query("""select '{' || string_agg('"' || n_name || '":{"status":"' || case when n_nationkey % 2 = 0 then 'ok' else 'error' end || '","form":"10-K"}', ',' order by n_name) || '}' as value from nation""")
 def snk10_progress_map(t):
     """A progress file's JSON map."""
-    return reports.progress_map(t.nation.select(c("n_name").alias("ticker"), F.when(c("n_nationkey") % 2 == 0, "ok").otherwise("error").alias("status"), lit("10-K").alias("form")))
+    return reports.progress_map(
+        t.nation.select(
+            c("n_name").alias("ticker"), F.when(c("n_nationkey") % 2 == 0, "ok").otherwise("error").alias("status"),
+            lit("10-K").alias("form")
+        )
+    )
 
 
 @query("select o_orderkey as ord, o_custkey as ticker, o_orderpriority as reason from orders where o_orderstatus = 'F' order by o_orderkey limit 10")
 def srt07_first_reasons(t):
     """The first ten reasons why something was skipped."""
-    x = t.orders.select(c("o_orderkey").alias("ord"), c("o_custkey").alias("ticker"), F.when(c("o_orderstatus") == "F", "skipped").otherwise("failed").alias("status"), c("o_orderpriority").alias("reason"))
+    x = t.orders.select(
+        c("o_orderkey").alias("ord"), c("o_custkey").alias("ticker"),
+        F.when(c("o_orderstatus") == "F", "skipped").otherwise("failed").alias("status"), c("o_orderpriority").alias("reason")
+    )
     return reports.first_reasons(x)
 
 
@@ -187,8 +244,19 @@ def flt04_fresh(t):
 @query("select c_custkey, c_custkey % 3 = 0 and c_nationkey % 2 = 0 as warrant from customer")
 def flt05_warrants(t):
     """Warrants by ticker and text."""
-    ticker = cat("ab", F.when(c("c_custkey") % 3 == 0, F.element_at(F.array(lit("w"), lit("WS"), lit("wt"), lit("WTS")), (c("c_custkey") % 4 + 1).cast("int"))).otherwise("cd"))
-    return t.customer.select("c_custkey", text.warrant_like(ticker, F.when(c("c_nationkey") % 2 == 0, "Redeemable WARRANTS to buy").otherwise("shares")).alias("warrant"))
+    ticker = cat(
+        "ab",
+        F.when(
+            c("c_custkey") % 3 == 0,
+            F.element_at(F.array(lit("w"), lit("WS"), lit("wt"), lit("WTS")), (c("c_custkey") % 4 + 1).cast("int"))
+        ).otherwise("cd")
+    )
+    return t.customer.select(
+        "c_custkey",
+        text.warrant_like(
+            ticker, F.when(c("c_nationkey") % 2 == 0, "Redeemable WARRANTS to buy").otherwise("shares")
+        ).alias("warrant")
+    )
 
 
 @query("select c_custkey, c_custkey % 4 < 2 as is_foreign from customer")
@@ -202,16 +270,30 @@ def flt06_foreign(t):
 def flt07_financial(t):
     """Financial 6-Ks by their main document or release, banks by their words, documents by length."""
     k = c("c_custkey") % 4
-    main = F.when(k == 0, F.repeat(lit("Net revenue and gross profit rose. "), 3)).when(k == 3, F.repeat(lit("Total assets, net interest income, customer deposits and Tier 1 capital. "), 8)).otherwise("cover")
-    documents = F.array(F.struct(lit("6-K").alias("type"), main.alias("text")), F.struct(F.when(k == 1, "EX-99.1").otherwise("EX-4").alias("type"), F.repeat(lit("total assets; total liabilities. "), 2).alias("text")))
-    return t.customer.select("c_custkey", exhibits.financial_filing(documents).alias("financial"), exhibits.bank_like(main).alias("bank"), exhibits.long_enough(main).alias("long_enough"))
+    main = F.when(k == 0, F.repeat(lit("Net revenue and gross profit rose. "), 3)).when(
+        k == 3, F.repeat(lit("Total assets, net interest income, customer deposits and Tier 1 capital. "), 8)
+    ).otherwise("cover")
+    documents = F.array(
+        F.struct(lit("6-K").alias("type"), main.alias("text")),
+        F.struct(
+            F.when(k == 1, "EX-99.1").otherwise("EX-4").alias("type"),
+            F.repeat(lit("total assets; total liabilities. "), 2).alias("text")
+        )
+    )
+    return t.customer.select(
+        "c_custkey", exhibits.financial_filing(documents).alias("financial"), exhibits.bank_like(main).alias("bank"),
+        exhibits.long_enough(main).alias("long_enough")
+    )
 
 
 @query("select p_partkey, case when p_retailprice <= 1200 then p_retailprice end as eps, '1,' || lpad(cast(p_size as varchar), 3, '0') as kept from part")
 def flt14_plausible(t):
     """Earnings a share within limits, and figures that aren't years."""
     tokens = F.array(cat("1,", F.lpad(words(c("p_size")), 3, "0")), lit("2024"), lit("-1999"))
-    return t.part.select("p_partkey", statements.plausible_eps(c("p_retailprice"), 1200.0).alias("eps"), F.array_join(statements.without_years(tokens), " ").alias("kept"))
+    return t.part.select(
+        "p_partkey", statements.plausible_eps(c("p_retailprice"), 1200.0).alias("eps"),
+        F.array_join(statements.without_years(tokens), " ").alias("kept")
+    )
 
 
 # --- joins, sets, ranking -----------------------------------------------------
@@ -223,7 +305,9 @@ select k as n_nationkey, case when nv is not null and not v between nv * 0.2 and
 def win18_by_priority(t):
     """The best source's value, unless it is out of proportion to the next."""
     one = lambda df, key, v, name: df.groupBy(c(key).alias("n_nationkey")).agg(v.alias("value")).withColumn("source", lit(name))
-    rows = one(t.supplier, "s_nationkey", F.max("s_acctbal"), "supplier").union(one(t.customer, "c_nationkey", F.max("c_acctbal"), "customer")).union(one(t.customer.where("c_mktsegment = 'BUILDING'"), "c_nationkey", F.min("c_acctbal"), "building"))
+    rows = one(t.supplier, "s_nationkey", F.max("s_acctbal"), "supplier").union(one(t.customer, "c_nationkey", F.max("c_acctbal"), "customer")).union(
+        one(t.customer.where("c_mktsegment = 'BUILDING'"), "c_nationkey", F.min("c_acctbal"), "building")
+    )
     return lookup.by_priority(rows, ["n_nationkey"], "source", "value", ("supplier", "customer", "building"), (0.2, 5.0))
 
 
@@ -245,16 +329,23 @@ def join15_overridden(t):
 def set02_overlaid(t):
     """Two keyed tables laid over each other; the right one's values win, its nulls don't."""
     o = t.orders.select("o_orderkey", c("o_totalprice").alias("price"), c("o_orderstatus").alias("status"))
-    return lookup.overlaid(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0").withColumns({"price": c("price") + 1, "status": lit(None).cast("string")}), ["o_orderkey"])
+    return lookup.overlaid(
+        o.where("o_orderkey % 2 = 0"),
+        o.where("o_orderkey % 3 = 0").withColumns({"price": c("price") + 1, "status": lit(None).cast("string")}), ["o_orderkey"]
+    )
 
 
-@query("select o_custkey as ticker, o_orderstatus as form_type, o_orderkey as filing_id from (select *, row_number() over (partition by o_custkey, o_orderstatus order by coalesce(case when o_orderkey % 3 > 0 then o_orderdate::date - 30 end, o_orderdate::date) desc, o_orderkey desc) r from orders) where r = 1")
+@query(
+    "select o_custkey as ticker, o_orderstatus as form_type, o_orderkey as filing_id from (select *, row_number() over (partition by o_custkey, o_orderstatus order by coalesce(case when o_orderkey % 3 > 0 then o_orderdate::date - 30 end, o_orderdate::date) desc, o_orderkey desc) r from orders) where r = 1"
+)
 def win03_latest_reports(t):
     """The latest report of each ticker and form by period end, else filing date."""
     return _latest(t, False)
 
 
-@query("select o_custkey as ticker, o_orderstatus as form_type, o_orderkey as filing_id from (select *, row_number() over (partition by o_custkey, o_orderstatus order by strftime(o_orderdate, '%B %d, %Y') desc, o_orderkey desc) r from orders) where r = 1")
+@query(
+    "select o_custkey as ticker, o_orderstatus as form_type, o_orderkey as filing_id from (select *, row_number() over (partition by o_custkey, o_orderstatus order by strftime(o_orderdate, '%B %d, %Y') desc, o_orderkey desc) r from orders) where r = 1"
+)
 def win04_legacy_order(t):
     """The latest report of each ticker and form by its filing date as text."""
     return _latest(t, True)
@@ -262,27 +353,44 @@ def win04_legacy_order(t):
 
 def _latest(t, legacy: bool) -> DataFrame:
     day = c("o_orderdate").cast("date")
-    x = t.orders.select(c("o_custkey").alias("ticker"), c("o_orderstatus").alias("form_type"), c("o_orderkey").alias("filing_id"), dates.long_date(day).alias("filing_date"), F.when(c("o_orderkey") % 3 > 0, dates.long_date(F.date_sub(day, 30))).alias("period_end_date"))
+    x = t.orders.select(
+        c("o_custkey").alias("ticker"), c("o_orderstatus").alias("form_type"), c("o_orderkey").alias("filing_id"),
+        dates.long_date(day).alias("filing_date"),
+        F.when(c("o_orderkey") % 3 > 0, dates.long_date(F.date_sub(day, 30))).alias("period_end_date")
+    )
     return filing_report.latest_reports(x, legacy).select("ticker", "form_type", "filing_id")
 
 
-@query("with x as (select o_custkey, o_orderdate::date as d, least(abs(date_diff('day', date_trunc('quarter', o_orderdate)::date - 1, o_orderdate::date)), abs(date_diff('day', (date_trunc('quarter', o_orderdate) + interval 3 month)::date - 1, o_orderdate::date))) <= 7 as near from orders) select o_custkey, coalesce(max(d) filter (near), max(d)) as newest from x group by 1")
+@query(
+    "with x as (select o_custkey, o_orderdate::date as d, least(abs(date_diff('day', date_trunc('quarter', o_orderdate)::date - 1, o_orderdate::date)), abs(date_diff('day', (date_trunc('quarter', o_orderdate) + interval 3 month)::date - 1, o_orderdate::date))) <= 7 as near from orders) select o_custkey, coalesce(max(d) filter (near), max(d)) as newest from x group by 1"
+)
 def win16_latest_quarter_end(t):
     """The newest of a customer's order dates that is near a quarter's end, else the newest."""
     days = t.orders.groupBy("o_custkey").agg(F.collect_list(c("o_orderdate").cast("date")).alias("days"))
     return days.select("o_custkey", dates.latest_of(c("days"), dates.quarter_end_like).alias("newest"))
 
 
-@query("select o_custkey, case when o_custkey % 2 = 0 then min(o_orderkey) else max(o_orderkey) end as o_orderkey from orders where o_orderstatus = 'F' group by 1, o_custkey % 2")
+@query(
+    "select o_custkey, case when o_custkey % 2 = 0 then min(o_orderkey) else max(o_orderkey) end as o_orderkey from orders where o_orderstatus = 'F' group by 1, o_custkey % 2"
+)
 def win17_last_match(t):
     """A customer's first finished order, or the last for every other customer."""
-    return sections.last_match(t.orders.select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], "o_orderkey", c("o_orderstatus") == "F", c("o_custkey") % 2 == 1).select("o_custkey", "o_orderkey")
+    return sections.last_match(
+        t.orders.select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], "o_orderkey", c("o_orderstatus") == "F",
+        c("o_custkey") % 2 == 1
+    ).select("o_custkey", "o_orderkey")
 
 
 @query("select o_orderkey, case o_orderkey % 4 when 0 then 0 when 1 then 1 when 2 then 2 else 3 end::int as rank from orders")
 def win19_period_rank(t):
     """Sections by the length of their period."""
-    title = F.element_at(F.array(lit("Fiscal Year Ended May 31"), lit("for the Nine Months ended"), lit("Three months ended June"), lit("as of June 30")), (c("o_orderkey") % 4 + 1).cast("int"))
+    title = F.element_at(
+        F.array(
+            lit("Fiscal Year Ended May 31"), lit("for the Nine Months ended"), lit("Three months ended June"),
+            lit("as of June 30")
+        ),
+        (c("o_orderkey") % 4 + 1).cast("int")
+    )
     return t.orders.select("o_orderkey", statements.period_rank(title).alias("rank"))
 
 
@@ -302,15 +410,22 @@ def win14_parentheses(t):
     return t.supplier.select("s_suppkey", F.array_join(sections.merged_parentheses(tokens), " ").alias("shown"))
 
 
-@query("select cik, form, filed, accession from (select o_custkey as cik, '6-K' as form, strftime(o_orderdate, '%Y-%m-%d') as filed, printf('%010d-26-%06d', o_custkey, o_orderkey) as accession, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) r from orders where o_orderstatus = 'F') where r <= 3")
+@query(
+    "select cik, form, filed, accession from (select o_custkey as cik, '6-K' as form, strftime(o_orderdate, '%Y-%m-%d') as filed, printf('%010d-26-%06d', o_custkey, o_orderkey) as accession, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) r from orders where o_orderstatus = 'F') where r <= 3"
+)
 def srt03_newest_6k(t):
     """The three newest 6-K filings of each company in an index, accession numbers dashed."""
     path = cat("edgar/data/", words(c("o_custkey")), "/", F.format_string("%010d-26-%06d", "o_custkey", "o_orderkey"), ".txt")
-    x = t.orders.select(c("o_custkey").alias("cik"), F.when(c("o_orderstatus") == "F", "6-K").otherwise("8-K").alias("form"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("filed"), path.alias("path"))
+    x = t.orders.select(
+        c("o_custkey").alias("cik"), F.when(c("o_orderstatus") == "F", "6-K").otherwise("8-K").alias("form"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("filed"), path.alias("path")
+    )
     return acquisition.newest_6k(x, 3).select("cik", "form", "filed", "accession")
 
 
-@query("select o_custkey as path, o_orderkey as pos, o_orderpriority as form from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, case o_orderpriority when '2-HIGH' then 1 else 2 end, o_orderkey) r from orders where o_orderpriority in ('2-HIGH', '1-URGENT')) where r = 1")
+@query(
+    "select o_custkey as path, o_orderkey as pos, o_orderpriority as form from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, case o_orderpriority when '2-HIGH' then 1 else 2 end, o_orderkey) r from orders where o_orderpriority in ('2-HIGH', '1-URGENT')) where r = 1"
+)
 def win05_latest_of_forms(t):
     """The newest filing among two forms; the form listed first wins ties."""
     x = t.orders.select(c("o_custkey").alias("path"), c("o_orderkey").alias("pos"), c("o_orderpriority").alias("form"), c("o_orderdate").alias("filed"))
@@ -337,7 +452,12 @@ SECTION_SQL = f"with {ROWS_SQL}, o as (select *, max((p = '1-URGENT')::int) over
 
 
 def _section(t) -> DataFrame:
-    return _rows(t, F.when(c("o_orderpriority") == "1-URGENT", "Current assets").when(c("o_orderpriority") == "5-LOW", "Total").when(c("o_orderstatus") == "O", "").otherwise("row"))
+    return _rows(
+        t,
+        F.when(
+            c("o_orderpriority") == "1-URGENT", "Current assets"
+        ).when(c("o_orderpriority") == "5-LOW", "Total").when(c("o_orderstatus") == "O", "").otherwise("row")
+    )
 
 
 @query(f"{SECTION_SQL} select filing_id, count(*) as n, round(sum(value), 2) as total from z where s <> 'O' group by 1")
@@ -353,7 +473,12 @@ def agg15_subtotal(t):
 
 
 def _assets(t) -> DataFrame:
-    return _rows(t, F.when(c("o_orderpriority") == "3-MEDIUM", "Property and equipment").when(c("o_orderpriority") == "5-LOW", "Total assets").otherwise("inventory"))
+    return _rows(
+        t,
+        F.when(
+            c("o_orderpriority") == "3-MEDIUM", "Property and equipment"
+        ).when(c("o_orderpriority") == "5-LOW", "Total assets").otherwise("inventory")
+    )
 
 
 ENDS_SQL = f"with {ROWS_SQL}, e as (select filing_id, min(row_no) filter (p = '3-MEDIUM') as stop, min(row_no) filter (p = '5-LOW') as total, max(value) filter (p = '5-LOW') as whole, sum(value) filter (p = '3-MEDIUM') as rest from x group by 1)"
@@ -381,40 +506,58 @@ def agg18_current_liabilities(t):
     return balance.liabilities_by_order(_rows(t, label)).withColumn("current", F.round("current", 2))
 
 
-@query(f"with {ROWS_SQL} select filing_id, round(sum(value) filter (s in ('F', 'P')), 2) as cogs from x group by 1 having count(*) filter (s in ('F', 'P')) >= 2 and count(*) filter (s = 'O' and p = '1-URGENT') = 0")
+@query(
+    f"with {ROWS_SQL} select filing_id, round(sum(value) filter (s in ('F', 'P')), 2) as cogs from x group by 1 having count(*) filter (s in ('F', 'P')) >= 2 and count(*) filter (s = 'O' and p = '1-URGENT') = 0"
+)
 def agg19_cost_of_revenue(t):
     """Costs of several revenues, where no row has their total."""
     s = c("o_orderstatus")
-    label = F.when(s == "F", "cost of product revenue").when(s == "P", "cost of service revenues").when(c("o_orderpriority") == "1-URGENT", "total cost of revenue").otherwise("other")
+    label = F.when(s == "F", "cost of product revenue").when(s == "P", "cost of service revenues").when(
+        c("o_orderpriority") == "1-URGENT", "total cost of revenue"
+    ).otherwise("other")
     return balance.cost_of_revenue(_rows(t, label)).withColumn("cogs", F.round("cogs", 2))
 
 
-@query("with x as (select o_custkey as filing_id, o_orderstatus as s, round(o_totalprice / 50000) as v from orders) select filing_id, coalesce(sum(distinct v) filter (s <> 'O'), max(v)) as value from x group by 1")
+@query(
+    "with x as (select o_custkey as filing_id, o_orderstatus as s, round(o_totalprice / 50000) as v from orders) select filing_id, coalesce(sum(distinct v) filter (s <> 'O'), max(v)) as value from x group by 1"
+)
 def agg20_share_classes(t):
     """The sum of the different share counts of classes, else the greatest one."""
-    x = t.orders.select(c("o_custkey").alias("filing_id"), F.when(c("o_orderstatus") != "O", c("o_orderstatus")).alias("share_class"), F.round(c("o_totalprice") / 50000).alias("value"))
+    x = t.orders.select(
+        c("o_custkey").alias("filing_id"), F.when(c("o_orderstatus") != "O", c("o_orderstatus")).alias("share_class"),
+        F.round(c("o_totalprice") / 50000).alias("value")
+    )
     return balance.shares_of_classes(x)
 
 
-@query("with x as (select o_custkey as filing_id, o_orderstatus, max(o_totalprice) as v from orders group by 1, 2) select filing_id, round(sum(v) / nullif(filing_id % 4, 0), 4) as value from x group by 1")
+@query(
+    "with x as (select o_custkey as filing_id, o_orderstatus, max(o_totalprice) as v from orders group by 1, 2) select filing_id, round(sum(v) / nullif(filing_id % 4, 0), 4) as value from x group by 1"
+)
 def agg26_classes_in_ads(t):
     """The greatest count of each class, summed, in depositary shares."""
     x = t.orders.select(c("o_custkey").alias("filing_id"), c("o_orderstatus").alias("share_class"), c("o_totalprice").alias("value"))
     return balance.class_sum_in_ads(x, (c("filing_id") % 4).cast("double")).withColumn("value", F.round("value", 4))
 
 
-@query("with x as (select l_orderkey as k, l_suppkey % 3 as seg, l_linenumber * 1000 + l_quantity as pos, l_quantity as v from lineitem), w as (select k, max(v) filter (seg = 0) as whole from x group by 1), s as (select k, sum(q) as parts from (select k, seg, arg_max(v, pos) as q from x where seg > 0 group by 1, 2) group by 1) select w.k as l_orderkey, coalesce(whole, parts) as value from w left join s using (k)")
+@query(
+    "with x as (select l_orderkey as k, l_suppkey % 3 as seg, l_linenumber * 1000 + l_quantity as pos, l_quantity as v from lineitem), w as (select k, max(v) filter (seg = 0) as whole from x group by 1), s as (select k, sum(q) as parts from (select k, seg, arg_max(v, pos) as q from x where seg > 0 group by 1, 2) group by 1) select w.k as l_orderkey, coalesce(whole, parts) as value from w left join s using (k)"
+)
 def agg13_segment_total(t):
     """The greatest value without a segment, else the sum of each segment's last."""
     seg = c("l_suppkey") % 3
-    x = t.lineitem.select("l_orderkey", F.when(seg > 0, words(seg)).alias("segment_key"), (c("l_linenumber") * 1000 + c("l_quantity")).alias("pos"), c("l_quantity").alias("value"))
+    x = t.lineitem.select(
+        "l_orderkey", F.when(seg > 0, words(seg)).alias("segment_key"), (c("l_linenumber") * 1000 + c("l_quantity")).alias("pos"),
+        c("l_quantity").alias("value")
+    )
     return facts.segment_total(x, ["l_orderkey"])
 
 
 @query("select p_partkey, round((case when p_size % 3 > 0 then 1 else 0 end + 1) / 2.0, 4) as share from part")
 def agg25_coverage(t):
     """How many figures were found, as a share."""
-    return t.part.select("p_partkey", F.when(c("p_size") % 3 > 0, 1.0).alias("a"), c("p_retailprice").alias("b")).select("p_partkey", balance.coverage(["a", "b"]).alias("share"))
+    return t.part.select(
+        "p_partkey", F.when(c("p_size") % 3 > 0, 1.0).alias("a"), c("p_retailprice").alias("b")
+    ).select("p_partkey", balance.coverage(["a", "b"]).alias("share"))
 
 
 @query("""select s_suppkey, label, value from supplier, (values (0), (1), (2), (3)) as d(k), lateral (select case k when 0 then 'Revenues' when 1 then 'Cost of revenues' when 2 then 'Net income per share Basic' else 'Total assets' end as label, case k when 0 then case when s_suppkey % 2 = 0 then 1000.0 + s_suppkey else 2000.0 + s_suppkey end when 1 then -(500.0 + s_suppkey) when 2 then 0.25 else 7000.0 + s_suppkey end as value)""")
@@ -425,8 +568,16 @@ def arr08_statement_rows(t):
     pair = lambda a, b: F.when(k % 2 == 0, cat(a, " ", b)).otherwise(cat(b, " ", a))
     old = F.when(k % 2 == 0, n(k + 2000)).otherwise(n(k + 1000))
     new = F.when(k % 2 == 0, n(k + 1000)).otherwise(n(k + 2000))
-    income = ["CONSOLIDATED STATEMENTS OF OPERATIONS", "(in thousands of US dollars)", cat("Year ended December 31, ", years), cat("Revenues 5 ", pair(new, old)), cat("Cost of revenues ", pair(cat("(", n(k + 500), " )"), "(1)")), "Net income per share:", cat("Basic ", pair("$ 0.25", "$ 0.5"))]
-    sheet = ["CONSOLIDATED BALANCE SHEETS", cat("December 31, ", years), "Total assets", F.when(k % 2 == 0, n(k + 7000)).otherwise("1"), F.when(k % 2 == 0, "1").otherwise(n(k + 7000)), "Notes to consolidated financial statements", "Total assets 9 9"]
+    income = [
+        "CONSOLIDATED STATEMENTS OF OPERATIONS", "(in thousands of US dollars)", cat("Year ended December 31, ", years),
+        cat("Revenues 5 ", pair(new, old)), cat("Cost of revenues ", pair(cat("(", n(k + 500), " )"), "(1)")),
+        "Net income per share:", cat("Basic ", pair("$ 0.25", "$ 0.5"))
+    ]
+    sheet = [
+        "CONSOLIDATED BALANCE SHEETS", cat("December 31, ", years), "Total assets",
+        F.when(k % 2 == 0, n(k + 7000)).otherwise("1"), F.when(k % 2 == 0, "1").otherwise(n(k + 7000)),
+        "Notes to consolidated financial statements", "Total assets 9 9"
+    ]
     lines = F.array(*(x if isinstance(x, Column) else lit(x) for x in [*income, *sheet]))
     return t.supplier.select("s_suppkey", F.inline(statement_rows(lines, lit("10-K")))).select("s_suppkey", "label", "value")
 
@@ -437,24 +588,38 @@ def win08_best_table(t):
     k = c("s_suppkey")
     row = lambda *cells: cat("<tr>", *(cat("<td>", x, "</td>") for x in cells), "</tr>")
     two = lambda a, b: (F.when(k % 2 == 0, a).otherwise(b), F.when(k % 2 == 0, b).otherwise(a))
-    body = cat(row("", "<b>Sep</b>", "Sep"), row("", *two(lit("2025"), lit("2024"))), row("Total revenues (note 5)", *two(words(k + 1000), lit("900"))), row("Gross profit", *two(lit("300"), lit("200"))), row("Income from operations, cost of revenues and income tax provisions of the group", *two(lit("70"), lit("60"))), row("Net income per share basic per share", "(2.17", ")"))
-    best, other = cat("<table>", row("In thousands of US dollars", "", ""), body, "</table>"), cat("<table>", body, row("x", "1", "2"), row("y", "1", "2"), "</table>")
+    body = cat(
+        row("", "<b>Sep</b>", "Sep"), row("", *two(lit("2025"), lit("2024"))),
+        row("Total revenues (note 5)", *two(words(k + 1000), lit("900"))), row("Gross profit", *two(lit("300"), lit("200"))),
+        row("Income from operations, cost of revenues and income tax provisions of the group", *two(lit("70"), lit("60"))),
+        row("Net income per share basic per share", "(2.17", ")")
+    )
+    best, other = cat(
+        "<table>", row("In thousands of US dollars", "", ""), body, "</table>"
+    ), cat("<table>", body, row("x", "1", "2"), row("y", "1", "2"), "</table>")
     got = filing_report.best_tables(t.supplier.select(k.alias("filing_id"), cat("<p>text</p>", other, best).alias("raw")))
     rows = got.select(c("filing_id").alias("s_suppkey"), "kind", "unit", "latest", F.inline("rows")).where("label = 'Total revenues'")
     return rows.select("s_suppkey", "kind", "unit", "latest", "label", F.get("values", c("latest")).alias("value"))
 
 
-@query("select o_orderkey, case when o_orderkey % 2 = 0 then 1000.0 + o_orderkey else 1001.0 + o_orderkey end as value, 1234.5 as first, o_orderkey % 2 = 0 as newest_first from orders")
+@query(
+    "select o_orderkey, case when o_orderkey % 2 = 0 then 1000.0 + o_orderkey else 1001.0 + o_orderkey end as value, 1234.5 as first, o_orderkey % 2 = 0 as newest_first from orders"
+)
 def mth08_current_value(t):
     """The current value of a row with a note's number, the first substantive figure, and which column is newer."""
     k = c("o_orderkey")
     line = cat(words(k % 9 + 1), "  $ ", F.format_number(k + 1000, 0), " ", words(k + 1001))
     first = statements.substantive_number(F.array(lit("2024"), words(k % 9 + 1), lit("1,234.5"), lit("9")))
     newest = statements.newest_first(F.when(k % 2 == 0, "2025 and 2024").otherwise("2024, 2024 and 2025"))
-    return t.orders.select("o_orderkey", statements.current_value(statements.number_line(line), newest, lit(False)).alias("value"), first.alias("first"), newest.alias("newest_first"))
+    return t.orders.select(
+        "o_orderkey", statements.current_value(statements.number_line(line), newest, lit(False)).alias("value"),
+        first.alias("first"), newest.alias("newest_first")
+    )
 
 
-@query("select o_orderkey, cast(case o_orderkey % 4 when 0 then -o_orderkey - 0.5 when 1 then o_orderkey * 10 + 1 when 2 then null else o_orderkey end as double) as value from orders")
+@query(
+    "select o_orderkey, cast(case o_orderkey % 4 when 0 then -o_orderkey - 0.5 when 1 then o_orderkey * 10 + 1 when 2 then null else o_orderkey end as double) as value from orders"
+)
 def mth02_digits_only(t):
     """Cells read by their digits alone."""
     n, k = words(c("o_orderkey")), c("o_orderkey") % 4
@@ -462,12 +627,16 @@ def mth02_digits_only(t):
     return t.orders.select("o_orderkey", numbers.digits_only(cell).alias("value"))
 
 
-@query("select n_nationkey, cast(case when n_nationkey % 3 = 0 then n_nationkey % 9 + 21 when n_nationkey % 3 = 1 then (n_nationkey % 9 + 1) * 100 + 12 else n_nationkey end as double) as value from nation")
+@query(
+    "select n_nationkey, cast(case when n_nationkey % 3 = 0 then n_nationkey % 9 + 21 when n_nationkey % 3 = 1 then (n_nationkey % 9 + 1) * 100 + 12 else n_nationkey end as double) as value from nation"
+)
 def mth05_spelled(t):
     """Numbers in English words and in digits."""
     ones = ["one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
     one = F.element_at(F.array(*map(lit, ones)), (c("n_nationkey") % 9 + 1).cast("int"))
-    said = F.when(c("n_nationkey") % 3 == 0, cat("Twenty-", one)).when(c("n_nationkey") % 3 == 1, cat(one, " hundred and twelve")).otherwise(words(c("n_nationkey")))
+    said = F.when(c("n_nationkey") % 3 == 0, cat("Twenty-", one)).when(
+        c("n_nationkey") % 3 == 1, cat(one, " hundred and twelve")
+    ).otherwise(words(c("n_nationkey")))
     return t.nation.select("n_nationkey", prose.spelled(said).alias("value"))
 
 
@@ -489,10 +658,15 @@ def mth12_cross_check(t):
     return t.part.select("p_partkey", F.round(found, 6).alias("shares"), unit.alias("unit"))
 
 
-@query("select c_custkey as filing_id, case when c_custkey % 3 = 0 then 1000.0 + c_custkey when c_custkey % 3 = 1 then (1000.0 + c_custkey) * 1000 else (1000.0 + c_custkey) * 1000 end as revenue from customer")
+@query(
+    "select c_custkey as filing_id, case when c_custkey % 3 = 0 then 1000.0 + c_custkey when c_custkey % 3 = 1 then (1000.0 + c_custkey) * 1000 else (1000.0 + c_custkey) * 1000 end as revenue from customer"
+)
 def mth14_once_scaled(t):
     """Annual figures that were scaled twice, by what the text says."""
-    x = t.customer.select(c("c_custkey").alias("filing_id"), F.when(c("c_custkey") % 3 == 2, "10-Q").otherwise("10-K").alias("form_type"), ((c("c_custkey") + 1000) * 1000.0).alias("revenue"), lit(5e6).alias("cash"))
+    x = t.customer.select(
+        c("c_custkey").alias("filing_id"), F.when(c("c_custkey") % 3 == 2, "10-Q").otherwise("10-K").alias("form_type"),
+        ((c("c_custkey") + 1000) * 1000.0).alias("revenue"), lit(5e6).alias("cash")
+    )
     tokens = x.where("filing_id % 3 <> 1").select("filing_id", F.explode(F.array(c("revenue") / 1000, lit(5e3))).alias("value"))
     return scale.once_scaled(x, tokens, ["revenue"], ["revenue", "cash"]).select("filing_id", "revenue")
 
@@ -513,17 +687,28 @@ def str02_plain_markup(t):
     return t.pages.select("page_id", F.sha2(text.plain_markup(c("html")), 256).alias("sha"))
 
 
-@query("select c_custkey, case c_custkey % 4 when 0 then '10-K' when 1 then '6-K' when 2 then '20-F' else '10-Q' end as form, 'T' || c_custkey as ticker, 'Company ' || c_custkey as company, (date '2020-01-01' + (c_custkey % 900)::int)::date as filed from customer")
+@query(
+    "select c_custkey, case c_custkey % 4 when 0 then '10-K' when 1 then '6-K' when 2 then '20-F' else '10-Q' end as form, 'T' || c_custkey as ticker, 'Company ' || c_custkey as company, (date '2020-01-01' + (c_custkey % 900)::int)::date as filed from customer"
+)
 def str07_filing_heads(t):
     """Form, ticker, company and filing date of filings whose names and headers say them in different places."""
     k, n = c("c_custkey") % 4, words(c("c_custkey"))
     day = F.date_add(F.to_date(lit("2020-01-01")), (c("c_custkey") % 900).cast("int"))
     name = F.when(k == 0, cat("t", n, "_10-K_", F.date_format(day, "yyyy-MM-dd"), ".htm")).otherwise(cat("filing", n, ".txt"))
-    form = F.when(k == 1, "CONFORMED SUBMISSION TYPE:\t6-K\n").when(k == 2, '<ix:nonNumeric contextRef="c" name="dei:DocumentType">20-<b>F</b></ix:nonNumeric>').when(k == 3, "<TYPE>10-Q\n").otherwise("")
-    filed = F.when(k == 0, "").when(k == 1, cat("ACCEPTANCE-DATETIME: ", F.date_format(day, "yyyyMMdd"), "120000\n")).otherwise(cat("FILED AS OF DATE:   ", F.date_format(day, "yyyyMMdd"), "\n"))
-    company = F.when(k == 0, cat("<p>Company ", n, "</p><p>(Exact name of registrant as specified)</p>")).when(k == 2, cat("<ix:nonNumeric name='dei:EntityRegistrantName' id='x'>Company ", n, "</ix:nonNumeric>")).otherwise(cat("COMPANY CONFORMED NAME:\t\tCompany ", n, "\n"))
+    form = F.when(k == 1, "CONFORMED SUBMISSION TYPE:\t6-K\n").when(
+        k == 2, '<ix:nonNumeric contextRef="c" name="dei:DocumentType">20-<b>F</b></ix:nonNumeric>'
+    ).when(k == 3, "<TYPE>10-Q\n").otherwise("")
+    filed = F.when(k == 0, "").when(
+        k == 1, cat("ACCEPTANCE-DATETIME: ", F.date_format(day, "yyyyMMdd"), "120000\n")
+    ).otherwise(cat("FILED AS OF DATE:   ", F.date_format(day, "yyyyMMdd"), "\n"))
+    company = F.when(k == 0, cat("<p>Company ", n, "</p><p>(Exact name of registrant as specified)</p>")).when(
+        k == 2, cat("<ix:nonNumeric name='dei:EntityRegistrantName' id='x'>Company ", n, "</ix:nonNumeric>")
+    ).otherwise(cat("COMPANY CONFORMED NAME:\t\tCompany ", n, "\n"))
     raw = cat(form, filed, company)
-    return t.customer.select("c_custkey", text.form_type(name, raw).alias("form"), text.path_ticker(cat("/in/t", n, "/", name)).alias("ticker"), text.company_name(raw).alias("company"), dates.parse_date(text.filing_date_text(name, raw)).alias("filed"))
+    return t.customer.select(
+        "c_custkey", text.form_type(name, raw).alias("form"), text.path_ticker(cat("/in/t", n, "/", name)).alias("ticker"),
+        text.company_name(raw).alias("company"), dates.parse_date(text.filing_date_text(name, raw)).alias("filed")
+    )
 
 
 @query("select c_custkey, (date '2021-03-31' + (c_custkey % 4)::int)::date as period from customer")
@@ -531,27 +716,43 @@ def dat07_period_end(t):
     """Period ends that are tagged, in the header, stated, or the newest date near a quarter's end."""
     k = c("c_custkey") % 4
     day = F.date_add(F.to_date(lit("2021-03-31")), k.cast("int"))
-    raw = F.when(k == 0, cat('<ix:nonNumeric name="dei:DocumentPeriodEndDate">', dates.long_date(day), "</ix:nonNumeric>")).when(k == 1, cat("CONFORMED PERIOD OF REPORT:\t", F.date_format(day, "yyyyMMdd"))).otherwise("none")
-    head = F.when(k == 2, cat("for the quarterly period ended ", dates.long_date(day))).otherwise(cat("May 14, 2021 and ", dates.long_date(day), " and December 31, 2021"))
+    raw = F.when(
+        k == 0, cat('<ix:nonNumeric name="dei:DocumentPeriodEndDate">', dates.long_date(day), "</ix:nonNumeric>")
+    ).when(k == 1, cat("CONFORMED PERIOD OF REPORT:\t", F.date_format(day, "yyyyMMdd"))).otherwise("none")
+    head = F.when(k == 2, cat("for the quarterly period ended ", dates.long_date(day))).otherwise(
+        cat("May 14, 2021 and ", dates.long_date(day), " and December 31, 2021")
+    )
     return t.customer.select("c_custkey", filing_report.period_end(raw, head, F.to_date(lit("2021-06-15"))).alias("period"))
 
 
-@query("select c_custkey, case c_custkey % 3 when 0 then 'release ' || c_custkey when 1 then 'exhibit ' || c_custkey else 'cover ' || c_custkey || chr(10) || 'other ' || c_custkey end as body, c_custkey % 3 <> 2 as exhibit from customer")
+@query(
+    "select c_custkey, case c_custkey % 3 when 0 then 'release ' || c_custkey when 1 then 'exhibit ' || c_custkey else 'cover ' || c_custkey || chr(10) || 'other ' || c_custkey end as body, c_custkey % 3 <> 2 as exhibit from customer"
+)
 def str06_analysis_text(t):
     """The text to analyse of full submissions: press release, exhibit, or all."""
     k, n = c("c_custkey") % 3, words(c("c_custkey"))
     doc = lambda kind, about, body: cat("<DOCUMENT><TYPE>", kind, "\n<DESCRIPTION>", about, "\n<TEXT>", body, "</TEXT></DOCUMENT>")
-    more = F.when(k == 0, cat(doc("EX-99.2", "SLIDES", "no"), doc("EX-99.1", "EARNINGS RELEASE", cat("release ", n)))).when(k == 1, doc("EX-99.1", "REPORT", cat("exhibit ", n))).otherwise(doc("EX-4", "X", cat("other ", n)))
+    more = F.when(
+        k == 0, cat(doc("EX-99.2", "SLIDES", "no"), doc("EX-99.1", "EARNINGS RELEASE", cat("release ", n)))
+    ).when(k == 1, doc("EX-99.1", "REPORT", cat("exhibit ", n))).otherwise(doc("EX-4", "X", cat("other ", n)))
     documents = text.sgml_documents(cat(doc("6-K", "", cat("cover ", n)), more))
-    return t.customer.select("c_custkey", text.analysis_text(documents).alias("body"), F.exists(documents, lambda d: d["type"].startswith("EX-99")).alias("exhibit"))
+    return t.customer.select(
+        "c_custkey", text.analysis_text(documents).alias("body"),
+        F.exists(documents, lambda d: d["type"].startswith("EX-99")).alias("exhibit")
+    )
 
 
 @query("select c_custkey, 'v' || c_custkey as scale, 'last' as name, 'Revenue & cost' as label from customer")
 def str11_attributes(t):
     """A tag's attributes, and labels without notes and with all entities undone."""
     made = text.attributes(cat('name="first" SCALE=\'v', words(c("c_custkey")), '\' name = "last" x'))
-    label = statements.without_note_references(text.every_entity(cat("Revenue &amp; cost", F.when(c("c_custkey") % 2 == 0, " (notes 3, 4)").otherwise(" Note 12"))))
-    return t.customer.select("c_custkey", F.try_element_at(made, lit("scale")).alias("scale"), F.try_element_at(made, lit("name")).alias("name"), label.alias("label"))
+    label = statements.without_note_references(
+        text.every_entity(cat("Revenue &amp; cost", F.when(c("c_custkey") % 2 == 0, " (notes 3, 4)").otherwise(" Note 12")))
+    )
+    return t.customer.select(
+        "c_custkey", F.try_element_at(made, lit("scale")).alias("scale"), F.try_element_at(made, lit("name")).alias("name"),
+        label.alias("label")
+    )
 
 
 @query("select c_custkey, (c_custkey % 20 + 1)::double as ratio, (c_custkey % 1000 + 0.5) * 1e6 as amount, 1000.0 + c_custkey as number from customer")
@@ -559,16 +760,26 @@ def str25_prose(t):
     """Ratios of depositary shares, amounts and labelled numbers in sentences."""
     k = c("c_custkey") % 20 + 1
     n = words(k)
-    said = F.when(k % 4 == 0, cat("Each ADS represents ", n, " Class A ordinary shares.")).when(k % 4 == 1, cat(n, " ordinary shares equal one American depositary share")).when(k % 4 == 2, cat("2 ADSs represent ", words(k * 2), " ordinary shares")).otherwise(cat("we sold 5,000 ADSs, each representing ", n, " ordinary shares"))
+    said = F.when(k % 4 == 0, cat("Each ADS represents ", n, " Class A ordinary shares.")).when(
+        k % 4 == 1, cat(n, " ordinary shares equal one American depositary share")
+    ).when(
+        k % 4 == 2, cat("2 ADSs represent ", words(k * 2), " ordinary shares")
+    ).otherwise(cat("we sold 5,000 ADSs, each representing ", n, " ordinary shares"))
     amount = cat("Total net revenues rose and were RMB ", words(c("c_custkey") % 1000), ".5 million (US$ 5)")
     number = cat("Total assets, as shown below: $ ", F.format_number(c("c_custkey") + 1000, 0), " and so on")
-    return t.customer.select("c_custkey", F.round(prose.depositary_ratio(said), 9).alias("ratio"), prose.sentence_amount(amount, r"net\s+revenues?").alias("amount"), prose.labelled_number(number, ("net loss", "total assets")).alias("number"))
+    return t.customer.select(
+        "c_custkey", F.round(prose.depositary_ratio(said), 9).alias("ratio"),
+        prose.sentence_amount(amount, r"net\s+revenues?").alias("amount"),
+        prose.labelled_number(number, ("net loss", "total assets")).alias("number")
+    )
 
 
 # --- facts and records --------------------------------------------------------
 
 
-@query("select c_custkey as filing_id, (c_custkey % 100) * 1e6 as revenue, -(c_custkey % 7 + 1) * 1e3 as net_income, 40.0 as total_liabilities, 15.0 + c_custkey as shares_outstanding from customer")
+@query(
+    "select c_custkey as filing_id, (c_custkey % 100) * 1e6 as revenue, -(c_custkey % 7 + 1) * 1e3 as net_income, 40.0 as total_liabilities, 15.0 + c_custkey as shares_outstanding from customer"
+)
 def jsn02_facts(t):
     """Metrics of tagged filings made from customers: scale, sign, contexts, segments and the choice among facts."""
     n = words(c("c_custkey"))
@@ -596,47 +807,72 @@ def prj01_normalised(t):
     """Nested and flat records in one flat form, with three ways to give a depositary ratio."""
     k, n = c("c_custkey") % 4, words(c("c_custkey"))
     ratio = F.when(k == 0, '"ordinary_shares_per_ads":4').when(k == 1, '"ads_per_share":0.2').otherwise('"ads_per_ordinary_share":0.125')
-    nested = cat('{"ord":', n, ',"currency":', F.when(k == 1, "null").otherwise('"USD"'), ',"balance_sheet":{"current_assets":', words(c("c_acctbal")), '},"shares":{"common_M":2.5,', ratio, "}}")
+    nested = cat(
+        '{"ord":', n, ',"currency":', F.when(k == 1, "null").otherwise('"USD"'), ',"balance_sheet":{"current_assets":',
+        words(c("c_acctbal")), '},"shares":{"common_M":2.5,', ratio, "}}"
+    )
     flat = cat('{"ord":', n, ',"currency_unit":"EUR","assets_current":', words(c("c_acctbal")), ',"shares_outstanding":2.5}')
     x = t.customer.select(F.from_json(F.when(k < 3, nested).otherwise(flat), net_current_assets.INPUT_SCHEMA).alias("r")).select("r.*")
     return net_current_assets.normalised(x).select("ord", "assets_current", "shares_outstanding", "currency_unit", "ordinary_shares_per_ads")
 
 
-@query("select c_custkey as filing_id, '10-K' as form_type, 1e3 * (1000 + c_custkey) as revenue, 7e3 as total_assets, 2e3 as total_liabilities, 5e3 as equity, 'USD' as currency_unit, 'December 31, 2024' as period_end_date from customer where c_custkey % 10 = 0 union all select c_custkey, '10-K', 5e6, 7e3, 2e3, 5e3, 'USD', 'December 31, 2024' from customer where c_custkey % 10 <> 0")
+@query(
+    "select c_custkey as filing_id, '10-K' as form_type, 1e3 * (1000 + c_custkey) as revenue, 7e3 as total_assets, 2e3 as total_liabilities, 5e3 as equity, 'USD' as currency_unit, 'December 31, 2024' as period_end_date from customer where c_custkey % 10 = 0 union all select c_custkey, '10-K', 5e6, 7e3, 2e3, 5e3, 'USD', 'December 31, 2024' from customer where c_custkey % 10 <> 0"
+)
 def plan_reports(t):
     """Whole reports of filings that are partly tagged and partly plain lines, from text to derived figures."""
     n = words(c("c_custkey"))
-    lines = cat("<p>CONSOLIDATED STATEMENTS OF OPERATIONS</p><p>(in thousands of US dollars)</p><p>Years ended December 31, 2024 2023</p><p>Total revenues 3 ", words(c("c_custkey") + 1000), " 900</p><p>Gross profit 500 400</p><p>CONSOLIDATED BALANCE SHEETS</p><p>(in thousands of US dollars)</p><p>December 31, 2024 December 31, 2023</p><p>Total assets 7 6</p><p>Total liabilities 2 1</p>")
+    lines = cat(
+        "<p>CONSOLIDATED STATEMENTS OF OPERATIONS</p><p>(in thousands of US dollars)</p><p>Years ended December 31, 2024 2023</p><p>Total revenues 3 ",
+        words(c("c_custkey") + 1000),
+        " 900</p><p>Gross profit 500 400</p><p>CONSOLIDATED BALANCE SHEETS</p><p>(in thousands of US dollars)</p><p>December 31, 2024 December 31, 2023</p><p>Total assets 7 6</p><p>Total liabilities 2 1</p>"
+    )
     tagged = '<xbrli:context id="y"><xbrli:startDate>2024-01-01</xbrli:startDate><xbrli:endDate>2024-12-31</xbrli:endDate></xbrli:context><ix:nonFraction name="us-gaap:Revenues" contextRef="y" scale="6">5</ix:nonFraction>'
     raw = cat("<html><p>For the year ended December 31, 2024</p>", F.when(c("c_custkey") % 10 == 0, "").otherwise(tagged), lines, "</html>")
     x = t.customer.select(c("c_custkey").alias("filing_id"), cat("t", n, "_10-K_2025-02-01.htm").alias("name"), cat("T", n).alias("ticker"), raw.alias("raw"))
-    return filing_report.reports(x).select("filing_id", "form_type", "revenue", "total_assets", "total_liabilities", "equity", "currency_unit", "period_end_date")
+    return filing_report.reports(x).select(
+        "filing_id", "form_type", "revenue", "total_assets", "total_liabilities", "equity", "currency_unit", "period_end_date"
+    )
 
 
 @query("""select c_custkey, case when c_custkey % 2 = 0 then 'EX-99.1' else 'EX-99.2' end as chosen, 2 as n from customer""")
 def win07_exhibits(t):
     """The exhibit that holds the results: a release before all, then by score."""
-    doc = lambda kind, about, body: cat("<DOCUMENT><TYPE>", kind, "\n<FILENAME>x.htm\n<DESCRIPTION>", about, "\n<TEXT>", body, "</TEXT></DOCUMENT>")
+    doc = lambda kind, about, body: cat(
+        "<DOCUMENT><TYPE>", kind, "\n<FILENAME>x.htm\n<DESCRIPTION>", about, "\n<TEXT>", body, "</TEXT></DOCUMENT>"
+    )
     body = "Third quarter results. Net income rose. Total assets fell."
     even = c("c_custkey") % 2 == 0
-    raw = cat(doc("6-K", "", "cover"), doc("EX-99.2", F.when(even, "OTHER").otherwise("EARNINGS RELEASE"), body), doc("EX-99.1", F.when(even, "EARNINGS RELEASE").otherwise("PRESENTATION"), F.when(even, body).otherwise("Slides.")))
+    raw = cat(
+        doc("6-K", "", "cover"), doc("EX-99.2", F.when(even, "OTHER").otherwise("EARNINGS RELEASE"), body),
+        doc("EX-99.1", F.when(even, "EARNINGS RELEASE").otherwise("PRESENTATION"), F.when(even, body).otherwise("Slides."))
+    )
     scored = exhibits.scored_exhibits(t.customer.select(words(c("c_custkey")).alias("filing_id"), raw.alias("raw")))
     first, _ = exhibits.chosen_exhibits(scored)
     n = scored.where("type like 'EX%'").groupBy("filing_id").agg(F.count("*").cast("int").alias("n"))
     return first.join(n, "filing_id").select(c("filing_id").cast("long").alias("c_custkey"), c("type").alias("chosen"), "n")
 
 
-@query("select p_partkey as ticker, cast(row_number() over (order by pe, p_partkey) as bigint) as place, pe as forward_pe from (select p_partkey, round_even(p_retailprice / p_size, 2) as pe from part where p_retailprice / p_size < 20 and p_size % 5 <> 0)")
+@query(
+    "select p_partkey as ticker, cast(row_number() over (order by pe, p_partkey) as bigint) as place, pe as forward_pe from (select p_partkey, round_even(p_retailprice / p_size, 2) as pe from part where p_retailprice / p_size < 20 and p_size % 5 <> 0)"
+)
 def srt02_by_forward_pe(t):
     """What passes the forward P/E screen, cheapest first."""
     none = F.struct(lit(None).cast("string").alias("date"), lit(None).cast("double").alias("value"))
-    x = t.part.select(c("p_partkey").alias("ticker"), c("p_retailprice").alias("price"), lit(1.0).alias("fx_rate"), F.struct(lit("2025").alias("date"), c("p_size").cast("double").alias("value")).alias("projected"), none.alias("trailing"), lit(2.0).alias("market_cap_m"), F.when(c("p_size") % 5 == 0, 3.0).otherwise(1.0).alias("enterprise_value_m"), lit(None).cast("double").alias("pe_ttm"))
+    x = t.part.select(
+        c("p_partkey").alias("ticker"), c("p_retailprice").alias("price"), lit(1.0).alias("fx_rate"),
+        F.struct(lit("2025").alias("date"), c("p_size").cast("double").alias("value")).alias("projected"), none.alias("trailing"),
+        lit(2.0).alias("market_cap_m"), F.when(c("p_size") % 5 == 0, 3.0).otherwise(1.0).alias("enterprise_value_m"),
+        lit(None).cast("double").alias("pe_ttm")
+    )
     passed = forward_pe.screened(x).where("status = 'passed'")
     # The screen's result is a report, so one task numbers it.
     return passed.select("ticker", F.row_number().over(Window.orderBy("forward_pe", "ticker")).cast("long").alias("place"), "forward_pe")
 
 
-@query("select s_suppkey, units, currency, scale from (select s_suppkey, case s_suppkey % 3 when 0 then 'CNY' when 1 then 'USD' else 'HKD' end as currency, case s_suppkey % 3 when 0 then 1e6 when 1 then 1e3 else 1.0 end as scale, case s_suppkey % 3 when 0 then 'CNY, millions' when 1 then 'USD' else 'HKD, thousands' end as units from supplier)")
+@query(
+    "select s_suppkey, units, currency, scale from (select s_suppkey, case s_suppkey % 3 when 0 then 'CNY' when 1 then 'USD' else 'HKD' end as currency, case s_suppkey % 3 when 0 then 1e6 when 1 then 1e3 else 1.0 end as scale, case s_suppkey % 3 when 0 then 'CNY, millions' when 1 then 'USD' else 'HKD, thousands' end as units from supplier)"
+)
 def str12_units(t):
     """Currency and scale as statements' headers name them, and units made of them."""
     k = c("s_suppkey") % 3

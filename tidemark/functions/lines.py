@@ -23,10 +23,24 @@ TITLES = {
     "balance": re.compile(r"\bbalance sheets?\b|\bstatements?\s+of\s+financial position\b", re.I),
     "cash": re.compile(r"\bstatements?\s+of\s+cash flows?\b|\bcash flow statements?\b", re.I),
 }
-STOP = re.compile(r"^\s*(?:notes? to (?:the )?(?:condensed |unaudited |consolidated )*financial statements|the accompanying notes|see (?:accompanying )?notes|signatures?\b|about )", re.I)
+STOP = re.compile(
+    r"^\s*(?:notes? to (?:the )?(?:condensed |unaudited |consolidated )*financial statements|the accompanying notes|see (?:accompanying )?notes|signatures?\b|about )",
+    re.I
+)
 #: Scales and currencies that a header names; the first that fits counts.
-SCALE_WORDS = ((1e9, re.compile(r"\bin\s+(?:\w+\s+){0,3}?billions?\b|\bbillions? of\b", re.I)), (1e6, re.compile(r"\bin\s+(?:\w+\s+){0,3}?millions?\b|\bmillions? of\b|['’‘`]000,000\b", re.I)), (1e3, re.compile(r"\bin\s+(?:\w+\s+){0,3}?thousands?\b|\bthousands? of\b|['’‘`]000\b", re.I)))
-CURRENCY_WORDS = (("CNY", re.compile(r"\brmb\b|renminbi|\bcny\b|人民币", re.I)), ("HKD", re.compile(r"hk\$|\bhkd\b|hong kong dollars?", re.I)), ("TWD", re.compile(r"nt\$|\bntd\b|\btwd\b|new taiwan dollars?", re.I)), ("CAD", re.compile(r"c\$|\bcad\b|canadian dollars?", re.I)), ("JPY", re.compile(r"¥|\bjpy\b|japanese yen|\byen\b", re.I)), ("EUR", re.compile(r"€|\beuros?\b|\beur\b", re.I)), ("GBP", re.compile(r"£|\bgbp\b|pounds? sterling", re.I)), ("INR", re.compile(r"₹|\binr\b|indian rupees?", re.I)), ("BRL", re.compile(r"r\$|\bbrl\b|brazilian reais", re.I)), ("USD", re.compile(r"us\$|u\.s\. dollars?|\busd\b|us dollars?|\$", re.I)))
+SCALE_WORDS = (
+    (1e9, re.compile(r"\bin\s+(?:\w+\s+){0,3}?billions?\b|\bbillions? of\b", re.I)),
+    (1e6, re.compile(r"\bin\s+(?:\w+\s+){0,3}?millions?\b|\bmillions? of\b|['’‘`]000,000\b", re.I)),
+    (1e3, re.compile(r"\bin\s+(?:\w+\s+){0,3}?thousands?\b|\bthousands? of\b|['’‘`]000\b", re.I))
+)
+CURRENCY_WORDS = (
+    ("CNY", re.compile(r"\brmb\b|renminbi|\bcny\b|人民币", re.I)), ("HKD", re.compile(r"hk\$|\bhkd\b|hong kong dollars?", re.I)),
+    ("TWD", re.compile(r"nt\$|\bntd\b|\btwd\b|new taiwan dollars?", re.I)),
+    ("CAD", re.compile(r"c\$|\bcad\b|canadian dollars?", re.I)), ("JPY", re.compile(r"¥|\bjpy\b|japanese yen|\byen\b", re.I)),
+    ("EUR", re.compile(r"€|\beuros?\b|\beur\b", re.I)), ("GBP", re.compile(r"£|\bgbp\b|pounds? sterling", re.I)),
+    ("INR", re.compile(r"₹|\binr\b|indian rupees?", re.I)), ("BRL", re.compile(r"r\$|\bbrl\b|brazilian reais", re.I)),
+    ("USD", re.compile(r"us\$|u\.s\. dollars?|\busd\b|us dollars?|\$", re.I))
+)
 MONTHS = {m: i + 1 for i, m in enumerate(("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"))}
 _DATE = re.compile(r"(?:(?P<month>jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?\s*(?:\d{1,2},?\s*)?)?(?P<year>19\d{2}|20\d{2})\b", re.I)
 #: Dates and parts of dates, which are no figures.
@@ -161,13 +175,23 @@ def drop_notes(values: list[float | None]) -> list[float | None]:
 
     while values and note(values[0]):
         later = [abs(v) for v in values[1:] if v is not None]
-        if not any(len(later) + 1 >= least and later and max(later) >= max(reach, abs(values[0]) * times) and (not second or note(values[1])) for least, second, reach, times in NOTE_RULES):
+        if not any(
+            len(later) + 1 >= least and later and max(later) >= max(reach, abs(values[0]) * times) and (not second or note(values[1])) for least, second, reach, times in NOTE_RULES
+        ):
             break
         values = values[1:]
     return values
 
 
-_ROW = T.StructType([T.StructField(n, t) for n, t in (("kind", T.StringType()), ("section", T.IntegerType()), ("row_no", T.IntegerType()), ("label", T.StringType()), ("values", T.ArrayType(T.DoubleType())), ("value", T.DoubleType()), ("currency", T.StringType()), ("scale", T.DoubleType()))])
+_ROW = T.StructType(
+    [
+        T.StructField(n, t) for n, t in (
+            ("kind", T.StringType()), ("section", T.IntegerType()), ("row_no", T.IntegerType()), ("label", T.StringType()),
+            ("values", T.ArrayType(T.DoubleType())), ("value", T.DoubleType()), ("currency", T.StringType()),
+            ("scale", T.DoubleType())
+        )
+    ]
+)
 
 
 def rows_of(lines: list[str] | None, form: str | None) -> list[dict]:

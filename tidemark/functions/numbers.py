@@ -75,13 +75,20 @@ def half_even(x: Column, digits: int) -> Column:
 def human(x: Column, signed: bool = True) -> Column:
     """Two decimals with K, M or B; without ``signed`` negative values stay unscaled."""
     v = F.abs(x) if signed else x
-    text = F.when(v >= 1e9, F.format_string("%.2fB", v / 1e9)).when(v >= 1e6, F.format_string("%.2fM", v / 1e6)).when(v >= 1e3, F.format_string("%.2fK", v / 1e3)).otherwise(F.format_string("%.2f", v))
+    text = F.when(
+        v >= 1e9, F.format_string("%.2fB", v / 1e9)
+    ).when(
+        v >= 1e6, F.format_string("%.2fM", v / 1e6)
+    ).when(v >= 1e3, F.format_string("%.2fK", v / 1e3)).otherwise(F.format_string("%.2f", v))
     return F.concat(F.when(x < 0, "-").otherwise(""), text) if signed else text
 
 
 def nearest_fraction(x: Column, most: int = 20) -> Column:
     """The nearest fraction with a denominator of at most ``most``; the smaller denominator on ties."""
-    tries = F.transform(F.sequence(F.lit(1), F.lit(most)), lambda d: F.struct(F.abs(x - F.rint(x * d) / d).alias("gap"), d.alias("d"), (F.rint(x * d) / d).alias("value")))
+    tries = F.transform(
+        F.sequence(F.lit(1), F.lit(most)),
+        lambda d: F.struct(F.abs(x - F.rint(x * d) / d).alias("gap"), d.alias("d"), (F.rint(x * d) / d).alias("value"))
+    )
     return F.array_min(tries)["value"]
 
 

@@ -153,7 +153,10 @@ def table_unit(rows: list[list[str]], scales: list[tuple[str, str]], around: str
     head = " ".join(" ".join(r) for r in rows[:8])
     if unit := worded(head):
         return unit, 3
-    for name, by in (("scale", {"0": "ones", "3": "thousands", "6": "millions", "9": "billions"}), ("decimals", {"0": "ones", "-3": "thousands", "-6": "millions", "-9": "billions"})):
+    for name, by in (
+        ("scale", {"0": "ones", "3": "thousands", "6": "millions", "9": "billions"}),
+        ("decimals", {"0": "ones", "-3": "thousands", "-6": "millions", "-9": "billions"})
+    ):
         told = [v for k, v in scales if k == name and v in by]
         if told:
             return by[Counter(told).most_common(1)[0][0]], 2
@@ -185,7 +188,15 @@ def latest_column(rows: list[list[str]]) -> int:
 
 
 _ROW = T.StructType([T.StructField("row_no", T.IntegerType()), T.StructField("label", T.StringType()), T.StructField("values", T.ArrayType(T.DoubleType()))])
-_TABLE = T.StructType([T.StructField(n, t) for n, t in (("idx", T.IntegerType()), ("kind", T.StringType()), ("unit", T.StringType()), ("reliability", T.IntegerType()), ("to_millions", T.DoubleType()), ("latest", T.IntegerType()), ("n_rows", T.IntegerType()), ("non_gaap", T.IntegerType()), ("rows", T.ArrayType(_ROW)))])
+_TABLE = T.StructType(
+    [
+        T.StructField(n, t) for n, t in (
+            ("idx", T.IntegerType()), ("kind", T.StringType()), ("unit", T.StringType()), ("reliability", T.IntegerType()),
+            ("to_millions", T.DoubleType()), ("latest", T.IntegerType()), ("n_rows", T.IntegerType()),
+            ("non_gaap", T.IntegerType()), ("rows", T.ArrayType(_ROW))
+        )
+    ]
+)
 
 
 def tables_of(html: str | None) -> list[dict]:
@@ -195,7 +206,12 @@ def tables_of(html: str | None) -> list[dict]:
         text = " ".join(" ".join(c for c in r if c) for r in rows)
         unit, reliability = table_unit(rows, scales)
         kept = [{"row_no": i, "label": row_label(r), "values": row_numbers(r)} for i, r in enumerate(rows)]
-        out.append({"idx": k, "kind": table_kind(text), "unit": unit, "reliability": reliability, "to_millions": UNITS.get(unit), "latest": latest_column(rows), "n_rows": len(rows), "non_gaap": len(NON_GAAP.findall(text)), "rows": kept})
+        out.append(
+            {
+                "idx": k, "kind": table_kind(text), "unit": unit, "reliability": reliability, "to_millions": UNITS.get(unit),
+                "latest": latest_column(rows), "n_rows": len(rows), "non_gaap": len(NON_GAAP.findall(text)), "rows": kept
+            }
+        )
     return out
 
 

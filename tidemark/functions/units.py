@@ -9,7 +9,10 @@ from tidemark.functions.dates import squeezed
 from tidemark.functions.text import depositary_first
 
 #: Currency names, tried in this order after a three-letter token.
-CURRENCY_NAMES = (("CNY", "RENMINBI|YUAN|人民币"), ("HKD", r"HONG\s*KONG"), ("TWD", r"NEW\s*TAIWAN"), ("JPY", "YEN"), ("KRW", "WON"), ("EUR", "EURO"), ("GBP", "POUND|STERLING"), ("BRL", "BRAZILIAN"), ("INR", "RUPEE"), ("USD", r"U\.?S\.?\s*DOLLAR|US\$"))
+CURRENCY_NAMES = (
+    ("CNY", "RENMINBI|YUAN|人民币"), ("HKD", r"HONG\s*KONG"), ("TWD", r"NEW\s*TAIWAN"), ("JPY", "YEN"), ("KRW", "WON"),
+    ("EUR", "EURO"), ("GBP", "POUND|STERLING"), ("BRL", "BRAZILIAN"), ("INR", "RUPEE"), ("USD", r"U\.?S\.?\s*DOLLAR|US\$")
+)
 SHARE_METRICS = ("shares_outstanding", "weighted_avg_shares_basic", "weighted_avg_shares_diluted")
 EPS_METRICS = ("eps_basic", "eps_diluted")
 
@@ -42,4 +45,6 @@ def composed_unit(currency: Column, label: Column) -> Column:
 def per_depositary_share(metric: Column, label: Column, value: Column, ratio: Column) -> Column:
     """Share counts and per-share amounts in depositary shares; ``ratio`` is ordinary shares to each."""
     free = ratio.isNull() | (ratio == 0) | depositary_first(label)
-    return F.when(free, value).when(metric.isin(*SHARE_METRICS), value / F.nullif(ratio, F.lit(0.0))).when(metric.isin(*EPS_METRICS), value * ratio).otherwise(value)
+    return F.when(free, value).when(
+        metric.isin(*SHARE_METRICS), value / F.nullif(ratio, F.lit(0.0))
+    ).when(metric.isin(*EPS_METRICS), value * ratio).otherwise(value)

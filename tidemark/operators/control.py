@@ -105,7 +105,10 @@ class Refused(Exception):
         self.asked = asked
 
 
-def with_retries(call: Callable[[], Any], tries: int = 3, delay: float = 5.0, jitter: float = 0.25, sleep: Callable[[float], None] = time.sleep, cooldown: Cooldown | None = None) -> Any:
+def with_retries(
+    call: Callable[[], Any], tries: int = 3, delay: float = 5.0, jitter: float = 0.25,
+    sleep: Callable[[float], None] = time.sleep, cooldown: Cooldown | None = None
+) -> Any:
     """The call's answer; after ``Refused`` or OSError it is tried again, each time after twice the delay, give or take the jitter."""
     for k in range(tries):
         try:

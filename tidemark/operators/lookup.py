@@ -14,7 +14,9 @@ def cascade(key: str, value: str, *sources: DataFrame) -> DataFrame:
     for i, s in enumerate(sources):
         one = s.where(F.col(value).isNotNull()).select(key, F.lit(i).alias("_source"), value)
         every = one if every is None else every.unionByName(one)
-    return every.groupBy(key).agg(F.min(F.struct("_source", value)).alias("m")).select(key, F.col(f"m.{value}").alias(value), F.col("m._source").alias("source"))
+    return every.groupBy(key).agg(F.min(F.struct("_source", value)).alias("m")).select(
+        key, F.col(f"m.{value}").alias(value), F.col("m._source").alias("source")
+    )
 
 
 def union_missing(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -52,7 +54,9 @@ def newer_of(left: DataFrame, right: DataFrame, key: str, date: str) -> DataFram
     a = left.select(key, F.col(date).alias("_a"), F.struct(*left.columns).alias("_l"))
     b = right.select(key, F.col(date).alias("_b"), F.struct(*right.columns).alias("_r"))
     pick = F.when(F.col("_b").isNull() | (F.col("_a") >= F.col("_b")), F.lit("left")).otherwise("right")
-    return a.join(b, key, "full_outer").withColumn("side", pick).select(key, "side", F.when(F.col("side") == "left", F.col("_a")).otherwise(F.col("_b")).alias(date), "_l", "_r")
+    return a.join(b, key, "full_outer").withColumn("side", pick).select(
+        key, "side", F.when(F.col("side") == "left", F.col("_a")).otherwise(F.col("_b")).alias(date), "_l", "_r"
+    )
 
 
 def upserted(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -67,28 +71,37 @@ def overlaid(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
     return a.join(b, list(keys), "full_outer").select(*keys, *(F.coalesce(F.col(f"_r.{v}"), F.col(f"_l.{v}")).alias(v) for v in values))
 
 
-def by_priority(candidates: DataFrame, keys: Sequence[str], source: str, value: str, order: Sequence[str], guard: tuple[float, float] | None = None) -> DataFrame:
+def by_priority(
+    candidates: DataFrame, keys: Sequence[str], source: str, value: str, order: Sequence[str],
+    guard: tuple[float, float] | None = None
+) -> DataFrame:
     """The value of the best source of each key, by ``order``; other sources and nulls don't count.
 
     With a ``guard`` the best value must lie within these multiples of the next
     source's; if not, the next source counts, if there is one.
     """
     rank = F.array_position(F.lit(list(order)), F.col(source))
-    some = candidates.where((rank > 0) & F.col(value).isNotNull()).groupBy(*keys, source).agg(F.min(F.struct(rank.alias("rank"), F.col(value).alias("value"))).alias("c"))
+    some = candidates.where((rank > 0) & F.col(value).isNotNull()).groupBy(*keys, source).agg(
+        F.min(F.struct(rank.alias("rank"), F.col(value).alias("value"))).alias("c")
+    )
     ranked = some.groupBy(*keys).agg(F.sort_array(F.collect_list("c")).alias("_all"))  # at most one for each source
     first, second = F.get("_all", 0), F.get("_all", 1)
     pick = first
     if guard:
         low, high = guard
         pick = F.when(second.isNotNull() & ~first["value"].between(second["value"] * low, second["value"] * high), second).otherwise(first)
-    return ranked.withColumn("_p", pick).select(*keys, F.col("_p.value").alias(value), F.get(F.lit(list(order)), F.col("_p.rank").cast("int") - 1).alias(source))
+    return ranked.withColumn("_p", pick).select(
+        *keys, F.col("_p.value").alias(value), F.get(F.lit(list(order)), F.col("_p.rank").cast("int") - 1).alias(source)
+    )
 
 
 def first_of_siblings(rows: DataFrame, group: str, key: str, order: Sequence[str], value: str, most: int = 8) -> DataFrame:
     """For each row the first value that isn't null among the first ``most`` other rows of its group; rows without one are left out."""
     rank = Window.partitionBy(group).orderBy(*order)
     # The first ``most + 1`` of a group hold everyone's first ``most`` others.
-    top = rows.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= most + 1).select(group, F.col(key).alias("_other"), "_n", F.col(value).alias("_v"))
+    top = rows.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= most + 1).select(
+        group, F.col(key).alias("_other"), "_n", F.col(value).alias("_v")
+    )
     pairs = rows.select(group, key).join(top, group).where(F.col("_other") != F.col(key))
     near = pairs.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy("_n"))).where(F.col("_k") <= most)
     return near.where("_v is not null").groupBy(key).agg(F.min(F.struct("_k", "_v")).alias("m")).select(key, F.col("m._v").alias(value))

@@ -55,7 +55,12 @@ def merged_parentheses(tokens: Column) -> Column:
     def merged(t: Column) -> Column:
         open_at = lambda x: x.startswith("(") & ~x.endswith(")")
         takes = lambda x, i: open_at(x) & F.coalesce(F.get(t, i + 1) == ")", F.lit(False))
-        closed = F.transform(t, lambda x, i: F.when(takes(x, i), F.concat(x, F.lit(")"))).when((x == ")") & (i > 0) & open_at(F.get(t, i - 1)), None).otherwise(x))
+        closed = F.transform(
+            t,
+            lambda x, i: F.when(takes(x, i), F.concat(x, F.lit(")"))).when(
+                (x == ")") & (i > 0) & open_at(F.get(t, i - 1)), None
+            ).otherwise(x)
+        )
         return F.filter(closed, lambda x: x.isNotNull())
 
     return let(tokens, merged)

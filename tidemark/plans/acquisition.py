@@ -49,7 +49,10 @@ def six_k_or_annual(six_k: DataFrame, annual: DataFrame) -> DataFrame:
 
 
 def filing_url(cik: Column, accession: Column, document: Column) -> Column:
-    return F.concat(F.lit("https://www.sec.gov/Archives/edgar/data/"), F.regexp_replace(cik, "^0+", ""), F.lit("/"), F.replace(accession, F.lit("-"), F.lit("")), F.lit("/"), document)
+    return F.concat(
+        F.lit("https://www.sec.gov/Archives/edgar/data/"), F.regexp_replace(cik, "^0+", ""), F.lit("/"),
+        F.replace(accession, F.lit("-"), F.lit("")), F.lit("/"), document
+    )
 
 
 def with_cik(tickers: DataFrame, known: DataFrame) -> DataFrame:

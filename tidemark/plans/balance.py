@@ -52,7 +52,10 @@ def current_by_order(rows: DataFrame, total: str, stop: str = NON_CURRENT) -> Da
 
 def current_by_rest(rows: DataFrame, total: str, stop: str = NON_CURRENT) -> DataFrame:
     """(filing_id, current): the total less all positive rows that aren't current, if that is between 0 and the total."""
-    found = rows.groupBy(KEY).agg(F.max(F.when(_has(total), F.col("value"))).alias("total"), F.sum(F.when(_has(stop) & ~_has(total) & (F.col("value") > 0), F.col("value"))).alias("rest"))
+    found = rows.groupBy(KEY).agg(
+        F.max(F.when(_has(total), F.col("value"))).alias("total"),
+        F.sum(F.when(_has(stop) & ~_has(total) & (F.col("value") > 0), F.col("value"))).alias("rest")
+    )
     current = F.col("total") - F.col("rest")
     return found.where((current > 0) & (current < F.col("total"))).select(KEY, current.alias("current"))
 
@@ -71,14 +74,19 @@ def liabilities_by_order(rows: DataFrame, total: str = "total liabilities", stop
     )
     sums = rows.join(ends, KEY).where("row_no < least(stop, at) and value > 0").groupBy(KEY).agg(F.sum("value").alias("part"))
     early = F.col("stop") < F.col("at")
-    return ends.where("at is not null").join(sums, KEY, "left").select(KEY, F.when(early, F.col("part")).otherwise(F.col("total")).alias("current")).where("current is not null")
+    return ends.where("at is not null").join(sums, KEY, "left").select(
+        KEY, F.when(early, F.col("part")).otherwise(F.col("total")).alias("current")
+    ).where("current is not null")
 
 
 def cost_of_revenue(rows: DataFrame) -> DataFrame:
     """(filing_id, cogs): the sum of ``cost of ... revenue`` rows, of which there are two at least and none is a total."""
     cost = _has(r"^cost of .*(?:revenue|sales)")
     whole = _has(r"^total cost|^cost of (?:revenues?|sales)$")
-    found = rows.where(cost | whole).groupBy(KEY).agg(F.count_if(cost & ~whole).alias("n"), F.bool_or(whole).alias("whole"), F.sum(F.when(cost & ~whole, F.abs("value"))).alias("cogs"))
+    found = rows.where(cost | whole).groupBy(KEY).agg(
+        F.count_if(cost & ~whole).alias("n"), F.bool_or(whole).alias("whole"),
+        F.sum(F.when(cost & ~whole, F.abs("value"))).alias("cogs")
+    )
     return found.where("n >= 2 and not whole").select(KEY, "cogs")
 
 
@@ -92,7 +100,10 @@ def shares_of_classes(shares: DataFrame) -> DataFrame:
         new = lambda seen, v: ~F.exists(seen, lambda s: F.abs(s - v) <= 1e-9 * F.greatest(F.abs(s), F.abs(v)))
         return F.aggregate(values, F.array().cast("array<double>"), lambda seen, v: F.when(new(seen, v), F.concat(seen, F.array(v))).otherwise(seen))
 
-    some = shares.groupBy(KEY).agg(F.sort_array(F.collect_list(F.when(F.col("share_class").isNotNull(), F.col("value")))).alias("own"), F.max(F.when(F.col("share_class").isNull(), F.col("value"))).alias("general"))
+    some = shares.groupBy(KEY).agg(
+        F.sort_array(F.collect_list(F.when(F.col("share_class").isNotNull(), F.col("value")))).alias("own"),
+        F.max(F.when(F.col("share_class").isNull(), F.col("value"))).alias("general")
+    )
     total = F.aggregate(distinct(F.col("own")), F.lit(0.0), lambda a, v: a + v)
     return some.select(KEY, F.when(F.size("own") > 0, total).otherwise(F.col("general")).alias("value"))
 

@@ -51,7 +51,10 @@ METRIC_TAGS = {
     "weighted_avg_shares_diluted": ["us-gaap:WeightedAverageNumberOfDilutedSharesOutstanding", "ifrs-full:WeightedAverageNumberOfSharesOutstandingDiluted", "ifrs-full:AdjustedWeightedAverageShares"],
 }
 #: Balances at a point in time; all others are amounts over a period.
-INSTANT = {"total_assets", "assets_current", "total_liabilities", "liabilities_current", "equity", "cash", "short_term_investments", "goodwill", "accounts_receivable", "accounts_payable", "deferred_revenue", "retained_earnings", "shares_outstanding"}
+INSTANT = {
+    "total_assets", "assets_current", "total_liabilities", "liabilities_current", "equity", "cash", "short_term_investments",
+    "goodwill", "accounts_receivable", "accounts_payable", "deferred_revenue", "retained_earnings", "shares_outstanding"
+}
 MOST_DAYS_OFF = 200
 
 
@@ -70,27 +73,47 @@ def contexts(filings: DataFrame) -> DataFrame:
     """(filing_id, context_ref, start, end, instant, segment_key) of the reporting contexts in ``raw``."""
     found = filings.select("filing_id", F.explode(F.regexp_extract_all("raw", F.lit(r"(?is)<xbrli:context\b[^>]*>.*?</xbrli:context>"), 0)).alias("x"))
     part = lambda tag: parse_date(clean_text(F.regexp_extract("x", rf"(?is)<(?:xbrli:)?{tag}>\s*([^<]+)\s*</(?:xbrli:)?{tag}>", 1)))
-    members = F.filter(F.transform(F.regexp_extract_all("x", F.lit(r"(?is)<xbrldi:explicitMember\b[^>]*>(.*?)</xbrldi:explicitMember>"), 1), clean_text), lambda m: m != "")
-    out = found.select("filing_id", F.regexp_extract("x", r"(?is)^<xbrli:context\b[^>]*\bid=['\"]([^'\"]+)['\"]", 1).alias("context_ref"), part("startDate").alias("start"), part("endDate").alias("end"), part("instant").alias("instant_date"), F.nullif(F.array_join(members, "|"), F.lit("")).alias("segment_key"))
+    members = F.filter(
+        F.transform(
+            F.regexp_extract_all("x", F.lit(r"(?is)<xbrldi:explicitMember\b[^>]*>(.*?)</xbrldi:explicitMember>"), 1), clean_text
+        ),
+        lambda m: m != ""
+    )
+    out = found.select(
+        "filing_id", F.regexp_extract("x", r"(?is)^<xbrli:context\b[^>]*\bid=['\"]([^'\"]+)['\"]", 1).alias("context_ref"),
+        part("startDate").alias("start"), part("endDate").alias("end"), part("instant").alias("instant_date"),
+        F.nullif(F.array_join(members, "|"), F.lit("")).alias("segment_key")
+    )
     return out.withColumns({"report_date": F.coalesce("instant_date", "end"), "days": F.date_diff("end", "start")})
 
 
 def inline_facts(filings: DataFrame) -> DataFrame:
     """(filing_id, pos, name, value, context_ref, unit_ref) of inline facts: value times ten to the scale, and the sign."""
     tag = F.lit(r"(?is)<ix:(?:nonFraction|fraction)\b[^>]*>.*?</ix:(?:nonFraction|fraction)>")
-    found = filings.select("filing_id", F.posexplode(F.regexp_extract_all("raw", tag, 0)).alias("pos", "x")).withColumn("attrs", F.regexp_extract("x", r"(?is)^<ix:\w+\b([^>]*)>", 1))
+    found = filings.select(
+        "filing_id", F.posexplode(F.regexp_extract_all("raw", tag, 0)).alias("pos", "x")
+    ).withColumn("attrs", F.regexp_extract("x", r"(?is)^<ix:\w+\b([^>]*)>", 1))
     value = parse_number(clean_text(F.regexp_extract("x", r"(?is)^<[^>]*>(.*)</ix:\w+>$", 1)))
     scale = F.coalesce(attribute(F.col("attrs"), "scale").try_cast("int"), F.lit(0))
     signed = value * F.pow(F.lit(10.0), scale) * F.when(attribute(F.col("attrs"), "sign") == "-", -1.0).otherwise(1.0)
-    out = found.select("filing_id", "pos", attribute(F.col("attrs"), "name").alias("name"), signed.alias("value"), attribute(F.col("attrs"), "contextRef").alias("context_ref"), attribute(F.col("attrs"), "unitRef").alias("unit_ref"))
+    out = found.select(
+        "filing_id", "pos", attribute(F.col("attrs"), "name").alias("name"), signed.alias("value"),
+        attribute(F.col("attrs"), "contextRef").alias("context_ref"), attribute(F.col("attrs"), "unitRef").alias("unit_ref")
+    )
     return out.where("name is not null and value is not null")
 
 
 def tag_facts(filings: DataFrame, prefixes: str = "us-gaap|ifrs-full|dei") -> DataFrame:
     """Facts written as elements of their own; neither scale nor sign applies."""
     tag = F.lit(rf"(?is)<((?:{prefixes}):[A-Za-z0-9]+)\b[^>]*>.*?</\1>")
-    found = filings.select("filing_id", F.posexplode(F.regexp_extract_all("raw", tag, 0)).alias("pos", "x")).withColumn("attrs", F.regexp_extract("x", r"(?is)^<[^\s>]+([^>]*)>", 1))
-    out = found.select("filing_id", (F.col("pos") + 1_000_000).alias("pos"), F.regexp_extract("x", r"^<([^\s>]+)", 1).alias("name"), parse_number(clean_text(F.regexp_extract("x", r"(?is)^<[^>]*>(.*)</[^>]*>$", 1))).alias("value"), attribute(F.col("attrs"), "contextRef").alias("context_ref"), attribute(F.col("attrs"), "unitRef").alias("unit_ref"))
+    found = filings.select(
+        "filing_id", F.posexplode(F.regexp_extract_all("raw", tag, 0)).alias("pos", "x")
+    ).withColumn("attrs", F.regexp_extract("x", r"(?is)^<[^\s>]+([^>]*)>", 1))
+    out = found.select(
+        "filing_id", (F.col("pos") + 1_000_000).alias("pos"), F.regexp_extract("x", r"^<([^\s>]+)", 1).alias("name"),
+        parse_number(clean_text(F.regexp_extract("x", r"(?is)^<[^>]*>(.*)</[^>]*>$", 1))).alias("value"),
+        attribute(F.col("attrs"), "contextRef").alias("context_ref"), attribute(F.col("attrs"), "unitRef").alias("unit_ref")
+    )
     return out.where("value is not null")
 
 
@@ -109,11 +132,19 @@ def chosen_metrics(filings: DataFrame, facts: DataFrame, ctx: DataFrame) -> Data
     gap = F.abs(F.date_diff("report_date", "target_end"))
     rows = rows.where(gap.isNull() | (gap <= MOST_DAYS_OFF))
     date = F.when(F.col("report_date").isNull(), 9999).otherwise(F.coalesce(gap, F.lit(0)))
-    kind = F.when(F.when(F.col("instant"), F.col("instant_date").isNotNull()).otherwise(F.col("start").isNotNull() & F.col("end").isNotNull()), 0).otherwise(200)
+    kind = F.when(
+        F.when(F.col("instant"), F.col("instant_date").isNotNull()).otherwise(
+            F.col("start").isNotNull() & F.col("end").isNotNull()
+        ),
+        0
+    ).otherwise(200)
     span = F.when(F.col("instant"), 0).otherwise(F.coalesce(F.abs(F.col("days") - preferred_duration(F.col("form_type"))), F.lit(400)))
     segment = F.when(F.col("segment_key").isNull(), 0).when(F.col("segment_key").contains("|"), 25).otherwise(10)
     stale = F.when(F.col("target_end").isNull() & F.col("report_date").isNotNull(), -F.unix_date("report_date")).otherwise(0)
-    rank = F.struct(date.alias("a"), kind.alias("b"), span.alias("c"), (segment + F.col("tag_rank")).alias("d"), stale.alias("e"), F.col("tag_rank").alias("f"), F.col("pos").alias("g"), F.col("value").alias("value"))
+    rank = F.struct(
+        date.alias("a"), kind.alias("b"), span.alias("c"), (segment + F.col("tag_rank")).alias("d"), stale.alias("e"),
+        F.col("tag_rank").alias("f"), F.col("pos").alias("g"), F.col("value").alias("value")
+    )
     return rows.groupBy("filing_id", "metric").agg(F.min(rank).alias("best")).select("filing_id", "metric", F.col("best.value").alias("value"))
 
 
@@ -127,7 +158,9 @@ def segment_total(rows: DataFrame, keys: list[str]) -> DataFrame:
 def chosen_shares(filings: DataFrame, facts: DataFrame, ctx: DataFrame) -> DataFrame:
     """(filing_id, value): of the first tag with dated facts, on the date nearest the target (else the newest), the greatest unsegmented value, else the sum of the last value of each segment."""
     tags = metric_tags(filings.sparkSession).where("metric = 'shares_outstanding'")
-    rows = facts.join(tags, "name").join(ctx, ["filing_id", "context_ref"]).where("report_date is not null").join(filings.select("filing_id", "target_end"), "filing_id")
+    rows = facts.join(tags, "name").join(ctx, ["filing_id", "context_ref"]).where("report_date is not null").join(
+        filings.select("filing_id", "target_end"), "filing_id"
+    )
     dates = segment_total(rows, ["filing_id", "tag_rank", "report_date", "target_end"])
     order = F.struct("tag_rank", F.coalesce(F.abs(F.date_diff("report_date", "target_end")), -F.unix_date("report_date")).alias("gap"), "report_date", "value")
     return dates.groupBy("filing_id").agg(F.min(order).alias("best")).select("filing_id", F.col("best.value").alias("value"))
@@ -135,4 +168,6 @@ def chosen_shares(filings: DataFrame, facts: DataFrame, ctx: DataFrame) -> DataF
 
 def report_columns(metrics: DataFrame) -> DataFrame:
     """One row for each filing with a column for each metric."""
-    return metrics.groupBy("filing_id").agg(*(F.max(F.when(F.col("metric") == m, F.col("value"))).alias("ebitda" if m == "ebitda_direct" else m) for m in METRIC_TAGS))
+    return metrics.groupBy("filing_id").agg(
+        *(F.max(F.when(F.col("metric") == m, F.col("value"))).alias("ebitda" if m == "ebitda_direct" else m) for m in METRIC_TAGS)
+    )

@@ -55,7 +55,10 @@ TEXT_LABELS = {
 #: Rows that mean something else than their label says.
 UNWANTED = {"shares_outstanding": "weighted average", "net_income": "per share|per ads", "revenue": "cost of|deferred", "total_liabilities": "equity"}
 #: Which statement a metric stands in; others may stand anywhere.
-BALANCE = {"total_assets", "assets_current", "total_liabilities", "liabilities_current", "equity", "goodwill", "accounts_receivable", "accounts_payable", "deferred_revenue", "retained_earnings", "short_term_investments", "cash"}
+BALANCE = {
+    "total_assets", "assets_current", "total_liabilities", "liabilities_current", "equity", "goodwill", "accounts_receivable",
+    "accounts_payable", "deferred_revenue", "retained_earnings", "short_term_investments", "cash"
+}
 SOURCES = ("facts", "lines", "tables")
 #: Metrics that text may not stand in for where tags are missing.
 TAGGED_ONLY = ("shares_outstanding", "acquisitions")
@@ -64,7 +67,12 @@ TAGGED_ONLY = ("shares_outstanding", "acquisitions")
 def read_filings(filings: DataFrame) -> DataFrame:
     """(filing_id, name, ticker, raw) with form, dates and company; filings of no known form are dropped."""
     out = filings.withColumn("form_type", form_type(F.col("name"), F.col("raw"))).where("form_type is not null")
-    out = out.withColumns({"filed": parse_date(filing_date_text(F.col("name"), F.col("raw"))), "company_name": company_name(F.col("raw")), "lines": html_lines(F.col("raw"))})
+    out = out.withColumns(
+        {
+            "filed": parse_date(filing_date_text(F.col("name"), F.col("raw"))), "company_name": company_name(F.col("raw")),
+            "lines": html_lines(F.col("raw"))
+        }
+    )
     return out.withColumn("target_end", period_end(F.col("raw"), F.array_join(F.slice("lines", 1, 400), "\n"), F.col("filed")))
 
 
@@ -73,7 +81,16 @@ def period_end(raw: Column, head: Column, filed: Column) -> Column:
     tagged = parse_date(tag_text(raw, "dei:DocumentPeriodEndDate"))
     header = parse_date(F.regexp_extract(raw, r"(?i)CONFORMED PERIOD OF REPORT:\s*(\d{8})", 1))
     stated = parse_date(F.regexp_extract(head, r"(?i)(?:period|quarter|year|months)\s+ended:?\s+([A-Z][a-z]+\.?\s+\d{1,2},?\s+\d{4})", 1))
-    every = F.transform(F.regexp_extract_all(head, F.lit(r"((?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},\s+\d{4})"), 1), parse_date)
+    every = F.transform(
+        F.regexp_extract_all(
+            head,
+            F.lit(
+                r"((?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},\s+\d{4})"
+            ),
+            1
+        ),
+        parse_date
+    )
     past = F.filter(every, lambda d: d.isNotNull() & (filed.isNull() | (d <= filed)))
     return F.coalesce(tagged, header, stated, latest_of(past, quarter_end_like))
 
@@ -108,7 +125,10 @@ def line_candidates(filings: DataFrame) -> DataFrame:
 def best_tables(filings: DataFrame) -> DataFrame:
     """For each filing and kind the table with the most reliable unit, then the most rows; segment and non-GAAP tables last."""
     tables = filings.select("filing_id", F.inline(page_tables(F.col("raw")))).where("kind is not null")
-    return best_by(tables, ["filing_id", "kind"], [(F.col("non_gaap") >= 3).cast("int").asc(), F.col("reliability").desc(), F.col("n_rows").desc(), F.col("idx").asc()])
+    return best_by(
+        tables, ["filing_id", "kind"],
+        [(F.col("non_gaap") >= 3).cast("int").asc(), F.col("reliability").desc(), F.col("n_rows").desc(), F.col("idx").asc()]
+    )
 
 
 def table_candidates(filings: DataFrame) -> DataFrame:
@@ -144,7 +164,10 @@ def reports(filings: DataFrame) -> DataFrame:
     read = read_filings(filings)
     chosen = by_priority(candidates(read), ["filing_id", "metric"], "source", "value", SOURCES)
     wide = facts.report_columns(chosen)
-    head = read.select("filing_id", "ticker", "company_name", "form_type", long_date(F.col("filed")).alias("filing_date"), long_date(F.col("target_end")).alias("period_end_date"))
+    head = read.select(
+        "filing_id", "ticker", "company_name", "form_type", long_date(F.col("filed")).alias("filing_date"),
+        long_date(F.col("target_end")).alias("period_end_date")
+    )
     return derived(head.join(units(read), "filing_id", "left").join(wide, "filing_id", "left"))
 
 

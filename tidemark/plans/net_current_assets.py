@@ -14,7 +14,11 @@ QUALITY = ("assets_current", "total_liabilities", "shares_outstanding", "shares_
 STOPS = ("missing_shares", "missing_fx", "missing_price", "no_market_cap", "below_market_cap")
 LEAST_MARKET_CAP = 30_000_000.0
 #: The nested input's fields (in millions) and their flat names.
-NESTED = {"revenue": "income_statement.revenue", "ebitda": "income_statement.ebitda", "net_income": "income_statement.net_income", "total_assets": "balance_sheet.total_assets", "assets_current": "balance_sheet.current_assets", "total_liabilities": "balance_sheet.total_liabilities", "liabilities_current": "balance_sheet.current_liabilities"}
+NESTED = {
+    "revenue": "income_statement.revenue", "ebitda": "income_statement.ebitda", "net_income": "income_statement.net_income",
+    "total_assets": "balance_sheet.total_assets", "assets_current": "balance_sheet.current_assets",
+    "total_liabilities": "balance_sheet.total_liabilities", "liabilities_current": "balance_sheet.current_liabilities"
+}
 _MONEY = "struct<{}>".format(",".join(f"{c}:double" for c in ("revenue", "ebitda", "net_income")))
 INPUT_SCHEMA = (
     "ord long, file_path string, ticker string, company_name string, form_type string, filing_type string, filing_date string, period_end_date string, fiscal_period string, currency string, currency_unit string,"
@@ -60,7 +64,12 @@ def deduplicated(records: DataFrame) -> DataFrame:
     """
     folder, ticker = F.upper(F.regexp_extract("file_path", "([^/]+)/[^/]+$", 1)), F.upper(F.coalesce("ticker", F.lit("")))
     prefer = F.when(F.coalesce(F.col("file_path"), F.lit("")) == "", 1).when(folder == ticker, 3).when(folder.rlike("(W|WS|WT)$"), 0).otherwise(2)
-    keyed = records.withColumns({"_t": _key("ticker"), "_f": _key("form_type"), "_d": F.trim(F.coalesce("filing_date", F.lit(""))), "_p": F.trim(F.coalesce("period_end_date", F.lit("")))})
+    keyed = records.withColumns(
+        {
+            "_t": _key("ticker"), "_f": _key("form_type"), "_d": F.trim(F.coalesce("filing_date", F.lit(""))),
+            "_p": F.trim(F.coalesce("period_end_date", F.lit("")))
+        }
+    )
     return best_by(keyed.repartition("_t"), ["_t", "_f", "_d", "_p"], [filled(QUALITY).desc(), prefer.desc(), F.col("ord").asc()]).drop("_f", "_d", "_p")
 
 
@@ -87,14 +96,26 @@ def gated(records: DataFrame, prices: DataFrame, fx: DataFrame) -> DataFrame:
 
     ``prices``: ticker, price; ``fx``: currency, usd_per_unit (USD is always 1).
     """
-    rates = fx.where("currency <> 'USD'").select("currency", "usd_per_unit").union(fx.sparkSession.createDataFrame([("USD", 1.0)], "currency string, usd_per_unit double"))
-    match = records.withColumn("ticker", _key("ticker")).where("ticker <> '' and assets_current > total_liabilities").withColumn("currency", currency_code(F.col("currency_unit")))
+    rates = fx.where("currency <> 'USD'").select("currency", "usd_per_unit").union(
+        fx.sparkSession.createDataFrame([("USD", 1.0)], "currency string, usd_per_unit double")
+    )
+    match = records.withColumn("ticker", _key("ticker")).where(
+        "ticker <> '' and assets_current > total_liabilities"
+    ).withColumn("currency", currency_code(F.col("currency_unit")))
     joined = match.join(rates, "currency", "left").join(prices.select("ticker", "price"), "ticker", "left")
     cap = F.col("shares_outstanding") * F.col("price")
     usd = {c: F.col(c) * F.col("usd_per_unit") for c in ("assets_current", "total_liabilities", "ebitda", "net_income")}
     out = joined.withColumns({"market_cap": cap, **usd}).withColumn("surplus", F.col("assets_current") - F.col("total_liabilities"))
-    stops = [F.col("shares_outstanding").isNull(), F.col("usd_per_unit").isNull(), F.col("price").isNull(), F.col("market_cap") <= 0, F.col("market_cap") < LEAST_MARKET_CAP]
-    return out.withColumns({"gate": gate(list(zip(STOPS, stops, strict=True))), "surplus_pct_of_mcap": F.col("surplus") / F.nullif("market_cap", F.lit(0.0)) * 100.0})
+    stops = [
+        F.col("shares_outstanding").isNull(), F.col("usd_per_unit").isNull(), F.col("price").isNull(), F.col("market_cap") <= 0,
+        F.col("market_cap") < LEAST_MARKET_CAP
+    ]
+    return out.withColumns(
+        {
+            "gate": gate(list(zip(STOPS, stops, strict=True))),
+            "surplus_pct_of_mcap": F.col("surplus") / F.nullif("market_cap", F.lit(0.0)) * 100.0
+        }
+    )
 
 
 def screen(records: DataFrame, prices: DataFrame, fx: DataFrame, as_of: Column, days: int = 730) -> DataFrame:
@@ -105,4 +126,6 @@ def screen(records: DataFrame, prices: DataFrame, fx: DataFrame, as_of: Column,
 
 def screen_funnel(found: DataFrame) -> DataFrame:
     """Counts at each gate, and the tickers without a price."""
-    return funnel(found, [*STOPS, "passed"]).crossJoin(found.where("gate = 'missing_price'").agg(F.sort_array(F.collect_set("ticker")).alias("missing_price_tickers")))
+    return funnel(found, [*STOPS, "passed"]).crossJoin(
+        found.where("gate = 'missing_price'").agg(F.sort_array(F.collect_set("ticker")).alias("missing_price_tickers"))
+    )

@@ -23,7 +23,9 @@ def cross_checked_shares(shares: Column, net_income: Column, eps: Column) -> Col
     """A share count, times or over a thousand if net income by earnings a share says that it is off by about that."""
     implied = F.abs(net_income / F.nullif(eps, F.lit(0.0)))
     low, high = CROSS_CHECK
-    return F.when(implied.between(shares * low, shares * high), shares * 1000).when(shares.between(implied * low, implied * high), shares / 1000).otherwise(shares)
+    return F.when(implied.between(shares * low, shares * high), shares * 1000).when(
+        shares.between(implied * low, implied * high), shares / 1000
+    ).otherwise(shares)
 
 
 def inferred_unit(values: list[Column]) -> Column:
@@ -45,4 +47,6 @@ def once_scaled(report: DataFrame, tokens: DataFrame, metrics: list[str], anchor
     smaller = sum((stands(F.col(a) / 1000) for a in anchors), F.lit(0))
     same = sum((stands(F.col(a)) for a in anchors), F.lit(0))
     twice = F.coalesce(F.col("form_type").isin("10-K", "20-F"), F.lit(False)) & (smaller >= least) & (same == 0)
-    return both.withColumn("_twice", twice).withColumns({m: F.when(F.col("_twice"), F.col(m) / 1000).otherwise(F.col(m)) for m in metrics}).drop("_written", "_twice")
+    return both.withColumn("_twice", twice).withColumns(
+        {m: F.when(F.col("_twice"), F.col(m) / 1000).otherwise(F.col(m)) for m in metrics}
+    ).drop("_written", "_twice")

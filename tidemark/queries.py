@@ -47,30 +47,44 @@ class Tables:
 # --- ranking ------------------------------------------------------------------
 
 
-@query("select event_id, user_id, event_type, day, value from (select *, ts::date as day, row_number() over (partition by user_id, event_type, ts::date order by (value > 0)::int desc, value desc, event_id) r from events) where r = 1")
+@query(
+    "select event_id, user_id, event_type, day, value from (select *, ts::date as day, row_number() over (partition by user_id, event_type, ts::date order by (value > 0)::int desc, value desc, event_id) r from events) where r = 1"
+)
 def win01_dedupe_best(t):
     """The best event of a user, type and day: value above 0, greatest value, first id."""
     e = t.events.withColumn("day", c("ts").cast("date"))
-    return ranking.best_by(e, ["user_id", "event_type", "day"], [(c("value") > 0).cast("int").desc(), c("value").desc(), c("event_id").asc()]).select("event_id", "user_id", "event_type", "day", "value")
+    return ranking.best_by(
+        e, ["user_id", "event_type", "day"], [(c("value") > 0).cast("int").desc(), c("value").desc(), c("event_id").asc()]
+    ).select("event_id", "user_id", "event_type", "day", "value")
 
 
-@query("select o_custkey, o_orderkey, o_orderdate, o_totalprice from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_totalprice desc, o_orderkey) r from orders) where r = 1")
+@query(
+    "select o_custkey, o_orderkey, o_orderdate, o_totalprice from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_totalprice desc, o_orderkey) r from orders) where r = 1"
+)
 def win02_latest_per_key(t):
     """The latest order of a customer; dearer, then first key on ties."""
-    return ranking.best_by(t.orders, ["o_custkey"], [c("o_orderdate").desc(), c("o_totalprice").desc(), c("o_orderkey").asc()]).select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return ranking.best_by(
+        t.orders, ["o_custkey"], [c("o_orderdate").desc(), c("o_totalprice").desc(), c("o_orderkey").asc()]
+    ).select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
 
 
-@query("select o_custkey, o_orderstatus, o_orderkey, o_orderdate from (select *, row_number() over (partition by o_custkey, o_orderstatus order by o_orderdate desc, o_orderkey desc) r from orders) where r = 1")
+@query(
+    "select o_custkey, o_orderstatus, o_orderkey, o_orderdate from (select *, row_number() over (partition by o_custkey, o_orderstatus order by o_orderdate desc, o_orderkey desc) r from orders) where r = 1"
+)
 def win03_latest_last_wins(t):
     """The latest order of a customer and status; the last key wins ties."""
     return ranking.top_struct(t.orders, ["o_custkey", "o_orderstatus"], [c("o_orderdate"), c("o_orderkey")], ["o_orderkey", "o_orderdate"])
 
 
-@query("select o_custkey, o_orderpriority, o_orderkey, o_orderdate from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderpriority, o_orderkey) s from (select *, row_number() over (partition by o_custkey, o_orderpriority order by o_orderdate desc, o_orderkey) r from orders) where r = 1) where s = 1")
+@query(
+    "select o_custkey, o_orderpriority, o_orderkey, o_orderdate from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderpriority, o_orderkey) s from (select *, row_number() over (partition by o_custkey, o_orderpriority order by o_orderdate desc, o_orderkey) r from orders) where r = 1) where s = 1"
+)
 def win05_latest_of_latest(t):
     """The latest order of each priority, then the latest of these."""
     per = ranking.best_by(t.orders, ["o_custkey", "o_orderpriority"], [c("o_orderdate").desc(), c("o_orderkey").asc()])
-    return ranking.best_by(per, ["o_custkey"], [c("o_orderdate").desc(), c("o_orderpriority").asc(), c("o_orderkey").asc()]).select("o_custkey", "o_orderpriority", "o_orderkey", "o_orderdate")
+    return ranking.best_by(
+        per, ["o_custkey"], [c("o_orderdate").desc(), c("o_orderpriority").asc(), c("o_orderkey").asc()]
+    ).select("o_custkey", "o_orderpriority", "o_orderkey", "o_orderdate")
 
 
 @query("""with d(flag, rk) as (values ('R', 0), ('A', 1), ('N', 2)), x as (select l_orderkey, l_linenumber, l_quantity, abs(date_diff('day', o_orderdate::date, l_shipdate::date) - 30) as gap, case when l_linestatus = 'F' then 0 else 200 end as kind, abs(l_quantity - 25) as qgap, rk from lineitem join orders on l_orderkey = o_orderkey join d on flag = l_returnflag)
@@ -87,14 +101,18 @@ def win06_lexi_argmin(t):
 LINES_SQL = "select doc_id, generate_subscripts(a, 1) - 1 as place, unnest(a) as line from (select doc_id, string_split(text, chr(10)) as a from documents)"
 
 
-@query(f"select doc_id, cast(place as int) as place, cast(n as int) as n, sha from (select doc_id, place, 1 as n, sha256(line) as sha from ({LINES_SQL}) union all select doc_id, place, 2, sha256(w) from (select doc_id, place, line || ' ' || lead(line) over (partition by doc_id order by place) as w from ({LINES_SQL})) where w is not null union all select doc_id, place, 3, sha256(w) from (select doc_id, place, line || ' ' || lead(line) over (partition by doc_id order by place) || ' ' || lead(line, 2) over (partition by doc_id order by place) as w from ({LINES_SQL})) where w is not null)")
+@query(
+    f"select doc_id, cast(place as int) as place, cast(n as int) as n, sha from (select doc_id, place, 1 as n, sha256(line) as sha from ({LINES_SQL}) union all select doc_id, place, 2, sha256(w) from (select doc_id, place, line || ' ' || lead(line) over (partition by doc_id order by place) as w from ({LINES_SQL})) where w is not null union all select doc_id, place, 3, sha256(w) from (select doc_id, place, line || ' ' || lead(line) over (partition by doc_id order by place) || ' ' || lead(line, 2) over (partition by doc_id order by place) as w from ({LINES_SQL})) where w is not null)"
+)
 def win10_line_windows(t):
     """All runs of one to three lines of each document, as digests."""
     w = t.documents.select("doc_id", F.explode(sections.line_windows(F.split("text", "\n"))).alias("w"))
     return w.select("doc_id", c("w.at").alias("place"), "w.n", F.sha2("w.text", 256).alias("sha"))
 
 
-@query("select conv_id, turn, role, sha256(text) as sha, last_value(case when role = 'user' then turn end ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and current row) as asked from conversations")
+@query(
+    "select conv_id, turn, role, sha256(text) as sha, last_value(case when role = 'user' then turn end ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and current row) as asked from conversations"
+)
 def win12_carry_label(t):
     """The last user turn carried onto the turns after it."""
     out = sections.carried(t.conversations, ["conv_id"], "turn", F.when(c("role") == "user", c("turn")), "asked")
@@ -121,13 +139,20 @@ select n_nationkey, case when a.v between 0.2 * b.v and 5 * b.v then a.v else co
 def win18_source_priority(t):
     """The best source's value, unless it is out of proportion to the next."""
     a = t.supplier.groupBy(c("s_nationkey").alias("n_nationkey")).agg(F.max("s_acctbal").alias("a"))
-    b = t.customer.groupBy(c("c_nationkey").alias("n_nationkey")).agg(F.max("c_acctbal").alias("b"), F.min(F.when(c("c_mktsegment") == "BUILDING", c("c_acctbal"))).alias("d"))
+    b = t.customer.groupBy(c("c_nationkey").alias("n_nationkey")).agg(
+        F.max("c_acctbal").alias("b"), F.min(F.when(c("c_mktsegment") == "BUILDING", c("c_acctbal"))).alias("d")
+    )
     x = t.nation.join(a, "n_nationkey", "left").join(b, "n_nationkey", "left")
     sane = c("a").between(0.2 * c("b"), 5 * c("b"))
-    return x.select("n_nationkey", F.when(sane, c("a")).otherwise(F.coalesce("b", "d", "a")).alias("value"), F.when(sane, "supplier").when(c("b").isNotNull(), "customer").when(c("d").isNotNull(), "building").otherwise("supplier").alias("source"))
+    return x.select(
+        "n_nationkey", F.when(sane, c("a")).otherwise(F.coalesce("b", "d", "a")).alias("value"),
+        F.when(sane, "supplier").when(c("b").isNotNull(), "customer").when(c("d").isNotNull(), "building").otherwise("supplier").alias("source")
+    )
 
 
-@query("select o_custkey, o_orderkey, cast(place as int) as place from (select o_custkey, o_orderkey, o_orderstatus, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) place from orders) where place <= 20 and o_orderstatus = 'F' qualify row_number() over (partition by o_custkey order by place) = 1")
+@query(
+    "select o_custkey, o_orderkey, cast(place as int) as place from (select o_custkey, o_orderkey, o_orderstatus, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) place from orders) where place <= 20 and o_orderstatus = 'F' qualify row_number() over (partition by o_custkey order by place) = 1"
+)
 def srt03_topk(t):
     """The first finished one of a customer's 20 newest orders."""
     place = F.row_number().over(Window.partitionBy("o_custkey").orderBy(c("o_orderdate").desc(), c("o_orderkey").asc()))
@@ -138,10 +163,15 @@ def srt03_topk(t):
 # --- aggregates ---------------------------------------------------------------
 
 
-@query("select o_orderstatus, count(*) as n, count(*) filter (o_totalprice > 100000) as n_large, count(*) filter (o_orderpriority in ('1-URGENT', '2-HIGH')) as n_urgent from orders group by 1")
+@query(
+    "select o_orderstatus, count(*) as n, count(*) filter (o_totalprice > 100000) as n_large, count(*) filter (o_orderpriority in ('1-URGENT', '2-HIGH')) as n_urgent from orders group by 1"
+)
 def agg01_status_counts(t):
     """Orders by status, with conditional counts."""
-    return t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.count_if(c("o_totalprice") > 100000).alias("n_large"), F.count_if(c("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("n_urgent"))
+    return t.orders.groupBy("o_orderstatus").agg(
+        F.count("*").alias("n"), F.count_if(c("o_totalprice") > 100000).alias("n_large"),
+        F.count_if(c("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("n_urgent")
+    )
 
 
 @query("select p_brand, round(avg(p_retailprice), 4) as mean_price, round(median(p_retailprice), 4) as median_price from part group by 1")
@@ -150,11 +180,16 @@ def agg03_mean_median(t):
     return t.part.groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), 4).alias("mean_price"), F.round(F.median("p_retailprice"), 4).alias("median_price"))
 
 
-@query("with m as (select max(ts) - interval 7 day as cut from events) select event_type, count(*) as total, count(*) filter (ts > cut) as fresh, count(*) filter (ts <= cut) as expired, count(*) filter (ts >= cut) as served from events, m group by 1")
+@query(
+    "with m as (select max(ts) - interval 7 day as cut from events) select event_type, count(*) as total, count(*) filter (ts > cut) as fresh, count(*) filter (ts <= cut) as expired, count(*) filter (ts >= cut) as served from events, m group by 1"
+)
 def agg04_ttl_stats(t):
     """Fresh and expired events against a time to live that ends at the last one."""
     cut = t.events.agg((F.max("ts") - F.expr("interval 7 days")).alias("cut")).first().cut
-    return t.events.groupBy("event_type").agg(F.count("*").alias("total"), F.count_if(c("ts") > lit(cut)).alias("fresh"), F.count_if(c("ts") <= lit(cut)).alias("expired"), F.count_if(c("ts") >= lit(cut)).alias("served"))
+    return t.events.groupBy("event_type").agg(
+        F.count("*").alias("total"), F.count_if(c("ts") > lit(cut)).alias("fresh"),
+        F.count_if(c("ts") <= lit(cut)).alias("expired"), F.count_if(c("ts") >= lit(cut)).alias("served")
+    )
 
 
 @query("""select count(*) as total, count(*) filter (g = 'no_orders') as no_orders, count(*) filter (g = 'in_debt') as in_debt, count(*) filter (g = 'small') as small, count(*) filter (g = 'passed') as passed from (
@@ -162,7 +197,9 @@ select case when s is null then 'no_orders' when c_acctbal <= 0 then 'in_debt' w
 def agg06_funnel(t):
     """How many customers stop at each gate, in one pass."""
     sums = t.orders.groupBy(c("o_custkey").alias("c_custkey")).agg(F.sum("o_totalprice").alias("s"))
-    x = t.customer.join(sums, "c_custkey", "left").withColumn("gate", gates.gate([("no_orders", c("s").isNull()), ("in_debt", c("c_acctbal") <= 0), ("small", c("s") < 500000)]))
+    x = t.customer.join(sums, "c_custkey", "left").withColumn(
+        "gate", gates.gate([("no_orders", c("s").isNull()), ("in_debt", c("c_acctbal") <= 0), ("small", c("s") < 500000)])
+    )
     return gates.funnel(x, ["no_orders", "in_debt", "small", "passed"])
 
 
@@ -187,14 +224,18 @@ def agg09_mode_prefer(t):
     return ranking.mode_by(t.events, ["user_id"], "event_type", [c("event_type") != "view", c("event_type")])
 
 
-@query("select l_suppkey, ratio, n from (select l_suppkey, l_quantity / 4 as ratio, count(*) as n, row_number() over (partition by l_suppkey order by count(*) desc, abs(l_quantity / 4 - round_even(l_quantity / 4, 0)), l_quantity) r from lineitem group by l_suppkey, l_quantity) where r = 1")
+@query(
+    "select l_suppkey, ratio, n from (select l_suppkey, l_quantity / 4 as ratio, count(*) as n, row_number() over (partition by l_suppkey order by count(*) desc, abs(l_quantity / 4 - round_even(l_quantity / 4, 0)), l_quantity) r from lineitem group by l_suppkey, l_quantity) where r = 1"
+)
 def agg10_mode_near_integer(t):
     """A supplier's most frequent ratio; ties go to the nearest integer, then to the smaller one."""
     x = t.lineitem.withColumn("ratio", c("l_quantity") / 4)
     return ranking.mode_by(x, ["l_suppkey"], "ratio", [-F.abs(c("ratio") - F.rint("ratio")), -c("ratio")])
 
 
-@query("select o_custkey, k, n from (select o_custkey, k, count(*) as n, row_number() over (partition by o_custkey order by count(*) desc, k desc) r from (select o_custkey, o_orderkey, count(*) as k from orders join lineitem on l_orderkey = o_orderkey group by 1, 2) group by 1, 2) where r = 1")
+@query(
+    "select o_custkey, k, n from (select o_custkey, k, count(*) as n, row_number() over (partition by o_custkey order by count(*) desc, k desc) r from (select o_custkey, o_orderkey, count(*) as k from orders join lineitem on l_orderkey = o_orderkey group by 1, 2) group by 1, 2) where r = 1"
+)
 def agg11_mode_count(t):
     """A customer's most frequent number of lines to an order; the larger one wins ties."""
     k = t.lineitem.groupBy(c("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("k")).join(t.orders, "o_orderkey")
@@ -238,7 +279,9 @@ FX_ROWS = [(k, round(0.5 + 0.05 * k, 2)) for k in range(24)]
 FX_SQL = "(values " + ", ".join(f"({k}, {v})" for k, v in FX_ROWS) + ") as fx(k, usd)"
 
 
-@query(f"select o_orderkey, c_name, cast(usd as double) as usd, o_totalprice * cast(usd as double) as price_usd from orders left join customer on c_custkey = o_custkey left join {FX_SQL} on k = c_nationkey")
+@query(
+    f"select o_orderkey, c_name, cast(usd as double) as usd, o_totalprice * cast(usd as double) as price_usd from orders left join customer on c_custkey = o_custkey left join {FX_SQL} on k = c_nationkey"
+)
 def join01_lookup_left(t):
     """Orders with their customer and a rate, where there is one."""
     fx = t.rows(FX_ROWS, "c_nationkey int, usd double")
@@ -258,20 +301,28 @@ def join04_anti(t):
     return t.customer.join(t.orders.where("o_orderstatus in ('F', 'P')"), c("c_custkey") == c("o_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
-@query("select p_partkey, coalesce(px, p_retailprice) as price, case when px is null then 1 else 0 end as source from part left join (select l_partkey, max(l_extendedprice / l_quantity) as px from lineitem where l_returnflag = 'R' and l_quantity > 45 group by 1) on l_partkey = p_partkey")
+@query(
+    "select p_partkey, coalesce(px, p_retailprice) as price, case when px is null then 1 else 0 end as source from part left join (select l_partkey, max(l_extendedprice / l_quantity) as px from lineitem where l_returnflag = 'R' and l_quantity > 45 group by 1) on l_partkey = p_partkey"
+)
 def join05_cascade(t):
     """A part's price from the first source that has one."""
-    a = t.lineitem.where("l_returnflag = 'R' and l_quantity > 45").groupBy(c("l_partkey").alias("p_partkey")).agg(F.max(c("l_extendedprice") / c("l_quantity")).alias("price"))
+    a = t.lineitem.where("l_returnflag = 'R' and l_quantity > 45").groupBy(c("l_partkey").alias("p_partkey")).agg(
+        F.max(c("l_extendedprice") / c("l_quantity")).alias("price")
+    )
     return lookup.cascade("p_partkey", "price", a, t.part.select("p_partkey", c("p_retailprice").alias("price")))
 
 
 LABELS = [("STEEL", 0), ("BRASS", 1), ("ECONOMY", 2), ("PROMO", 3), ("TIN", 4), ("A", 5)]
 
 
-@query("select p_partkey, target, cast(rk as int) as rk from part join (values " + ", ".join(f"('{a}', {b})" for a, b in LABELS) + ") as d(target, rk) on contains(p_type, target)")
+@query(
+    "select p_partkey, target, cast(rk as int) as rk from part join (values " + ", ".join(f"('{a}', {b})" for a, b in LABELS) + ") as d(target, rk) on contains(p_type, target)"
+)
 def join09_theta_contains(t):
     """Parts with all labels that their type contains."""
-    return lookup.matched_labels(t.part.select("p_partkey", c("p_type").alias("label")), t.rows(LABELS, "target string, rk int"), "contains").select("p_partkey", "target", "rk")
+    return lookup.matched_labels(
+        t.part.select("p_partkey", c("p_type").alias("label")), t.rows(LABELS, "target string, rk int"), "contains"
+    ).select("p_partkey", "target", "rk")
 
 
 @query("""with f as (select o_custkey k, max(o_orderdate) d from orders where o_orderstatus = 'F' group by 1), o as (select o_custkey k, max(o_orderdate) d from orders where o_orderstatus = 'O' group by 1)
@@ -286,20 +337,26 @@ def join10_full_outer_pick(t):
 def join11_ranked_first_nonnull(t):
     """The first positive balance among the first eight other suppliers of the nation."""
     # The first nine of a nation hold everyone's first eight others.
-    top = ranking.best_by(t.supplier, ["s_nationkey"], [c("s_suppkey").asc()], 9).select("s_nationkey", c("s_suppkey").alias("other"), c("s_acctbal").alias("v"))
+    top = ranking.best_by(t.supplier, ["s_nationkey"], [c("s_suppkey").asc()], 9).select(
+        "s_nationkey", c("s_suppkey").alias("other"), c("s_acctbal").alias("v")
+    )
     x = t.supplier.join(top, "s_nationkey").where("other <> s_suppkey")
     x = ranking.best_by(x, ["s_suppkey"], [c("other").asc()], 8).where("v > 0")
     return ranking.top_struct(x, ["s_suppkey"], [c("other")], ["v"], least=True).select("s_suppkey", c("v").alias("value"))
 
 
-@query("select o_orderkey, o_orderstatus, 'large' as origin from orders where o_totalprice > 150000 union all select o_orderkey, o_orderstatus, 'urgent' from orders o where o_orderpriority = '1-URGENT' and not exists (select 1 from orders p where p.o_orderkey = o.o_orderkey and p.o_totalprice > 150000)")
+@query(
+    "select o_orderkey, o_orderstatus, 'large' as origin from orders where o_totalprice > 150000 union all select o_orderkey, o_orderstatus, 'urgent' from orders o where o_orderpriority = '1-URGENT' and not exists (select 1 from orders p where p.o_orderkey = o.o_orderkey and p.o_totalprice > 150000)"
+)
 def join12_union_anti(t):
     """Large orders, and urgent ones that aren't among them."""
     pick = lambda cond, name: t.orders.where(cond).select("o_orderkey", "o_orderstatus", lit(name).alias("origin"))
     return lookup.union_missing(pick("o_totalprice > 150000", "large"), pick("o_orderpriority = '1-URGENT'", "urgent"), ["o_orderkey"])
 
 
-@query("select user_id, day, event_id from (select user_id, ts::date as day, event_id, row_number() over (partition by user_id, ts::date order by abs(epoch_us(ts) - epoch_us(date_trunc('day', ts) + interval 12 hour)), event_id) r from events) where r = 1")
+@query(
+    "select user_id, day, event_id from (select user_id, ts::date as day, event_id, row_number() over (partition by user_id, ts::date order by abs(epoch_us(ts) - epoch_us(date_trunc('day', ts) + interval 12 hour)), event_id) r from events) where r = 1"
+)
 def join13_nearest_date(t):
     """A user's event nearest to noon of each day."""
     micros = lambda x: F.unix_micros(x.cast("timestamp"))
@@ -308,7 +365,9 @@ def join13_nearest_date(t):
     return ranking.top_struct(e, ["user_id", "day"], [gap, c("event_id")], ["event_id"], least=True)
 
 
-@query("with n as (select o_orderkey, o_custkey, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 3 = 0) select o_orderkey, o_custkey, o_totalprice from n union all select o_orderkey, o_custkey, o_totalprice from orders where o_orderkey % 2 = 0 and o_orderkey % 3 <> 0")
+@query(
+    "with n as (select o_orderkey, o_custkey, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 3 = 0) select o_orderkey, o_custkey, o_totalprice from n union all select o_orderkey, o_custkey, o_totalprice from orders where o_orderkey % 2 = 0 and o_orderkey % 3 <> 0"
+)
 def snk09_upsert(t):
     """A keyed table after an upsert."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
@@ -325,7 +384,9 @@ select c_custkey, c_name, round(assets - liabilities, 2) as surplus, round((asse
 
 def _issuers(t: Tables) -> DataFrame:
     status = lambda s: F.coalesce(F.sum(F.when(c("o_orderstatus") == s, c("o_totalprice"))), lit(0.0))
-    sums = t.orders.groupBy(c("o_custkey").alias("c_custkey")).agg(status("O").alias("open"), status("F").alias("liabilities"), F.sum("o_totalprice").alias("size"))
+    sums = t.orders.groupBy(c("o_custkey").alias("c_custkey")).agg(
+        status("O").alias("open"), status("F").alias("liabilities"), F.sum("o_totalprice").alias("size")
+    )
     return t.customer.join(sums, "c_custkey").withColumn("assets", c("c_acctbal") + c("open"))
 
 
@@ -334,10 +395,14 @@ def mth15_surplus_rank(t):
     """Customers whose open business and balance exceed what is done, by the surplus against their size."""
     x = _issuers(t).where("assets > liabilities and size >= 300000")
     surplus = c("assets") - c("liabilities")
-    return x.select("c_custkey", "c_name", F.round(surplus, 2).alias("surplus"), F.round(surplus / c("size") * 100, 6).alias("surplus_pct")).orderBy(c("surplus_pct").desc(), "c_custkey")
+    return x.select(
+        "c_custkey", "c_name", F.round(surplus, 2).alias("surplus"), F.round(surplus / c("size") * 100, 6).alias("surplus_pct")
+    ).orderBy(c("surplus_pct").desc(), "c_custkey")
 
 
-@query("with s as (select o_custkey, sum(o_totalprice) filter (o_orderstatus = 'O') as open, sum(o_totalprice) filter (o_orderstatus = 'F') as done from orders group by 1) select c_custkey from customer join s on o_custkey = c_custkey where c_acctbal + coalesce(open, 0) > coalesce(done, 0)")
+@query(
+    "with s as (select o_custkey, sum(o_totalprice) filter (o_orderstatus = 'O') as open, sum(o_totalprice) filter (o_orderstatus = 'F') as done from orders group by 1) select c_custkey from customer join s on o_custkey = c_custkey where c_acctbal + coalesce(open, 0) > coalesce(done, 0)"
+)
 def flt01_strict_screen(t):
     """The screen's strict comparison alone."""
     return _issuers(t).where("assets > liabilities").select("c_custkey")
@@ -353,9 +418,13 @@ select ticker, gate, cur as currency, round((a - l) * fx, 4) as surplus, round((
 
 def _records(t: Tables) -> DataFrame:
     status = lambda s: F.coalesce(F.sum(F.when(c("o_orderstatus") == s, c("o_totalprice"))), lit(0.0))
-    sums = t.orders.groupBy(c("o_custkey").alias("c_custkey")).agg(status("O").alias("open"), status("F").alias("done"), F.max("o_orderdate").cast("date").alias("d"))
+    sums = t.orders.groupBy(c("o_custkey").alias("c_custkey")).agg(
+        status("O").alias("open"), status("F").alias("done"), F.max("o_orderdate").cast("date").alias("d")
+    )
     x = t.customer.join(sums, "c_custkey")
-    cur = F.when(c("c_nationkey") % 4 == 0, "USD, thousands").when(c("c_nationkey") % 4 == 1, "RMB").when(c("c_nationkey") % 4 == 2, "in EUR millions").otherwise("XXX")
+    cur = F.when(c("c_nationkey") % 4 == 0, "USD, thousands").when(c("c_nationkey") % 4 == 1, "RMB").when(
+        c("c_nationkey") % 4 == 2, "in EUR millions"
+    ).otherwise("XXX")
     none = {n: lit(None).cast("double") for n in ("revenue", "ebitda", "net_income", "total_assets", "liabilities_current")}
     flat = x.select(
         c("c_custkey").alias("ord"), lit(None).cast("string").alias("file_path"), F.concat(lit("t"), "c_custkey").alias("ticker"), c("c_name").alias("company_name"), lit("10-K").alias("form_type"),
@@ -383,7 +452,13 @@ def mth16_forward_pe(t):
     """The price-to-earnings screen on parts: projected, else trailing earnings, and net cash."""
     size = c("p_size")
     pair = lambda v: F.struct(lit("2025").alias("date"), v.cast("double").alias("value"))
-    x = t.part.select("p_partkey", c("p_retailprice").alias("price"), lit(0.5).alias("fx_rate"), pair(F.when(size % 5 == 0, None).when(size % 5 == 1, -1.0).otherwise(size * 7.0)).alias("projected"), pair(F.when(size % 3 == 0, None).otherwise(size * 3.0)).alias("trailing"), F.when(c("p_partkey") % 11 == 0, None).otherwise(size * 100.0).alias("market_cap_m"), lit(2000.0).alias("enterprise_value_m"), lit(None).cast("double").alias("pe_ttm"))
+    x = t.part.select(
+        "p_partkey", c("p_retailprice").alias("price"), lit(0.5).alias("fx_rate"),
+        pair(F.when(size % 5 == 0, None).when(size % 5 == 1, -1.0).otherwise(size * 7.0)).alias("projected"),
+        pair(F.when(size % 3 == 0, None).otherwise(size * 3.0)).alias("trailing"),
+        F.when(c("p_partkey") % 11 == 0, None).otherwise(size * 100.0).alias("market_cap_m"),
+        lit(2000.0).alias("enterprise_value_m"), lit(None).cast("double").alias("pe_ttm")
+    )
     out = forward_pe.screened(x)
     return out.select("p_partkey", "eps_type", F.round(c("price") / c("eps_usd"), 1).alias("pe"), "net_cash_m", "status")
 
@@ -393,9 +468,21 @@ select o_custkey, round(revenue - cogs, 2) as gross_profit, round((revenue - cog
 def mth10_derive(t):
     """Derived figures and ratios on customers' totals."""
     part = lambda cond: F.sum(F.when(F.expr(cond), c("o_totalprice")))
-    r = t.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("revenue"), part("o_orderstatus = 'F'").alias("cogs"), part("o_orderstatus = 'P'").alias("total_liabilities"), part("o_orderpriority = '1-URGENT'").alias("total_assets"), (F.count("*") * 1000.0).alias("net_income"))
+    r = t.orders.groupBy("o_custkey").agg(
+        F.sum("o_totalprice").alias("revenue"), part("o_orderstatus = 'F'").alias("cogs"),
+        part("o_orderstatus = 'P'").alias("total_liabilities"), part("o_orderpriority = '1-URGENT'").alias("total_assets"),
+        (F.count("*") * 1000.0).alias("net_income")
+    )
     d = derive.derived(r)
-    return d.select("o_custkey", *(F.round(n, k).alias(n) for n, k in (("gross_profit", 2), ("gross_margin", 8), ("equity", 2), ("net_margin", 8), ("debt_to_equity", 6), ("asset_turnover", 6))))
+    return d.select(
+        "o_custkey",
+        *(
+            F.round(n, k).alias(n) for n, k in (
+                ("gross_profit", 2), ("gross_margin", 8), ("equity", 2), ("net_margin", 8), ("debt_to_equity", 6),
+                ("asset_turnover", 6)
+            )
+        )
+    )
 
 
 @query("select p_partkey, round(p_retailprice / nullif(p_size % 10, 0), 6) as ratio from part")
@@ -413,7 +500,11 @@ def mth01_number_parse(t):
     """Accounting notation made from order keys and read again."""
     n, k = c("o_orderkey").cast("string"), c("o_orderkey") % 8
     grouped = F.format_number(c("o_orderkey"), 0)
-    made = F.when(k == 0, F.concat(lit("("), grouped, lit(")"))).when(k == 1, F.concat(lit("$"), n, lit("K"))).when(k == 2, F.concat(lit("US$"), grouped)).when(k == 3, "—").when(k == 4, F.concat(n, lit("d"))).when(k == 5, F.concat(lit(" USD "), n, lit("m "))).when(k == 6, "N/A").otherwise(F.concat(n, lit(".5")))
+    made = F.when(
+        k == 0, F.concat(lit("("), grouped, lit(")"))
+    ).when(k == 1, F.concat(lit("$"), n, lit("K"))).when(k == 2, F.concat(lit("US$"), grouped)).when(k == 3, "—").when(k == 4, F.concat(n, lit("d"))).when(
+        k == 5, F.concat(lit(" USD "), n, lit("m "))
+    ).when(k == 6, "N/A").otherwise(F.concat(n, lit(".5")))
     return t.orders.select("o_orderkey", numbers.parse_number(made).alias("value"))
 
 
@@ -425,7 +516,9 @@ def mth06_ratio_canonical(t):
     return t.part.select("p_partkey", F.round(numbers.canonical_ratio(v), 9).alias("ratio"))
 
 
-@query("select o_orderkey, case when v < 0 then '-' else '' end || case when abs(v) >= 1e6 then printf('%.2fM', abs(v) / 1e6) when abs(v) >= 1e3 then printf('%.2fK', abs(v) / 1e3) else printf('%.2f', abs(v)) end as shown from (select o_orderkey, cast(o_orderkey * 4 * (case when o_orderkey % 2 = 0 then -1000 else 1 end) as double) as v from orders)")
+@query(
+    "select o_orderkey, case when v < 0 then '-' else '' end || case when abs(v) >= 1e6 then printf('%.2fM', abs(v) / 1e6) when abs(v) >= 1e3 then printf('%.2fK', abs(v) / 1e3) else printf('%.2f', abs(v)) end as shown from (select o_orderkey, cast(o_orderkey * 4 * (case when o_orderkey % 2 = 0 then -1000 else 1 end) as double) as v from orders)"
+)
 def str20_human_format(t):
     """Amounts with K and M."""
     v = (c("o_orderkey") * 4 * F.when(c("o_orderkey") % 2 == 0, -1000).otherwise(1)).cast("double")
@@ -448,23 +541,38 @@ def str04_label_norm(t):
     return t.documents.select("doc_id", F.sha2(text.normal_label(c("text")), 256).alias("sha"))
 
 
-CCY_CASES = ["USD, thousands", "rmb", "in CNH millions", "Japanese yen", "NEW TAIWAN DOLLARS", "", "Brazilian reais", "US$ millions", "millions(dom)", "pound sterling", "Hong Kong dollars", "crore rupees"]
-CCY_ANSWERS = [("USD", 1e3), ("CNY", 1.0), ("CNY", 1e6), ("YEN", 1.0), ("NEW", 1.0), ("USD", 1.0), ("BRL", 1.0), ("USD", 1e6), ("DOM", 1e6), ("GBP", 1.0), ("HKD", 1.0), ("INR", 1e7)]
+CCY_CASES = [
+    "USD, thousands", "rmb", "in CNH millions", "Japanese yen", "NEW TAIWAN DOLLARS", "", "Brazilian reais", "US$ millions",
+    "millions(dom)", "pound sterling", "Hong Kong dollars", "crore rupees"
+]
+CCY_ANSWERS = [
+    ("USD", 1e3), ("CNY", 1.0), ("CNY", 1e6), ("YEN", 1.0), ("NEW", 1.0), ("USD", 1.0), ("BRL", 1.0), ("USD", 1e6), ("DOM", 1e6),
+    ("GBP", 1.0), ("HKD", 1.0), ("INR", 1e7)
+]
 
 
-@query("select n_nationkey, u as unit, ccy, cast(times as double) as times, upper(n_name) || case when u = '' then '' else ', ' || u end as composed from nation join (values " + ", ".join(f"({i}, '{u}', '{a[0]}', {a[1]})" for i, (u, a) in enumerate(zip(CCY_CASES, CCY_ANSWERS, strict=True))) + ") as d(k, u, ccy, times) on k = n_nationkey % 12")
+@query(
+    "select n_nationkey, u as unit, ccy, cast(times as double) as times, upper(n_name) || case when u = '' then '' else ', ' || u end as composed from nation join (values " + ", ".join(
+        f"({i}, '{u}', '{a[0]}', {a[1]})" for i, (u, a) in enumerate(zip(CCY_CASES, CCY_ANSWERS, strict=True))
+    ) + ") as d(k, u, ccy, times) on k = n_nationkey % 12"
+)
 def str13_ccy_token(t):
     """Currency codes, scales and composed units."""
     cases = t.rows(list(enumerate(CCY_CASES)), "k int, unit string")
     x = t.nation.withColumn("k", c("n_nationkey") % 12).join(cases, "k")
-    return x.select("n_nationkey", "unit", units.currency_code(c("unit")).alias("ccy"), units.unit_multiplier(c("unit")).alias("times"), units.composed_unit(c("n_name"), c("unit")).alias("composed"))
+    return x.select(
+        "n_nationkey", "unit", units.currency_code(c("unit")).alias("ccy"), units.unit_multiplier(c("unit")).alias("times"),
+        units.composed_unit(c("n_name"), c("unit")).alias("composed")
+    )
 
 
 @query("select o_orderkey, case o_orderkey % 7 when 6 then null else o_orderdate::date end as date from orders")
 def dat01_multi_parse(t):
     """Dates in six notations read again, and one that isn't a date."""
     d, k = c("o_orderdate").cast("date"), c("o_orderkey") % 7
-    made = F.when(k == 0, F.date_format(d, "yyyy-MM-dd")).when(k == 1, F.date_format(d, "yyyy/M/d")).when(k == 2, F.date_format(d, "yyyyMMdd")).when(k == 3, F.date_format(d, "MMMM dd, yyyy")).when(k == 4, F.concat(F.date_format(d, "MMM"), lit(".  "), F.date_format(d, "d, yyyy"))).when(k == 5, F.date_format(d, "MMM d, yyyy")).otherwise("soon")
+    made = F.when(k == 0, F.date_format(d, "yyyy-MM-dd")).when(k == 1, F.date_format(d, "yyyy/M/d")).when(k == 2, F.date_format(d, "yyyyMMdd")).when(k == 3, F.date_format(d, "MMMM dd, yyyy")).when(
+        k == 4, F.concat(F.date_format(d, "MMM"), lit(".  "), F.date_format(d, "d, yyyy"))
+    ).when(k == 5, F.date_format(d, "MMM d, yyyy")).otherwise("soon")
     made = F.regexp_replace(made, r"^May\.", "May")
     return t.orders.select("o_orderkey", dates.parse_date(made).alias("date"))
 
@@ -484,10 +592,15 @@ def dat05_quarter_end(t):
     """Closeness to a quarter's end, month ends, the quarter before, and market days."""
     d = c("o_orderdate").cast("date")
     q = dates.recent_quarters(d, 2)[1]
-    return t.orders.select("o_orderkey", dates.quarter_end_like(d).alias("near_end"), dates.month_end(d).alias("month_end"), (q["year"] * 10 + q["quarter"]).cast("long").alias("before"), dates.market_date(d).alias("market"))
+    return t.orders.select(
+        "o_orderkey", dates.quarter_end_like(d).alias("near_end"), dates.month_end(d).alias("month_end"),
+        (q["year"] * 10 + q["quarter"]).cast("long").alias("before"), dates.market_date(d).alias("market")
+    )
 
 
-@query("select event_id, cast(json_extract(props, '$.k') as bigint) as k, '{\"id\":' || event_id || ',\"k\":' || json_extract(props, '$.k') || '}' as shown from events")
+@query(
+    "select event_id, cast(json_extract(props, '$.k') as bigint) as k, '{\"id\":' || event_id || ',\"k\":' || json_extract(props, '$.k') || '}' as shown from events"
+)
 def jsn01_props(t):
     """A field of a JSON column, and JSON written again."""
     p = F.from_json("props", "k long")
@@ -497,24 +610,37 @@ def jsn01_props(t):
 @query("select c_custkey // 50 as chunk, count(*) as n, min(c_custkey) as low, max(c_custkey) as high from customer group by 1")
 def arr01_chunks(t):
     """Keys in batches of 50."""
-    return t.customer.groupBy(F.floor(c("c_custkey") / 50).alias("chunk")).agg(F.count("*").alias("n"), F.min("c_custkey").alias("low"), F.max("c_custkey").alias("high"))
+    return t.customer.groupBy(F.floor(c("c_custkey") / 50).alias("chunk")).agg(
+        F.count("*").alias("n"), F.min("c_custkey").alias("low"), F.max("c_custkey").alias("high")
+    )
 
 
 @query("select o_custkey, cast(row_number() over (partition by o_custkey order by o_orderkey) - 1 as int) as pos, o_orderkey, o_orderstatus from orders")
 def src08_zip_arrays(t):
     """Parallel arrays of each customer, zipped into rows again."""
-    packed = t.orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("a")).select("o_custkey", c("a.o_orderkey").alias("k"), c("a.o_orderstatus").alias("s"))
-    return packed.select("o_custkey", F.posexplode(F.arrays_zip("k", "s")).alias("pos", "r")).select("o_custkey", "pos", c("r.k").alias("o_orderkey"), c("r.s").alias("o_orderstatus"))
+    packed = t.orders.groupBy("o_custkey").agg(
+        F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("a")
+    ).select("o_custkey", c("a.o_orderkey").alias("k"), c("a.o_orderstatus").alias("s"))
+    return packed.select("o_custkey", F.posexplode(F.arrays_zip("k", "s")).alias("pos", "r")).select(
+        "o_custkey", "pos", c("r.k").alias("o_orderkey"), c("r.s").alias("o_orderstatus")
+    )
 
 
-@query("select r_name, max(n_name) filter (n_nationkey % 5 = 0) as a, max(n_name) filter (n_nationkey % 5 = 1) as b, cast(count(*) as bigint) as n from nation join region on n_regionkey = r_regionkey group by 1")
+@query(
+    "select r_name, max(n_name) filter (n_nationkey % 5 = 0) as a, max(n_name) filter (n_nationkey % 5 = 1) as b, cast(count(*) as bigint) as n from nation join region on n_regionkey = r_regionkey group by 1"
+)
 def prj03_pivot_report(t):
     """Long rows to wide ones with a fixed list of columns."""
     x = t.nation.join(t.region, c("n_regionkey") == c("r_regionkey"))
-    return x.groupBy("r_name").agg(F.max(F.when(c("n_nationkey") % 5 == 0, c("n_name"))).alias("a"), F.max(F.when(c("n_nationkey") % 5 == 1, c("n_name"))).alias("b"), F.count("*").alias("n"))
+    return x.groupBy("r_name").agg(
+        F.max(F.when(c("n_nationkey") % 5 == 0, c("n_name"))).alias("a"),
+        F.max(F.when(c("n_nationkey") % 5 == 1, c("n_name"))).alias("b"), F.count("*").alias("n")
+    )
 
 
-@query("select s_suppkey, case when s_suppkey % 4 = 0 then s_acctbal when s_suppkey % 4 = 1 then s_acctbal / 5 when s_suppkey % 4 = 2 then s_acctbal * 5 else s_acctbal end as value from supplier")
+@query(
+    "select s_suppkey, case when s_suppkey % 4 = 0 then s_acctbal when s_suppkey % 4 = 1 then s_acctbal / 5 when s_suppkey % 4 = 2 then s_acctbal * 5 else s_acctbal end as value from supplier"
+)
 def mth07_depositary(t):
     """Share counts and per-share amounts in depositary shares."""
     k = c("s_suppkey") % 4
@@ -523,7 +649,9 @@ def mth07_depositary(t):
     return t.supplier.select("s_suppkey", units.per_depositary_share(metric, label, c("s_acctbal"), F.when(k == 3, None).otherwise(5.0)).alias("value"))
 
 
-@query("select event_id, case when v in (-1.0, -99999.99) then null else v end as value, v is not null and v <> 0 and v > 0 as usable from (select event_id, case event_id % 5 when 0 then -1.0 when 1 then -99999.99 when 2 then null else value end as v from events)")
+@query(
+    "select event_id, case when v in (-1.0, -99999.99) then null else v end as value, v is not null and v <> 0 and v > 0 as usable from (select event_id, case event_id % 5 when 0 then -1.0 when 1 then -99999.99 when 2 then null else value end as v from events)"
+)
 def flt09_sentinels(t):
     """Stand-ins for missing values become null; what isn't above 0 isn't usable."""
     k = c("event_id") % 5

@@ -35,13 +35,18 @@ def filings(spark: SparkSession, path: str, glob: str = FILING_GLOB, ticker: str
     if ticker is not None:
         files = files.where(in_folder(F.col("path"), ticker))
     text = F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.decode("content", "ISO-8859-1"))
-    return files.select(F.col("path").alias("filing_id"), "path", F.regexp_extract("path", "([^/]+)$", 1).alias("name"), path_ticker(F.col("path")).alias("ticker"), text.alias("raw"))
+    return files.select(
+        F.col("path").alias("filing_id"), "path", F.regexp_extract("path", "([^/]+)$", 1).alias("name"),
+        path_ticker(F.col("path")).alias("ticker"), text.alias("raw")
+    )
 
 
 def master_index(spark: SparkSession, path: str) -> DataFrame:
     """(cik, company, form, filed, path) of quarterly index files; lines without five fields are headers."""
     parts = spark.read.text(path).select(F.split("value", r"\|").alias("p")).where(F.size("p") >= 5)
-    return parts.select(*(F.trim(F.col("p")[i]).alias(n) for i, n in enumerate(("cik", "company", "form", "filed", "path")))).where("try_to_date(filed, 'yyyy-MM-dd') is not null")
+    return parts.select(
+        *(F.trim(F.col("p")[i]).alias(n) for i, n in enumerate(("cik", "company", "form", "filed", "path")))
+    ).where("try_to_date(filed, 'yyyy-MM-dd') is not null")
 
 
 def submissions(spark: SparkSession, path: str) -> DataFrame:
@@ -53,12 +58,17 @@ def parsed_submissions(texts: DataFrame) -> DataFrame:
     """The same of (path, value) with the JSON in ``value``."""
     raw = texts.select("path", F.from_json("value", SUBMISSIONS).alias("s"))
     recent = F.arrays_zip(*(F.col(f"s.filings.recent.{n}").alias(n) for n in ("form", "accessionNumber", "primaryDocument", "filingDate")))
-    return raw.select("path", F.posexplode(recent).alias("pos", "r")).select("path", "pos", "r.form", F.col("r.accessionNumber").alias("accession"), F.col("r.primaryDocument").alias("document"), F.col("r.filingDate").alias("filed"))
+    return raw.select("path", F.posexplode(recent).alias("pos", "r")).select(
+        "path", "pos", "r.form", F.col("r.accessionNumber").alias("accession"), F.col("r.primaryDocument").alias("document"),
+        F.col("r.filingDate").alias("filed")
+    )
 
 
 def company_tickers(spark: SparkSession, path: str) -> DataFrame:
     """(ticker, cik) with ten-digit ciks."""
-    raw = spark.read.text(path, wholetext=True).select(F.explode(F.map_values(F.from_json("value", "map<string,struct<ticker:string,cik_str:bigint>>"))).alias("c"))
+    raw = spark.read.text(path, wholetext=True).select(
+        F.explode(F.map_values(F.from_json("value", "map<string,struct<ticker:string,cik_str:bigint>>"))).alias("c")
+    )
     return raw.select(F.upper("c.ticker").alias("ticker"), F.lpad(F.col("c.cik_str").cast("string"), 10, "0").alias("cik"))
 
 
@@ -77,9 +87,19 @@ def parsed_prices(texts: DataFrame, symbol: str = "symbol", price: str = "close"
     lines = texts.select(F.split(F.regexp_replace("value", "\r\n?", "\n"), "\n").alias("l"))
     head = F.regexp_replace(F.col("l")[0], "^﻿", "")
     sep = F.when(head.contains(";"), ";").when(head.contains("\t"), "\t").when(head.contains("|"), r"\|").otherwise(",")
-    cells = lines.select(F.transform(F.split(F.lower(head), sep), lambda x: F.trim(F.replace(x, F.lit('"'), F.lit("")))).alias("names"), sep.alias("sep"), F.posexplode("l").alias("pos", "line")).where("pos > 0 and trim(line) <> ''")
-    cell = lambda name: F.trim(F.replace(F.get(F.split("line", F.col("sep")), F.array_position("names", F.lit(name.lower())).cast("int") - 1), F.lit('"'), F.lit("")))
-    rows = cells.select("pos", F.replace(F.upper(cell(symbol)), F.lit(".US"), F.lit("")).alias("ticker"), as_double(cell(price)).alias("price")).where("ticker <> '' and price > 0")
+    cells = lines.select(
+        F.transform(F.split(F.lower(head), sep), lambda x: F.trim(F.replace(x, F.lit('"'), F.lit("")))).alias("names"),
+        sep.alias("sep"), F.posexplode("l").alias("pos", "line")
+    ).where("pos > 0 and trim(line) <> ''")
+    cell = lambda name: F.trim(
+        F.replace(
+            F.get(F.split("line", F.col("sep")), F.array_position("names", F.lit(name.lower())).cast("int") - 1), F.lit('"'),
+            F.lit("")
+        )
+    )
+    rows = cells.select(
+        "pos", F.replace(F.upper(cell(symbol)), F.lit(".US"), F.lit("")).alias("ticker"), as_double(cell(price)).alias("price")
+    ).where("ticker <> '' and price > 0")
     return rows.groupBy("ticker").agg(F.max(F.struct("pos", "price")).alias("m")).select("ticker", "m.price")
 
 

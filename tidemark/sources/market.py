@@ -44,7 +44,13 @@ def daily_csv(spark: SparkSession, path: str, suffix: str = ".US") -> Source:
     """Stored responses of a daily CSV service, ``Symbol,Date,Time,Open,High,Low,Close,Volume``."""
     def ask(wanted: DataFrame) -> DataFrame:
         cells = spark.read.text(path).select(F.split("value", ",").alias("c")).where("size(c) >= 7 and lower(c[0]) <> 'symbol'")
-        return _answers(wanted, cells.select(F.replace(F.upper(F.col("c")[0]), F.lit(suffix), F.lit("")).alias("ticker"), as_double(F.col("c")[6]).alias("price")))
+        return _answers(
+            wanted,
+            cells.select(
+                F.replace(F.upper(F.col("c")[0]), F.lit(suffix), F.lit("")).alias("ticker"),
+                as_double(F.col("c")[6]).alias("price")
+            )
+        )
 
     return ask
 

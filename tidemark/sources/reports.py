@@ -14,10 +14,21 @@ from tidemark.functions.text import wide_line
 from tidemark.plans.facts import METRIC_TAGS
 
 BOM = "﻿"
-RATIOS = ("gross_margin", "operating_margin", "net_margin", "ebitda_margin", "return_on_equity", "return_on_assets", "current_ratio", "debt_to_equity", "asset_turnover")
+RATIOS = (
+    "gross_margin", "operating_margin", "net_margin", "ebitda_margin", "return_on_equity", "return_on_assets", "current_ratio",
+    "debt_to_equity", "asset_turnover"
+)
 HEAD = ("file_path", "ticker", "company_name", "form_type", "form_explanation", "filing_date", "period_end_date", "currency_unit")
 #: The metrics of a report in the order of the flat output.
-METRICS = ("revenue", "cogs", "gross_profit", "operating_income", "research_and_development", "selling_and_marketing", "general_and_administrative", "sga", "pretax_income", "tax_expense", "net_income", "ebitda", "interest_income", "eps_basic", "eps_diluted", "total_assets", "assets_current", "total_liabilities", "liabilities_current", "equity", "cash", "short_term_investments", "goodwill", "accounts_receivable", "accounts_payable", "deferred_revenue", "retained_earnings", "operating_cash_flow", "investing_cash_flow", "financing_cash_flow", "free_cash_flow", "depreciation_and_amortization", "share_based_compensation", "capex", "acquisitions", "shares_outstanding", "weighted_avg_shares_basic", "weighted_avg_shares_diluted")
+METRICS = (
+    "revenue", "cogs", "gross_profit", "operating_income", "research_and_development", "selling_and_marketing",
+    "general_and_administrative", "sga", "pretax_income", "tax_expense", "net_income", "ebitda", "interest_income", "eps_basic",
+    "eps_diluted", "total_assets", "assets_current", "total_liabilities", "liabilities_current", "equity", "cash",
+    "short_term_investments", "goodwill", "accounts_receivable", "accounts_payable", "deferred_revenue", "retained_earnings",
+    "operating_cash_flow", "investing_cash_flow", "financing_cash_flow", "free_cash_flow", "depreciation_and_amortization",
+    "share_based_compensation", "capex", "acquisitions", "shares_outstanding", "weighted_avg_shares_basic",
+    "weighted_avg_shares_diluted"
+)
 OUTPUT_FIELDS = (*HEAD, *METRICS, *RATIOS)
 #: The parts of the nested output and their fields.
 NESTED = {
@@ -63,7 +74,9 @@ def json_array(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def nested(df: DataFrame) -> DataFrame:
     """Reports with their metrics in the parts of ``NESTED``."""
-    whole = with_fields(df, (*HEAD, *METRICS, *RATIOS)) if "ord" not in df.columns else df.select("ord", *(c for c in with_fields(df).columns if c in df.columns))
+    whole = with_fields(df, (*HEAD, *METRICS, *RATIOS)) if "ord" not in df.columns else df.select(
+        "ord", *(c for c in with_fields(df).columns if c in df.columns)
+    )
     part = lambda fields: F.struct(*((F.col(f) if f in whole.columns else F.lit(None).cast("double")).alias(f) for f in fields))
     kept = [c for c in ("ord", "ticker", "form_type", "company_name", "currency_unit", "filing_date", "period_end_date") if c in whole.columns]
     return whole.select(*kept, *(part(fields).alias(name) for name, fields in NESTED.items()))

@@ -15,8 +15,17 @@ SNAPSHOT = "Ratios struct<_ExchangeRate:string,_ReportingCurrency:string,_PriceC
 def eps_columns(xml: Column) -> dict[str, Column]:
     """eps_currency, projected and trailing (date, value) of a summary; too short or malformed XML gives nulls."""
     x = F.from_xml(F.when(F.length(xml) >= 50, xml), SUMMARY)
-    series = F.transform(x["EPSs"]["EPS"], lambda e: F.struct(F.coalesce(e["_asofDate"], F.lit("")).alias("asof"), e["_reportType"].alias("kind"), e["_period"].alias("period"), as_double(e["_VALUE"]).alias("value")))
-    return {"eps_currency": F.coalesce(x["EPSs"]["_currency"], F.when(x["EPSs"].isNotNull(), "USD")), "projected": latest_eps(series, "P"), "trailing": latest_eps(series, "TTM")}
+    series = F.transform(
+        x["EPSs"]["EPS"],
+        lambda e: F.struct(
+            F.coalesce(e["_asofDate"], F.lit("")).alias("asof"), e["_reportType"].alias("kind"), e["_period"].alias("period"),
+            as_double(e["_VALUE"]).alias("value")
+        )
+    )
+    return {
+        "eps_currency": F.coalesce(x["EPSs"]["_currency"], F.when(x["EPSs"].isNotNull(), "USD")),
+        "projected": latest_eps(series, "P"), "trailing": latest_eps(series, "TTM")
+    }
 
 
 def snapshot_columns(xml: Column) -> dict[str, Column]:
@@ -28,7 +37,11 @@ def snapshot_columns(xml: Column) -> dict[str, Column]:
         v = as_double(F.get(F.filter(ratios, lambda r: r["_FieldName"] == name), 0)["_VALUE"])
         return F.when(~v.isin(-1.0, -99999.99), v)
 
-    return {"fx_rate": F.coalesce(as_double(x["_ExchangeRate"]), F.lit(1.0)), "reporting_currency": F.coalesce(x["_ReportingCurrency"], F.lit("USD")), "price": field("NPRICE"), "market_cap_m": field("MKTCAP"), "enterprise_value_m": field("EV"), "pe_ttm": field("PEEXCLXOR")}
+    return {
+        "fx_rate": F.coalesce(as_double(x["_ExchangeRate"]), F.lit(1.0)),
+        "reporting_currency": F.coalesce(x["_ReportingCurrency"], F.lit("USD")), "price": field("NPRICE"),
+        "market_cap_m": field("MKTCAP"), "enterprise_value_m": field("EV"), "pe_ttm": field("PEEXCLXOR")
+    }
 
 
 def cached(cache: DataFrame, as_of: Column, ttl_days: int = 45) -> DataFrame:
