@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -39,7 +41,9 @@ def ship(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     root = Path(__file__).resolve().parent
-    to = os.path.join(tempfile.mkdtemp(prefix="tidemark-ship-"), "tidemark.zip")
+    folder = tempfile.mkdtemp(prefix="tidemark-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # executors fetch it from the driver while the application runs
+    to = os.path.join(folder, "tidemark.zip")
     with zipfile.ZipFile(to, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
