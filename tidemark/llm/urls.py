@@ -140,7 +140,8 @@ def _scored(batches: Iterator[pa.RecordBatch], model: UrlFilter) -> Iterator[pa.
 def judge_urls(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", rules=RULES, max_urls: int = 20_000) -> DataFrame:
     """Return page_id, host, path, rule, verdict and score of every row.
 
-    Rules decide where one fits, the longest first.  URLs they decide, at most
+    Rules decide where one fits, the longest first; of equally long ones the
+    last in order of (verdict, host, path).  URLs they decide, at most
     about ``max_urls`` of each kind by a hash of the URL, train the two models,
     which decide all others: ``allow`` if the score reaches the threshold.
     Equal URLs get equal verdicts.
