@@ -215,9 +215,9 @@ def test_planted_leaks_are_found_and_nothing_else(spark):
 def test_names_that_open_sentences_are_slots(spark):
     item = "Anna buys some apples at the market near her house. Anna gives a few of them to the children next door."
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
-    rows = [(1, item.replace("Anna", "Maria")), (2, item.replace("Anna buys", "Maria buys"))]
+    rows = [(1, item.replace("Anna", "Maria")), (2, item.replace("Anna buys", "Maria buys")), (3, "so " + item.replace("house. ", "house, "))]
     got = {r.doc_id: r.verbatim for r in benchmark_leaks(table(spark, rows), bench).collect()}
-    assert got[1] is False
+    assert got == {1: False, 2: False, 3: True}
 
 
 def test_windows_match_nested_loops():

@@ -93,6 +93,8 @@ def templates(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     # A merged slot's value is the sum of its parts' hashes by place.
     place = np.arange(len(starts)) - np.repeat(head, np.diff(np.append(head, len(starts))))
     slot = np.add.reduceat(slot * (place.astype(np.uint64) * np.uint64(2) + np.uint64(1)), head)
+    # The lowest bit marks a name that opens a sentence: it may be any word, so it says nothing on consistency.
+    slot = np.where((number | name | unit)[head], slot & ~np.uint64(1) | (name & opening)[head], np.uint64(0))
     return code[head], slot, np.searchsorted(doc[head], np.arange(n + 1)), value, number | name | unit, np.searchsorted(doc, np.arange(n + 1))
 
 
@@ -166,7 +168,7 @@ def benchmark_leaks(
 
     Template windows count if at least three tenths of their tokens are
     literal; where it is less than half of any, different values must also
-    stay different.  Templates of one or two tokens don't count.  Verbatim copies of whole items,
+    stay different.  What names open sentences may differ freely.  Templates of one or two tokens don't count.  Verbatim copies of whole items,
     one word included, are always found, by their words (runs of letters or of
     digits, case of A-Z apart).  Of partial copies, windows of ``width`` words
     of which less than half are literal count by the same share.  A pair found
@@ -205,13 +207,16 @@ def benchmark_leaks(
     # Of words that aren't the whole item only windows count that no template can match.
     counted = F.when(F.col("template") | (covered("spans") == F.col("n_tokens")), F.col("spans")).otherwise(F.filter("spans", lambda s: ~s["wordy"]))
     whole = whole.withColumn("spans", counted).where(F.size("spans") > 0)
-    values = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side])))
+    firm = F.filter("pairs", lambda p: p["b"].bitwiseAND(F.lit(1)) == 0)
+    values = lambda side: F.size(F.array_distinct(F.transform("firm", lambda p: p[side])))
+    bare = lambda x: F.shiftrightunsigned(x, 1)
+    whole = whole.withColumn("firm", firm)
     whole = whole.select(
         "doc_id", "item_id", "n_tokens", "template", covered("spans").alias("n_covered"),
         F.greatest(F.lit(0), F.col("shift") + F.array_min(F.transform("spans", lambda s: s["at"]))).alias("doc_token"),
-        F.coalesce(F.forall("pairs", lambda p: p["b"] == p["d"]), F.lit(True)).alias("verbatim"),
+        F.coalesce(F.forall("pairs", lambda p: bare(p["b"]) == bare(p["d"])), F.lit(True)).alias("verbatim"),
         (
-            (F.size("pairs") == values("b")) & (F.forall("spans", lambda s: s["wordy"]) | (F.size("pairs") == values("d")))
+            (F.size("firm") == values("b")) & (F.forall("spans", lambda s: s["wordy"]) | (F.size("firm") == values("d")))
         ).alias("consistent")
     )
     good = whole.where(F.col("consistent") & ((F.col("n_covered") >= least_share * F.col("n_tokens")) | (F.col("n_covered") >= least_tokens)))
