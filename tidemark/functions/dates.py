@@ -15,7 +15,12 @@ def squeezed(text: Column) -> Column:
 
 
 def _first_of(text: Column, formats: tuple[str, ...]) -> Column:
-    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats))
+    """The first format that fits; a failed one is costly, so texts that begin with a digit aren't tried as named months, nor the others as numbers."""
+
+    def tried(some: list[str]) -> Column:
+        return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)).cast("date") for f in some), F.lit(None).cast("date"))
+
+    return F.when(text.rlike(r"^\s*\d"), tried([f for f in formats if f.startswith("y")])).otherwise(tried([f for f in formats if f.startswith("M")]))
 
 
 def parse_date(text: Column) -> Column:
