@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from tidemark.llm.chat import CONVERSATION_SCHEMAS, SCHEMA_COLUMNS, link_tool_calls, messages_as_calls
 from tidemark.llm.decontaminate import benchmark_leaks
 from tidemark.llm.gif import encode_gifs, gif_features
+from tidemark.llm.hard_negatives import mine_hard_negatives, quantised
 from tidemark.llm.lm import lm_scores
 from tidemark.llm.near_dup import near_duplicates
 from tidemark.llm.packing import pack
+from tidemark.llm.prefix_trie import spliced_trie
 from tidemark.llm.repeats import repeated_bytes
 from tidemark.llm.token_store import token_file_round_trip
 from tidemark.llm.toxicity import learn_toxicity, score_toxicity
 from tidemark.llm.urls import judge_urls
+from tidemark.llm.warc import warc_round_trip
 
 #: From this score on a document counts as toxic.
 TOXIC = 0.3
@@ -81,6 +84,21 @@ def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"), folds=7, test=2)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt on the openings that five of them share."""
+    return spliced_trie(_table(spark, sf_dir, "conversations")).drop("digest")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the positives of all vectors whose id is divisible by 100."""
+    return mine_hard_negatives(quantised(_table(spark, sf_dir, "embeddings")))
+
+
+def op13_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC transactions, written and read back."""
+    return warc_round_trip(_table(spark, sf_dir, "pages")).drop("record_id", "uri", "error")
+
+
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS_SQL = f"regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+')"
 
@@ -116,12 +134,64 @@ select r.conv_id, r.call_id, null, null, 'orphan', cast(n_results as bigint), fa
 from r anti join c using (conv_id, call_id)
 """
 
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(range(1, length({0}) + 1), lambda i: list_concat([ascii({0}[i:i])::bigint], [-1, -1, -1, -1, -1, -1, -1, -1]::bigint[])))),
+    lambda x, y: case when y >= 0 then xor(x, y) else xor(x >> 1, (x & 1) * 3988292384) end), 4294967295::bigint)"""
+
+OP11_SQL = f"""
+with o as (select conv_id, role, text, row_number() over (partition by conv_id order by turn nulls first, sha256(strlen(role) || ':' || role || text)) as pos
+      from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)),
+c as (select conv_id, conv_id - conv_id % 5 as base, {CRC32_SQL.format("s")} % 9 as h from (select distinct conv_id, conv_id::varchar as s from o)),
+b as (select c.conv_id, 0 as part, o.pos, o.role, o.text from c join o on o.conv_id = c.base and o.pos <= c.h
+      union all select c.conv_id, 1, o.pos, o.role, o.text from c join o on o.conv_id = c.conv_id and o.pos > c.h),
+r as (select conv_id, row_number() over (partition by conv_id order by part, pos) as d, list({{'r': role, 't': text}}) over (partition by conv_id order by part, pos rows between unbounded preceding and current row) as k,
+             strlen(text) as n from b),
+p as (select conv_id, d, sha256(k::varchar) as k, n from r union all select conv_id, 0, 'root', 0 from c),
+m as (select k, d as depth, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(n) as saved from p group by k, d),
+u as (select m.k, q.k as up from m join p as q on q.conv_id = m.conv_id and q.d = m.depth - 1),
+ch as (select up as k, count(*) as n_children from u group by up),
+s as (select a.k, sum(case when ch.k is null then 1 else 0 end) as n_leaves, sum(m.saved) as saved_tokens
+      from m left join ch on ch.k = m.k join p as a on a.conv_id = m.conv_id and a.d <= m.depth group by a.k),
+l as (select conv_id, max(d) as d from p group by conv_id),
+e as (select p.k, sha256(string_agg(p.conv_id::varchar, ',' order by p.conv_id)) as ends from p join l using (conv_id, d) group by p.k)
+select m.conv_id, m.depth::bigint as depth, v.conv_id as parent_conv_id, m.n_convs, coalesce(ch.n_children, 0)::bigint as n_children,
+       s.n_leaves::bigint as n_leaves, s.saved_tokens::bigint as saved_tokens, coalesce(e.ends, sha256('')) as ends_sha256
+from m join s using (k) left join u using (k) left join m as v on v.k = u.up left join ch on ch.k = m.k left join e on e.k = m.k
+"""
+
+OP12_SQL = """
+with r as materialized (select row_number() over () as n, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)) as v
+           from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.n as a, b.n as b, a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+      from r as a join r as b on a.n <> b.n where a.vec_id % 100 = 0),
+p as (select * from s where same qualify row_number() over (partition by a order by score desc, vec_id) <= 5)
+select p.anchor_id, p.vec_id as positive_id, row_number() over (partition by p.a, p.b order by s.score desc, s.vec_id)::int as rank, s.vec_id as negative_id,
+       p.score as positive_score, s.score as negative_score
+from p join s on s.a = p.a and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score
+qualify row_number() over (partition by p.a, p.b order by s.score desc, s.vec_id) <= 5
+"""
+
+OP13_SQL = """
+with p as (select page_id, strlen(coalesce(html, ''))::bigint as n, coalesce(html, '') as body, sha1(coalesce(html, '')) as h from pages),
+m as (select n, body, max(page_id) as top from p group by n, body)
+select p.page_id, p.n as payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::int >> (15 - 5 * (i % 4)))::int & 31) + 1, 1)), '') as payload_digest,
+       case when p.page_id = m.top then 'response' else 'revisit' end as record_type, case when p.page_id <> m.top then m.top end as refers_to
+from p join m using (n, body)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_minhash_near_dedup, op2_benchmark_decontamination, op3_suffix_array_dedup, op4_url_filter, op5_token_files, op6_gif_media, op7_tool_call_linking, op8_pattern_packing, op9_toxic_segments, op10_deleted_interpolation)
+    for f in (
+        op1_minhash_near_dedup, op2_benchmark_decontamination, op3_suffix_array_dedup, op4_url_filter, op5_token_files, op6_gif_media, op7_tool_call_linking,
+        op8_pattern_packing, op9_toxic_segments, op10_deleted_interpolation, op11_prefix_trie, op12_hard_negatives, op13_warc_transactions
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": OP1_SQL,
     "op7_tool_call_linking": OP7_SQL,
+    "op11_prefix_trie": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
+    "op13_warc_transactions": OP13_SQL,
 }
