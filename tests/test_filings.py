@@ -5,9 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions import lines, prose, statements, tables, text
+from tidemark.functions import prose, statements, tables, text
 from tidemark.operators import control, lookup
-from tidemark.plans import filing_report
+from tidemark.plans import filing_report, page_tables
+from tidemark.plans.statement_lines import statement_rows
+from tidemark.queries import QUERIES
 from tidemark.sources import files, market, reports
 from tidemark.streaming.incremental import merge_partitions
 
@@ -36,29 +38,81 @@ Notes to consolidated financial statements
 Total 9 9""".split("\n")
 
 
-def test_statement_lines():
-    got = {r["label"]: (r["value"], r["currency"], r["scale"]) for r in lines.rows_of(STATEMENT, "10-Q")}
-    assert got == {
-        "Revenues": (1000.0, "USD", 1e3), "Cost of revenues": (-600.0, "USD", 1e3), "Research and development": (-50.0, "USD", 1e3),
-        "Net income attributable to ordinary shareholders": (200.0, "USD", 1e3), "Net income per share Basic": (0.2, "USD", 1e3),
-        "Cash and cash equivalents": (12.0, "CNY", 1e6), "Total assets": (120.0, "CNY", 1e6), "Total liabilities": (40.0, "CNY", 1e6),
+def rows_of(spark, texts, form):
+    df = spark.createDataFrame([(i, x, form) for i, x in enumerate(texts)], "id long, lines array<string>, form_type string")
+    return statement_rows(df, "id").orderBy("id", "section", "row_no").collect()
+
+
+def test_statement_lines(spark):
+    got = rows_of(spark, [STATEMENT, None, [], ["Revenues 5 6"], ["Notes to financial statements", None, ""]], "10-Q")
+    assert {(r.id, r.label): (r.value, r.currency, r.scale) for r in got} == {
+        (0, "Revenues"): (1000.0, "USD", 1e3), (0, "Cost of revenues"): (-600.0, "USD", 1e3), (0, "Research and development"): (-50.0, "USD", 1e3),
+        (0, "Net income attributable to ordinary shareholders"): (200.0, "USD", 1e3), (0, "Net income per share Basic"): (0.2, "USD", 1e3),
+        (0, "Cash and cash equivalents"): (12.0, "CNY", 1e6), (0, "Total assets"): (120.0, "CNY", 1e6), (0, "Total liabilities"): (40.0, "CNY", 1e6),
     }
-    assert [r["value"] for r in lines.rows_of(STATEMENT, "20-F")][:3] == [3000.0, -1800.0, -150.0]
-    assert lines.rows_of(None, None) == lines.rows_of([], "10-K") == lines.rows_of(["Revenues 5 6"], "10-K") == []
+    assert [r.value for r in rows_of(spark, [STATEMENT], "20-F")][:3] == [3000.0, -1800.0, -150.0]
+
+
+def test_statement_columns_in_two_currencies(spark):
+    text = ["Statements of income", "For the year ended", "2023 2024 2024", "RMB RMB US$", "Revenues 900 1,000 140", "Net income 90 100 14", "Other 5"]
+    got = rows_of(spark, [text], "20-F")
+    assert [(r.label, r.value, r.usd_value) for r in got] == [("Revenues", 1000.0, 140.0), ("Net income", 100.0, 14.0), ("Other", 5.0, None)]
+
+
+def test_filings_of_very_many_lines(spark):
+    """A hundred thousand lines: rows, labels over lines, figures below each other, digits without end."""
+    body = []
+    for k in range(25_000):
+        body += [f"Item number {k} of the", "company", str(k + 1), "7"]
+    text = ["BALANCE SHEETS", "2024 2023", *body, "9" * 20_000 + "x"]
+    got = rows_of(spark, [text, STATEMENT], "10-K")
+    # Before the first row only the line right above it is its label.
+    assert [(r.label, r.value) for r in got[:2]] == [("company", 1.0), ("Item number 1 of the company", 2.0)]
+    assert len(got) == 25_000 + 8 and all(r["values"][-1] == 7.0 for r in got[:25_000])
+
+
+def grids_of(spark, pages):
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "id long, html string")
+    return page_tables.page_tables(df, "html", ["id"]).orderBy("id", "idx").collect()
+
+
+def test_table_grids(spark):
+    inner = "<table><tr><td colspan=2>a</td><td>b<table><tr><td>x</td></tr></table>c</td></tr><tr><th>1,000</th></tr></table>"
+    pages = [inner, None, "", "no", "</table><table><tr><td", "<TABLE><tr><td>&amp; <b>t</b>wo</TD></table>y<table></table>"]
+    got = [(r.id, r.idx, r.grid) for r in grids_of(spark, pages)]
+    assert got == [(0, 0, [["a", "", "bc"], ["1,000"]]), (0, 1, [["x"]]), (4, 0, [[""]]), (5, 0, [["& two"]]), (5, 1, [])]
+    deep = "<table><tr><td>" * 40 + "x" + "</td></tr></table>" * 40
+    assert [r.grid for r in grids_of(spark, [deep])][39] == [["x"]] and len(grids_of(spark, [deep])) == 40
+
+
+def test_rows_of_tables(spark):
+    cells = [["Net loss (note 3)", "3", "(2.17", ")", "$", "3.5"], ["x", "3", "1,500", "2,000"], ["no"], ["", "Total", "$", "assets (note 4)", "5", "1,000", "z"], []]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(cells)], "k int, cells array<string>")
+    got = df.select("k", tables.row_figures(F.col("cells")).alias("v"), tables.row_label(F.col("cells")).alias("label")).orderBy("k").collect()
+    assert [r.v for r in got] == [[-2.17, 3.5], [1500.0, 2000.0], [], [1000.0], []]
+    assert got[3].label == "Total assets" and got[4].label == ""
+    heads = [[["", "2023", "2024", "2025"]], [["", "Sep", "Jun"], ["", "2024", "2025"]], [["a"]], [], [["2024", "x"], ["2024"]]]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(heads)], "k int, g array<array<string>>")
+    assert [r[0] for r in df.orderBy("k").select(tables.latest_column(F.col("g"))).collect()] == [2, 1, 0, 0, 0]
+
+
+def test_labels_are_looked_up(spark):
+    """A dictionary of 100,000 labels, by hash joins."""
+    labels = spark.range(100_000).select(F.concat(F.lit("item "), F.col("id")).alias("target"))
+    rows = spark.createDataFrame([("an item 77 of all",), ("item 5",), ("x",), ("",), (None,)], "label string")
+    within = lookup.matched_labels(rows, labels.unionByName(spark.createDataFrame([("",), (None,)], "target string")), "contains")
+    assert sorted((r.label, r.target) for r in within.collect()) == [
+        ("", ""), ("an item 77 of all", ""), ("an item 77 of all", "item 7"), ("an item 77 of all", "item 77"), ("item 5", ""), ("item 5", "item 5"), ("x", "")
+    ]
+    begins = lookup.matched_labels(rows, labels, "prefix")
+    assert [(r.label, r.target) for r in begins.collect()] == [("item 5", "item 5")]
+    assert "NestedLoop" not in begins._jdf.queryExecution().toString() + within._jdf.queryExecution().toString()
 
 
-def test_table_grids():
-    inner = "<table><tr><td colspan=2>a</td><td>b<table><tr><td>x</td></tr></table></td></tr><tr><th>1,000</th></tr></table>"
-    assert [g for g, _ in tables.grids(inner)][0][0][:2] == ["a", ""]
-    assert tables.row_numbers(["Net loss (note 3)", "3", "(2.17", ")", "$", "3.5"]) == [-2.17, 3.5]
-    assert tables.row_numbers(["x", "3", "1,500", "2,000"]) == [1500.0, 2000.0] and tables.row_numbers(["no"]) == []
-    assert tables.row_label(["", "Total", "$", "assets (note 4)", "5", "1,000", "z"]) == "Total assets"
-    assert tables.table_kind("short") is None and tables.tables_of(None) == [] and tables.tables_of("<table><tr><td") is not None
-    assert tables.table_unit([["x"]], [("scale", "6"), ("decimals", "-3")]) == ("millions", 2)
-    assert tables.table_unit([["RMB’000"]], []) == ("thousands", 3) and tables.table_unit([["x"]], []) == (None, 0)
-    assert tables.latest_column([["", "2023", "2024", "2025"]]) == 2 and tables.latest_column(
-        [["", "Sep", "Jun"], ["", "2024", "2025"]]
-    ) == 1 and tables.latest_column([["a"]]) == 0
+def test_plans_run_no_python(spark, sf_dir):
+    for name in ("win08_best_table", "arr08_statement_rows", "plan_reports"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
 
 
 def test_ratios_in_words():
@@ -127,8 +181,8 @@ def test_writers(spark):
 def test_null_keys_and_overlays(spark):
     a = spark.createDataFrame([("f", None, 1.0)], "id string, ref string, v double")
     assert lookup.union_missing(a, spark.createDataFrame([("f", None, 1.0), ("f", "c", 1.0), ("f", "c", 1.0)], a.schema), ["id", "ref", "v"]).count() == 2
-    with pytest.raises(ValueError, match="labels"):
-        lookup.matched_labels(a.withColumnRenamed("id", "label"), spark.range(3000).select(F.col("id").cast("string").alias("target")), "contains")
+    with pytest.raises(ValueError, match="patterns"):
+        lookup.matched_labels(a.withColumnRenamed("id", "label"), spark.range(3000).select(F.col("id").cast("string").alias("target")), "regex")
 
 
 def test_partitions_are_merged(spark, tmp_path):

@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, numbers, prose, statements, text, units
-from tidemark.functions.lines import statement_rows
-from tidemark.functions.tables import page_tables
 from tidemark.operators import lookup, ranking, sections
 from tidemark.plans import acquisition, balance, exhibits, facts, filing_report, forward_pe, net_current_assets, scale
+from tidemark.plans.statement_lines import statement_rows
 from tidemark.queries import query
 from tidemark.sources import files, market, reports, vendor
 
@@ -579,7 +578,7 @@ def arr08_statement_rows(t):
         "Notes to consolidated financial statements", "Total assets 9 9"
     ]
     lines = F.array(*(x if isinstance(x, Column) else lit(x) for x in [*income, *sheet]))
-    return t.supplier.select("s_suppkey", F.inline(statement_rows(lines, lit("10-K")))).select("s_suppkey", "label", "value")
+    return statement_rows(t.supplier.select("s_suppkey", lines.alias("lines"), lit("10-K").alias("form_type")), "s_suppkey").select("s_suppkey", "label", "value")
 
 
 @query("""select s_suppkey, 'IS' as kind, 'thousands' as unit, cast(s_suppkey % 2 as int) as latest, 'Total revenues' as label, 1000.0 + s_suppkey as value from supplier""")
@@ -830,7 +829,7 @@ def plan_reports(t):
     tagged = '<xbrli:context id="y"><xbrli:startDate>2024-01-01</xbrli:startDate><xbrli:endDate>2024-12-31</xbrli:endDate></xbrli:context><ix:nonFraction name="us-gaap:Revenues" contextRef="y" scale="6">5</ix:nonFraction>'
     raw = cat("<html><p>For the year ended December 31, 2024</p>", F.when(c("c_custkey") % 10 == 0, "").otherwise(tagged), lines, "</html>")
     x = t.customer.select(c("c_custkey").alias("filing_id"), cat("t", n, "_10-K_2025-02-01.htm").alias("name"), cat("T", n).alias("ticker"), raw.alias("raw"))
-    return filing_report.reports(x).select(
+    return filing_report.reports(x.repartition("filing_id")).select(
         "filing_id", "form_type", "revenue", "total_assets", "total_liabilities", "equity", "currency_unit", "period_end_date"
     )
 
@@ -878,6 +877,6 @@ def str12_units(t):
     k = c("s_suppkey") % 3
     header = F.when(k == 0, "(RMB in millions, except share data)").when(k == 1, "(Amounts in thousands of U.S. dollars)").otherwise("HK$")
     lines = F.array(lit("CONSOLIDATED BALANCE SHEETS"), header, lit("2025 2024"), lit("Total assets 5 4"))
-    x = t.supplier.select("s_suppkey", F.inline(statement_rows(lines, lit("10-K"))))
+    x = statement_rows(t.supplier.select("s_suppkey", lines.alias("lines"), lit("10-K").alias("form_type")), "s_suppkey")
     label = F.when(c("s_suppkey") % 3 == 0, "millions").when(c("s_suppkey") % 3 == 2, "thousands")
     return x.select("s_suppkey", units.composed_unit(c("currency"), label).alias("units"), "currency", "scale")

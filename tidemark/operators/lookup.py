@@ -26,21 +26,45 @@ def union_missing(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
     return left.unionByName(right.join(there, same, "left_anti").dropDuplicates(list(keys)))
 
 
-#: Rows of a label dictionary that every row may be compared with.
-MOST_LABELS = 2000
+#: Rows of a dictionary of patterns that every row may be compared with.
+MOST_PATTERNS = 2000
+#: Characters of a label that rows are looked up by.
+GRAM = 8
 
 
 def matched_labels(rows: DataFrame, labels: DataFrame, how: str, text: str = "label", target: str = "target") -> DataFrame:
     """Rows with every dictionary label that matches: ``contains``, ``equals``, ``prefix`` or ``regex``.
 
-    ``labels`` is a dictionary of at most ``MOST_LABELS`` rows, which is
-    counted, so all but ``equals`` may compare each row with each label.
+    All but ``regex`` are hash joins, whatever the size of the dictionary.  For
+    ``prefix`` a row is looked up by its beginnings of all lengths that labels
+    have; for ``contains`` by its runs of characters as long as a label's first
+    eight, or the whole of shorter labels, and then compared.  Empty labels match every row,
+    null ones none.  Patterns can't be looked up: ``regex`` compares each row with
+    each of at most ``MOST_PATTERNS`` of them, which are counted.
     """
-    if how != "equals" and labels.count() > MOST_LABELS:
-        raise ValueError(f"a dictionary of labels has at most {MOST_LABELS} rows")
     t, l = F.col(text), F.col(target)
-    test = {"contains": t.contains(l), "equals": t == l, "prefix": t.startswith(l), "regex": F.regexp_like(t, l)}[how]
-    return rows.join(labels, test)
+    if how == "equals":
+        return rows.join(labels, t == l)
+    if how == "regex":
+        if labels.count() > MOST_PATTERNS:
+            raise ValueError(f"a dictionary of patterns has at most {MOST_PATTERNS} rows")
+        return rows.join(F.broadcast(labels), F.regexp_like(t, l))
+    key = l if how == "prefix" else F.left(l, F.lit(GRAM))
+    keyed = labels.withColumn("_key", key)
+    sizes = sorted(r[0] for r in keyed.where("_key is not null").select(F.length("_key")).distinct().collect())  # a few lengths
+    size = F.explode(F.lit(sizes or [0]))
+    if how == "prefix":
+        looked = rows.withColumn("_size", size).where(F.length(t) >= F.col("_size")).withColumn("_key", F.substr(t, F.lit(1), F.col("_size")))
+        return looked.join(keyed, "_key").drop("_key", "_size")
+    if how != "contains":
+        raise ValueError(how)
+
+    def runs(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(t) - n + 1, F.lit(1)))
+        return F.when(F.length(t) >= n, F.transform(starts, lambda i: F.substr(t, i, F.lit(n)))).otherwise(F.array())
+
+    looked = rows.withColumn("_key", F.explode(F.array_distinct(F.flatten(F.array(*map(runs, sizes or [0]))))))
+    return looked.join(keyed, "_key").where(t.contains(l)).drop("_key")
 
 
 def nearest(df: DataFrame, keys: Sequence[str], at: Column, target: Column, unique: Sequence[Column]) -> DataFrame:

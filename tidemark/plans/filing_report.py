@@ -6,15 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import latest_of, long_date, parse_date, quarter_end_like
-from tidemark.functions.lines import statement_rows
 from tidemark.functions.statements import plausible_eps
-from tidemark.functions.tables import page_tables
 from tidemark.functions.text import company_name, filing_date_text, form_type, html_lines, normal_label, tag_text
 from tidemark.functions.units import EPS_METRICS, composed_unit
 from tidemark.operators.lookup import by_priority, matched_labels
 from tidemark.operators.ranking import best_by
-from tidemark.plans import facts
+from tidemark.plans import facts, page_tables
 from tidemark.plans.derive import derived
+from tidemark.plans.statement_lines import statement_rows
 
 #: Metrics and their row labels, best first.
 TEXT_LABELS = {
@@ -59,6 +58,11 @@ BALANCE = {
     "total_assets", "assets_current", "total_liabilities", "liabilities_current", "equity", "goodwill", "accounts_receivable",
     "accounts_payable", "deferred_revenue", "retained_earnings", "short_term_investments", "cash"
 }
+#: Metrics of an income statement, whose rows tell it from other tables of revenue.
+INCOME = (
+    "revenue", "cogs", "gross_profit", "operating_income", "research_and_development", "selling_and_marketing", "general_and_administrative",
+    "pretax_income", "tax_expense", "net_income", "interest_income"
+)
 SOURCES = ("facts", "lines", "tables")
 #: Metrics that text may not stand in for where tags are missing.
 TAGGED_ONLY = ("shares_outstanding", "acquisitions")
@@ -115,20 +119,17 @@ def labelled(rows: DataFrame, balance: Column) -> DataFrame:
     return best_by(found, ["filing_id", "metric"], order).select("filing_id", "metric", "value")
 
 
-def line_candidates(filings: DataFrame) -> DataFrame:
-    """(filing_id, metric, value) of statements in plain lines; amounts a share keep their scale."""
-    rows = filings.select("filing_id", F.inline(statement_rows(F.col("lines"), F.col("form_type"))))
+def line_candidates(rows: DataFrame) -> DataFrame:
+    """(filing_id, metric, value) of ``statement_rows``; amounts a share keep their scale."""
     scaled = rows.withColumn("value", F.when(normal_label(F.col("label")).rlike("per (share|ads)"), F.col("value")).otherwise(F.col("value") * F.col("scale")))
     return labelled(scaled.withColumnRenamed("row_no", "ord"), F.col("kind") == "balance")
 
 
 def best_tables(filings: DataFrame) -> DataFrame:
-    """For each filing and kind the table with the most reliable unit, then the most rows; segment and non-GAAP tables last."""
-    tables = filings.select("filing_id", F.inline(page_tables(F.col("raw")))).where("kind is not null")
-    return best_by(
-        tables, ["filing_id", "kind"],
-        [(F.col("non_gaap") >= 3).cast("int").asc(), F.col("reliability").desc(), F.col("n_rows").desc(), F.col("idx").asc()]
-    )
+    """The best HTML table of each filing and kind, see ``page_tables.best_tables``."""
+    found = page_tables.page_tables(filings, "raw", ["filing_id"])
+    fields = [[label.replace("-", " ") for label in TEXT_LABELS[m]] for m in INCOME]
+    return page_tables.best_tables(page_tables.table_facts(found, ["filing_id"], fields), ["filing_id"])
 
 
 def table_candidates(filings: DataFrame) -> DataFrame:
@@ -139,22 +140,21 @@ def table_candidates(filings: DataFrame) -> DataFrame:
     return labelled(rows.select("filing_id", "kind", F.col("row_no").alias("ord"), "label", (value * factor).alias("value")), F.col("kind") == "BS")
 
 
-def candidates(filings: DataFrame) -> DataFrame:
-    """(filing_id, metric, source, value) of all three sources."""
+def candidates(filings: DataFrame, rows: DataFrame) -> DataFrame:
+    """(filing_id, metric, source, value) of all three sources; ``rows`` are the filings' ``statement_rows``."""
     ctx, found = facts.contexts(filings), facts.all_facts(filings)
     tagged = facts.chosen_metrics(filings, found, ctx).where("metric <> 'shares_outstanding'")
     shares = facts.chosen_shares(filings, found, ctx).select("filing_id", F.lit("shares_outstanding").alias("metric"), "value")
     some = tagged.unionByName(shares).withColumn("source", F.lit("facts"))
-    for name, more in (("lines", line_candidates(filings)), ("tables", table_candidates(filings))):
+    for name, more in (("lines", line_candidates(rows)), ("tables", table_candidates(filings))):
         some = some.unionByName(more.where(~F.col("metric").isin(*TAGGED_ONLY)).withColumn("source", F.lit(name)))
     eps = F.col("metric").isin(*EPS_METRICS)
     return some.withColumn("value", F.when(eps, plausible_eps(F.col("value"))).otherwise(F.col("value")))
 
 
-def units(filings: DataFrame) -> DataFrame:
-    """(filing_id, currency_unit): the currency of most statements, the greatest code on ties."""
-    rows = filings.select("filing_id", F.inline(statement_rows(F.col("lines"), F.col("form_type")))).where("currency is not null")
-    counts = rows.select("filing_id", "section", "currency").distinct().groupBy("filing_id", "currency").agg(F.count("*").alias("n"))
+def units(rows: DataFrame) -> DataFrame:
+    """(filing_id, currency_unit) of ``statement_rows``: the currency of most statements, the greatest code on ties."""
+    counts = rows.where("currency is not null").select("filing_id", "section", "currency").distinct().groupBy("filing_id", "currency").agg(F.count("*").alias("n"))
     best = counts.groupBy("filing_id").agg(F.max(F.struct("n", "currency")).alias("m"))
     return best.select("filing_id", composed_unit(F.col("m.currency"), F.lit(None).cast("string")).alias("currency_unit"))
 
@@ -162,13 +162,14 @@ def units(filings: DataFrame) -> DataFrame:
 def reports(filings: DataFrame) -> DataFrame:
     """One derived report for each filing of (filing_id, name, ticker, raw)."""
     read = read_filings(filings)
-    chosen = by_priority(candidates(read), ["filing_id", "metric"], "source", "value", SOURCES)
+    rows = statement_rows(read, "filing_id")
+    chosen = by_priority(candidates(read, rows), ["filing_id", "metric"], "source", "value", SOURCES)
     wide = facts.report_columns(chosen)
     head = read.select(
         "filing_id", "ticker", "company_name", "form_type", long_date(F.col("filed")).alias("filing_date"),
         long_date(F.col("target_end")).alias("period_end_date")
     )
-    return derived(head.join(units(read), "filing_id", "left").join(wide, "filing_id", "left"))
+    return derived(head.join(units(rows), "filing_id", "left").join(wide, "filing_id", "left"))
 
 
 def latest_reports(found: DataFrame, legacy_string_order: bool = False) -> DataFrame:

@@ -667,4 +667,4 @@ def flt04_stale(t):
     return x.where("d is null or d >= m - interval 730 days").select("o_orderkey", "o_orderstatus")
 
 
-from tidemark import filing_queries  # noqa: E402, F401  registers its queries here
+from tidemark import filing_queries, table_queries  # noqa: E402, F401  register their queries here

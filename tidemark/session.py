@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import os
 import shutil
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -31,6 +33,20 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def once[T](build: Callable[..., T]) -> Callable[..., T]:
+    """Keep what ``build`` makes of its (hashable) arguments, for columns over fixed names: large ones take the driver seconds to put together."""
+
+    @functools.cache
+    def made(app: str, *args) -> T:
+        return build(*args)
+
+    @functools.wraps(build)
+    def found(*args) -> T:
+        return made(SparkSession.getActiveSession().sparkContext.applicationId, *args)
+
+    return found
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once for each application.
 
