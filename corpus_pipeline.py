@@ -18,7 +18,7 @@ from tidemark.llm.near_dup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.repeats import repeated_bytes
 from tidemark.llm.rows import numbered, repeating, without
-from tidemark.llm.scratch import Scratch
+from tidemark.llm.scratch import Scratch, drop_results, owned, results_so_far
 from tidemark.llm.toxicity import learn_toxicity, score_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -37,7 +37,9 @@ def _keyed(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
     """``docs`` with a unique key, and its name: doc_id itself, or where ids repeat or are null the place in order of doc_id, null ids last."""
     name = _free(docs, "_row")
     if repeating(docs, "doc_id"):
-        return numbered(docs, "doc_id", "text", scratch, name), name
+        placed = numbered(docs, "doc_id", "text", scratch, name)
+        owned(scratch.spark, scratch.made["placed"])
+        return placed, name
     return docs.withColumn(name, F.col("doc_id").cast("long")), name
 
 
@@ -109,11 +111,13 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each is written and read again, and goes when the next is there."""
+    """Apply the stages to ``documents``; each is written and read again, and goes, with all that it made, when the next is there."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "corpus")
     for name, stage in STAGES[:-1]:
+        before = results_so_far(spark)
         docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        drop_results(spark, before)
         for older in [n for n in scratch.made if n != name]:
             scratch.drop(older)
     out = STAGES[-1][1](spark, docs, sf_dir)

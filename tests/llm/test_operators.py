@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, gif, near_dup, packing, repeats, toxicity, urls
+from tidemark.llm.chunks import runs
 from tidemark.llm.decontaminate import benchmark_leaks
 from tidemark.llm.lm import learn_weights, lm_scores
 from tidemark.llm.near_dup import near_duplicates
@@ -102,6 +103,26 @@ def test_words_that_one_polynomial_hash_confuses_stay_apart(spark):
     assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 2), (3, 1)}
 
 
+def test_words_made_to_collide_stay_apart(spark):
+    """Two words that the mixing function confuses under a fixed beginning."""
+    one, other = "documentlanguage", "s$.-p75i?2<x3k}9"
+    got = near_duplicates(table(spark, [(1, one), (2, other), (3, one)]), width=2).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 2), (3, 1)}
+    ids = {f: [i for i in range(1, 90) if zlib.crc32(str(i).encode()) % 7 == f] for f in range(7)}
+    got = lm_scores(table(spark, [(ids[0][0], other), (ids[2][0], one)])).where("held_out").first()
+    assert (got.n_tokens, got.n_known) == (2, 1)
+
+
+def test_hash_ranges_cost_nothing_where_no_hash_is():
+    keys = np.sort(np.random.default_rng(1).integers(0, 2**64, 500, dtype=np.uint64, endpoint=False))
+    keys[-1] = np.uint64(2**64 - 1)
+    for parts in (1, 3, 8, 1000, 10**6, 10**9):
+        number, begin, end = runs(keys, parts)
+        assert (np.repeat(number, end - begin) == np.minimum(keys // np.uint64(2**64 // max(parts, 2)), np.uint64(parts - 1)).astype(int)).all()
+        assert begin[0] == 0 and end[-1] == 500 and len(number) <= 500
+    assert all(len(x) == 0 for x in runs(keys[:0], 10))
+
+
 def test_buckets_of_any_size_find_all_likely_members():
     rnd = np.random.default_rng(3)
     base = rnd.integers(0, 1 << 63, 6, dtype=np.uint64)
@@ -427,12 +448,13 @@ def test_token_files(spark):
 def test_token_stores_hold_only_listed_files(spark, tmp_path):
     from pyarrow import fs
 
-    from tidemark.llm.token_store import RemoteArray, store_of
+    from tidemark.llm.token_store import RemoteArray, _sweep, store_of
 
-    root = tmp_path / "store"
-    root.mkdir()
-    (root / "lost.bin").write_bytes(b"123")
-    got = token_file_round_trip(table(spark, some_texts(20)), root=f"file://{root}")
+    got = token_file_round_trip(table(spark, some_texts(20)), root=f"file://{tmp_path / 'store'}")
+    [root] = (tmp_path / "store").iterdir()
+    (root / "lost.bin").write_bytes(b"123")  # of an attempt that was lost
+    listed = spark.createDataFrame([(str(p)[:-4],) for p in root.glob("*.bin") if p.name != "lost.bin"], "path string")
+    _sweep(listed, f"file://{root}")
     assert got.count() == 29 and not (root / "lost.bin").exists() and len(list(root.glob("*.bin"))) >= 1
     whole = np.fromfile(next(root.glob("*.bin")), "<u2")
     ranged = RemoteArray(fs.LocalFileSystem(), str(next(root.glob("*.bin"))), np.dtype("<u2"))
@@ -484,6 +506,16 @@ def test_plans_place_every_piece():
         assert max(filled.values(), default=0) <= capacity
 
 
+def test_token_stores_leave_other_files_alone(spark, tmp_path):
+    (tmp_path / "notes.txt").write_text("keep")
+    root = f"file://{tmp_path}"
+    first = token_file_round_trip(table(spark, [(1, "a b"), (2, None)]), root=root)
+    rows = first.collect()
+    token_file_round_trip(table(spark, [(3, "c")]), root=root).collect()
+    assert (tmp_path / "notes.txt").read_text() == "keep"
+    assert first.collect() == rows and len(rows) == 2
+
+
 # --- op6 ----------------------------------------------------------------------
 
 

@@ -123,8 +123,11 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     release()
 
 
-def ranges(sorted_hashes: np.ndarray, parts: int) -> np.ndarray:
-    """Return the ``parts + 1`` bounds that cut sorted unsigned hashes into equal hash ranges."""
-    step = (1 << 64) // parts
-    edges = (np.arange(1, parts, dtype=np.uint64) * np.uint64(step)).astype(np.uint64)
-    return np.concatenate([[0], np.searchsorted(sorted_hashes, edges), [len(sorted_hashes)]])
+def runs(sorted_hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers of the equal hash ranges, of ``parts``, that sorted unsigned hashes fall into, and where each one's begin and end.
+
+    The work doesn't depend on how many ranges there are.
+    """
+    number = np.minimum(sorted_hashes // np.uint64((1 << 64) // parts if parts > 1 else (1 << 64) - 1), np.uint64(parts - 1)).astype(np.int64)
+    begin = np.flatnonzero(np.diff(number, prepend=-1))
+    return number[begin], begin, np.append(begin[1:], len(number))[: len(begin)]

@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import pack_chunks, packed_counts, packed_keys, ranges, release, rows_of, unpacked, unpacked_counts, unpacked_keys
+from tidemark.llm.chunks import pack_chunks, packed_counts, packed_keys, release, rows_of, runs, unpacked, unpacked_counts, unpacked_keys
 from tidemark.llm.scratch import Scratch
-from tidemark.llm.words import MIX_A, lowered, mix64, span_hashes, word_spans
+from tidemark.llm.words import MIX_A, lowered, mix64, new_seed, span_hashes, word_spans
 
 #: The end mark's hash, and the context before a text's first token.
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -32,11 +32,11 @@ _PAIR = np.uint64(0xD1342543DE82EF95)
 BUCKETS = 24
 
 
-def tokens_of(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def tokens_of(offsets: np.ndarray, data: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Return the token hashes of a chunk, each document ended by the end mark, and the token offsets."""
     data = lowered(data)
     starts, ends, bounds = word_spans(data, offsets)
-    words = span_hashes(data, starts, ends)
+    words = span_hashes(data, starts, ends, seed)
     n = len(offsets) - 1
     out = np.full(len(words) + n, END, np.uint64)
     doc = np.repeat(np.arange(n), np.diff(bounds))
@@ -61,10 +61,10 @@ def _bucket(count: np.ndarray) -> np.ndarray:
 TRAIN, HELD, TEST = 0, 1, 2
 
 
-def _keys(row: dict):
+def _keys(row: dict, seed: int):
     """The chunk's tokens with their contexts, and its distinct words and pairs with each token's place among them."""
     ids, offsets, data = unpacked(row)
-    tokens, bounds = tokens_of(offsets, data)
+    tokens, bounds = tokens_of(offsets, data, seed)
     before, pair = pairs_of(tokens, bounds)
     # The start stands once for each document, as the context of its first token.
     words, at = np.unique(np.concatenate([tokens, np.full(len(ids), START, np.uint64)]), return_inverse=True)
@@ -85,16 +85,16 @@ def _batch(schema, rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(schema)], [n for n, _ in schema])
 
 
-def _ask(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+def _ask(batches: Iterator[pa.RecordBatch], parts: int, seed: int) -> Iterator[pa.RecordBatch]:
     """For each chunk and hash range: its distinct words and pairs, and how often they occur (test documents: never)."""
     for row in rows_of(batches):
-        *_, words, at, grams, gat = _keys(row)
+        *_, words, at, grams, gat = _keys(row, seed)
         learn = int(row["grp"] != TEST)
         wn, gn = (np.bincount(x, minlength=len(k)) * learn for x, k in ((at, words), (gat, grams)))
-        wc, gc = ranges(words, parts), ranges(grams, parts)
+        mine, his = ({p: slice(a, b) for p, a, b in zip(*(x.tolist() for x in runs(k, parts)), strict=True)} for k in (words, grams))
         rows = []
-        for p in np.flatnonzero((np.diff(wc) > 0) | (np.diff(gc) > 0)).tolist():
-            w, g = slice(wc[p], wc[p + 1]), slice(gc[p], gc[p + 1])
+        for p in sorted(mine.keys() | his.keys()):
+            w, g = mine.get(p, slice(0, 0)), his.get(p, slice(0, 0))
             rows.append((p, row["chunk"], row["grp"], packed_keys(words[w]), packed_counts(wn[w]), packed_keys(grams[g]), packed_counts(gn[g])))
         if rows:
             yield _batch(_ASK_ARROW, rows)
@@ -133,9 +133,9 @@ def _tell(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(_TOLD_ARROW, rows)])
 
 
-def _answers(row: dict, which: tuple[str, str]):
+def _answers(row: dict, which: tuple[str, str], seed: int):
     """The chunk's documents, and of each token the counts of itself, its context and both together."""
-    ids, bounds, tokens, before, words, at, _, gat = _keys(row)
+    ids, bounds, tokens, before, words, at, _, gat = _keys(row, seed)
     told = sorted(row["told"], key=lambda x: x["part"])
     wn, gn = (np.concatenate([unpacked_counts(x[k]) for x in told]).astype(np.int64) for k in which)
     return ids, bounds, (wn[at[: len(tokens)]], wn[np.searchsorted(words, before)], gn[gat])
@@ -150,11 +150,11 @@ def _grid(p: np.ndarray) -> np.ndarray:
     return np.where(p > 0, np.clip(np.rint(-_GRID * np.log2(np.maximum(p, 1e-15))) + 1, 1, _SIDE - 1), 0).astype(np.int64)
 
 
-def _held_out(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+def _held_out(batches: Iterator[pa.RecordBatch], n: int, seed: int) -> Iterator[pa.RecordBatch]:
     """Held-out counts by (context bucket, pair estimate, word estimate), the estimates on a log grid."""
     codes, weights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for row in rows_of(batches):
-        w, v, g = (a - h for a, h in zip(_answers(row, ("wn", "gn"))[2], _answers(row, ("wh", "gh"))[2], strict=True))
+        w, v, g = (a - h for a, h in zip(_answers(row, ("wn", "gn"), seed)[2], _answers(row, ("wh", "gh"), seed)[2], strict=True))
         code = (_bucket(v) * _SIDE + _grid(g / np.maximum(v, 1))) * _SIDE + _grid(w / n)
         u, c = np.unique(code, return_counts=True)
         codes.append(u)
@@ -185,9 +185,9 @@ def learn_weights(code: np.ndarray, count: np.ndarray, types: int, rounds: int =
     return weights
 
 
-def _scored(batches: Iterator[pa.RecordBatch], n: int, types: int, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], n: int, types: int, weights: np.ndarray, seed: int) -> Iterator[pa.RecordBatch]:
     for row in rows_of(batches):
-        ids, bounds, (w, v, g) = _answers(row, ("wn", "gn"))
+        ids, bounds, (w, v, g) = _answers(row, ("wn", "gn"), seed)
         doc = np.repeat(np.arange(len(ids)), np.diff(bounds))
         w, v, g = (x.astype(np.float64) for x in (w, v, g))
         b = _bucket(v)
@@ -209,6 +209,7 @@ def lm_scores(
     Documents in fold ``test`` (crc32 of the id as text, modulo ``folds``) are
     never learnt from.  Fold ``held`` trains the mixture weights against the
     counts of the other training folds; the final counts include it.
+    Words are counted by 64-bit hashes under a seed drawn for the run.
     ``base_score`` is the add-one unigram score over N + 1 * (V + 1), and
     ``score`` the mixture's log10 probability.
 
@@ -217,14 +218,14 @@ def lm_scores(
     are separate documents.  Without training documents both scores are those
     of the uniform model.  Other columns are ignored.
     """
-    scratch = Scratch(docs.sparkSession, "lm")
+    scratch, seed = Scratch(docs.sparkSession, "lm"), new_seed()
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     fold = F.crc32(F.col("id").cast("string").cast("binary")) % folds
     group = F.when(fold == test, TEST).when(fold == held, HELD).otherwise(TRAIN)
     chunks = scratch.keep(pack_chunks(base.where("id is not null").withColumn("grp", group)), "chunks")
     size = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     parts = max(8, -(-size // part_bytes))
-    asked = chunks.mapInArrow(lambda it: _ask(it, parts), _ASK)
+    asked = chunks.mapInArrow(lambda it: _ask(it, parts, seed), _ASK)
     # Twice as many tasks as ranges, so that few of them get several.
     told = scratch.keep(asked.repartition(2 * parts, "part").groupBy("part").applyInArrow(_tell, _TOLD), "told")
     n, types, n_held = told.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "held"))).first()
@@ -233,11 +234,11 @@ def lm_scores(
         by_chunk = told.where(some).groupBy("chunk").agg(F.collect_list(F.struct("part", *columns)).alias("told"))
         return chunks.where(some).join(by_chunk, "chunk")
 
-    marked = answered(f"grp = {HELD}", ["wn", "gn", "wh", "gh"]).mapInArrow(lambda it: _held_out(it, max(1, n - n_held)), "code long, n long")
+    marked = answered(f"grp = {HELD}", ["wn", "gn", "wh", "gh"]).mapInArrow(lambda it: _held_out(it, max(1, n - n_held), seed), "code long, n long")
     grid = marked.groupBy("code").agg(F.sum("n").alias("n")).toPandas()  # at most BUCKETS * _SIDE**2 cells
     weights = learn_weights(grid["code"].to_numpy(np.int64), grid["n"].to_numpy(np.float64), types)
     out = answered("grp >= 0", ["wn", "gn"]).mapInArrow(
-        lambda it: _scored(it, n, types, weights),
+        lambda it: _scored(it, n, types, weights, seed),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
     lost = base.where("id is null").selectExpr(

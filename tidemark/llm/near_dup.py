@@ -22,7 +22,7 @@ from tidemark.llm.chunks import release
 from tidemark.llm.graph import connected_components
 from tidemark.llm.rows import numbered, repeating
 from tidemark.llm.scratch import Scratch
-from tidemark.llm.words import MIX_A, mix64, shingle_hashes, text_slices, word_hashes
+from tidemark.llm.words import MIX_A, mix64, new_seed, shingle_hashes, text_slices, word_hashes
 
 _VALUE = np.uint64((1 << 48) - 1)
 _EMPTY = np.uint64((1 << 64) - 1)
@@ -76,11 +76,11 @@ def most_differing(percent: int) -> int:
     return int(SKETCH_BITS * differ + 6 * (SKETCH_BITS * differ * (1 - differ)) ** 0.5) + 1
 
 
-def _sketched(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+def _sketched(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: int, seed: int) -> Iterator[pa.RecordBatch]:
     """Of each row: its set's size and 128-bit digest, its bands, and its sketch's lowest bits."""
     for batch in batches:
         for part in text_slices(batch, "text", 2 << 20):
-            codes, offsets = shingle_hashes(*word_hashes(part.column("text")), width)
+            codes, offsets = shingle_hashes(*word_hashes(part.column("text"), seed), width)
             size = np.diff(offsets)
             made = sketch(codes, offsets, bands * rows + 1)
             keys, bits = band_keys(made[:, : bands * rows], bands), low_bits(made)
@@ -107,12 +107,12 @@ def _sketched(batches: Iterator[pa.RecordBatch], width: int, bands: int, rows: i
         release()
 
 
-def _verified(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _verified(batches: Iterator[pa.RecordBatch], width: int, percent: int, seed: int) -> Iterator[pa.RecordBatch]:
     """Members whose whole sets are similar enough to the pivot's, which stands before them."""
     held_key, held = None, np.zeros(0, np.uint64)
     for batch in batches:
         for part in text_slices(batch, "text", 1 << 20):
-            codes, offsets = shingle_hashes(*word_hashes(part.column("text")), width)
+            codes, offsets = shingle_hashes(*word_hashes(part.column("text"), seed), width)
             pivot, b = (part.column(n).to_numpy(zero_copy_only=False) for n in ("pivot", "b"))
             key = list(zip(part.column("a").to_pylist(), part.column("salt").to_pylist(), strict=True))
             # Set 0 is the pivot that an earlier slice ended with.
@@ -208,10 +208,10 @@ def _near(col: dict[str, np.ndarray], bits: np.ndarray, percent: int, limit: int
     return np.flatnonzero(hit)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int, seed: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, "text"):
-            codes, offsets = shingle_hashes(*word_hashes(part.column("text")), width)
+            codes, offsets = shingle_hashes(*word_hashes(part.column("text"), seed), width)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("row"),
@@ -269,7 +269,7 @@ def near_duplicates(
     sets of ``width``-word shingles; ``component_id`` is the smallest id
     reachable.  A pair at similarity 0.8 escapes all 57 bands of 7 with a
     probability of 1.5e-6; every link is confirmed on the whole sets, of 64-bit
-    codes of the shingles.
+    codes of the shingles under a seed drawn for the run.
 
     Sets with one 128-bit digest collapse first.  Each member of a bucket is
     compared with the likeliest of its buckets' first members, if sizes and
@@ -284,12 +284,12 @@ def near_duplicates(
     itself).  Rows that repeat an id are one node and all come back.  A null id
     gets a null component and is not kept.  Other columns are ignored.
     """
-    scratch = Scratch(docs.sparkSession, "near-dup")
+    scratch, seed = Scratch(docs.sparkSession, "near-dup"), new_seed()
     known = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     repeats = repeating(known, "id", nulls=False)
     base = numbered(known, "id", "text", scratch, "row") if repeats else known.withColumn("row", F.col("id"))
     made = base.where("id is not null").select("row", "text").mapInArrow(
-        lambda it: _sketched(it, width, bands, rows), "row long, n long, d0 long, d1 long, bands array<long>, bits array<long>"
+        lambda it: _sketched(it, width, bands, rows, seed), "row long, n long, d0 long, d1 long, bands array<long>, bits array<long>"
     )
     made = scratch.keep(made, "sketches")
     full = made.where("n > 0")
@@ -318,7 +318,7 @@ def near_duplicates(
             F.lit(True).alias("pivot"), F.col("row").alias("b"), "text"
         )
         sorted_rows = members.union(firsts).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("pivot").desc())
-        return scratch.keep(sorted_rows.mapInArrow(lambda it: _verified(it, width, percent), "a long, b long"), "links")
+        return scratch.keep(sorted_rows.mapInArrow(lambda it: _verified(it, width, percent, seed), "a long, b long"), "links")
 
     stars = buckets.where("row > low").select(F.col("low").alias("a"), F.col("row").alias("b")).distinct()
     stars = stars.join(
@@ -354,7 +354,7 @@ def near_duplicates(
         ).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         dealt = dealt.select("home", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "row", "c", "keys")
         wanted = held.select("row").distinct()
-        sets = picked(wanted, held.count()).mapInArrow(lambda it: _sets(it, width), "row long, codes binary")
+        sets = picked(wanted, held.count()).mapInArrow(lambda it: _sets(it, width, seed), "row long, codes binary")
         found = scratch.keep(
             dealt.join(sets, "row").groupBy("home", "i", "j").applyInArrow(
                 lambda t: _home_links(t, percent), "a long, b long"
@@ -372,17 +372,17 @@ def near_duplicates(
         out = _by_id(out, base, scratch)
     else:
         out = out.select(F.col("row").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
-    lost = known.where("id is null").select("text").mapInArrow(lambda it: _sizes(it, width), "n_shingles long").select(
+    lost = known.where("id is null").select("text").mapInArrow(lambda it: _sizes(it, width, seed), "n_shingles long").select(
         F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id")
     )
     out = out.unionByName(lost)
     return scratch.result(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
 
-def _sizes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _sizes(batches: Iterator[pa.RecordBatch], width: int, seed: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, "text"):
-            yield pa.RecordBatch.from_arrays([pa.array(np.diff(shingle_hashes(*word_hashes(part.column("text")), width)[1]))], ["n_shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.diff(shingle_hashes(*word_hashes(part.column("text"), seed), width)[1]))], ["n_shingles"])
 
 
 def _by_id(out: DataFrame, base: DataFrame, scratch: Scratch) -> DataFrame:

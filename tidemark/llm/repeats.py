@@ -26,9 +26,9 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import pack_chunks, packed_counts, packed_keys, ranges, release, rows_of, unpacked, unpacked_counts, unpacked_keys
+from tidemark.llm.chunks import pack_chunks, packed_counts, packed_keys, release, rows_of, runs, unpacked, unpacked_counts, unpacked_keys
 from tidemark.llm.scratch import Scratch
-from tidemark.llm.words import BASE, equal_spans, lanes, mix64, span_hashes
+from tidemark.llm.words import BASE, equal_spans, lanes, mix64, new_seed, span_hashes
 
 # --- suffix arrays -----------------------------------------------------------
 
@@ -281,12 +281,7 @@ def _ask(batches: Iterator[pa.RecordBatch], parts: int, length: int, anchor: int
         kind[1:] |= whole[1:] != whole[:-1]
         keys = low[new]
         kinds = np.add.reduceat(kind.astype(np.int64), np.flatnonzero(new)) if len(low) else np.zeros(0, np.int64)
-        cut = ranges(keys, parts)
-        rows = [
-            (
-                p, row["chunk"], packed_keys(keys[cut[p] : cut[p + 1]]), packed_counts(kinds[cut[p] : cut[p + 1]])
-            ) for p in np.flatnonzero(np.diff(cut)).tolist()
-        ]
+        rows = [(p, row["chunk"], packed_keys(keys[a:b]), packed_counts(kinds[a:b])) for p, a, b in zip(*(x.tolist() for x in runs(keys, parts)), strict=True)]
         if rows:
             yield _batch(_ASKED_ARROW, rows)
 
@@ -335,7 +330,7 @@ def _spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return data[shift]
 
 
-def _cut(batches: Iterator[pa.RecordBatch], shards: int, length: int, anchor: int) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], shards: int, length: int, anchor: int, seeds: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Cut the different extents of shared anchors out of the texts, and deal them out by anchor; copies inside the chunk go to shard -1 - k."""
     for row in rows_of(batches):
         ids, offsets, data = unpacked(row)
@@ -360,14 +355,14 @@ def _cut(batches: Iterator[pa.RecordBatch], shards: int, length: int, anchor: in
         split = _member(found["low"], hot) & keep
         if split.any():
             for a in range(0, int(split.sum()), 4096):
-                rows.append((apart, row["chunk"], STRINGS, _bytes_of(_strings_of(data, ids, found[split][a : a + 4096], start[split][a : a + 4096], length))))
+                rows.append((apart, row["chunk"], STRINGS, _bytes_of(_strings_of(data, ids, found[split][a : a + 4096], start[split][a : a + 4096], length, seeds))))
         keep &= ~split
         found, start, end = found[keep], start[keep], end[keep]
         shard = (found["low"] % np.uint64(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
-        edge = np.searchsorted(shard[order], np.arange(shards + 1))
-        for s in np.flatnonzero(np.diff(edge)).tolist():
-            mine = order[edge[s] : edge[s + 1]]
+        begin = np.flatnonzero(np.diff(shard[order], prepend=-1))
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(order)], strict=False):
+            mine, s = order[a:b], int(shard[order[a]])
             some = found[mine]
             meta = _structured(_META, low=some["low"], id=ids[some["doc"]], doc=some["doc"], start=some["start"], count=some["count"], twice=some["twice"])
             rows.append((s, row["chunk"], EXTENTS, _bytes_of(meta, _spans(data, start[mine], end[mine]))))
@@ -376,12 +371,12 @@ def _cut(batches: Iterator[pa.RecordBatch], shards: int, length: int, anchor: in
         release()
 
 
-def _strings_of(data: np.ndarray, ids: np.ndarray, found: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+def _strings_of(data: np.ndarray, ids: np.ndarray, found: np.ndarray, start: np.ndarray, length: int, seeds: tuple[int, int]) -> np.ndarray:
     """Fingerprints of all strings of the extents, with their places."""
     n = found["count"].astype(np.int64)
     inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     at, doc = np.repeat(start, n) + inside, np.repeat(found["doc"], n)
-    prints = [span_hashes(data, at, at + length, seed).view(np.int64) for seed in (1, 2)]
+    prints = [span_hashes(data, at, at + length, seed).view(np.int64) for seed in seeds]
     return _structured(_STRING, f0=prints[0], f1=prints[1], id=ids[doc], doc=doc, start=np.repeat(found["start"], n) + inside)
 
 
@@ -569,7 +564,8 @@ def repeated_bytes(
     Chunks have ``chunk_bytes`` of text or one document; hash ranges answer for
     about ``part_bytes`` of text, shards hold about ``shard_bytes`` of extents
     and sort ``block_bytes`` at once.  Strings of anchors with more than
-    ``most_kinds`` different extents are compared by 128-bit fingerprints.
+    ``most_kinds`` different extents are compared by 128-bit
+    fingerprints under seeds drawn for the run.
 
     A null text is empty; texts shorter than ``length`` lose nothing.  Rows
     with a null id keep all their bytes and take no part in the search.  Rows
@@ -587,7 +583,8 @@ def repeated_bytes(
     # An extent has some 30 strings, and of ``length`` bytes one less than that more.
     shards = max(8, -(-shared * (length + 30) // shard_bytes))
     answers = told.groupBy("chunk").agg(F.collect_list(F.struct("part", "keys", "hot")).alias("told"))
-    sent = chunks.join(answers, "chunk").mapInArrow(lambda it: _cut(it, shards, length, anchor), _SENT)
+    seeds = new_seed(), new_seed()
+    sent = chunks.join(answers, "chunk").mapInArrow(lambda it: _cut(it, shards, length, anchor, seeds), _SENT)
     found = scratch.keep(sent.groupBy("shard").applyInArrow(lambda t: _shard(t, length, block_bytes), _FOUND), "found")
     copies = found.where(F.col("kind") == COPY)
     split = found.where(F.col("kind") == STRINGS)

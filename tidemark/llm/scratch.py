@@ -50,10 +50,17 @@ def owned(spark: SparkSession, uri: str) -> str:
     return uri
 
 
-def drop_results(spark: SparkSession) -> None:
-    """Delete the tables and files behind all results so far; DataFrames over them can't be read any more."""
-    for uri in _RESULTS.pop(spark.sparkContext.applicationId, []):
+def results_so_far(spark: SparkSession) -> int:
+    """How many results there are, to drop only later ones."""
+    return len(_RESULTS.get(spark.sparkContext.applicationId, []))
+
+
+def drop_results(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables and files behind all results but the first ``since``; DataFrames over them can't be read any more."""
+    made = _RESULTS.get(spark.sparkContext.applicationId, [])
+    for uri in made[since:]:
         delete(spark, uri)
+    del made[since:]
 
 
 @contextmanager

@@ -85,9 +85,11 @@ def _write(batches: Iterator[pa.RecordBatch], root: str, tokenizer: str, end_id:
 def write_tokens(docs: DataFrame, root: str, *, tokenizer: str, end_id: int, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode ``docs`` into a store below the URI ``root`` and return its manifest.
 
+    The store is a new folder in ``root``; what else is there isn't touched.
     Shards are ranges of ids, each in ascending order.  Rows with a null id
     have no place in the order and are left out.
     """
+    root = f"{root.rstrip('/')}/tokens-{uuid.uuid4().hex}"
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("id is not null")
     dealt = base.repartitionByRange("id").sortWithinPartitions("id")
     manifest = scratch.keep(dealt.mapInArrow(lambda it: _write(it, root, tokenizer, end_id), MANIFEST), "manifest")
@@ -96,7 +98,7 @@ def write_tokens(docs: DataFrame, root: str, *, tokenizer: str, end_id: int, scr
 
 
 def _sweep(manifest: DataFrame, root: str) -> None:
-    """Delete what lost or repeated attempts have left in a store."""
+    """Delete what lost or repeated attempts have left in a store of this run's own."""
     spark = manifest.sparkSession
     listed = {r.path.rpartition("/")[2] for r in manifest.select("path").collect()}  # one row for each shard
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
