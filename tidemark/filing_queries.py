@@ -829,7 +829,7 @@ def plan_reports(t):
     tagged = '<xbrli:context id="y"><xbrli:startDate>2024-01-01</xbrli:startDate><xbrli:endDate>2024-12-31</xbrli:endDate></xbrli:context><ix:nonFraction name="us-gaap:Revenues" contextRef="y" scale="6">5</ix:nonFraction>'
     raw = cat("<html><p>For the year ended December 31, 2024</p>", F.when(c("c_custkey") % 10 == 0, "").otherwise(tagged), lines, "</html>")
     x = t.customer.select(c("c_custkey").alias("filing_id"), cat("t", n, "_10-K_2025-02-01.htm").alias("name"), cat("T", n).alias("ticker"), raw.alias("raw"))
-    return filing_report.reports(x.repartition("filing_id")).select(
+    return filing_report.reports(x.repartition(64, "filing_id")).select(
         "filing_id", "form_type", "revenue", "total_assets", "total_liabilities", "equity", "currency_unit", "period_end_date"
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import latest_of, long_date, parse_date, quarter_end_like
+from tidemark.functions.document_unit import document_unit, unit_evidence
 from tidemark.functions.statements import plausible_eps
 from tidemark.functions.text import company_name, filing_date_text, form_type, html_lines, normal_label, tag_text
 from tidemark.functions.units import EPS_METRICS, composed_unit
@@ -14,6 +15,7 @@ from tidemark.operators.ranking import best_by
 from tidemark.plans import facts, page_tables
 from tidemark.plans.derive import derived
 from tidemark.plans.statement_lines import statement_rows
+from tidemark.session import kept
 
 #: Metrics and their row labels, best first.
 TEXT_LABELS = {
@@ -134,7 +136,7 @@ def best_tables(filings: DataFrame) -> DataFrame:
 
 def table_candidates(filings: DataFrame) -> DataFrame:
     """(filing_id, metric, value) of HTML tables, in units of currency."""
-    rows = best_tables(filings).select("filing_id", "kind", "latest", "to_millions", F.inline("rows"))
+    rows = kept(best_tables(filings), "tables").select("filing_id", "kind", "latest", "to_millions", F.inline("rows"))
     value = F.coalesce(F.get("values", F.col("latest")), F.get("values", F.lit(0)))
     factor = F.when(normal_label(F.col("label")).rlike("per (share|ads)"), 1.0).otherwise(F.coalesce("to_millions", F.lit(1e-6)) * 1e6)
     return labelled(rows.select("filing_id", "kind", F.col("row_no").alias("ord"), "label", (value * factor).alias("value")), F.col("kind") == "BS")
@@ -142,7 +144,7 @@ def table_candidates(filings: DataFrame) -> DataFrame:
 
 def candidates(filings: DataFrame, rows: DataFrame) -> DataFrame:
     """(filing_id, metric, source, value) of all three sources; ``rows`` are the filings' ``statement_rows``."""
-    ctx, found = facts.contexts(filings), facts.all_facts(filings)
+    ctx, found = kept(facts.contexts(filings), "contexts"), kept(facts.all_facts(filings), "facts")
     tagged = facts.chosen_metrics(filings, found, ctx).where("metric <> 'shares_outstanding'")
     shares = facts.chosen_shares(filings, found, ctx).select("filing_id", F.lit("shares_outstanding").alias("metric"), "value")
     some = tagged.unionByName(shares).withColumn("source", F.lit("facts"))
@@ -152,24 +154,30 @@ def candidates(filings: DataFrame, rows: DataFrame) -> DataFrame:
     return some.withColumn("value", F.when(eps, plausible_eps(F.col("value"))).otherwise(F.col("value")))
 
 
-def units(rows: DataFrame) -> DataFrame:
-    """(filing_id, currency_unit) of ``statement_rows``: the currency of most statements, the greatest code on ties."""
+def units(rows: DataFrame, filings: DataFrame) -> DataFrame:
+    """(filing_id, currency_unit): the currency of most of the ``statement_rows``' statements, the greatest code on ties; else what the document says."""
     counts = rows.where("currency is not null").select("filing_id", "section", "currency").distinct().groupBy("filing_id", "currency").agg(F.count("*").alias("n"))
     best = counts.groupBy("filing_id").agg(F.max(F.struct("n", "currency")).alias("m"))
-    return best.select("filing_id", composed_unit(F.col("m.currency"), F.lit(None).cast("string")).alias("currency_unit"))
+    stated = best.select("filing_id", composed_unit(F.col("m.currency"), F.lit(None).cast("string")).alias("stated"))
+    rest = filings.join(stated, "filing_id", "left_anti").select("filing_id", unit_evidence("raw", "lines").alias("evidence"))
+    return stated.withColumnRenamed("stated", "currency_unit").unionByName(rest.select("filing_id", document_unit(F.col("evidence")).alias("currency_unit")))
 
 
 def reports(filings: DataFrame) -> DataFrame:
-    """One derived report for each filing of (filing_id, name, ticker, raw)."""
+    """One derived report for each filing of (filing_id, name, ticker, raw).
+
+    What is read out of the texts is written once, in narrow tables: the rows
+    of statements, the tagged facts and their contexts, the best HTML tables.
+    """
     read = read_filings(filings)
-    rows = statement_rows(read, "filing_id")
+    rows = kept(statement_rows(read, "filing_id"), "statement-rows")
     chosen = by_priority(candidates(read, rows), ["filing_id", "metric"], "source", "value", SOURCES)
     wide = facts.report_columns(chosen)
     head = read.select(
         "filing_id", "ticker", "company_name", "form_type", long_date(F.col("filed")).alias("filing_date"),
         long_date(F.col("target_end")).alias("period_end_date")
     )
-    return derived(head.join(units(rows), "filing_id", "left").join(wide, "filing_id", "left"))
+    return derived(head.join(units(rows, read), "filing_id", "left").join(wide, "filing_id", "left"))
 
 
 def latest_reports(found: DataFrame, legacy_string_order: bool = False) -> DataFrame:

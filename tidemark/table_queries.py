@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.filing_queries import cat, words
+from tidemark.functions import document_unit
 from tidemark.functions import lines as L
 from tidemark.functions import tables as T
 from tidemark.operators import lookup
@@ -181,3 +182,27 @@ def arr09_html_rows(t):
     html = cat("<table>", row("Net sales", k, "2", "3"), even, row("Net sales: total", k, "2", "3", "4"), row("Net salesmen", "5", "5"), row("Gross margin", "9", "8"), row("Margin", "7"), "</table>")
     nearest, most = T.values_of_label(c("html"), ["net sales"], 2), T.values_of_label(c("html"), ["Net sales"])
     return t.supplier.select("s_suppkey", html.alias("html")).select("s_suppkey", nearest.alias("nearest"), most.alias("most"), T.values_like(c("html"), "margin").alias("matched"))
+
+
+@query("""select s_suppkey, case s_suppkey % 9 when 0 then 'CNY' when 1 then 'USD, millions' when 2 then 'HKD, thousands' when 3 then 'TWD, millions' when 4 then 'EUR, thousands' when 5 then 'JPY, millions' when 6 then 'BRL, thousands' when 7 then 'USD, billions' end as unit,
+cast(case s_suppkey % 9 when 0 then 0 when 1 then 1 when 2 then 2 when 3 then 3 when 4 then 4 when 5 then 5 when 6 then 5 when 7 then 5 end as int) as tier from supplier""")
+def str12_document_unit(t):
+    """A filing's unit from six kinds of places; worse places that say otherwise lose."""
+    k = c("s_suppkey") % 9
+    arr = lambda *x: F.array(*(lit(y) for y in x))
+    worse = ("The yen and the euro fell.", "Total in thousands, amounts in euros")
+    lines = (
+        F.when(k == 0, arr("Our reporting currency is the Renminbi.", "Consolidated balance sheets", "(in millions of US$)"))
+        .when(k == 1, arr(*worse, "Our reporting currency is the US dollar", "Consolidated statements of income", "for the year", "(U.S. dollars", "in millions)"))
+        .when(k == 2, arr(*worse, "Income statements", "2024 2023", "HK$ HK$", "(in thousands)", "RMB"))
+        .when(k == 3, arr(*worse, "All amounts in millions of", "the issuer's New Taiwan dollars, unless noted", "in EUR thousands"))
+        .when(k == 4, arr("The yen fell.", "All figures in", "EUR thousands", "Report"))
+        .when(k == 5, arr("Statement of changes", "USD", "JPY", "JPY", "(in millions)", "USD"))
+        .when(k == 6, arr("Letter to holders", "Prices in R$'000 each", "and more"))
+        .when(k == 7, arr("Letter", "We earned $5"))
+        .otherwise(arr("Letter", "Nothing here"))
+    )
+    raw = F.when(k == 7, "<ix:nonFraction scale='9'>1</ix:nonFraction><ix:nonFraction scale='9'>1</ix:nonFraction><ix:nonFraction scale='3'>1</ix:nonFraction>")
+    raw = raw.when(k == 5, "<xbrli:measure>iso4217:EUR</xbrli:measure>").otherwise("")
+    x = t.supplier.select("s_suppkey", raw.alias("raw"), lines.alias("lines")).select("s_suppkey", document_unit.unit_evidence("raw", "lines").alias("e"))
+    return x.select("s_suppkey", document_unit.document_unit(c("e")).alias("unit"), F.get("e", lit(0))["tier"].alias("tier"))
