@@ -50,26 +50,27 @@ def once[T](build: Callable[..., T]) -> Callable[..., T]:
     return found
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written below ``spark.checkpoint.dir`` and read back, so that what builds on it several times plans and runs it once.
-
-    On one machine, where that isn't set, a temporary folder does.
-    ``drop_kept`` deletes all such tables of the application.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's URI below ``spark.checkpoint.dir``, or on one machine, where that isn't set, a temporary one; ``drop_kept`` deletes it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tidemark-kept-")
     uri = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(uri)
     _KEPT.setdefault(spark.sparkContext.applicationId, []).append(uri)
-    return spark.read.schema(df.schema).parquet(uri)
+    return uri
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a ``shared_folder`` and read back, so that what builds on it several times plans and runs it once."""
+    uri = shared_folder(df.sparkSession, name)
+    df.write.parquet(uri)
+    return df.sparkSession.read.schema(df.schema).parquet(uri)
 
 
 def drop_kept(spark: SparkSession) -> None:
-    """Delete the tables that ``kept`` has written; DataFrames over them can't be read any more."""
+    """Delete all shared folders of the application; DataFrames over them can't be read any more."""
     for uri in _KEPT.pop(spark.sparkContext.applicationId, []):
         path = spark._jvm.org.apache.hadoop.fs.Path(uri)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -13,6 +13,10 @@ from tidemark.operators import lookup
 from tidemark.plans import filing_report, page_tables
 from tidemark.plans.statement_lines import statement_rows
 from tidemark.queries import query
+from tidemark.session import shared_folder
+from tidemark.sources.prices import read_prices, store_responses
+from tidemark.streaming.incremental import waves
+from tidemark.streaming.keyed_table import KeyedTable, run_into
 
 c, lit = F.col, F.lit
 
@@ -206,3 +210,43 @@ def str12_document_unit(t):
     raw = raw.when(k == 5, "<xbrli:measure>iso4217:EUR</xbrli:measure>").otherwise("")
     x = t.supplier.select("s_suppkey", raw.alias("raw"), lines.alias("lines")).select("s_suppkey", document_unit.unit_evidence("raw", "lines").alias("e"))
     return x.select("s_suppkey", document_unit.document_unit(c("e")).alias("unit"), F.get("e", lit(0))["tier"].alias("tier"))
+
+
+@query("""select o_custkey, case when o_custkey % 50 = 3 then 'changed' else 'first' end as state, count(*) as n, max(o_orderkey) as newest from orders where o_custkey % 50 <> 4 or o_custkey % 3 = 0 group by 1, 2
+union all select -o_nation, 'added', 1, o_nation from (select n_nationkey + 1 as o_nation from nation)""")
+def snk09_keyed_table(t):
+    """Customers' orders in a keyed table: a first write, changes to a few keys, and keys added."""
+    table = KeyedTable(t.spark, shared_folder(t.spark, "keyed"), ["o_custkey"], 8)
+    some = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), F.max("o_orderkey").alias("newest"))
+    some = some.where("o_custkey % 50 <> 4 or o_custkey % 3 = 0").select("o_custkey", lit("first").alias("state"), "n", "newest")
+    table.upsert(some)
+    table.upsert(some.where("o_custkey % 50 = 3").withColumn("state", lit("changed")))
+    table.upsert(t.nation.select((-c("n_nationkey") - 1).cast(some.schema["o_custkey"].dataType).alias("o_custkey"), lit("added").alias("state"), lit(1).cast("long").alias("n"), (c("n_nationkey") + 1).cast(some.schema["newest"].dataType).alias("newest")))
+    return table.read()
+
+
+@query("select user_id, event_id, value from (select *, row_number() over (partition by user_id order by event_id desc) r from events) where r = 1")
+def stm02_stream_upserts(t):
+    """Each user's last event, kept up to date by a stream of files in waves, two to a batch."""
+    schema = "event_id long, user_id long, value double"
+    folder, table = shared_folder(t.spark, "waves"), KeyedTable(t.spark, shared_folder(t.spark, "users"), ["user_id"], 16)
+    t.events.select(c("event_id").cast("long"), c("user_id").cast("long"), "value").repartition(6, "event_id").write.parquet(folder)
+    stream = waves(t.spark, folder, schema, 2)
+
+    def newest(batch):
+        there = table.read().select("user_id", c("event_id").alias("old")) if table.versions() else batch.limit(0).select("user_id", c("event_id").alias("old"))
+        return batch.join(there, "user_id", "left").where("old is null or event_id > old").drop("old")
+
+    run_into(stream, newest, table, "event_id", shared_folder(t.spark, "users-checkpoint")).awaitTermination()
+    return table.read().select("user_id", "event_id", "value")
+
+
+@query("""select 'C' || c_custkey as ticker, case when c_acctbal > 0 and c_custkey % 5 <> 0 then c_acctbal when c_custkey % 7 = 0 then 7.5 end as price, cast(case when c_acctbal > 0 and c_custkey % 5 <> 0 then 0 when c_custkey % 7 = 0 then 1 end as int) as source,
+case when (c_acctbal > 0 and c_custkey % 5 <> 0) or c_custkey % 7 = 0 then null when c_custkey % 5 = 0 then 'no data' else 'no price' end as reason from customer where c_custkey % 20 < 9""")
+def src18_stored_prices(t):
+    """Prices of customers' tickers from two folders of responses, read in waves by a data source."""
+    first, second = shared_folder(t.spark, "prices"), shared_folder(t.spark, "more-prices")
+    some = t.customer.where("c_custkey % 20 < 9").select(cat("C", words(c("c_custkey"))).alias("ticker"), "c_custkey", c("c_acctbal").cast("double").alias("price"))
+    store_responses(some.where("c_custkey % 5 <> 0"), first)
+    store_responses(some.where("c_custkey % 7 = 0").withColumn("price", lit(7.5)), second)
+    return read_prices(some.select(F.lower("ticker").alias("ticker")), [first, second], wave=25)
