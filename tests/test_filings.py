@@ -109,6 +109,16 @@ def test_labels_are_looked_up(spark):
     assert "NestedLoop" not in begins._jdf.queryExecution().toString() + within._jdf.queryExecution().toString()
 
 
+def test_looked_up_rows_are_not_broadcast(spark, sf_dir):
+    """Rows by their runs of characters are many times the table, however small Spark takes it to be."""
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", F.col("p_name").alias("label"))
+    labels = spark.range(200_000).select(F.concat(F.lit("item "), F.col("id")).alias("target")).union(rows.select("label"))
+    for how in ("contains", "prefix"):
+        found = lookup.matched_labels(rows, labels, how)
+        assert found.count() > 0
+        assert "Broadcast" not in found._jdf.queryExecution().optimizedPlan().toString() + found._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_plans_run_no_python(spark, sf_dir):
     for name in ("win08_best_table", "arr08_statement_rows", "plan_reports"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

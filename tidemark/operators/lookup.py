@@ -38,7 +38,9 @@ def matched_labels(rows: DataFrame, labels: DataFrame, how: str, text: str = "la
     All but ``regex`` are hash joins, whatever the size of the dictionary.  For
     ``prefix`` a row is looked up by its beginnings of all lengths that labels
     have; for ``contains`` by its runs of characters as long as a label's first
-    eight, or the whole of shorter labels, and then compared.  Empty labels match every row,
+    eight, or the whole of shorter labels, and then compared.  Those are many times
+    the rows, which Spark's estimate doesn't see, so they are joined by sorted
+    runs and never sent whole to anyone.  Empty labels match every row,
     null ones none.  Patterns can't be looked up: ``regex`` compares each row with
     each of at most ``MOST_PATTERNS`` of them, which are counted.
     """
@@ -55,7 +57,7 @@ def matched_labels(rows: DataFrame, labels: DataFrame, how: str, text: str = "la
     size = F.explode(F.lit(sizes or [0]))
     if how == "prefix":
         looked = rows.withColumn("_size", size).where(F.length(t) >= F.col("_size")).withColumn("_key", F.substr(t, F.lit(1), F.col("_size")))
-        return looked.join(keyed, "_key").drop("_key", "_size")
+        return looked.hint("merge").join(keyed, "_key").drop("_key", "_size")
     if how != "contains":
         raise ValueError(how)
 
@@ -64,7 +66,7 @@ def matched_labels(rows: DataFrame, labels: DataFrame, how: str, text: str = "la
         return F.when(F.length(t) >= n, F.transform(starts, lambda i: F.substr(t, i, F.lit(n)))).otherwise(F.array())
 
     looked = rows.withColumn("_key", F.explode(F.array_distinct(F.flatten(F.array(*map(runs, sizes or [0]))))))
-    return looked.join(keyed, "_key").where(t.contains(l)).drop("_key")
+    return looked.hint("merge").join(keyed, "_key").where(t.contains(l)).drop("_key")
 
 
 def nearest(df: DataFrame, keys: Sequence[str], at: Column, target: Column, unique: Sequence[Column]) -> DataFrame:
