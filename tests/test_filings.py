@@ -119,6 +119,18 @@ def test_looked_up_rows_are_not_broadcast(spark, sf_dir):
         assert "Broadcast" not in found._jdf.queryExecution().optimizedPlan().toString() + found._jdf.queryExecution().sparkPlan().toString()
 
 
+def test_small_dictionaries_go_to_the_rows(spark, sf_dir):
+    """A few labels are broadcast, whatever Spark takes rows and labels to be; the rows aren't dealt out."""
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", F.col("p_type").alias("label"))
+    labels = spark.createDataFrame([("STEEL", 0), ("A", 5), (None, 6)], "target string, rk int")
+    for how in ("contains", "prefix"):
+        found = lookup.matched_labels(rows, labels, how)
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan
+        want = [r.p_partkey for r in rows.collect() for x in ("STEEL", "A") if (r.label.startswith(x) if how == "prefix" else x in r.label)]
+        assert sorted(r.p_partkey for r in found.collect()) == sorted(want)
+
+
 def test_plans_run_no_python(spark, sf_dir):
     for name in ("win08_best_table", "arr08_statement_rows", "plan_reports"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

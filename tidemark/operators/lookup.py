@@ -30,6 +30,8 @@ def union_missing(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
 MOST_PATTERNS = 2000
 #: Characters of a label that rows are looked up by.
 GRAM = 8
+#: A dictionary of up to so many rows and bytes of labels goes to every task, so that the rows stay where they are.
+SMALL_ROWS, SMALL_BYTES = 10_000, 1 << 20
 
 
 def matched_labels(rows: DataFrame, labels: DataFrame, how: str, text: str = "label", target: str = "target") -> DataFrame:
@@ -39,10 +41,11 @@ def matched_labels(rows: DataFrame, labels: DataFrame, how: str, text: str = "la
     ``prefix`` a row is looked up by its beginnings of all lengths that labels
     have; for ``contains`` by its runs of characters as long as a label's first
     eight, or the whole of shorter labels, and then compared.  Those are many times
-    the rows, which Spark's estimate doesn't see, so they are joined by sorted
-    runs and never sent whole to anyone.  Empty labels match every row,
-    null ones none.  Patterns can't be looked up: ``regex`` compares each row with
-    each of at most ``MOST_PATTERNS`` of them, which are counted.
+    the rows, which Spark's estimate doesn't see, so they never are sent whole to
+    anyone: a small dictionary, which is counted, goes to them, and else both are
+    joined by sorted runs.  Empty labels match every row, null ones none.  Patterns
+    can't be looked up: ``regex`` compares each row with each of at most
+    ``MOST_PATTERNS`` of them, which are counted.
     """
     t, l = F.col(text), F.col(target)
     if how == "equals":
@@ -52,12 +55,15 @@ def matched_labels(rows: DataFrame, labels: DataFrame, how: str, text: str = "la
             raise ValueError(f"a dictionary of patterns has at most {MOST_PATTERNS} rows")
         return rows.join(F.broadcast(labels), F.regexp_like(t, l))
     key = l if how == "prefix" else F.left(l, F.lit(GRAM))
-    keyed = labels.withColumn("_key", key)
-    sizes = sorted(r[0] for r in keyed.where("_key is not null").select(F.length("_key")).distinct().collect())  # a few lengths
+    keyed = labels.withColumn("_key", key).where("_key is not null")
+    lengths = keyed.groupBy(F.length("_key").alias("size")).agg(F.count("*").alias("n"), F.sum(F.octet_length(l)).alias("bytes")).collect()  # a few
+    sizes = sorted(r.size for r in lengths)
+    small = sum(r.n for r in lengths) <= SMALL_ROWS and sum(r.bytes for r in lengths) <= SMALL_BYTES
+    keyed = F.broadcast(keyed) if small else keyed.hint("merge")
     size = F.explode(F.lit(sizes or [0]))
     if how == "prefix":
         looked = rows.withColumn("_size", size).where(F.length(t) >= F.col("_size")).withColumn("_key", F.substr(t, F.lit(1), F.col("_size")))
-        return looked.hint("merge").join(keyed, "_key").drop("_key", "_size")
+        return looked.join(keyed, "_key").drop("_key", "_size")
     if how != "contains":
         raise ValueError(how)
 
@@ -66,7 +72,7 @@ def matched_labels(rows: DataFrame, labels: DataFrame, how: str, text: str = "la
         return F.when(F.length(t) >= n, F.transform(starts, lambda i: F.substr(t, i, F.lit(n)))).otherwise(F.array())
 
     looked = rows.withColumn("_key", F.explode(F.array_distinct(F.flatten(F.array(*map(runs, sizes or [0]))))))
-    return looked.hint("merge").join(keyed, "_key").where(t.contains(l)).drop("_key")
+    return looked.join(keyed, "_key").where(t.contains(l)).drop("_key")
 
 
 def nearest(df: DataFrame, keys: Sequence[str], at: Column, target: Column, unique: Sequence[Column]) -> DataFrame:
