@@ -59,6 +59,18 @@ def test_statement_columns_in_two_currencies(spark):
     assert [(r.label, r.value, r.usd_value) for r in got] == [("Revenues", 1000.0, 140.0), ("Net income", 100.0, 14.0), ("Other", 5.0, None)]
 
 
+def test_negative_figures_like_years(spark):
+    """A year alone in parentheses is a figure below 0; years in a header stay days."""
+    text = [
+        "CONSOLIDATED STATEMENTS OF OPERATIONS", "(Year ended December 31, 2025)", "(2025 and 2024)", "2025 2024", "Revenues 3000 4000",
+        "Cost of revenues (1) (1901 )", "Expenses (2001) (1999)", "Tax ( 2024)"
+    ]
+    got = rows_of(spark, [text], "10-K")
+    assert [(r.label, r["values"]) for r in got] == [
+        ("Revenues", [3000.0, 4000.0]), ("Cost of revenues", [-1901.0]), ("Expenses", [-2001.0, -1999.0]), ("Tax", [-2024.0])
+    ]  # the (1) is a note's number
+
+
 def test_filings_of_very_many_lines(spark):
     """A hundred thousand lines: rows, labels over lines, figures below each other, digits without end."""
     body = []

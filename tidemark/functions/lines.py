@@ -41,7 +41,8 @@ PERIOD_CURRENCIES = ("rmb", "cny", "hkd", "hk$", "eur", "gbp", "jpy", "twd", "kr
 _MONTH = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
 _MONTHS = "Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?"
 DATE = rf"(?i)((?:(?:{_MONTH})[a-z]*\.?\s*(?:\d{{1,2}},?\s*)?)?(?:19|20)\d{{2}}\b)"
-_DATED = rf"(?i)\b(?:{_MONTH})[a-z]*\.?\s*(?:\d{{1,2}}\b,?\s*)?(?:(?:19|20)\d{{2}}\b)?|\b(?:19|20)\d{{2}}\b"
+# A bare year in parentheses of its own is a negative figure.
+_DATED = rf"(?i)\b(?:{_MONTH})[a-z]*\.?\s*(?:\d{{1,2}}\b,?\s*)?(?:(?:19|20)\d{{2}}\b)?|(?<!\()\b(?:19|20)\d{{2}}\b|\b(?:19|20)\d{{2}}\b(?!\))"
 _DAY = rf"(?i)\b(?:{_MONTHS})\s+\d{{1,2}},\s+\d{{4}}\b"
 _ANY_DAY = rf"{_DAY}|(?i:\b\d{{1,2}}-(?:{_MONTH})-\d{{2,4}}\b)"
 _SIGN = "|".join(s.replace("$", r"\$") for s in SIGNS)
