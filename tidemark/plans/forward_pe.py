@@ -16,12 +16,15 @@ def latest_eps(series: Column, kind: str) -> Column:
     return F.array_max(F.transform(some, lambda e: F.struct(e["asof"].alias("date"), e["value"].alias("value"))))
 
 
-def screened(df: DataFrame, limit: float = PE_LIMIT) -> DataFrame:
+def screened(df: DataFrame, limit: float = PE_LIMIT, digits: int | None = 2) -> DataFrame:
     """Add eps, forward P/E, status and reason.
 
     Needs price, fx_rate, market_cap_m, enterprise_value_m, pe_ttm and the
-    structs projected and trailing (date, value), any of them null.
+    structs projected and trailing (date, value), any of them null.  The limit
+    holds for the P/E rounded to ``digits``, so that 19.996 isn't below 20; with
+    None it stays as it is.
     """
+    rounded = (lambda x: x) if digits is None else (lambda x: half_even(x, digits))
     use_p, use_t = F.coalesce(F.col("projected.value") > 0, F.lit(False)), F.coalesce(F.col("trailing.value") > 0, F.lit(False))
     eps = F.when(use_p, F.col("projected.value")).when(use_t, F.col("trailing.value"))
     priced = present(F.col("price"))
@@ -32,7 +35,7 @@ def screened(df: DataFrame, limit: float = PE_LIMIT) -> DataFrame:
             "eps_usd": F.when(by_eps, eps * F.col("fx_rate")), "net_cash_m": F.col("market_cap_m") - F.col("enterprise_value_m")
         }
     )
-    pe = F.when(by_eps, half_even(F.col("price") / F.nullif("eps_usd", F.lit(0.0)), 2)).when(by_pe, half_even(F.col("pe_ttm"), 2))
+    pe = F.when(by_eps, rounded(F.col("price") / F.nullif("eps_usd", F.lit(0.0)))).when(by_pe, rounded(F.col("pe_ttm")))
     out = out.withColumns(
         {
             "forward_pe": pe,
