@@ -3,6 +3,7 @@
 import duckdb
 import pandas as pd
 
+from tidemark.operators import ranking
 from tidemark.queries import ORACLE_SQL, QUERIES
 
 
@@ -26,3 +27,13 @@ def test_forward_pe_just_below_the_limit(spark, tmp_path):
     part = pd.DataFrame({"p_partkey": range(1, 6), "p_size": pd.array(size, "int32"), "p_retailprice": price})
     got, want = both(spark, tmp_path, "mth16_forward_pe", "part", part)
     assert got == want
+
+
+def test_places_by_forward_pe(spark, tmp_path):
+    """What is just below the limit passes; halves go to the even hundredth of the product with 100; equal ones by ticker, in no single task."""
+    size, price = [46, 47, 48, 49, 51, 52, 46, 48], [919.9, 939.86, 915.36, 934.43, 956.76, 991.64, 907.35, 915.36]
+    part = pd.DataFrame({"p_partkey": range(8, 0, -1), "p_size": pd.array(size, "int32"), "p_retailprice": price})
+    got, want = both(spark, tmp_path, "srt02_by_forward_pe", "part", part)
+    assert got == want and len(got) == 8
+    rows = spark.createDataFrame([(None, "b"), (2.0, "c"), (1.0, "d"), (None, "a"), (2.0, "a")], "v double, k string")
+    assert [tuple(r) for r in ranking.placed(rows, "v", ["k"]).orderBy("place").collect()] == [(None, "a", 1), (None, "b", 2), (1.0, "d", 3), (2.0, "a", 4), (2.0, "c", 5)]

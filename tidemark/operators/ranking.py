@@ -35,6 +35,20 @@ def mode_by(df: DataFrame, keys: Sequence[str], value: str, ties: Sequence[Colum
     return top_struct(counts, keys, [F.col("n"), *ties], [value, "n"])
 
 
+def placed(df: DataFrame, value: str, ties: Sequence[str]) -> DataFrame:
+    """Add ``place``, from 1, by ``value`` and ``ties``, nulls first.
+
+    Rows of a value are numbered apart and take the counts of smaller values, so
+    no task has all rows; only the different values, which should be few, are
+    numbered together.
+    """
+    counts = df.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    upto = Window.orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_value", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
+    own = df.withColumn("_own", F.row_number().over(Window.partitionBy(value).orderBy(*ties)))
+    return own.join(before, F.col(value).eqNullSafe(F.col("_value"))).withColumn("place", F.col("_before") + F.col("_own")).drop("_value", "_before", "_own")
+
+
 def filled(columns: Sequence[str]) -> Column:
     """How many of the columns aren't null."""
     total = F.lit(0)
