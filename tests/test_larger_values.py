@@ -37,3 +37,12 @@ def test_places_by_forward_pe(spark, tmp_path):
     assert got == want and len(got) == 8
     rows = spark.createDataFrame([(None, "b"), (2.0, "c"), (1.0, "d"), (None, "a"), (2.0, "a")], "v double, k string")
     assert [tuple(r) for r in ranking.placed(rows, "v", ["k"]).orderBy("place").collect()] == [(None, "a", 1), (None, "b", 2), (1.0, "d", 3), (2.0, "a", 4), (2.0, "c", 5)]
+
+
+def test_accession_numbers_beyond_six_digits(spark, tmp_path):
+    """A number of seven digits is kept whole, and follows those of six on the same day."""
+    keys = [1_000_000, 999_999, 1_000_001, 12_345_678, 7, 99_999]
+    day = pd.Timestamp("1998-02-06")
+    orders = pd.DataFrame({"o_orderkey": keys, "o_custkey": [900_000] * 4 + [3] * 2, "o_orderstatus": "F", "o_orderdate": [day, day, day, day, day, day + pd.Timedelta(days=1)]})
+    got, want = both(spark, tmp_path, "srt03_newest_6k", "orders", orders)
+    assert got == want and len(got) == 5

@@ -29,9 +29,13 @@ def latest_of_forms(submissions: DataFrame, forms: tuple[str, ...], key: str = "
 
 
 def newest_6k(index: DataFrame, most: int = 20) -> DataFrame:
-    """The ``most`` newest 6-K filings of each company, with accession numbers in dashed form and their place."""
-    some = index.where(F.upper("form") == "6-K").withColumn("accession", F.regexp_extract("path", r"([0-9]{10}-[0-9]{2}-[0-9]{6})", 1))
-    return best_by(some, ["cik"], [F.col("filed").desc(), F.col("path").asc()], most)
+    """The ``most`` newest 6-K filings of each company, with accession numbers in dashed form and their place.
+
+    Filings of a day stand in the order of their numbers: the shorter path
+    first, as numbers that outgrow their ten or six digits are longer.
+    """
+    some = index.where(F.upper("form") == "6-K").withColumn("accession", F.regexp_extract("path", r"([0-9]{10,}-[0-9]{2}-[0-9]{6,})", 1))
+    return best_by(some, ["cik"], [F.col("filed").desc(), F.length("path").asc(), F.col("path").asc()], most)
 
 
 def keyword_hits(text: Column, words: tuple[str, ...]) -> Column:
