@@ -2,7 +2,9 @@
 
 import duckdb
 import pandas as pd
+from pyspark.sql import functions as F
 
+from tidemark.functions import numbers
 from tidemark.operators import ranking
 from tidemark.queries import ORACLE_SQL, QUERIES
 
@@ -46,3 +48,13 @@ def test_accession_numbers_beyond_six_digits(spark, tmp_path):
     orders = pd.DataFrame({"o_orderkey": keys, "o_custkey": [900_000] * 4 + [3] * 2, "o_orderstatus": "F", "o_orderdate": [day, day, day, day, day, day + pd.Timedelta(days=1)]})
     got, want = both(spark, tmp_path, "srt03_newest_6k", "orders", orders)
     assert got == want and len(got) == 5
+
+
+def test_amounts_of_a_billion_in_millions(spark, tmp_path):
+    orders = pd.DataFrame({"o_orderkey": [0, 249, 250, 249_998, 250_000, 250_001, 250_002, 9_000_000, 8_999_999, 1_000_000_000_001]})
+    got, want = both(spark, tmp_path, "str20_human_format", "orders", orders)
+    assert got == want
+    v = spark.createDataFrame([(2.5e9,), (-1e9,), (999.0,)], "v double")
+    assert [tuple(r) for r in v.select(numbers.human(F.col("v")), numbers.human(F.col("v"), billions=False)).collect()] == [
+        ("2.50B", "2500.00M"), ("-1.00B", "-1000.00M"), ("999.00", "999.00")
+    ]

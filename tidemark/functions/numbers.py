@@ -72,11 +72,11 @@ def half_even(x: Column, digits: int) -> Column:
     return let(x, of)
 
 
-def human(x: Column, signed: bool = True) -> Column:
-    """Two decimals with K, M or B; without ``signed`` negative values stay unscaled."""
+def human(x: Column, signed: bool = True, billions: bool = True) -> Column:
+    """Two decimals with K, M or B; without ``signed`` negative values stay unscaled, without ``billions`` M is the largest."""
     v = F.abs(x) if signed else x
     text = F.when(
-        v >= 1e9, F.format_string("%.2fB", v / 1e9)
+        (v >= 1e9) & F.lit(billions), F.format_string("%.2fB", v / 1e9)
     ).when(
         v >= 1e6, F.format_string("%.2fM", v / 1e6)
     ).when(v >= 1e3, F.format_string("%.2fK", v / 1e3)).otherwise(F.format_string("%.2f", v))
