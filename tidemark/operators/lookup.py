@@ -37,7 +37,7 @@ SMALL_ROWS, SMALL_BYTES = 10_000, 1 << 20
 def matched_labels(rows: DataFrame, labels: DataFrame, how: str, text: str = "label", target: str = "target") -> DataFrame:
     """Rows with every dictionary label that matches: ``contains``, ``equals``, ``prefix`` or ``regex``.
 
-    All but ``regex`` are hash joins, whatever the size of the dictionary.  For
+    All but ``regex`` are joins by key, whatever the size of the dictionary.  For
     ``prefix`` a row is looked up by its beginnings of all lengths that labels
     have; for ``contains`` by its runs of characters as long as a label's first
     eight, or the whole of shorter labels, and then compared.  Those are many times
